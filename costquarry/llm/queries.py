@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costquarry.llm import bpe_counts, chat, language, matroska, mixing, repair, simhash, toxicity
+from costquarry.llm import bpe_counts, chat, decontaminate, language, lines, matroska, mixing, repair, simhash, toxicity
 from costquarry.llm.runtime import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(read(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -45,6 +50,10 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_shards(repair.write_shards(read(spark, sf_dir, "documents")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.text_media(read(spark, sf_dir, "documents"))
 
@@ -55,8 +64,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_mixing, op3_chat, op4_token_counts, op5_simhash, op6_language, op7_token_ids, op9_matroska, op10_toxicity)}
+    each = (op1_line_dedup, op2_mixing, op3_chat, op4_token_counts, op5_simhash, op6_language, op7_token_ids, op8_decontamination, op9_matroska, op10_toxicity)
+    return {f.__name__: f for f in each} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": lines.ORACLE, "op8_decontamination": decontaminate.ORACLE}
