@@ -28,7 +28,7 @@ SAMPLE_ROWS = 10_000  #: labelled rows learned from, the first by hash of their
 SAMPLE_CHARS = 20_000  #: of each of them at most
 PREDICT_AT = 0.3
 LEAST_G = 30.0  #: log-likelihood ratio of a learned entry
-LEAST_NEW = 3  #: toxic rows that a learned entry adds to those before it
+LEAST_NEW = 3  #: toxic rows that a learned beginning adds to the words chosen before it
 STEMS = (4, 5, 6)
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, ACT = "other", "insult", "threat", "target", "negation", "report", "act"
@@ -157,14 +157,13 @@ class Scorer:
                 total += factor * (weight if symbol == INSULT else 2.0)
         return total
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """Largest clause score, sum of scores and matched clauses, the latter two as logarithms; nothing matched: zeros."""
+    def feature(self, text: str | None) -> float:
+        """Logarithm of 1 and the sum of the clause scores; 0 if nothing matches."""
         low = (text or "").lower()
         memo = self.memo
         if not any(map(memo.__getitem__, WORD.findall(low))):
-            return 0.0, 0.0, 0.0
-        scores = [s for c in CLAUSE.split(low) if (s := self.clause(WORD.findall(c)))]
-        return max(scores, default=0.0), math.log1p(sum(scores)), math.log1p(len(scores))
+            return 0.0
+        return math.log1p(sum(self.clause(WORD.findall(c)) for c in CLAUSE.split(low)))
 
 
 def g_ratio(t: int, c: int, nt: int, nc: int) -> float:
@@ -197,22 +196,27 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
     for t, y in rows:
         if not y:
             clean.update(entries(t) & where.keys())
-    found = sorted(((-g, len(x), x) for x, v in where.items() if (g := g_ratio(len(v), clean[x], nt, nc)) >= LEAST_G))
-    covered: Counter[int] = Counter()
-    for _, _, x in found:
+    strong = [(-g, x[-1] == "*", -len(x), x) for x, v in where.items() if (g := g_ratio(len(v), clean[x], nt, nc)) >= LEAST_G]
+    chosen: list[str] = []
+    for *_, x in sorted(strong):
+        base = x.rstrip("*")
+        if any(base.startswith(c[:-1]) for c in chosen if c[-1] == "*"):
+            continue  # a beginning of it is chosen
+        if x[-1] == "*":
+            known = set().union(*(where[c] for c in chosen if c.startswith(base)))
+            if len(set(where[x]) - known) < LEAST_NEW:
+                continue  # the words that begin so are chosen
+        chosen.append(x)
         t, c = len(where[x]), clean[x]
-        if sum(1 for i in where[x] if covered[i] < 2) < LEAST_NEW:
-            continue  # its rows are explained twice already
-        covered.update(where[x])
         weight = min(6.0, math.log((t + 0.5) / (nt + 1)) - math.log((c + 0.5) / (nc + 1)))
         if x[-1] == "*":
-            stems[x[:-1]] = weight
+            stems[base] = weight
         else:
             words[x] = (INSULT, weight)
     return Lexicon(words, stems)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Coefficients, the constant first, by Newton's method."""
     x = np.c_[np.ones(len(x)), x]
     w = np.zeros(x.shape[1])
@@ -239,9 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     lexicon = learn_lexicon(got)
     y = np.array([float(v > 0) for _, v in got])
     if not got or not 0 < y.sum() < len(y):
-        return Model(lexicon, (-3.0, 1.0, 0.5, 0.5))
+        return Model(lexicon, (-3.0, 2.0))
     scorer = Scorer(lexicon)
-    return Model(lexicon, tuple(logistic(np.array([scorer.features(t) for t, _ in got]), y)))
+    return Model(lexicon, tuple(logistic(np.array([scorer.feature(t) for t, _ in got]), y)))
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,7 +258,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, w = Scorer(model.lexicon), np.array(model.coefficients)
         for b in runtime.slices(batches, "_t"):
-            x = np.array([(1.0, *scorer.features(t)) for t in b.column("_t").to_pylist()]).reshape(-1, len(w))
+            x = np.array([(1.0, scorer.feature(t)) for t in b.column("_t").to_pylist()]).reshape(-1, len(w))
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_h"), pa.array(p), pa.array((p >= PREDICT_AT).astype(np.int32))], ["_i", "held_out", "score", "predicted"])
 
