@@ -176,10 +176,18 @@ def g_ratio(t: int, c: int, nt: int, nc: int) -> float:
     return out if t * nc > c * nt else -out
 
 
-def entries(text: str) -> set[str]:
-    """Words, and beginnings of words marked by a star."""
-    words = set(WORD.findall(text.lower()))
-    return words | {w[:n] + "*" for n in STEMS for w in words if len(w) > n}
+def entries(text: str) -> dict[str, str]:
+    """Words, and beginnings of words marked by a star, each with the word before its first place."""
+    out: dict[str, str] = {}
+    before = ""
+    for w in WORD.findall(text.lower()):
+        if w not in out:
+            out[w] = before
+            for n in STEMS:
+                if len(w) > n:
+                    out.setdefault(w[:n] + "*", before)
+        before = w
+    return out
 
 
 def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
@@ -187,16 +195,19 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
     stems: dict[str, float] = {}
     toxic = [entries(t) for t, y in rows if y]
     nt, nc = len(toxic), sum(1 for _, y in rows if not y)
-    where = defaultdict(list)
+    where, contexts = defaultdict(list), defaultdict(set)
     for i, e in enumerate(toxic):
-        for x in e:
+        for x, before in e.items():
             where[x].append(i)
+            contexts[x].add(before)
     where = {x: v for x, v in where.items() if len(v) >= LEAST_NEW}
     clean: Counter[str] = Counter()
     for t, y in rows:
         if not y:
-            clean.update(entries(t) & where.keys())
-    strong = [(-g, x[-1] == "*", -len(x), x) for x, v in where.items() if (g := g_ratio(len(v), clean[x], nt, nc)) >= LEAST_G]
+            clean.update(entries(t).keys() & where.keys())
+    # Copies of a text repeat all its words in their places: an entry counts once for each word before it.
+    support = {x: min(len(v), len(contexts[x])) for x, v in where.items()}
+    strong = [(-g, x[-1] == "*", -len(x), x) for x in where if (g := g_ratio(support[x], clean[x], nt, nc)) >= LEAST_G]
     chosen: list[str] = []
     for *_, x in sorted(strong):
         base = x.rstrip("*")
@@ -204,10 +215,11 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
             continue  # a beginning of it is chosen
         if x[-1] == "*":
             known = set().union(*(where[c] for c in chosen if c.startswith(base)))
-            if len(set(where[x]) - known) < LEAST_NEW:
+            rest = min(len(set(where[x]) - known), len(contexts[x]))
+            if rest < LEAST_NEW or g_ratio(rest, clean[x], nt, nc) < LEAST_G:
                 continue  # the words that begin so are chosen
         chosen.append(x)
-        t, c = len(where[x]), clean[x]
+        t, c = support[x], clean[x]
         weight = min(6.0, math.log((t + 0.5) / (nt + 1)) - math.log((c + 0.5) / (nc + 1)))
         if x[-1] == "*":
             stems[base] = weight
