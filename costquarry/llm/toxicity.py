@@ -195,18 +195,18 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
     stems: dict[str, float] = {}
     toxic = [entries(t) for t, y in rows if y]
     nt, nc = len(toxic), sum(1 for _, y in rows if not y)
-    where, contexts = defaultdict(list), defaultdict(set)
+    where, contexts = defaultdict(list), defaultdict(list)
     for i, e in enumerate(toxic):
         for x, before in e.items():
             where[x].append(i)
-            contexts[x].add(before)
+            contexts[x].append(before)
     where = {x: v for x, v in where.items() if len(v) >= LEAST_NEW}
     clean: Counter[str] = Counter()
     for t, y in rows:
         if not y:
             clean.update(entries(t).keys() & where.keys())
     # Copies of a text repeat all its words in their places: an entry counts once for each word before it.
-    support = {x: min(len(v), len(contexts[x])) for x, v in where.items()}
+    support = {x: len(set(contexts[x])) for x in where}
     strong = [(-g, x[-1] == "*", -len(x), x) for x in where if (g := g_ratio(support[x], clean[x], nt, nc)) >= LEAST_G]
     chosen: list[str] = []
     for *_, x in sorted(strong):
@@ -215,7 +215,7 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
             continue  # a beginning of it is chosen
         if x[-1] == "*":
             known = set().union(*(where[c] for c in chosen if c.startswith(base)))
-            rest = min(len(set(where[x]) - known), len(contexts[x]))
+            rest = len({before for i, before in zip(where[x], contexts[x]) if i not in known})
             if rest < LEAST_NEW or g_ratio(rest, clean[x], nt, nc) < LEAST_G:
                 continue  # the words that begin so are chosen
         chosen.append(x)
