@@ -113,10 +113,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str =
 
     Rows with a null id, text or label and rows that are held out teach nothing.
     """
-    ok = df[text].isNotNull() & df[label].isNotNull() & df[id_col].isNotNull() & ~runtime.held_out(df[id_col])
+    able = df.where(df[label].isNotNull() & df[id_col].isNotNull() & ~runtime.held_out(df[id_col]))
+    some = runtime.smallest_hashes(able, df[id_col], rows).where(df[text].isNotNull())
     span = F.greatest(F.lit(1), F.length(df[text]) - chars)
     piece = F.substring(df[text], F.pmod(F.xxhash64(df[id_col], F.lit(1)), span).cast("int") + 1, F.lit(chars))
-    got = df.where(ok).select(df[label].alias("y"), piece.alias("t"), F.xxhash64(df[id_col], F.lit(0)).alias("h")).orderBy("h", "t").limit(rows).collect()
+    got = some.select(df[label].alias("y"), piece.alias("t"), F.xxhash64(df[id_col], F.lit(0)).alias("h")).orderBy("h", "t").limit(rows).collect()
     got = [r for r in got if LETTER.search(r.t)]
     labels = sorted({r.y for r in got})
     if not labels:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costquarry import ship  # noqa: F401
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A folder that driver and executors share: under spark.checkpoint.dir, or a local one where that is unset."""
@@ -39,13 +39,17 @@ def drop_staged(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it, if it isn't installed."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    known = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
-    if root not in known:
-        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+def smallest_hashes(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About `rows` rows (all if there are fewer): those with the smallest hashes of the key.
+
+    A share of the hash range is cut off by the count, so that what is sorted or sent to the driver
+    afterwards does not grow with the number of partitions.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    share = min(1.0, (1.1 * rows + 100) / n)
+    return df.where(F.xxhash64(key, F.lit(0)) <= F.lit(int(-(2**63) + share * (2**64 - 1))))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

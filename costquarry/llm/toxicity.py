@@ -27,9 +27,10 @@ from costquarry.llm import runtime
 SAMPLE_ROWS = 10_000  #: labelled rows learned from, the first by hash of their id
 SAMPLE_CHARS = 20_000  #: of each of them at most
 PREDICT_AT = 0.3
-LEAST_G = 30.0  #: log-likelihood ratio of a learned entry
+LEAST_G = 22.0  #: log-likelihood ratio of a learned entry
+LEAST_WEIGHT = 3.5  #: logarithm of how much more frequent it is in toxic rows
 LEAST_NEW = 3  #: toxic rows that a learned beginning adds to the words chosen before it
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6, 7, 8)
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, ACT = "other", "insult", "threat", "target", "negation", "report", "act"
 # Classes of common words in the four languages; insults here have the least weight until labels say more.
@@ -207,7 +208,11 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
             clean.update(entries(t).keys() & where.keys())
     # Copies of a text repeat all its words in their places: an entry counts once for each word before it.
     support = {x: len(set(contexts[x])) for x in where}
-    strong = [(-g, x[-1] == "*", -len(x), x) for x in where if (g := g_ratio(support[x], clean[x], nt, nc)) >= LEAST_G]
+
+    def weight(t: int, c: int) -> float:
+        return min(6.0, math.log((t + 0.5) / (nt + 1)) - math.log((c + 0.5) / (nc + 1)))
+
+    strong = [(-g, x[-1] == "*", -len(x), x) for x in where if weight(support[x], clean[x]) >= LEAST_WEIGHT and (g := g_ratio(support[x], clean[x], nt, nc)) >= LEAST_G]
     chosen: list[str] = []
     for *_, x in sorted(strong):
         base = x.rstrip("*")
@@ -216,15 +221,13 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> Lexicon:
         if x[-1] == "*":
             known = set().union(*(where[c] for c in chosen if c.startswith(base)))
             rest = len({before for i, before in zip(where[x], contexts[x]) if i not in known})
-            if rest < LEAST_NEW or g_ratio(rest, clean[x], nt, nc) < LEAST_G:
+            if rest < LEAST_NEW or weight(rest, clean[x]) < LEAST_WEIGHT:
                 continue  # the words that begin so are chosen
         chosen.append(x)
-        t, c = support[x], clean[x]
-        weight = min(6.0, math.log((t + 0.5) / (nt + 1)) - math.log((c + 0.5) / (nc + 1)))
         if x[-1] == "*":
-            stems[base] = weight
+            stems[base] = weight(support[x], clean[x])
         else:
-            words[x] = (INSULT, weight)
+            words[x] = (INSULT, weight(support[x], clean[x]))
     return Lexicon(words, stems)
 
 
@@ -247,11 +250,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     usable = labels.select(labels[id_col].alias("_i"), labels[label].alias("_y")).where(F.col("_y").isNotNull() & F.col("_i").isNotNull() & ~runtime.held_out(F.col("_i")))
-    chosen = usable.groupBy("_i").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_i"), "_i").limit(rows).collect()
+    one = usable.groupBy("_i").agg(F.max("_y").alias("_y"))
+    chosen = runtime.smallest_hashes(one, F.col("_i"), rows).orderBy(F.xxhash64("_i", F.lit(0)), "_i").limit(rows).collect()
     # At most `rows` ids: small enough to send to every executor.
     chosen = spark.createDataFrame([(r._i, int(r._y)) for r in chosen], "_i long, _y int")
     got = docs.select(docs[id_col].alias("_i"), docs[text].alias("_t")).where("_t is not null").join(F.broadcast(chosen), "_i").select(F.substring("_t", 1, chars).alias("t"), "_y", "_i")
-    got = [(r.t, r._y) for r in got.orderBy(F.xxhash64("_i"), "_i", "t").limit(rows).collect()]
+    got = [(r.t, r._y) for r in got.orderBy("_i", "t").limit(rows).collect()]
     lexicon = learn_lexicon(got)
     y = np.array([float(v > 0) for _, v in got])
     if not got or not 0 < y.sum() < len(y):
