@@ -17,6 +17,8 @@ MIN_MATCHED = 12
 MIN_SHARE = 0.6
 #: Benchmark tokens up to which its hashes are sent to every executor; beyond it they are joined by a shuffle.
 BROADCAST_TOKENS = 2_000_000
+#: Tokens to each side of a hit that are compared, so that what a hit carries is bounded.
+AROUND = 128
 
 
 def tokens(text: Column) -> Column:
@@ -36,12 +38,13 @@ def windows(df: DataFrame, words: str, keep: list[str], masks: tuple[str, ...] =
     return at.select(*keep, "pos", F.explode(F.array(*keys)).alias("key")).where("key is not null")
 
 
-def matched(doc: Column, item: Column, start: Column) -> Column:
-    """Equal tokens with the item laid over the document from token `start` (may be negative)."""
-    skip = F.greatest(-start, F.lit(0))
-    length = F.least(F.size(doc) - F.greatest(start, F.lit(0)), F.size(item) - skip)
-    a = F.slice(doc, F.greatest(start, F.lit(0)) + 1, length)
-    b = F.slice(item, skip + 1, length)
+def _region(n_doc: Column, n_item: Column, start: Column, ipos: Column) -> tuple[Column, Column]:
+    """Of an item laid over a document from token `start`: first place (in the item) and length of what is compared, at most AROUND to each side of the hit."""
+    begin = F.greatest(ipos - AROUND, -start, F.lit(0))
+    return begin, F.greatest(F.least(n_item, ipos + AROUND, n_doc - start) - begin, F.lit(0))
+
+
+def _equal(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
@@ -52,26 +55,31 @@ def contaminated(
     """A row for each document and benchmark item that overlap: id, item id, item_tokens, matched_tokens, start, share.
 
     An overlap has at least min_matched equal tokens at one offset, or min_share of the item's tokens if
-    those are fewer. The best offset is given, the first of equals. Null and empty texts, and items
+    those are fewer, within AROUND tokens of the hit. The best offset is given, the first of equals. Of a
+    hash that repeats within an item its first place counts. Null and empty texts, and items
     shorter than every mask, overlap nothing. Rows of one id (null ids too) count as one document.
     Extra columns are not read.
     """
     items = benchmark.select(benchmark[item_col].alias("_item"), tokens(benchmark[item_text]).alias("_iw")).where(F.size("_iw") > 0)
     items = stage(items.distinct(), "items")
     size = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0))).first()[0]
-    seeds = windows(items, "_iw", ["_item"], masks).select(F.col("_item"), F.col("pos").alias("_ipos"), F.col("key"))
-    docs = df.select(df[id_col].alias("_i"), tokens(df[text]).alias("_w"))
+    seeds = windows(items.withColumn("_n", F.size("_iw")), "_iw", ["_item", "_n"], masks)
+    seeds = seeds.groupBy("key", "_item").agg(F.min("pos").alias("_ipos"), F.max("_n").alias("_n"))
+    docs = df.select(df[id_col].alias("_i"), tokens(df[text]).alias("_dw"))
+    start = (F.col("pos") - F.col("_ipos")).alias("start")
+    begin, length = _region(F.size("_dw"), F.col("_n"), F.col("start"), F.col("_ipos"))
     if size <= broadcast_tokens:
-        # A hit is verified where it is found, so no document is shuffled.
-        hits = windows(docs.select("_i", F.col("_w").alias("_dw")), "_dw", ["_i", "_dw"], masks).join(F.broadcast(seeds), "key")
-        hits = hits.withColumn("start", F.col("pos") - F.col("_ipos")).join(F.broadcast(items), "_item")
+        # A hit takes the document's tokens around it along, so no document is shuffled.
+        hits = windows(docs, "_dw", ["_i", "_dw"], masks).join(F.broadcast(seeds), "key").select("_i", "_dw", "_item", "_ipos", "_n", start)
+        hits = hits.select("_i", "_item", "start", begin.alias("_b"), F.slice("_dw", F.col("start") + begin + 1, length).alias("_part")).join(F.broadcast(items), "_item")
     else:
-        docs = docs.withColumn("_mark", F.xxhash64("_w"))
-        found = windows(docs, "_w", ["_i", "_mark"], masks).join(seeds, "key").select("_i", "_mark", "_item", (F.col("pos") - F.col("_ipos")).alias("start")).distinct()
-        same = docs["_i"].eqNullSafe(found["_i"]) & (docs["_mark"] == found["_mark"])
-        hits = docs.withColumnRenamed("_w", "_dw").join(found, same).drop(found["_i"]).drop(found["_mark"]).join(items, "_item")
+        docs = docs.withColumn("_mark", F.xxhash64("_dw"))
+        found = windows(docs, "_dw", ["_i", "_mark"], masks).join(seeds, "key").select(F.col("_i").alias("_j"), F.col("_mark").alias("_m"), "_item", "_ipos", "_n", start).distinct()
+        hits = docs.join(found, F.col("_i").eqNullSafe(F.col("_j")) & (F.col("_mark") == F.col("_m")))
+        hits = hits.select("_i", "_item", "start", begin.alias("_b"), F.slice("_dw", F.col("start") + begin + 1, length).alias("_part")).join(items, "_item")
     least = F.least(F.lit(min_matched), F.ceil(F.size("_iw") * F.lit(min_share)).cast("int"))
-    hits = hits.select("_i", "_item", "start", F.size("_iw").alias("item_tokens"), matched(F.col("_dw"), F.col("_iw"), F.col("start")).alias("n"), least.alias("least"))
+    same = _equal(F.col("_part"), F.slice("_iw", F.col("_b") + 1, F.size("_part")))
+    hits = hits.select("_i", "_item", "start", F.size("_iw").alias("item_tokens"), same.alias("n"), least.alias("least"))
     best = hits.where("n >= least").groupBy("_i", "_item").agg(F.max(F.struct("n", (-F.col("start")).alias("back"), "item_tokens")).alias("best"))
     start, n = -F.col("best.back"), F.col("best.n")
     total = F.col("best.item_tokens")
@@ -83,7 +91,8 @@ def _oracle() -> str:
     for m in MASKS:
         key = " || ' ' || ".join(f"w[p + {i + 1}]" for i, c in enumerate(m) if c == "1")
         for table, ident in (("d", "doc_id"), ("b", "item_id")):
-            parts.append(f"k_{table}_{len(parts) // 2} AS (SELECT {ident}, p, {key} AS key FROM (SELECT {ident}, w, unnest(range(len(w) - {len(m) - 1})) AS p FROM {table}))")
+            first = "min(p)" if table == "b" else "p"
+            parts.append(f"k_{table}_{len(parts) // 2} AS (SELECT {ident}, {first} AS p, {key} AS key FROM (SELECT {ident}, w, unnest(range(len(w) - {len(m) - 1})) AS p FROM {table}) GROUP BY ALL)")
     union = " UNION ".join(f"SELECT doc_id, item_id, d.p - b.p AS start FROM k_d_{i} d JOIN k_b_{i} b USING (key)" for i in range(len(MASKS)))
     return f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
