@@ -109,3 +109,36 @@ def crosswalk(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """How many keys two universes share and how many each has alone."""
     both = left.select(key).distinct().withColumn("l", F.lit(1)).join(right.select(key).distinct().withColumn("r", F.lit(1)), key, "full")
     return both.agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("shared"), F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
+
+
+def match_violations(matches: DataFrame, reports: DataFrame, least: float = 0.85) -> DataFrame:
+    """Accepted matches with a low score, a name that the report's text lacks, or a report that has several and isn't marked for it.
+
+    matches: (match_id, report_id, review_status, match_score, report_project_name); reports: (report_id, text, multi_project).
+    """
+    ok = matches.where("review_status = 'accepted'")
+    many = ok.groupBy("report_id").agg(F.count(F.lit(1)).alias("_n"))
+    j = ok.join(reports, "report_id").join(many, "report_id")
+    why = F.array_compact(
+        F.array(
+            F.when(F.coalesce("match_score", F.lit(0.0)) < least, "score"),
+            F.when(~F.contains(F.lower("text"), F.lower("report_project_name")), "name not in report"),
+            F.when((F.col("_n") > 1) & ~F.coalesce("multi_project", F.lit(False)), "several projects"),
+        )
+    )
+    return j.select("match_id", F.explode(why).alias("violation"))
+
+
+def finding_violations(findings: DataFrame, pages: DataFrame, units: list[str]) -> DataFrame:
+    """Findings whose excerpt stands on none of their pages, whose value isn't in the excerpt, or whose unit is unknown.
+
+    findings: (finding_id, report_id, pdf_page_start, pdf_page_end, evidence_excerpt, value_numeric, unit); pages: (report_id, page, text).
+    """
+    from costquarry.functions.scalars import clean_or_empty, number_in_text
+
+    excerpt = clean_or_empty(F.col("evidence_excerpt"))
+    on_page = findings.join(pages, "report_id").where("page between pdf_page_start and pdf_page_end").where(F.contains(clean_or_empty(F.col("text")), excerpt)).select("finding_id").distinct()
+    lost = findings.join(on_page, "finding_id", "left_anti").select("finding_id", F.lit("excerpt not on pages").alias("violation"))
+    value = findings.where(F.col("value_numeric").isNotNull() & ~number_in_text(F.col("value_numeric"), excerpt)).select("finding_id", F.lit("value not in excerpt").alias("violation"))
+    unit = findings.where(F.col("unit").isNotNull() & ~F.col("unit").isin(*units)).select("finding_id", F.lit("unit").alias("violation"))
+    return lost.union(value).union(unit)

@@ -66,3 +66,22 @@ def weighted_factor(items: DataFrame, key: str = "project_no") -> DataFrame:
     """Fixed share plus weighted index ratios of the parts: fixed + sum(weight * to / from); null if a part has no ratio."""
     part = F.col("weight") * F.try_divide("to_value", "from_value")
     return items.groupBy(key).agg(F.when(F.count_if(part.isNull()) == 0, F.max("fixed_share") + F.sum(part)).alias("factor"))
+
+
+def unit_records(cases: DataFrame) -> DataFrame:
+    """Adds unit_usd_m2: the unit cost that the source gives, else cost by area; none without both."""
+    from costquarry.functions.scalars import ratio
+
+    return cases.withColumn("unit_usd_m2", F.coalesce("direct_unit_usd_m2", F.round(ratio(F.col("construction_cost_usd"), F.col("gross_floor_area_m2")), 2)))
+
+
+def fee_rates(fees: DataFrame) -> DataFrame:
+    """Design and supervision fees as shares of the construction cost and by area, and both together."""
+    from costquarry.functions.scalars import ratio
+
+    cost, area = F.col("construction_cost_usd"), F.col("gross_floor_area_m2")
+    both = F.coalesce("design_fee_usd", F.lit(0.0)) + F.coalesce("supervision_fee_usd", F.lit(0.0))
+    out = fees
+    for name, fee in (("design", F.col("design_fee_usd")), ("supervision", F.col("supervision_fee_usd")), ("combined", both)):
+        out = out.withColumn(f"{name}_rate", F.round(ratio(fee, cost), 6)).withColumn(f"{name}_fee_usd_m2", F.round(ratio(fee, area), 2))
+    return out

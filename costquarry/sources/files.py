@@ -1,0 +1,110 @@
+"""Whole files as rows: databases, page texts, fragments, digests, and packages of them."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import json
+import sqlite3
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from costquarry.operators.quality import QualityError, unique
+
+
+def read_sqlite(spark: SparkSession, path: str, query: str, schema: str) -> DataFrame:
+    """Rows of a read-only query over SQLite files; each file is loaded into memory by one task."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for raw in f["content"]:
+                db = sqlite3.connect(":memory:")
+                db.deserialize(bytes(raw))
+                yield pd.read_sql_query(query, db)
+                db.close()
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
+def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Text files page-NNN.txt below a document's folder: document, page, text."""
+    t = spark.read.text(path, wholetext=True).withColumn("_f", F.input_file_name())
+    return t.select(F.regexp_extract("_f", r"([^/]+)/page-\d+\.txt$", 1).alias("document"), F.regexp_extract("_f", r"page-(\d+)\.txt$", 1).cast("int").alias("page"), F.col("value").alias("text"))
+
+
+def incomplete_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """Documents (document, page_count) whose pages aren't exactly 1 to page_count."""
+    seen = pages.groupBy("document").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page").alias("d"), F.min("page").alias("lo"), F.max("page").alias("hi"))
+    whole = (F.col("n") == F.col("page_count")) & (F.col("d") == F.col("page_count")) & (F.col("lo") == 1) & (F.col("hi") == F.col("page_count"))
+    return documents.join(seen, "document", "left").where(~F.coalesce(whole, F.col("page_count") == 0))
+
+
+def page_digests(pages: DataFrame) -> DataFrame:
+    """One SHA-256 per document over its pages in order."""
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))), lambda p: F.concat(p["page"].cast("string"), F.lit("\0"), p["text"], F.lit("\n")))
+    return pages.groupBy("document").agg(F.sha2(F.array_join(in_order, ""), 256).alias("text_digest"))
+
+
+def merge_fragments(main: DataFrame, *fragments: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a curated table and its fragments; a key that stands twice is an error."""
+    out = main
+    for f in fragments:
+        out = out.unionByName(f, allowMissingColumns=True)
+    if n := unique(out, *keys).count():
+        raise QualityError({f"repeated {'/'.join(keys)}": n})
+    return out
+
+
+def union_sources(*sources: DataFrame) -> DataFrame:
+    """Sources with different columns as one table; columns that a source lacks are null."""
+    out = sources[0]
+    for s in sources[1:]:
+        out = out.unionByName(s, allowMissingColumns=True)
+    return out
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def scan_once(files: DataFrame, scan: Callable[[DataFrame], DataFrame], digest: str = "sha256") -> DataFrame:
+    """A scan's columns for all files, with each content scanned once. scan: rows by digest to rows by digest."""
+    return files.join(scan(files.dropDuplicates([digest])), digest, "left")
+
+
+def unpack_records(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """A JSON array of objects in a column as typed rows beside the row's other columns."""
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, F.inline(F.from_json(column, f"array<struct<{schema}>>")))
+
+
+def canonical_digest(value: object) -> str:
+    """SHA-256 of a value as JSON with sorted keys and no spaces."""
+    return hashlib.sha256(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def package(members: dict[str, bytes]) -> tuple[bytes, list[dict]]:
+    """A ZIP archive that is the same for the same members, and its manifest; each member is read again and compared."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name in sorted(members):
+            entry = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
+            entry.compress_type, entry.external_attr = zipfile.ZIP_DEFLATED, 0o644 << 16
+            z.writestr(entry, members[name])
+    manifest = []
+    with zipfile.ZipFile(io.BytesIO(out.getvalue())) as z:
+        for name in sorted(members):
+            got = z.read(name)
+            if got != members[name]:
+                raise QualityError({f"member {name}": 1})
+            manifest.append({"path": name, "bytes": len(got), "sha256": hashlib.sha256(got).hexdigest()})
+    return out.getvalue(), manifest
+
+
+def choose_source(previous: str | None, found: list[str]) -> str | None:
+    """The path of the last run if it is still there, else the last by name, else none."""
+    return previous if previous in found else max(found, default=None)

@@ -155,3 +155,67 @@ def test_incremental_collection(spark, tmp_path):
     spark.createDataFrame([(2, "again"), (3, "c")], "id int, v string").write.mode("append").parquet(src)
     collect_incrementally(spark, src, first.schema, out, check, "id").awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_packages_are_reproducible():
+    from costquarry.sources import files
+
+    a, manifest = files.package({"b": b"2", "a": b"1"})
+    assert a == files.package({"a": b"1", "b": b"2"})[0] and [m["path"] for m in manifest] == ["a", "b"]
+    assert files.canonical_digest({"b": 1, "a": [2]}) == files.canonical_digest({"a": [2], "b": 1})
+    assert files.choose_source("x", ["x", "z"]) == "x" and files.choose_source("y", ["x", "z"]) == "z" and files.choose_source(None, []) is None
+
+
+def test_sqlite_and_pages(spark, tmp_path):
+    import sqlite3
+
+    from costquarry.sources import files
+
+    db = sqlite3.connect(tmp_path / "a.db")
+    db.execute("CREATE TABLE t (id INTEGER, v TEXT)")
+    db.executemany("INSERT INTO t VALUES (?, ?)", [(1, "a"), (2, None)])
+    db.commit()
+    db.close()
+    got = files.read_sqlite(spark, f"file://{tmp_path}/a.db", "SELECT id, v FROM t ORDER BY id", "id long, v string").collect()
+    assert [tuple(r) for r in got] == [(1, "a"), (2, None)]
+    (tmp_path / "doc1").mkdir()
+    for i in (1, 3):
+        (tmp_path / "doc1" / f"page-{i:03}.txt").write_text(f"text {i}")
+    pages = files.read_page_texts(spark, f"file://{tmp_path}/doc1")
+    docs = spark.createDataFrame([("doc1", 3), ("doc2", 0)], "document string, page_count int")
+    assert {(r.document, r.page) for r in pages.collect()} == {("doc1", 1), ("doc1", 3)}
+    assert [r.document for r in files.incomplete_pages(pages, docs).collect()] == ["doc1"]
+    assert files.page_digests(pages).count() == 1
+
+
+def test_fragments_and_records(spark):
+    from costquarry.sources import files
+
+    a, b = spark.createDataFrame([(1, "x")], "id int, v string"), spark.createDataFrame([(2,)], "id int")
+    assert files.merge_fragments(a, b, keys=["id"]).count() == 2
+    with pytest.raises(quality.QualityError):
+        files.merge_fragments(a, a, keys=["id"])
+    j = spark.createDataFrame([(7, '[{"k": "a", "n": 1}, {"k": "b"}]')], "id int, doc string")
+    assert sorted(map(tuple, files.unpack_records(j, "doc", "k string, n int").collect())) == [(7, "a", 1), (7, "b", None)]
+
+
+def test_locators_and_fees(spark):
+    rows = spark.createDataFrame([("b", "c1", "f", "p2", "t2"), ("b", "c1", "f", "p1", "t1")], "bid_no string, category string, source_file string, source_locator string, evidence_text string")
+    cases = spark.createDataFrame([("b", "c1", "p2"), ("b", "c9", "p9"), ("z", "c1", "p1")], "bid_no string, category string, source_locator string")
+    got = {(r.bid_no, r.category): (r.evidence.evidence_text if r.evidence else None, r.is_exact) for r in evidence.locate(cases, rows).collect()}
+    assert got == {("b", "c1"): ("t2", True), ("b", "c9"): ("t1", False), ("z", "c1"): (None, False)}
+    f = pricing.fee_rates(spark.createDataFrame([(100.0, 1000.0, 50.0, None)], "gross_floor_area_m2 double, construction_cost_usd double, design_fee_usd double, supervision_fee_usd double")).first()
+    assert (f.design_rate, f.supervision_rate, f.combined_rate, f.combined_fee_usd_m2) == (0.05, None, 0.05, 0.5)
+
+
+def test_finding_checks(spark):
+    finds = spark.createDataFrame([(1, 9, 1, 2, "cost 1,200 USD", 1200.0, "USD"), (2, 9, 3, 3, "nowhere", 5.0, "stone")], "finding_id int, report_id int, pdf_page_start int, pdf_page_end int, evidence_excerpt string, value_numeric double, unit string")
+    pages = spark.createDataFrame([(9, 2, "the cost  1,200 USD was"), (9, 3, "other")], "report_id int, page int, text string")
+    assert {tuple(r) for r in linking.finding_violations(finds, pages, ["USD"]).collect()} == {(2, "excerpt not on pages"), (2, "value not in excerpt"), (2, "unit")}
+
+
+def test_grades(spark):
+    rows = [("WORKS", "MATCH", 10.0, 5.0, True, None), ("WORKS", "MATCH", 10.0, 5.0, False, None), ("GOODS", "NO_MATCH", None, None, False, None), ("WORKS", "NO_MATCH", None, None, False, None), ("WORKS", "PARTIAL_SCOPE", 10.0, 5.0, True, None), ("WORKS", "MATCH", None, None, False, "A-부분"), ("OTHER_SERVICE", "MATCH", 1.0, None, False, None)]
+    df = spark.createDataFrame(rows, "role string, scope string, area double, cost double, seen boolean, strict string").withColumn("i", F.monotonically_increasing_id())
+    g = df.withColumn("g", grading.final_grade(*map(F.col, ("role", "scope", "area", "cost", "seen", "strict")))).orderBy("i").collect()
+    assert [r.g.grade for r in g] == ["C", "C?", "X", "U", "C-부분", "A-부분", "X"]
