@@ -31,15 +31,15 @@ def title_score(left: Column, right: Column) -> Column:
 def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_id") -> DataFrame:
     """Scores of records (key, title, countries) against candidates (project_no, title, country) that may share a country.
 
-    Rows meet by country; where either side names none, any candidate may be meant, and only such rows
-    meet through the key that stands for "any".
+    Rows meet by country; where either side names none any candidate may be meant, so only such rows are
+    compared with all of the other side.
     """
     rec = records.select(key, normalize_title(F.col("title")).alias("_l"), F.col("countries"))
     cand = candidates.select("project_no", normalize_title(F.col("title")).alias("_r"), F.nullif(F.col("country"), F.lit("")).alias("country"))
     named, unnamed = rec.where(F.size("countries") > 0), rec.where(F.coalesce(F.size("countries"), F.lit(0)) <= 0)
     by_country = named.select(key, "_l", F.explode(F.array_distinct("countries")).alias("country")).join(cand, "country").select(key, "_l", "project_no", "_r")
-    open_side = named.select(key, "_l", F.lit(1).alias("_any")).join(cand.where("country is null").withColumn("_any", F.lit(1)), "_any").select(key, "_l", "project_no", "_r")
-    open_record = unnamed.select(key, "_l", F.lit(1).alias("_any")).join(cand.withColumn("_any", F.lit(1)), "_any").select(key, "_l", "project_no", "_r")
+    open_side = named.select(key, "_l").crossJoin(cand.where("country is null").select("project_no", "_r"))
+    open_record = unnamed.select(key, "_l").crossJoin(cand.select("project_no", "_r"))
     pairs = by_country.union(open_side).union(open_record)
     return pairs.withColumn("score", title_score(F.col("_l"), F.col("_r"))).where("score > 0").groupBy(key, "project_no").agg(F.max("score").alias("score"))
 
