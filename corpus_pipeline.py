@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costquarry.llm import decontaminate, language, mixing, repair, simhash
-from costquarry.llm.runtime import read, stage
+from costquarry.llm.runtime import drop_staged, read, stage
 
 #: Five-word shingles at a similarity of 0.8: of 256 bits, those of such a pair differ in 39 on average, in
 #: 44 or fewer for most; unrelated texts differ in 128.
@@ -85,7 +85,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, f in STAGES[:-1]:
-        docs = stage(f(spark, docs, sf_dir), "stage")
+    """All stages over `documents`; each is written and read again, and what it was made from is deleted."""
+    docs, made = read(spark, sf_dir, "documents"), None
+    for _, f in STAGES[:-1]:
+        before, made = made, stage(f(spark, docs, sf_dir), "stage")
+        docs = made
+        if before is not None:
+            drop_staged(before)
     return STAGES[-1][1](spark, docs, sf_dir)

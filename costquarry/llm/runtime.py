@@ -39,6 +39,12 @@ def drop_staged(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has staged, once no result that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def smallest_hashes(df: DataFrame, key: Column, rows: int) -> DataFrame:
     """About `rows` rows (all if there are fewer): those with the smallest hashes of the key.
 
