@@ -515,12 +515,25 @@ def running_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(upto).alias("user_context"))
 
 
-@query()
-def bill_rows_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as bill rows: a sheet for each document."""
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sheet"), F.posexplode(F.split("text", "\n")).alias("row", "description"))
-    rows = d.select("sheet", "row", "description", F.lit("").alias("item_code"), F.when(F.col("row") % 3 == 1, "SM").otherwise("").alias("unit"), F.when(F.col("row") % 3 == 1, F.col("row").cast("double")).alias("quantity"), F.lit("").alias("quantity_formula"))
-    return boq.in_context(rows)
+    return d.select("sheet", "row", "description", F.lit("").alias("item_code"), F.when(F.col("row") % 3 == 1, "SM").otherwise("").alias("unit"), F.when(F.col("row") % 3 == 1, F.col("row").cast("double")).alias("quantity"), F.lit("").alias("quantity_formula"))
+
+
+@query()
+def bill_rows_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boq.in_context(bill_rows(spark, sf_dir))
+
+
+@query(
+    r"""WITH l AS (SELECT CAST(doc_id AS VARCHAR) AS sheet, unnest(range(len(string_split(text, chr(10))))) AS row, unnest(string_split(text, chr(10))) AS line FROM documents),
+c AS (SELECT sheet, row, trim(regexp_replace(line, '[\s\x{00A0}\x{3000}]+', ' ', 'g')) AS d FROM l),
+k AS (SELECT sheet, row, d, CASE WHEN regexp_matches(d, '(?i)\b(?:sub\s*total|subtotal|grand\s+total|total|carried\s+to|brought\s+forward|collection)\b') THEN 'total' WHEN row % 3 = 1 THEN 'item' ELSE 'heading' END AS row_type FROM c WHERE d <> '')
+SELECT sheet, CAST(row AS INTEGER) AS row, row_type, coalesce(last_value(CASE WHEN row_type = 'heading' THEN d END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS heading FROM k"""
+)
+def bill_row_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boq.in_context(bill_rows(spark, sf_dir)).select("sheet", "row", "row_type", "heading")
 
 
 @query()
@@ -611,9 +624,20 @@ def scope_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("p_partkey", rules.scope_role(F.col("contract"), F.col("title")).alias("scope_role"), rules.cost_relevant_title(F.col("contract"), F.col("title")).alias("cost_relevant"))
 
 
-@query()
+def _words(column: str, words: tuple[str, ...]) -> str:
+    """SQL for the sorted words that a text holds."""
+    return f"list_filter([{', '.join(repr(w) for w in sorted(set(words)))}], lambda k: contains({column}, lower(k)))"
+
+
+@query(
+    f"""WITH {_TITLES}, k AS (SELECT p_partkey, contract, {_words("lower(title)", rules.STRONG_BUILDING)} AS s, {_words("lower(title)", rules.WEAK_CONSTRUCTION)} AS w, {_words("lower(title)", rules.BUILDING_ASSETS)} AS a, {_words("lower(title)", rules.BUILDING_SERVICES)} AS v FROM titles)
+SELECT p_partkey, len(s) > 0 OR (len(a) > 0 AND (len(w) > 0 OR len(v) > 0 OR contract = '공사')) AS related,
+concat_ws(';', CASE WHEN contract = '공사' AND len(a) > 0 THEN '입찰구분=공사+시설어' END, CASE WHEN len(s) > 0 THEN '강한건축어' END, CASE WHEN len(a) > 0 AND len(w) > 0 THEN '시설어+공사어' END, CASE WHEN len(a) > 0 AND len(v) > 0 THEN '시설어+설계감리어' END) AS reasons,
+array_to_string(list_concat(list_concat(s, w), list_concat(a, v)), ';') AS keywords FROM k"""
+)
 def construction_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return titles(spark, sf_dir).select("p_partkey", rules.construction_relation(F.col("title"), F.col("contract")).alias("r")).select("p_partkey", "r.*")
+    r = titles(spark, sf_dir).select("p_partkey", rules.construction_relation(F.col("title"), F.col("contract")).alias("r"))
+    return r.select("p_partkey", "r.related", F.array_join("r.reasons", ";").alias("reasons"), F.array_join("r.keywords", ";").alias("keywords"))
 
 
 @query(
@@ -678,7 +702,16 @@ def title_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linking.decide(linking.score_titles(rec, cand), "record_id")
 
 
-@query()
+@query(
+    f"""WITH {_TITLES}, r AS (SELECT CAST(t.p_partkey AS VARCHAR) AS bid_no, t.p_partkey % 9 = 0 AS seen, t.p_partkey + 1000.0 AS ceiling, p_size * 100.0 AS found,
+CASE WHEN contract = '물품' THEN 'GOODS' WHEN contract = '공사' AND title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' WHEN contract = '공사' OR title LIKE '%신축공사%' THEN 'WORKS' WHEN title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' ELSE 'OTHER_SERVICE' END AS scope_role FROM titles t JOIN part USING (p_partkey)),
+c AS (SELECT *, CASE WHEN seen THEN 500.0 ELSE found END AS area, CASE WHEN seen THEN 90000.0 WHEN scope_role = 'WORKS' THEN ceiling END AS cost,
+CASE WHEN seen THEN 'ADVERTISED_ESTIMATED_BUDGET' WHEN scope_role = 'WORKS' THEN 'NOTICE_EXECUTION_CEILING' ELSE 'SERVICE_OR_GOODS_CEILING' END AS amount_stage,
+CASE WHEN scope_role = 'WORKS' THEN 'MATCH' WHEN seen AND scope_role <> 'GOODS' THEN 'MATCH_ATTACHMENT_CONSTRUCTION_BUDGET' ELSE 'NO_MATCH' END AS same_scope_status FROM r)
+SELECT bid_no, scope_role, CAST(area AS DOUBLE) AS selected_area_m2, CAST(cost AS DOUBLE) AS selected_construction_cost_usd, amount_stage, same_scope_status,
+CASE WHEN scope_role = 'GOODS' OR cost IS NULL THEN 'X' WHEN seen THEN 'C' ELSE 'C?' END AS final_grade,
+CASE WHEN scope_role = 'GOODS' OR cost IS NULL THEN 'V3_SCOPE_REVIEW' WHEN seen THEN 'V3_CURATED_AREA_COST_RECHECK' ELSE 'V2R_HUMAN_REVIEWED_EXTRACTION' END AS verification_level, CAST(round(cost / area, 6) AS DOUBLE) AS screening_unit_usd_m2 FROM c"""
+)
 def notice_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices, areas and costs to grades, all steps in one plan."""
     x = titles(spark, sf_dir)
@@ -687,7 +720,7 @@ def notice_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = lambda ddl: spark.createDataFrame([], ddl)
     seen = n.where("bid_no % 9 = 0").select("bid_no", F.lit(500.0).alias("gross_floor_area_m2"), F.lit("연면적").alias("area_basis"), F.lit(90_000.0).alias("cost_usd_nominal"), F.lit("추정예산").alias("cost_stage"), F.lit("").alias("scope_caution"))
     curated = {"roles": empty("bid_no string, role string"), "overrides": empty("bid_no string, value double, semantic string"), "rejections": empty("bid_no string, semantic string"), "verified": empty("bid_no string, amount double, stage string"), "scopes": empty("bid_no string, scope string"), "strict": empty("bid_no string, grade string")}
-    return grading.grade_notices(n, best, seen, curated).select("bid_no", "scope_role", "selected_area_m2", "selected_construction_cost_usd", "amount_stage", "same_scope_status", "final_grade", "verification_level", "screening_unit_usd_m2")
+    return grading.grade_notices(n, best, seen, curated).select("bid_no", "scope_role", "selected_area_m2", "selected_construction_cost_usd", "amount_stage", "same_scope_status", "final_grade", "verification_level", F.round("screening_unit_usd_m2", 6).alias("screening_unit_usd_m2"))
 
 
 @query()
