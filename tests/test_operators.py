@@ -219,3 +219,20 @@ def test_grades(spark):
     df = spark.createDataFrame(rows, "role string, scope string, area double, cost double, seen boolean, strict string").withColumn("i", F.monotonically_increasing_id())
     g = df.withColumn("g", grading.final_grade(*map(F.col, ("role", "scope", "area", "cost", "seen", "strict")))).orderBy("i").collect()
     assert [r.g.grade for r in g] == ["C", "C?", "X", "U", "C-부분", "A-부분", "X"]
+
+
+def test_sql_surface(spark):
+    from costquarry.plans import views
+
+    cases = spark.createDataFrame([("1", "a", True), ("2", "b", False)], "case_id string, display_name string, is_published boolean")
+    files = spark.createDataFrame([("x", 1), ("x", 2), ("", 3), (None, 4)], "sha256 string, bytes long")
+    sources = spark.createDataFrame([("s", "X", 1), ("n", "X", None), ("e", "Y", 2)], "source_id string, country string, priority int")
+    values = spark.createDataFrame([("s", "2019", 1.0, True, "final", "d"), ("s", "2020", 1.0, True, "early", "d"), ("s", "2021", 1.0, False, "late", "d")], "source_id string, period string, value double, is_actual boolean, observation_status string, retrieved_at string")
+    made = views.register(spark, {"cases": cases, "attachments": files, "price_index_sources": sources, "price_index_values": values})
+    assert set(made) == {"v_duplicate_attachments", "v_price_index_coverage", "v_best_available_price_index", "public_cases", "cases_of"}
+    assert [tuple(r) for r in spark.sql("SELECT * FROM v_duplicate_attachments").collect()] == [("x", 2, 3)]
+    assert [tuple(r) for r in spark.sql("SELECT display_name FROM cases_of('1')").collect()] == [("a",)]
+    assert spark.sql("SELECT * FROM cases_of('2')").count() == 0
+    got = {r.source_id: (r.actual_observation_count, r.latest_observation_status) for r in spark.sql("SELECT * FROM v_price_index_coverage").collect()}
+    assert got == {"s": (2, "early"), "e": (0, None)}
+    assert [r.source_id for r in spark.sql("SELECT * FROM v_best_available_price_index").collect()] == ["s"]
