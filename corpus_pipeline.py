@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from costquarry.llm import decontaminate, language, mixing, repair, simhash
 from costquarry.llm.runtime import drop_staged, read, stage
 
-#: Five-word shingles at a similarity of 0.8: of 256 bits, those of such a pair differ in 39 on average, in
-#: 44 or fewer for most; unrelated texts differ in 128.
-SHINGLE, LANES, DISTANCE = 5, 4, 44
+#: Five-word shingles at a similarity of 0.8: of 256 bits, those of such a pair differ in 39 on average, in 48 for
+#: the shortest; pairs up to DISTANCE are candidates, whose shingles are compared. Unrelated texts differ in 128.
+SHINGLE, LANES, LIKELY, DISTANCE, SIMILAR = 5, 4, 48, 64, (4, 5)
 
 #: The stages learn, draw and compress, which SQL can't express; tests compare them with brute force.
 ORACLE_SQL = None
@@ -49,9 +49,9 @@ def _take(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates, five-word shingles similar to 0.8 or more: the one with the smallest id."""
     keyed = docs.select(_key().alias("key"), "text")
-    classes = simhash.near_duplicates(keyed, id_col="key", words=SHINGLE, lanes=LANES, distance=DISTANCE, exact=False)
+    classes = simhash.similar_texts(keyed, id_col="key", words=SHINGLE, lanes=LANES, distance=DISTANCE, likely=LIKELY, similar=SIMILAR)
     first = stage(classes.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "kept")
     return _take(docs, first).select("_row.*")
 

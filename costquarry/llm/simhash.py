@@ -10,6 +10,9 @@ Two ways to make keys:
 Equal fingerprints are one node before keys are made. Under a key, only the edges of a spanning forest
 of close fingerprints are given out, never all pairs; a key with more than LARGE fingerprints is dealt
 out again in pairs of chunks, so that no task holds more than two chunks at once.
+
+similar_texts() takes linked fingerprints as candidates only: the shingle sets of each candidate
+component are compared exactly, and components are made from what that leaves.
 """
 
 from __future__ import annotations
@@ -29,6 +32,10 @@ from costquarry.llm.components import connected_components
 
 LARGE = 4096
 FEW = 16
+#: Distinct shingles that a task compares of each chunk of a candidate component, and texts.
+CHUNK_SHINGLES, CHUNK_TEXTS = 2_000_000, 2048
+#: Sets of up to so many shingles also meet under their smallest shingles, as few shingles make noisy fingerprints.
+SHORT = 30
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # fixed values of the splitmix64 generator
 
 
@@ -111,13 +118,16 @@ def masks_sampled(lanes: int, n: int, differs: float, recall: float = 0.99) -> l
 
 
 def block_keys(prints: DataFrame, masks: list[list[int]]) -> DataFrame:
-    """A row for each fingerprint and mask: key (long) and the fingerprint."""
+    """A row for each fingerprint and mask, and each of further keys in a column `keys`: key (long) and the fingerprint."""
     lanes = [f"f{i}" for i in range(len(masks[0]))]
 
     def key(k: int, mask: list[int]) -> Column:
         return F.xxhash64(F.lit(k), *(F.col(f).bitwiseAND(F.lit(signed(m))) for f, m in zip(lanes, mask) if m))
 
-    return prints.select(F.explode(F.array(*(key(k, m) for k, m in enumerate(masks)))).alias("key"), *lanes)
+    keys = F.array(*(key(k, m) for k, m in enumerate(masks)))
+    if "keys" in prints.columns:
+        keys = F.concat(keys, "keys")
+    return prints.select(F.explode(keys).alias("key"), *lanes)
 
 
 def _close(f: np.ndarray, g: np.ndarray, distance: int) -> np.ndarray:
@@ -238,3 +248,100 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     classes = nodes.join(linked, cols, "left").select(*cols, F.coalesce("component_id", "least_id").alias("component_id"))
     digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in reversed(cols)))
     return docs.join(classes, cols).select(id_col, *keep, digits.alias("fingerprint"), "component_id")
+
+
+def smallest_shingles(distinct: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """Of a sorted set, as many of the smallest that sets with the given similarity share one (none for sets over SHORT)."""
+    n = len(distinct)
+    return distinct[: n - -(-n * similar[0] // similar[1]) + 1] if n <= SHORT else distinct[:0]
+
+
+def set_fingerprints(df: DataFrame, id_col: str, text: str, words: int, lanes: int, similar: tuple[int, int]) -> DataFrame:
+    """Of each row's set of shingles: id, row (hash of id and text), mark (hash of the set), size, keys, f0, f1, ..."""
+    runtime.ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in runtime.slices(batches, "_text"):
+            sets = [np.unique(shingle_hashes(t or b"", words)) for t in b.column("_text").cast(pa.binary()).to_pylist()]
+            f = np.array([fingerprint(s, lanes) for s in sets], np.uint64).reshape(-1, lanes)
+            marks = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            keys = pa.array([smallest_shingles(s, similar).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(id_col), b.column("row"), pa.array(marks), pa.array([len(s) for s in sets], pa.int64()), keys, *(pa.array(f[:, i].view(np.int64)) for i in range(lanes))],
+                [id_col, "row", "mark", "size", "keys", *(f"f{i}" for i in range(lanes))],
+            )
+
+    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, row long, mark long, size long, keys array<long>, " + ", ".join(f"f{i} long" for i in range(lanes))
+    return df.select(df[id_col], F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("_text")).mapInArrow(run, schema)
+
+
+def similar_forest(sets: list[np.ndarray], similar: tuple[int, int]) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the pairs of sets whose shared part of their union is at least similar[0] / similar[1]."""
+    size = np.array([len(s) for s in sets], np.int64)
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    cuts = np.cumsum(size) - size
+    own = [flat[i : i + n] for i, n in zip(cuts.tolist(), size.tolist())]
+    owner, marked = np.repeat(np.arange(len(sets)), size), np.zeros(len(values), bool)
+    rest, edges = np.arange(len(sets)), []
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            x = queue.pop()
+            marked[own[x]] = True
+            both = np.bincount(owner[marked[flat]], minlength=len(sets))
+            marked[own[x]] = False
+            near = both[rest] * similar[1] >= (size[x] + size[rest] - both[rest]) * similar[0]
+            if near.any():
+                got = rest[near].tolist()
+                edges += [(x, y) for y in got]
+                queue += got
+                rest = rest[~near]
+                left = np.zeros(len(sets), bool)
+                left[rest] = True
+                keep = left[owner]
+                flat, owner = flat[keep], owner[keep]
+    return edges
+
+
+def similar_edges(texts: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) between marks of similar texts within each of texts (group, c1, c2, mark, text)."""
+    runtime.ship(texts.sparkSession)
+
+    def run(rows: pa.Table) -> pa.Table:
+        marks = rows.column("mark").to_numpy()
+        sets = [np.unique(shingle_hashes(t or b"", words)) for t in rows.column("text").cast(pa.binary()).to_pylist()]
+        e = np.array(similar_forest(sets, similar), np.int64).reshape(-1, 2)
+        return pa.table({"a": marks[e[:, 0]], "b": marks[e[:, 1]]})
+
+    return texts.groupBy("group", "c1", "c2").applyInArrow(run, "a long, b long")
+
+
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4, distance: int = 64, likely: int = 48, similar: tuple[int, int] = (4, 5)) -> DataFrame:
+    """One row per input row: id and component_id, the smallest id that can be reached over similar texts.
+
+    Texts are similar if the sets of their shingles share similar[0] / similar[1] or more of their union,
+    which is counted exactly for all pairs of a candidate component. Candidates are fingerprints (of the
+    sets) at `distance` or fewer unlike bits that meet under a key; keys are drawn with a recall of 0.99
+    at `likely` unlike bits. Texts of one set are one node, null and empty texts too. Null ids never name
+    a component but one of null ids only. Other columns are not read.
+    """
+    cols = [f"f{i}" for i in range(lanes)]
+    prints = runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints")
+    nodes = prints.groupBy("mark", "size", "keys", *cols).agg(F.min(id_col).alias("least_id"), F.min("row").alias("row"))
+    nodes = runtime.stage(nodes.withColumn("node", F.xxhash64(*cols)), "nodes")
+    # A smaller set is similar to none but its equals.
+    likes = nodes.where(F.col("size") * (similar[1] - similar[0]) >= similar[0])
+    found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, nodes.count(), likely / (64 * lanes)))
+    one = lambda s: F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
+    roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
+    held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK_TEXTS, F.col("total") / CHUNK_SHINGLES)).cast("int")
+    groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"))
+    wanted = runtime.stage(held.join(groups, "group"), "candidates")
+    texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
+    texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
+    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark", "left").select("mark", "root", "least_id")
+    least = linked.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id"))
+    classes = linked.join(least, "root", "left").select("mark", F.coalesce("component_id", "least_id").alias("component_id"))
+    return prints.select(id_col, "mark").join(classes, "mark").select(id_col, "component_id")

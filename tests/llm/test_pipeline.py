@@ -4,6 +4,7 @@ import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
 
+from costquarry.llm import simhash
 from costquarry.llm.runtime import stage
 
 
@@ -33,6 +34,50 @@ def test_near_dedup_stage(spark, docs, sf_dir):
     assert set(ids(docs)) - set(kept) == {100, 101} and kept.count(5) == 1
 
 
+def similarity(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.split()) else set() for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def brute_kept(rows):
+    """Ids of the first of each component of texts with a similarity of 0.8 or more."""
+    root = {i: i for i, _ in rows}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(rows):
+        for j, b in rows[:k]:
+            if similarity(a, b) >= 0.8:
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    return sorted(i for i in root if top(i) == i)
+
+
+@pytest.mark.parametrize("chunk", [2, 2048])
+def test_near_dedup_is_exact(spark, sf_dir, monkeypatch, chunk):
+    """Pairs around a similarity of 0.8, of few shingles and of many: those at 0.8 lose one text, those below none."""
+    monkeypatch.setattr(simhash, "CHUNK_TEXTS", chunk)
+    rows, seen = [], set()
+
+    def pair(shingles, ends, cut=0):  # the second has other words at its end, and fewer at its beginning
+        w = [f"w{len(rows)}x{i}" for i in range(shingles + 4)]
+        v = [*w[cut : len(w) - ends], *(f"v{i}" for i in range(ends))]
+        rows.extend([(len(rows), " ".join(w)), (len(rows) + 1, " ".join(v))])
+        seen.add(round(similarity(rows[-1][1], rows[-2][1]), 2))
+
+    for _ in range(25):
+        for shingles, ends, cut in ((5, 0, 1), (4, 0, 1), (6, 0, 1), (6, 1, 0), (8, 1, 1), (9, 1, 0), (10, 0, 2), (8, 2, 0), (100, 25, 0), (100, 14, 0), (100, 11, 0), (100, 0, 20), (100, 8, 0), (360, 40, 0), (20, 0, 3)):
+            pair(shingles, ends, cut)
+    chain = [f"c{i}" for i in range(200)]
+    rows += [(len(rows) + k, " ".join(chain[8 * k : 8 * k + 84])) for k in range(12)]
+    assert {0.6, 0.75, 0.8, 0.85} <= seen
+    df = spark.createDataFrame([(i, t, "en", "s0") for i, t in rows], "doc_id long, text string, lang string, source string")
+    assert ids(pipeline.near_dedup(spark, df, sf_dir)) == brute_kept(rows)
+
+
 def test_decontamination_stage(spark, docs, sf_dir, tmp_path):
     spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(30)))], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
     got = pipeline.decontaminated(spark, docs, f"file://{tmp_path}")
