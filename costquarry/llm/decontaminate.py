@@ -2,12 +2,17 @@
 
 A mask keeps some places of a window of tokens and ignores the others, so that a window still hashes
 alike when tokens at ignored places are substituted. Hashes of all windows of all documents meet those
-of the benchmark items; around each hit the item is laid over the document and equal tokens are counted.
+of the benchmark items; at each hit the item is laid over the document and equal tokens are counted.
+
+A hit of an item of up to SEGMENT tokens takes the document's tokens under it along. Hits of longer items
+are reduced to distinct offsets first, then compared in segments of the item, whose counts are added up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costquarry.llm.runtime import stage
@@ -17,8 +22,8 @@ MIN_MATCHED = 12
 MIN_SHARE = 0.6
 #: Benchmark tokens up to which its hashes are sent to every executor; beyond it they are joined by a shuffle.
 BROADCAST_TOKENS = 2_000_000
-#: Tokens to each side of a hit that are compared, so that what a hit carries is bounded.
-AROUND = 128
+#: Item tokens that one row carries to be compared; longer items are compared in so many rows as they take.
+SEGMENT = 256
 
 
 def tokens(text: Column) -> Column:
@@ -38,16 +43,46 @@ def windows(df: DataFrame, words: str, keep: list[str], masks: tuple[str, ...] =
     return at.select(*keep, "pos", F.explode(F.array(*keys)).alias("key")).where("key is not null")
 
 
-def _region(n_doc: Column, n_item: Column, start: Column, ipos: Column) -> tuple[Column, Column]:
-    """Of an item laid over a document from token `start`: first place (in the item) and length of what is compared, at most AROUND to each side of the hit."""
-    begin = F.greatest(ipos - AROUND, -start, F.lit(0))
-    return begin, F.greatest(F.least(n_item, ipos + AROUND, n_doc - start) - begin, F.lit(0))
+def _under(words: Column, begin: Column, end: Column, start: Column) -> tuple[Column, Column]:
+    """Of an item laid over a document's words from token `start`: first place, in begin..end of the item, that lies on the document, and the words from there on."""
+    first = F.greatest(begin, -start)
+    return first, F.slice(words, start + first + 1, F.greatest(F.least(end, F.size(words) - start) - first, F.lit(0)))
 
 
 def _equal(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
+def _by_hits(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """Rows (_i, _item, start, item_tokens, n) of items of up to SEGMENT tokens: a hit takes the words under the item along, so no document is shuffled."""
+    start = (F.col("pos") - F.col("_ipos")).alias("start")
+    hits = windows(docs, "_dw", ["_i", "_dw"], masks).join(F.broadcast(seeds), "key").select("_i", "_dw", "_item", "_n", start)
+    first, part = _under(F.col("_dw"), F.lit(0), F.col("_n"), F.col("start"))
+    hits = hits.select("_i", "_item", "start", first.alias("_b"), part.alias("_part")).join(F.broadcast(items), "_item")
+    same = _equal(F.col("_part"), F.slice("_iw", F.col("_b") + 1, F.size("_part")))
+    return hits.select("_i", "_item", "start", F.size("_iw").alias("item_tokens"), same.cast("long").alias("n"))
+
+
+def _by_segments(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tuple[str, ...], send: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows (_i, _item, start, item_tokens, n) of items of any length, by distinct offsets and segments."""
+    docs = docs.withColumn("_mark", F.xxhash64("_dw"))
+    start = (F.col("pos") - F.col("_ipos")).alias("start")
+    found = windows(docs, "_dw", ["_i", "_mark"], masks).join(send(seeds), "key").select(F.col("_i").alias("_j"), F.col("_mark").alias("_m"), "_item", "_n", start).distinct()
+    laid = docs.join(found, F.col("_i").eqNullSafe(F.col("_j")) & (F.col("_mark") == F.col("_m")))
+    # Segments of the item that lie on the document.
+    lowest, highest = F.greatest(-F.col("start"), F.lit(0)), F.least(F.col("_n"), F.size("_dw") - F.col("start")) - 1
+    laid = laid.withColumn("_k", F.explode(F.sequence((lowest / SEGMENT).cast("int"), (highest / SEGMENT).cast("int"))))
+    first, part = _under(F.col("_dw"), F.col("_k") * SEGMENT, (F.col("_k") + 1) * SEGMENT, F.col("start"))
+    laid = laid.select("_i", "_mark", "_item", "start", "_k", (first - F.col("_k") * SEGMENT).alias("_b"), part.alias("_part"))
+    cut = items.select("_item", F.xxhash64("_iw").alias("_im"), F.size("_iw").alias("item_tokens"), "_iw", F.explode(F.sequence(F.lit(0), ((F.size("_iw") - 1) / SEGMENT).cast("int"))).alias("_k"))
+    cut = cut.select("_item", "_im", "item_tokens", "_k", F.slice("_iw", F.col("_k") * SEGMENT + 1, F.lit(SEGMENT)).alias("_is"))
+    same = _equal(F.col("_part"), F.slice("_is", F.col("_b") + 1, F.size("_part")))
+    counted = laid.join(send(cut), ["_item", "_k"]).select("_i", "_mark", "_item", "_im", "start", "item_tokens", "_k", same.alias("n"))
+    # A row that repeats gives each segment again.
+    counted = counted.groupBy("_i", "_mark", "_item", "_im", "start", "item_tokens", "_k").agg(F.max("n").alias("n"))
+    return counted.groupBy("_i", "_mark", "_item", "_im", "start", "item_tokens").agg(F.sum("n").alias("n")).select("_i", "_item", "start", "item_tokens", "n")
+
+
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text",
     masks: tuple[str, ...] = MASKS, min_matched: int = MIN_MATCHED, min_share: float = MIN_SHARE, broadcast_tokens: int = BROADCAST_TOKENS,
@@ -55,31 +90,25 @@ def contaminated(
     """A row for each document and benchmark item that overlap: id, item id, item_tokens, matched_tokens, start, share.
 
     An overlap has at least min_matched equal tokens at one offset, or min_share of the item's tokens if
-    those are fewer, within AROUND tokens of the hit. The best offset is given, the first of equals. Of a
+    those are fewer, over the whole item. The best offset is given, the first of equals. Of a
     hash that repeats within an item its first place counts. Null and empty texts, and items
     shorter than every mask, overlap nothing. Rows of one id (null ids too) count as one document.
     Extra columns are not read.
     """
     items = benchmark.select(benchmark[item_col].alias("_item"), tokens(benchmark[item_text]).alias("_iw")).where(F.size("_iw") > 0)
     items = stage(items.distinct(), "items")
-    size = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0))).first()[0]
-    seeds = windows(items.withColumn("_n", F.size("_iw")), "_iw", ["_item", "_n"], masks)
+    size, longest = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0)), F.coalesce(F.max(F.size("_iw")), F.lit(0))).first()
+    send = F.broadcast if size <= broadcast_tokens else lambda table: table
+    seeds = windows(items.withColumn("_n", F.max(F.size("_iw")).over(Window.partitionBy("_item"))), "_iw", ["_item", "_n"], masks)
     seeds = seeds.groupBy("key", "_item").agg(F.min("pos").alias("_ipos"), F.max("_n").alias("_n"))
     docs = df.select(df[id_col].alias("_i"), tokens(df[text]).alias("_dw"))
-    start = (F.col("pos") - F.col("_ipos")).alias("start")
-    begin, length = _region(F.size("_dw"), F.col("_n"), F.col("start"), F.col("_ipos"))
-    if size <= broadcast_tokens:
-        # A hit takes the document's tokens around it along, so no document is shuffled.
-        hits = windows(docs, "_dw", ["_i", "_dw"], masks).join(F.broadcast(seeds), "key").select("_i", "_dw", "_item", "_ipos", "_n", start)
-        hits = hits.select("_i", "_item", "start", begin.alias("_b"), F.slice("_dw", F.col("start") + begin + 1, length).alias("_part")).join(F.broadcast(items), "_item")
+    if size > broadcast_tokens:
+        hits = _by_segments(docs, items, seeds, masks, send)
     else:
-        docs = docs.withColumn("_mark", F.xxhash64("_dw"))
-        found = windows(docs, "_dw", ["_i", "_mark"], masks).join(seeds, "key").select(F.col("_i").alias("_j"), F.col("_mark").alias("_m"), "_item", "_ipos", "_n", start).distinct()
-        hits = docs.join(found, F.col("_i").eqNullSafe(F.col("_j")) & (F.col("_mark") == F.col("_m")))
-        hits = hits.select("_i", "_item", "start", begin.alias("_b"), F.slice("_dw", F.col("start") + begin + 1, length).alias("_part")).join(items, "_item")
-    least = F.least(F.lit(min_matched), F.ceil(F.size("_iw") * F.lit(min_share)).cast("int"))
-    same = _equal(F.col("_part"), F.slice("_iw", F.col("_b") + 1, F.size("_part")))
-    hits = hits.select("_i", "_item", "start", F.size("_iw").alias("item_tokens"), same.alias("n"), least.alias("least"))
+        hits = _by_hits(docs, items, seeds.where(F.col("_n") <= SEGMENT), masks)
+        if longest > SEGMENT:
+            hits = hits.union(_by_segments(docs, items, seeds.where(F.col("_n") > SEGMENT), masks, send))
+    hits = hits.withColumn("least", F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * F.lit(min_share)).cast("int")))
     best = hits.where("n >= least").groupBy("_i", "_item").agg(F.max(F.struct("n", (-F.col("start")).alias("back"), "item_tokens")).alias("best"))
     start, n = -F.col("best.back"), F.col("best.n")
     total = F.col("best.item_tokens")

@@ -464,6 +464,28 @@ def test_decontamination_tolerates_substitutions(spark):
         assert got == {1: (10, 30, 2), 2: (10, 25, 0), None: (10, 30, 1)}
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_TOKENS, 0])
+def test_decontamination_lays_whole_items(spark, most):
+    """Items of over 300 tokens against the oracle: copies whole, of a part, beyond either end, and with few equal tokens far apart."""
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(8)
+    items = [[f"i{k}x{j}" for j in range(n)] for k, n in enumerate((1000, 256, 257, 700, 513, 60, 20))]
+    spread = [w if j < 9 or j % 300 == 0 else "other" for j, w in enumerate(items[0])]
+    docs = [
+        items[0], ["pre", "fix", *items[0], "end"], spread, items[0][400:], items[0][:601], ["x"] * 300 + items[0][300:900] + ["y"] * 200,
+        [w if rng.random() < 0.8 else "other" for w in items[3]], items[1] + items[2], items[4] + items[4][100:400], items[5] + items[6], items[4][:100] + items[3] + items[4][100:], ["x"] * 2000, items[0][500:507], [],
+    ]
+    rows, bench = list(enumerate(map(" ".join, docs))), list(enumerate(map(" ".join, items)))
+    documents, benchmark = pd.DataFrame(rows, columns=["doc_id", "text"]), pd.DataFrame(bench, columns=["item_id", "text"])  # noqa: F841
+    want = sorted(duckdb.sql(decontaminate.ORACLE).fetchall())
+    twice = spark.createDataFrame([*rows, *rows], "doc_id long, text string").repartition(3)
+    got = decontaminate.contaminated(twice, spark.createDataFrame(bench, "item_id long, text string"), broadcast_tokens=most)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert {(0, 0, 1000, 1000, 0, 1.0), (1, 0, 1000, 1000, 2, 1.0), (2, 0, 1000, 12, 0, 0.012)} <= set(want)
+
+
 def test_decontamination_odd(odd, none, spark):
     bench = spark.createDataFrame([(1, "word " * 20), (2, None)], "item_id long, text string")
     got = decontaminate.contaminated(odd, bench).collect()
