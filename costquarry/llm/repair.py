@@ -2,7 +2,7 @@
 
 Documents are dealt by ranges of doc_id and sorted, so shards follow each other in ascending id order.
 A shard holds about SHARD_IDS token ids. Rounds replace the most frequent adjacent id pairs of the
-shard by nonterminals until no pair is frequent enough; the shard stores the rules, the length each
+shard by nonterminals until no pair occurs LEAST_COUNT times; the shard stores the rules, the length each
 rule expands to, and the shortened sequence. A document is decoded by finding its place in the summed
 expansion lengths, without decoding what is before it.
 """
@@ -27,7 +27,7 @@ from costquarry.llm import runtime
 SHARD_IDS = 1 << 20
 MAGIC = b"RPS1"
 HEADER = struct.Struct("<4sIIQQIII")  # magic, symbol base, rules, sequence length, ids, documents, bytes a symbol, crc32 of the rest
-ROUNDS, PER_ROUND, LEAST_COUNT = 4, 2048, 8
+PER_ROUND, LEAST_COUNT = 2048, 8
 REMEMBERED = 800_000
 AT_ONCE = 500
 #: Letters that have one composed form and one lower-case form, then ASCII marks but for the apostrophe.
@@ -117,9 +117,7 @@ def encoder(tokenizer: str, path: str | None) -> Encoder:
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules, sequence): rule i is the pair that symbol base + i stands for; later rules may use earlier ones."""
     seq, rules, n_rules = ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)], 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         # Pairs of symbols of 16 bits fit 32 bits.
         half, kind, mix = (16, np.uint32, 0x9E3779B1) if base + n_rules <= 1 << 16 else (32, np.uint64, 0x9E3779B97F4A7C15)
         pair = seq[:-1].astype(kind) << kind(half) | seq[1:]
@@ -144,7 +142,11 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         begin = at[np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))]
         take = (at - begin) % 2 == 0
         at, rank = at[take], rank[take]
-        seq[at] = base + n_rules + rank.astype(np.uint32)
+        # A pair that met another one in its slot, or whose hits all overlapped others, has no rule in this round.
+        used = np.zeros(len(chosen), bool)
+        used[rank] = True
+        chosen = chosen[used]
+        seq[at] = base + n_rules + (np.cumsum(used) - 1)[rank].astype(np.uint32)
         rules.append(np.stack([chosen >> kind(half), chosen & kind((1 << half) - 1)], axis=1).astype(np.uint32))
         n_rules += len(chosen)
         gone = np.ones(len(seq), bool)
@@ -161,10 +163,18 @@ def expansions(rules: np.ndarray, base: int) -> list[list[int]]:
     return out
 
 
+def lengths(rules: np.ndarray, base: int) -> list[int]:
+    """How many ids each rule stands for."""
+    out: list[int] = []
+    for a, b in rules.tolist():
+        out.append((out[a - base] if a >= base else 1) + (out[b - base] if b >= base else 1))
+    return out
+
+
 def pack(docs: list[int | None], counts: list[int], ids: np.ndarray, base: int) -> bytes:
     """One shard as bytes."""
     rules, seq = compress(ids, base)
-    length = np.array([len(x) for x in expansions(rules, base)], np.uint32)
+    length = np.array(lengths(rules, base), np.uint32)
     width = 2 if base + len(rules) <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
     known = np.array([d is not None for d in docs], np.uint8)

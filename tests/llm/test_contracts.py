@@ -330,6 +330,17 @@ def test_grammar_round_trip(ids):
         assert len(shard.seq) < len(ids) / 1.5
 
 
+@pytest.mark.parametrize("ids", [np.tile(np.arange(300), 400), [7] * 5000, np.random.default_rng(3).zipf(1.3, 30_000) % 500])
+def test_grammar_runs_to_the_end(ids):
+    ids = np.array(ids, np.uint32)
+    rules, seq = repair.compress(ids, 50_000)
+    _, count = np.unique(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:], return_counts=True)
+    assert not (count >= repair.LEAST_COUNT).any() and len(set(map(tuple, rules.tolist()))) == len(rules)
+    assert sum(map(len, repair.expansions(rules, 50_000))) == sum(repair.lengths(rules, 50_000))
+    shard = repair.Shard(repair.pack([1], [len(ids)], ids, 50_000))
+    assert (shard.doc(0) == ids).all()
+
+
 def test_damaged_shard():
     data = bytearray(repair.pack([1], [4], np.array([1, 2, 3, 4]), 100))
     data[-1] ^= 1
