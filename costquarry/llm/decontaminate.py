@@ -4,8 +4,9 @@ A mask keeps some places of a window of tokens and ignores the others, so that a
 alike when tokens at ignored places are substituted. Hashes of all windows of all documents meet those
 of the benchmark items; at each hit the item is laid over the document and equal tokens are counted.
 
-A hit of an item of up to SEGMENT tokens takes the document's tokens under it along. Hits of longer items
-are reduced to distinct offsets first, then compared in segments of the item, whose counts are added up.
+A hit of an item of up to SEGMENT tokens takes the document's tokens under it along. Hits of longer items, and of
+items that have a hash at several places, are reduced to distinct offsets first, then compared in segments of the
+item, whose counts are added up.
 """
 
 from __future__ import annotations
@@ -90,24 +91,27 @@ def contaminated(
     """A row for each document and benchmark item that overlap: id, item id, item_tokens, matched_tokens, start, share.
 
     An overlap has at least min_matched equal tokens at one offset, or min_share of the item's tokens if
-    those are fewer, over the whole item. The best offset is given, the first of equals. Of a
-    hash that repeats within an item its first place counts. Null and empty texts, and items
+    those are fewer, over the whole item. The best offset is given, the first of equals. All
+    places of a hash in an item count. Null and empty texts, and items
     shorter than every mask, overlap nothing. Rows of one id (null ids too) count as one document.
     Extra columns are not read.
     """
     items = benchmark.select(benchmark[item_col].alias("_item"), tokens(benchmark[item_text]).alias("_iw")).where(F.size("_iw") > 0)
     items = stage(items.distinct(), "items")
-    size, longest = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0)), F.coalesce(F.max(F.size("_iw")), F.lit(0))).first()
+    size = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0))).first()[0]
     send = F.broadcast if size <= broadcast_tokens else lambda table: table
     seeds = windows(items.withColumn("_n", F.max(F.size("_iw")).over(Window.partitionBy("_item"))), "_iw", ["_item", "_n"], masks)
-    seeds = seeds.groupBy("key", "_item").agg(F.min("pos").alias("_ipos"), F.max("_n").alias("_n"))
+    seeds = seeds.select("key", "_item", "_n", F.col("pos").alias("_ipos")).distinct()
+    seeds = seeds.withColumn("_places", F.count(F.lit(1)).over(Window.partitionBy("key", "_item")))
+    far = (F.col("_n") > SEGMENT) | (F.max("_places").over(Window.partitionBy("_item")) > 1)
+    seeds = stage(seeds.withColumn("_far", far).drop("_places"), "seeds")
     docs = df.select(df[id_col].alias("_i"), tokens(df[text]).alias("_dw"))
     if size > broadcast_tokens:
         hits = _by_segments(docs, items, seeds, masks, send)
     else:
-        hits = _by_hits(docs, items, seeds.where(F.col("_n") <= SEGMENT), masks)
-        if longest > SEGMENT:
-            hits = hits.union(_by_segments(docs, items, seeds.where(F.col("_n") > SEGMENT), masks, send))
+        hits = _by_hits(docs, items, seeds.where("not _far"), masks)
+        if seeds.where("_far").limit(1).count():
+            hits = hits.union(_by_segments(docs, items, seeds.where("_far"), masks, send))
     hits = hits.withColumn("least", F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * F.lit(min_share)).cast("int")))
     best = hits.where("n >= least").groupBy("_i", "_item").agg(F.max(F.struct("n", (-F.col("start")).alias("back"), "item_tokens")).alias("best"))
     start, n = -F.col("best.back"), F.col("best.n")

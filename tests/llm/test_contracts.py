@@ -497,6 +497,18 @@ def test_decontamination_lays_whole_items(spark, most):
     assert {(0, 0, 1000, 1000, 0, 1.0), (1, 0, 1000, 1000, 2, 1.0), (2, 0, 1000, 12, 0, 0.012)} <= set(want)
 
 
+def test_decontamination_by_a_repeated_phrase(spark):
+    """Only the second place of a phrase leads to the offset at which the item lies."""
+    phrase = [f"p{i}" for i in range(9)]
+    item = [*phrase, *(f"a{i}" for i in range(12)), *phrase, *(f"b{i}" for i in range(12))]
+    doc = ["x", "y", *phrase, *(w if i % 4 == 3 or i > 9 else f"o{i}" for i, w in enumerate(item[30:]))]
+    df = spark.createDataFrame([(1, " ".join(doc)), (2, "word " * 3000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "word " * 200)], "item_id long, text string")
+    for most in (decontaminate.BROADCAST_TOKENS, 0):
+        got = {tuple(r)[:5] for r in decontaminate.contaminated(df, bench, broadcast_tokens=most).collect()}
+        assert got == {(1, 1, 42, 13, -19), (2, 2, 200, 200, 0)}
+
+
 def test_decontamination_odd(odd, none, spark):
     bench = spark.createDataFrame([(1, "word " * 20), (2, None)], "item_id long, text string")
     got = decontaminate.contaminated(odd, bench).collect()
