@@ -92,8 +92,8 @@ def contaminated(
 
     An overlap has at least min_matched equal tokens at one offset, or min_share of the item's tokens if
     those are fewer, over the whole item. The best offset is given, the first of equals. All
-    places of a hash in an item count. Null and empty texts, and items
-    shorter than every mask, overlap nothing. Rows of one id (null ids too) count as one document.
+    places of a hash in an item count. An item shorter than every mask is found where all its tokens
+    follow each other. Null and empty texts overlap nothing. Rows of one id (null ids too) count as one document.
     Extra columns are not read.
     """
     items = benchmark.select(benchmark[item_col].alias("_item"), tokens(benchmark[item_text]).alias("_iw")).where(F.size("_iw") > 0)
@@ -112,7 +112,13 @@ def contaminated(
         hits = _by_hits(docs, items, seeds.where("not _far"), masks)
         if seeds.where("_far").limit(1).count():
             hits = hits.union(_by_segments(docs, items, seeds.where("_far"), masks, send))
-    hits = hits.withColumn("least", F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * F.lit(min_share)).cast("int")))
+    shortest = min(map(len, masks))
+    for n in sorted(r.n for r in items.select(F.size("_iw").alias("n")).where(F.col("n") < shortest).distinct().collect()):
+        few, whole = items.where(F.size("_iw") == n), ("1" * n,)
+        seeds = windows(few.withColumn("_n", F.lit(n)), "_iw", ["_item", "_n"], whole).select("key", "_item", "_n", F.col("pos").alias("_ipos")).distinct()
+        hits = hits.union(_by_segments(docs, few, seeds, whole, send) if size > broadcast_tokens else _by_hits(docs, few, seeds, whole))
+    enough = F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * F.lit(min_share)).cast("int"))
+    hits = hits.withColumn("least", F.when(F.col("item_tokens") < shortest, F.col("item_tokens")).otherwise(enough))
     best = hits.where("n >= least").groupBy("_i", "_item").agg(F.max(F.struct("n", (-F.col("start")).alias("back"), "item_tokens")).alias("best"))
     start, n = -F.col("best.back"), F.col("best.n")
     total = F.col("best.item_tokens")

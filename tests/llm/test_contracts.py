@@ -509,6 +509,15 @@ def test_decontamination_by_a_repeated_phrase(spark):
         assert got == {(1, 1, 42, 13, -19), (2, 2, 200, 200, 0)}
 
 
+def test_decontamination_by_short_items(spark):
+    docs = [(1, "he said: Two plus two, is five"), (2, "two plus is two"), (3, "five"), (4, "plus two is"), (None, "2 is five")]
+    bench = [(1, "two plus two is"), (2, "five"), (3, "two plus two is five or six"), (4, "is five"), (5, "")]
+    df, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    for most in (decontaminate.BROADCAST_TOKENS, 0):
+        got = {tuple(r) for r in decontaminate.contaminated(df, items, broadcast_tokens=most).collect()}
+        assert got == {(1, 1, 4, 4, 2, 1.0), (1, 2, 1, 1, 6, 1.0), (1, 4, 2, 2, 5, 1.0), (3, 2, 1, 1, 0, 1.0), (None, 2, 1, 1, 2, 1.0), (None, 4, 2, 2, 1, 1.0)}
+
+
 def test_decontamination_odd(odd, none, spark):
     bench = spark.createDataFrame([(1, "word " * 20), (2, None)], "item_id long, text string")
     got = decontaminate.contaminated(odd, bench).collect()
