@@ -10,8 +10,8 @@ expansion lengths, without decoding what is before it.
 from __future__ import annotations
 
 import itertools
+import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,16 +28,79 @@ SHARD_IDS = 1 << 20
 MAGIC = b"RPS1"
 HEADER = struct.Struct("<4sIIQQIII")  # magic, symbol base, rules, sequence length, ids, documents, bytes a symbol, crc32 of the rest
 PER_ROUND, LEAST_COUNT = 2048, 8
-REMEMBERED = 800_000
+REMEMBERED = 200_000  #: words of each of two generations: what the younger one lacks is looked up in the older one
 AT_ONCE = 500
-#: Letters that have one composed form and one lower-case form, then ASCII marks but for the apostrophe.
-WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: Tokenizers that split and lower texts by these rules have words remembered; texts go whole through any other one.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+
+SPACE, LETTER, MARK, DIGIT, ODD = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """What each byte is. Odd: bytes that the rules here say nothing of; parts with one go to the tokenizer as they are."""
+    kind = np.full(256, ODD, np.uint8)
+    kind[33:127] = MARK
+    kind[[9, 10, 11, 12, 13, 32]] = SPACE
+    kind[48:58] = DIGIT
+    kind[65:91] = kind[97:123] = LETTER
+    kind[[ord("'"), ord("<")]] = ODD  # contractions, special tokens
+    return kind
+
+
+KIND = _kinds()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (size[0] of them), then the same of the next."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cut UTF-8 bytes into words: (their bytes, lengths, kinds, words before each text). Texts start at `begins`.
+
+    A word is a run of letters (ASCII or two bytes C3 xx, lowered), a run of ASCII marks, a digit, or a whole
+    part between ASCII white space that has other characters in it (kept as it is).
+    """
+    n = len(data)
+    kind, low = KIND[data], LOWER[data]
+    at = np.flatnonzero(data[:-1] == 0xC3)
+    second = data[at + 1]
+    fine = (second != 0x97) & (second != 0xB7)  # the signs of multiplication and division
+    at, second = at[fine] + 1, second[fine]
+    kind[at] = kind[at - 1] = LETTER
+    low[at[second <= 0x9E]] += 32
+    first = np.zeros(n + 1, bool)
+    first[begins] = True
+    first[1:n] |= kind[1:] != kind[:-1]
+    first[:n] |= kind == DIGIT
+    odd = np.flatnonzero(kind == ODD)
+    if len(odd):
+        part = np.zeros(n + 1, bool)
+        part[begins] = True
+        part[1:n] |= (kind[1:] == SPACE) != (kind[:-1] == SPACE)
+        part = np.flatnonzero(part[:n])
+        here = np.unique(np.searchsorted(part, odd, "right") - 1)
+        size = np.append(part, n)[here + 1] - part[here]
+        inside = _spread(part[here], size)
+        kind[inside], low[inside], first[inside] = ODD, data[inside], False
+        first[part[here]] = True
+    start = np.flatnonzero(first[:n])
+    size, kinds = np.diff(np.append(start, n)), kind[start]
+    real = kinds != SPACE
+    start = start[real]
+    return low[kind != SPACE], size[real], kinds[real], np.searchsorted(start, begins)
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library; ids of parts between ASCII white space are remembered.
+    """Ids of whole texts by the tokenizers library, each followed by an end id.
 
-    The tokenizer drops white space, so such parts are encoded alike alone and in the text.
+    Of a tokenizer with the rules above, the ids of words are remembered: it drops white space and encodes
+    each word by itself. Any other tokenizer encodes the texts one by one.
     """
 
     def __init__(self, path: str):
@@ -47,58 +110,74 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
-        #: A special token splits a text before anything else is done, so parts with it between them are encoded as if alone.
-        self.mark, self.mark_id = next(iter(added.items()), (None, None))
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text (null: none). Equal parts of the batch are found by Arrow first, so that each is looked up once."""
-        parts = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
-        coded = parts.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-        known = self.known
-        found = list(map(known.get, distinct))
-        new = {p for p, x in zip(distinct, found) if x is None}
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-            # A word and ASCII punctuation behind it are encoded by themselves, whatever the word's case.
-            split = {p: (m[1].lower().encode(), m[2].encode()) for p in new if (m := WORD_AND_MARKS(p.decode()))}
-            pieces = {x for two in split.values() for x in two if x}
-            self._learn(list((pieces | {p for p in new if p not in split}).difference(known)))
-            for p, (word, marks) in split.items():
-                known[p] = known[word] + known[marks] if marks else known[word]
-            found = [known[p] if x is None else x for p, x in zip(distinct, found)]
-        flat = np.frombuffer(b"".join(found), self.dtype)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        split = ((rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        added = [t["content"] for t in rules.get("added_tokens", []) if t["content"][:1] != "<" or t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]]
+        lowered = (rules.get("normalizer") or {}).get("normalizers") == NORMALIZER and split.get("pattern") == {"Regex": SPLIT}
+        self.by_words = lowered and not added and rules["model"].get("end_of_word_suffix") == WORD_END and rules.get("post_processor") is None
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
+        """The ids of each text (null: none), then end_id."""
+        texts = pa.compute.fill_null(texts.cast(pa.string()), "")
+        end = np.array([end_id], self.dtype)
+        if not self.by_words:
+            found = self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.append(np.array(e.ids, self.dtype), end) for e in found]
+        cut = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        if cut[0] == cut[-1]:
+            return [end] * len(texts)
+        data, size, kinds, before = words(np.frombuffer(texts.buffers()[2], np.uint8)[cut[0] : cut[-1]], cut[:-1] - cut[0])
+        ends = np.append(0, np.cumsum(size)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
         which = coded.indices.to_numpy()
-        n = size[which]
-        ends = np.cumsum(n)
-        place = np.repeat((np.cumsum(size) - size)[which] - (ends - n), n)
-        place += np.arange(len(place))
-        ids = flat[place]
-        cuts = np.r_[0, ends][parts.offsets.to_numpy() - parts.offsets[0].as_py()].tolist()
+        kind = np.zeros(len(coded.dictionary), np.uint8)
+        kind[which] = kinds
+        found = [*self._ids(coded.dictionary.to_pylist(), kind == ODD), end.tobytes()]
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        long = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        after = np.append(before[1:], len(which))
+        which = np.insert(which, after, len(found) - 1)
+        n = long[which]
+        ids = flat[_spread((np.cumsum(long) - long)[which], n)]
+        cuts = np.append(0, np.cumsum(n))[np.append(0, after + np.arange(1, len(texts) + 1))].tolist()
         return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
-    def _learn(self, parts: list[bytes]) -> None:
-        """Remember the ids of new parts, many at a call of the library."""
-        texts = [p.decode() for p in parts]
-        alone = [i for i, t in enumerate(texts) if self.mark is None or self.mark in t]
-        for i, e in zip(alone, self.tok.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)):
-            self.known[parts[i]] = np.array(e.ids, self.dtype).tobytes()
-        if self.mark is None:
-            return
-        plain = [i for i, t in enumerate(texts) if self.mark not in t]
+    def _ids(self, distinct: list[bytes], odd: np.ndarray) -> list[bytes]:
+        """The ids of each of distinct words, as bytes."""
+        young, old = self.young, self.old
+        found = list(map(young.get, distinct))
+        new = []
+        for i, x in enumerate(found):
+            if x is None:
+                x = old.get(w := distinct[i])
+                if x is None:
+                    new.append(i)
+                else:
+                    young[w] = found[i] = x
+        alone = [i for i in new if odd[i]]
+        plain = [i for i in new if not odd[i]]
         groups = [plain[i : i + AT_ONCE] for i in range(0, len(plain), AT_ONCE)]
         width = self.dtype.itemsize
-        for group, e in zip(groups, self.tok.encode_batch_fast([self.mark.join([texts[i] for i in g]) for g in groups], add_special_tokens=False)):
+        for group, e in zip(groups, self.tok.encode_batch_fast([b" ".join([distinct[i] for i in g]).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
-            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
-            raw, at = ids.tobytes(), 0
-            for i, end in zip(group, ends):
-                self.known[parts[i]] = raw[at * width : end * width]
-                at = end + 1
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
+            if len(ends) != len(group):
+                alone += group
+                continue
+            raw = ids.tobytes()
+            for i, begin, stop in zip(group, [0, *ends], ends):
+                young[distinct[i]] = found[i] = raw[begin:stop]
+        for i, e in zip(alone, self.tok.encode_batch_fast([distinct[i].decode() for i in alone], add_special_tokens=False)):
+            young[distinct[i]] = found[i] = np.array(e.ids, self.dtype).tobytes()
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
+        return found
 
 
 _encoders: dict[str, Encoder] = {}
@@ -231,15 +310,15 @@ class Shard:
 def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json", path: str | None = None, end_id: int = 1) -> DataFrame:
     """Encode, compress and write all texts to the shared folder; returns the table of shards (part, shard, shard_ids, data) read from it.
 
-    Null texts are empty (the end id alone). Null ids come first; rows of one id keep together, ordered
-    by text. Other columns are not read. An empty table gives no shards.
+    Null texts are empty (the end id alone). Null ids come first; rows of one id follow each other, ordered
+    by a hash of the text, and may lie in several shards. A text of more than SHARD_IDS ids is a shard of its
+    own. Other columns are not read. An empty table gives no shards.
     """
     spark = df.sparkSession
     runtime.ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, shard = encoder(tokenizer, path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], enc.dtype)
         docs, parts, counts, total = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -247,26 +326,28 @@ def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", toke
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([total], pa.int64()), pa.array([data], pa.binary())], ["part", "shard", "shard_ids", "data"])
 
         for b in runtime.slices(batches, "_t", max_rows=4096, max_bytes=8 << 20):
-            for d, e in zip(b.column("_i").to_pylist(), enc.encode(b.column("_t"))):
-                n = len(e) + 1
+            for d, e in zip(b.column("_i").to_pylist(), enc.encode(b.column("_t"), end_id)):
+                n = len(e)
                 if docs and total + n > SHARD_IDS:
                     yield flush()
                     docs, parts, counts, total, shard = [], [], [], 0, shard + 1
                 docs.append(d)
-                parts += (e, end)
+                parts.append(e)
                 counts.append(n)
                 total += n
         if docs:
             yield flush()
 
-    src = df.select(df[id_col].cast("long").alias("_i"), df[text].alias("_t"))
+    # The hash parts the rows of one id, the last column those that are equal.
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(997))
+    src = df.select(df[id_col].cast("long").alias("_i"), df[text].alias("_t"), F.xxhash64(df[text]).alias("_h"), turn.alias("_n"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = src.repartitionByRange(parts, "_i").sortWithinPartitions("_i", "_t")
+    dealt = src.repartitionByRange(parts, "_i", "_h", "_n").sortWithinPartitions("_i", "_h", "_t").select("_i", "_t")
     return runtime.stage(dealt.mapInArrow(run, "part int, shard int, shard_ids long, data binary"), "shards")
 
 
 def read_shards(shards: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """From the stored bytes: a row per document with id, start (ids before it), n_tokens and ids_crc32."""
+    """From the stored bytes, each document decoded by itself: a row per document with id, start (ids before it), n_tokens and ids_crc32. No shards: no rows."""
     runtime.ship(shards.sparkSession)
     by_part = shards.groupBy("part").agg(F.sum("shard_ids").alias("ids"))
     before = by_part.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("before"))
@@ -277,8 +358,7 @@ def read_shards(shards: DataFrame, id_col: str = "doc_id") -> DataFrame:
         for b in batches:
             for row in range(b.num_rows):
                 s = Shard(b.column("data")[row].as_py())
-                ids = memoryview(s.ids(0, s.n_ids).astype("<u4").tobytes())
-                crc = [zlib.crc32(ids[4 * i : 4 * (i + n)]) for i, n in zip(s.starts.tolist(), s.counts.tolist())]
+                crc = [zlib.crc32(s.doc(i).astype("<u4").tobytes()) for i in range(len(s.docs))]
                 same = lambda x: pa.array([x] * len(crc), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [same(b.column("part")[row].as_py()), same(b.column("shard")[row].as_py()), pa.array(s.docs, pa.int64()), pa.array(s.starts), pa.array(s.counts), pa.array(crc, pa.int64())],

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -330,6 +331,21 @@ def test_grammar_round_trip(ids):
         assert len(shard.seq) < len(ids) / 1.5
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_the_library(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, rnd = public_tokenizers.path(name), random.Random(5)
+    bits = [*"abzAZéÀÞß×÷ÿĀİσΣ́µª 0 9  \t\n\x0b\x1c\x1f  .,'-<|>_@ſẞ한中😀٣\x00\x85", "<|endoftext|>", "'s", "'LL", "</w>", " <|startoftext|>", "É"]
+    some = ["".join(rnd.choices(bits, k=rnd.randint(0, 30))) for _ in range(5000)]
+    enc, want = repair.Encoder(path), Tokenizer.from_file(path).encode_batch_fast(some, add_special_tokens=False)
+    for cut in (0, 1, 2500):
+        got = enc.encode(pa.array([None, *some, ""])[cut:], 1)
+        assert [g.tolist() for g in got] == [[1], *(w.ids + [1] for w in want), [1]][cut:]
+    assert [g.tolist() for g in enc.encode(pa.array([None, ""], pa.string()), 7)] == [[7], [7]]
+
+
 @pytest.mark.parametrize("ids", [np.tile(np.arange(300), 400), [7] * 5000, np.random.default_rng(3).zipf(1.3, 30_000) % 500])
 def test_grammar_runs_to_the_end(ids):
     ids = np.array(ids, np.uint32)
