@@ -16,18 +16,20 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costquarry.llm import runtime
 
-SAMPLE_ROWS = 10_000  #: labelled rows learned from, the first by hash of their id; whole texts of them
+#: Labelled rows learned from, the first by hash of their id, and toxic ones among them; whole texts of them.
+SAMPLE_ROWS, SAMPLE_TOXIC = 10_000, 2_500
 PREDICT_AT = 0.3
 LEAST_G = 22.0  #: log-likelihood ratio of a learned entry
 LEAST_WEIGHT = 3.5  #: logarithm of how much more frequent it is in toxic rows
@@ -283,65 +285,68 @@ def g_ratio(t: int, c: int, nt: int, nc: int) -> float:
     return out if t * nc > c * nt else -out
 
 
-def entries(text: str) -> tuple[list[str], list[str]]:
-    """The distinct words of a text, each with the word before its first place."""
-    out: dict[str, str] = {}
+def entries(text: str) -> dict[str, str]:
+    """Words, and beginnings of words marked by a star, each with the word before its first place."""
+    words: dict[str, str] = {}
     before = ""
     for w in WORD.findall(text.lower()):
-        if w not in out:
-            out[w] = before
+        if w not in words:
+            words[w] = before
         before = w
-    return list(out), list(out.values())
-
-
-def with_stems(words: list[str], befores: list[str]) -> dict[str, str]:
-    """Words, and beginnings of words marked by a star, each with the word before its first place."""
-    out = dict(zip(words, befores))
-    for w, before in zip(words, befores):
+    out = dict(words)
+    for w, before in words.items():
         for n in STEMS:
             if len(w) > n:
                 out.setdefault(w[:n] + "*", before)
     return out
 
 
-def learn_lexicon(rows: list[tuple[list[str], list[str], int]]) -> Lexicon:
-    """rows: the entries of a text, and its label."""
+def marks(words: Iterable[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
+def learn_lexicon(toxic: list[tuple[np.ndarray, np.ndarray]], clean_rows: int, clean: Callable[[np.ndarray], np.ndarray], names: Callable[[np.ndarray], dict[int, str]]) -> Lexicon:
+    """toxic: for each toxic row the marks (hashes) of its entries, and of the words before them; clean: how many other rows have each of some marks; names: the entries of some marks."""
     words = {w: (c, PRIOR_WEIGHT) for c, ws in CLASSES.items() for w in ws.split()}
     stems: dict[str, float] = {}
-    toxic = [with_stems(ws, bs) for ws, bs, y in rows if y]
-    nt, nc = len(toxic), sum(1 for *_, y in rows if not y)
-    where, contexts = defaultdict(list), defaultdict(list)
-    for i, e in enumerate(toxic):
-        for x, before in e.items():
-            where[x].append(i)
-            contexts[x].append(before)
-    where = {x: v for x, v in where.items() if len(v) >= LEAST_NEW}
-    clean: Counter[str] = Counter()
-    for ws, _, y in rows:
-        if not y:
-            clean.update({x for w in ws for x in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)) if x in where})
-    # Copies of a text repeat all its words in their places: an entry counts once for each word before it.
-    support = {x: len(set(contexts[x])) for x in where}
+    nt, nc = len(toxic), clean_rows
+    if not nt or not nc:
+        return Lexicon(words, stems)
 
     def weight(t: int, c: int) -> float:
         return min(6.0, math.log((t + 0.5) / (nt + 1)) - math.log((c + 0.5) / (nc + 1)))
 
-    strong = [(-g, x[-1] == "*", -len(x), x) for x in where if weight(support[x], clean[x]) >= LEAST_WEIGHT and (g := g_ratio(support[x], clean[x], nt, nc)) >= LEAST_G]
+    all_marks, all_before = np.concatenate([e for e, _ in toxic]), np.concatenate([b for _, b in toxic])
+    row = np.repeat(np.arange(nt), [len(e) for e, _ in toxic])
+    known, place, count = np.unique(all_marks, return_inverse=True, return_counts=True)
+    often = count >= LEAST_NEW
+    # Copies of a text repeat all its words in their places: an entry counts once for each word before it.
+    pairs = np.unique(np.stack([all_marks, all_before], axis=1)[often[place]], axis=0)[:, 0]
+    found, support = np.unique(pairs, return_counts=True)
+    in_clean = clean(found)
+    strong = {}
+    for mark, t, c in zip(found.tolist(), support.tolist(), in_clean.tolist()):
+        if weight(t, c) >= LEAST_WEIGHT and (g := g_ratio(t, c, nt, nc)) >= LEAST_G:
+            strong[mark] = (g, t, c)
+    name = names(np.array(sorted(strong), np.uint64))
     chosen: list[str] = []
-    for *_, x in sorted(strong):
-        base = x.rstrip("*")
-        if any(base.startswith(c[:-1]) for c in chosen if c[-1] == "*"):
+    rows: dict[str, set[int]] = {}
+    for g, _, _, x, mark in sorted((-strong[m][0], x[-1] == "*", -len(x), x, m) for m, x in name.items()):
+        base, (_, t, c) = x.rstrip("*"), strong[mark]
+        if any(base.startswith(y[:-1]) for y in chosen if y[-1] == "*"):
             continue  # a beginning of it is chosen
+        here = np.flatnonzero(all_marks == np.uint64(mark))
         if x[-1] == "*":
-            known = set().union(*(where[c] for c in chosen if c.startswith(base)))
-            rest = len({before for i, before in zip(where[x], contexts[x]) if i not in known})
-            if rest < LEAST_NEW or weight(rest, clean[x]) < LEAST_WEIGHT:
+            covered = set().union(*(rows[y] for y in chosen if y.startswith(base)))
+            rest = len({b for i, b in zip(row[here].tolist(), all_before[here].tolist()) if i not in covered})
+            if rest < LEAST_NEW or weight(rest, c) < LEAST_WEIGHT:
                 continue  # the words that begin so are chosen
         chosen.append(x)
+        rows[x] = set(row[here].tolist())
         if x[-1] == "*":
-            stems[base] = weight(support[x], clean[x])
+            stems[base] = weight(t, c)
         elif words.get(x, (INSULT,))[0] == INSULT:
-            words[x] = (INSULT, weight(support[x], clean[x]))
+            words[x] = (INSULT, weight(t, c))
     return Lexicon(words, stems)
 
 
@@ -385,32 +390,65 @@ def learn_weights(rows: list[tuple[list[tuple[str, float]], int]], y: np.ndarray
     return weights, best
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from at most `rows` labelled rows that are not held out. Whole texts are learned from, which
-    executors reduce to distinct words, then to hits, so that no text reaches the driver.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS, toxic_rows: int = SAMPLE_TOXIC) -> Model:
+    """Learn from at most `rows` labelled rows that are not held out, of which at most `toxic_rows` are toxic.
 
-    Null ids, texts and labels teach nothing; of several labels of an id the largest counts, of several texts
-    of an id each is a row. Without rows of both kinds the model has the built-in words and weights and gives
-    texts without a match a low score.
+    Whole texts are learned from; executors reduce them to hashes of their entries, to counts and to hits, so
+    no text reaches the driver. Null ids, texts and labels teach nothing; of several labels of an id the largest
+    counts, of several texts of an id each is a row. Without rows of both kinds the model has the built-in words
+    and weights and gives texts without a match a low score.
     """
     spark = docs.sparkSession
     runtime.ship(spark)
     usable = labels.select(labels[id_col].alias("_i"), labels[label].alias("_y")).where(F.col("_y").isNotNull() & F.col("_i").isNotNull() & ~runtime.held_out(F.col("_i")))
     one = usable.groupBy("_i").agg(F.max("_y").alias("_y"))
     chosen = runtime.smallest_hashes(one, F.col("_i"), rows).orderBy(F.xxhash64("_i", F.lit(0)), "_i").limit(rows).collect()
+    toxic = {r._i for r in [r for r in chosen if r._y > 0][:toxic_rows]}
     # At most `rows` ids: small enough to send to every executor.
-    chosen = spark.createDataFrame([(r._i, int(r._y)) for r in chosen], "_i long, _y int")
+    chosen = spark.createDataFrame([(r._i, int(r._i in toxic)) for r in chosen if r._y <= 0 or r._i in toxic], "_i long, _y int")
     got = docs.select(docs[id_col].alias("_i"), docs[text].alias("_t")).where("_t is not null").join(F.broadcast(chosen), "_i")
     # Texts of one id beyond `rows` of them in all are left out, the last by hash.
-    sample = runtime.stage(got.select("_t", "_y", "_i", F.xxhash64("_t").alias("_h")).orderBy("_i", "_h").limit(rows).drop("_i"), "labelled")
+    sample = got.select("_t", "_y", "_i", F.xxhash64("_t").alias("_h")).orderBy("_i", "_h").limit(rows).drop("_i")
+    sample = runtime.stage(sample.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "labelled")
+    bad, good = sample.where("_y > 0"), sample.where("_y <= 0")
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[dict[str, str]]]]:
         for b in runtime.slices(batches, "_t"):
-            found = [entries(t) for t in b.column("_t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("_y"), pa.array([" ".join(w) for w, _ in found]), pa.array([",".join(x) for _, x in found])], ["h", "y", "words", "befores"])
+            yield b.column("_h"), [entries(t) for t in b.column("_t").to_pylist()]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, found in each(batches):
+            yield pa.RecordBatch.from_arrays([h, pa.array([marks(e).tobytes() for e in found], pa.binary()), pa.array([marks(e.values()).tobytes() for e in found], pa.binary())], ["h", "marks", "befores"])
+
+    def clean(wanted: np.ndarray) -> np.ndarray:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(len(wanted) + 1, np.int64)
+            for _, found in each(batches):
+                for e in found:
+                    m = marks(e)
+                    at = np.searchsorted(wanted, m)
+                    n[at[np.append(wanted, 0)[at] == m]] += 1
+            at = np.flatnonzero(n[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["at", "n"])
+
+        out = np.zeros(len(wanted), np.int64)
+        for r in good.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
+            out[r.at] = r.n
+        return out
+
+    def names(wanted: np.ndarray) -> dict[int, str]:
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            some, known = set(wanted.tolist()), {}
+            for _, found in each(batches):
+                for e in found:
+                    known |= {m: x for m, x in zip(marks(e).tolist(), e) if m in some}
+            yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.uint64()).view(pa.int64()), pa.array(list(known.values()), pa.string())], ["m", "x"])
+
+        return {r.m % (1 << 64): r.x for r in bad.mapInArrow(look, "m long, x string").groupBy("m").agg(F.min("x").alias("x")).collect()}
 
-    learned = sample.mapInArrow(words, "h long, y int, words string, befores string").orderBy("h", "words", "y").collect()
-    lexicon = learn_lexicon([(r.words.split(), r.befores.split(","), r.y) for r in learned])
+    rows_of = sorted((r.h, bytes(r.marks), bytes(r.befores)) for r in bad.mapInArrow(hashed, "h long, marks binary, befores binary").collect())
+    lexicon = learn_lexicon([(np.frombuffer(m, np.uint64), np.frombuffer(x, np.uint64)) for _, m, x in rows_of], good.count(), clean, names)
+    del rows_of
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
@@ -423,7 +461,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             symbols, values = pa.array([list(c) for c in total], pa.list_(pa.string())), pa.array([list(c.values()) for c in total], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("_y"), symbols, values, pa.array([n for _, n in found], pa.int64())], ["h", "y", "symbols", "sums", "clauses"])
 
-    hits = sample.mapInArrow(matches, "h long, y int, symbols array<string>, sums array<double>, clauses long").orderBy("h", "y").collect()
+    hits = sample.mapInArrow(matches, "h long, y int, symbols array<string>, sums array<double>, clauses long").collect()
+    hits.sort(key=lambda r: (r.h, r.y))
     runtime.drop_staged(sample)
     y = np.array([float(r.y > 0) for r in hits])
     if not hits or not 0 < y.sum() < len(y):
