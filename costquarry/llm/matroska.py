@@ -23,7 +23,7 @@ EBML, DOC_TYPE, DOC_VERSION, DOC_READ_VERSION = 0x1A45DFA3, 0x4282, 0x4287, 0x42
 SEGMENT, INFO, TIMESTAMP_SCALE, DURATION = 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489
 TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x86
 FLAG_LACING, DEFAULT_DURATION, AUDIO, SAMPLING, CHANNELS, BIT_DEPTH = 0x9C, 0x23E383, 0xE1, 0xB5, 0x9F, 0x6264
-CLUSTER, CLUSTER_TIME, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
+CLUSTER, CLUSTER_TIME, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, REFERENCE = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0xFB
 CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 MASTERS = {SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_POSITIONS}
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
@@ -151,9 +151,15 @@ def parse(data: bytes | None) -> Parsed:
     """Packets, tracks and cues of a file. Null, empty, cut-off or foreign bytes: what was read until then, intact False."""
     packets: list[Packet] = []
     tracks: dict[int, dict] = {}
-    cues: list[tuple[int, int, int]] = []
+    points: list[tuple[dict, list[dict]]] = []  # of each cue point its fields, and those of its positions
     data = data or b""
-    scale, cluster, segment, track, cue = 1_000_000, 0, 0, {}, {}
+    scale, cluster, segment, track = 1_000_000, 0, 0, {}
+    group, refers = 0, False  # first packet of the block group; whether it refers to other blocks
+
+    def parsed(intact: bool) -> Parsed:
+        cues = [(point.get(CUE_TIME, 0), p.get(CUE_TRACK, 0), segment + p[CUE_CLUSTER]) for point, positions in points for p in positions if CUE_CLUSTER in p]
+        return Parsed(packets, tracks, cues, intact)
+
     stack, at, seen = [len(data)], 0, False
     try:
         while at < len(data):
@@ -173,13 +179,22 @@ def parse(data: bytes | None) -> Parsed:
                     segment = body
                 elif ident == TRACK_ENTRY:
                     track = {}
+                elif ident == BLOCK_GROUP:
+                    group, refers = len(packets), False
+                elif ident == CUE_POINT:
+                    points.append(({}, []))
+                elif ident == CUE_POSITIONS:
+                    points[-1][1].append({})
             elif ident in (SIMPLE_BLOCK, BLOCK):
                 which, p = _vint(data, body, end, False)
                 relative, flags = struct.unpack_from(">hB", data, p)
                 lacing = flags >> 1 & 3
                 step = tracks.get(which, {}).get("default_ns", 0) / 1e6
                 for i, (offset, n) in enumerate(_frames(data, p + 3, end, lacing)):
-                    packets.append(Packet(which, (cluster + relative) * scale / 1e6 + i * step, offset, n, bool(flags & 0x80) or ident == BLOCK, lacing))
+                    packets.append(Packet(which, (cluster + relative) * scale / 1e6 + i * step, offset, n, bool(flags & 0x80) if ident == SIMPLE_BLOCK else not refers, lacing))
+            elif ident == REFERENCE:
+                refers = True
+                packets[group:] = [p._replace(key=False) for p in packets[group:]]
             elif ident == TIMESTAMP_SCALE:
                 scale = int.from_bytes(data[body:end], "big")
             elif ident == CLUSTER_TIME:
@@ -190,13 +205,13 @@ def parse(data: bytes | None) -> Parsed:
                 track["codec"] = data[body:end].decode("ascii", "replace")
             elif ident == DEFAULT_DURATION:
                 track["default_ns"] = int.from_bytes(data[body:end], "big")
-            elif ident in (CUE_TIME, CUE_TRACK, CUE_CLUSTER):
-                cue[ident] = int.from_bytes(data[body:end], "big")
-                if ident == CUE_CLUSTER:
-                    cues.append((cue.get(CUE_TIME, 0), cue.get(CUE_TRACK, 0), segment + cue[CUE_CLUSTER]))
+            elif ident == CUE_TIME:
+                points[-1][0][ident] = int.from_bytes(data[body:end], "big")
+            elif ident in (CUE_TRACK, CUE_CLUSTER):
+                points[-1][1][-1][ident] = int.from_bytes(data[body:end], "big")
     except (ValueError, IndexError, struct.error, StopIteration):
-        return Parsed(packets, tracks, cues, False)
-    return Parsed(packets, tracks, cues, seen)
+        return parsed(False)
+    return parsed(seen)
 
 
 def packet_table(df: DataFrame, id_col: str, media: str) -> DataFrame:
@@ -232,8 +247,9 @@ def text_media(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """Store each text as a Matroska file, read the packets back and describe them.
 
     Returns id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature,
-    packets and cues. Null text: as empty (one padded frame). Equal texts have equal values. Ids may be
-    null or repeat; other columns are not read.
+    packets and cues. Null text: as empty (one padded frame). Equal texts have equal values. A text is held
+    whole, with its file, however long. Ids may be null or repeat, and an empty table gives no rows; other
+    columns are not read.
     """
     runtime.ship(df.sparkSession)
     names = ["_i", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "packets", "cues"]
