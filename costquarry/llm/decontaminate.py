@@ -25,6 +25,8 @@ MIN_SHARE = 0.6
 BROADCAST_TOKENS = 2_000_000
 #: Item tokens that one row carries to be compared; longer items are compared in so many rows as they take.
 SEGMENT = 256
+#: Tasks that share the windows of one hash where seeds are not sent to every executor.
+SALTS = 16
 
 
 def tokens(text: Column) -> Column:
@@ -64,11 +66,17 @@ def _by_hits(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tuple[s
     return hits.select("_i", "_item", "start", F.size("_iw").alias("item_tokens"), same.cast("long").alias("n"))
 
 
-def _by_segments(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tuple[str, ...], send: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows (_i, _item, start, item_tokens, n) of items of any length, by distinct offsets and segments."""
+def _by_segments(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tuple[str, ...], send: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """Rows (_i, _item, start, item_tokens, n) of items of any length, by distinct offsets and segments. send: how small tables go to all executors; None: they don't."""
     docs = docs.withColumn("_mark", F.xxhash64("_dw"))
     start = (F.col("pos") - F.col("_ipos")).alias("start")
-    found = windows(docs, "_dw", ["_i", "_mark"], masks).join(send(seeds), "key").select(F.col("_i").alias("_j"), F.col("_mark").alias("_m"), "_item", "_n", start).distinct()
+    found, on = windows(docs, "_dw", ["_i", "_mark"], masks), ["key"]
+    if send is None:
+        # A frequent window is dealt to SALTS tasks, each with the seeds of its hash.
+        found = found.withColumn("_salt", F.pmod(F.xxhash64("_i", "_mark", "pos"), F.lit(SALTS)).cast("int"))
+        seeds, on = seeds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["key", "_salt"]
+    send = send or (lambda table: table)
+    found = found.join(send(seeds), on).select(F.col("_i").alias("_j"), F.col("_mark").alias("_m"), "_item", "_n", start).distinct()
     laid = docs.join(found, F.col("_i").eqNullSafe(F.col("_j")) & (F.col("_mark") == F.col("_m")))
     # Segments of the item that lie on the document.
     lowest, highest = F.greatest(-F.col("start"), F.lit(0)), F.least(F.col("_n"), F.size("_dw") - F.col("start")) - 1
@@ -93,13 +101,14 @@ def contaminated(
     An overlap has at least min_matched equal tokens at one offset, or min_share of the item's tokens if
     those are fewer, over the whole item. The best offset is given, the first of equals. All
     places of a hash in an item count. An item shorter than every mask is found where all its tokens
-    follow each other. Null and empty texts overlap nothing. Rows of one id (null ids too) count as one document.
+    follow each other. Null and empty texts overlap nothing. Rows of one id (null ids too) count as one document;
+    an id may be a struct. Texts are read whole, however long; an empty table of either kind gives no rows.
     Extra columns are not read.
     """
     items = benchmark.select(benchmark[item_col].alias("_item"), tokens(benchmark[item_text]).alias("_iw")).where(F.size("_iw") > 0)
     items = stage(items.distinct(), "items")
     size = items.agg(F.coalesce(F.sum(F.size("_iw")), F.lit(0))).first()[0]
-    send = F.broadcast if size <= broadcast_tokens else lambda table: table
+    send = F.broadcast if size <= broadcast_tokens else None
     seeds = windows(items.withColumn("_n", F.max(F.size("_iw")).over(Window.partitionBy("_item"))), "_iw", ["_item", "_n"], masks)
     seeds = seeds.select("key", "_item", "_n", F.col("pos").alias("_ipos")).distinct()
     seeds = seeds.withColumn("_places", F.count(F.lit(1)).over(Window.partitionBy("key", "_item")))
@@ -126,22 +135,25 @@ def contaminated(
 
 
 def _oracle() -> str:
+    """The same with all places of a key, and whole items laid at each offset."""
     parts = []
-    for m in MASKS:
-        key = " || ' ' || ".join(f"w[p + {i + 1}]" for i, c in enumerate(m) if c == "1")
+    for i, m in enumerate(MASKS):
+        key = " || ' ' || ".join(f"w[p + {k + 1}]" for k, c in enumerate(m) if c == "1")
         for table, ident in (("d", "doc_id"), ("b", "item_id")):
-            first = "min(p)" if table == "b" else "p"
-            parts.append(f"k_{table}_{len(parts) // 2} AS (SELECT {ident}, {first} AS p, {key} AS key FROM (SELECT {ident}, w, unnest(range(len(w) - {len(m) - 1})) AS p FROM {table}) GROUP BY ALL)")
+            parts.append(f"k_{table}_{i} AS (SELECT DISTINCT {ident}, p, {key} AS key FROM (SELECT {ident}, w, unnest(range(len(w) - {len(m) - 1})) AS p FROM {table}))")
     union = " UNION ".join(f"SELECT doc_id, item_id, d.p - b.p AS start FROM k_d_{i} d JOIN k_b_{i} b USING (key)" for i in range(len(MASKS)))
+    shortest = min(map(len, MASKS))
     return f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
      b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark),
      {", ".join(parts)},
-     hits AS ({union}),
+     s AS (SELECT doc_id, item_id, d.w AS dw, b.w AS bw, unnest(range(len(d.w) - len(b.w) + 1)) AS start FROM b JOIN d ON len(b.w) BETWEEN 1 AND {shortest - 1}),
+     hits AS ({union} UNION SELECT doc_id, item_id, start FROM s WHERE dw[CAST(start + 1 AS BIGINT):CAST(start + len(bw) AS BIGINT)] = bw),
      laid AS (SELECT doc_id, item_id, start, len(b.w) AS item_tokens,
                      len(list_filter(range(len(b.w)), lambda k: start + k >= 0 AND start + k < len(d.w) AND d.w[CAST(start + k + 1 AS BIGINT)] = b.w[CAST(k + 1 AS BIGINT)])) AS n
               FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
-     best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, start) AS place FROM laid WHERE n >= least({MIN_MATCHED}, ceil(item_tokens * {MIN_SHARE})))
+     best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, start) AS place FROM laid
+              WHERE n >= CASE WHEN item_tokens < {shortest} THEN item_tokens ELSE least({MIN_MATCHED}, ceil(item_tokens * {MIN_SHARE})) END)
 SELECT doc_id, item_id, CAST(item_tokens AS BIGINT) AS item_tokens, CAST(n AS BIGINT) AS matched_tokens, CAST(start AS BIGINT) AS start, round(n / item_tokens, 6) AS share FROM best WHERE place = 1
 """
 
