@@ -2,7 +2,9 @@
 
 Filters of several widths run over the bytes of a window; each filter's largest answer in the window is
 pooled, and a softmax layer turns the pooled answers into shares of the languages. A text is cut into
-windows of fixed length that cover all of it; its shares are the mean over its windows.
+windows of fixed length that cover all of it; its shares are the mean over its windows, by their bytes.
+A score is the largest share times the share of the text's byte pairs that the learned texts have, as a
+net of a few languages places a text in any other one too.
 
 As the input of a filter is one byte out of 256 at each place, a filter of width w is w tables of 256
 entries; tables of two neighbouring places are joined to one of 65,536, so that a width takes w / 2
@@ -25,8 +27,7 @@ from costquarry.llm import runtime
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-SAMPLE_ROWS = 3000  #: labelled rows that a model is fitted on, the first by hash of their id
-SAMPLE_CHARS = 1024  #: of each of them, from a place that depends on the id
+SAMPLE_ROWS = 2000  #: labelled rows that a model is fitted on, the first by hash of their id; all windows of their texts
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 
@@ -37,6 +38,7 @@ class Net(NamedTuple):
     bias: np.ndarray
     weight: np.ndarray  # (widths * filters, labels)
     offset: np.ndarray
+    seen: np.ndarray  # of each pair of bytes, whether a learned text has it
 
 
 def windows(data: bytes, length: int = WINDOW) -> np.ndarray:
@@ -105,34 +107,40 @@ def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 6, batc
                 first[k] = 0.9 * first[k] + 0.1 * g[k]
                 second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
                 p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return Net(labels, {w: p[f"t{w}"] for w in WIDTHS}, p["bias"], p["weight"], p["offset"])
+    seen = np.zeros(65536, bool)
+    seen[x[:, :-1].astype(np.int32) << 8 | x[:, 1:]] = True
+    return Net(labels, {w: p[f"t{w}"] for w in WIDTHS}, p["bias"], p["weight"], p["offset"], seen)
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Net | None:
-    """A net learned from at most `rows` labelled rows that may be learned from, `chars` of each; None if there are none.
+def familiar(data: bytes, seen: np.ndarray) -> float:
+    """The share of a text's byte pairs that are known."""
+    b = np.frombuffer(data, np.uint8)
+    return float(seen[b[:-1].astype(np.int32) << 8 | b[1:]].mean()) if len(b) > 1 else 1.0
 
-    Rows with a null id, text or label and rows that are held out teach nothing.
+
+def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Net | None:
+    """A net learned from the whole texts of at most `rows` labelled rows that may be learned from; None if there are none.
+
+    Rows with a null id, text or label and rows that are held out teach nothing, nor do texts without a letter.
     """
     able = df.where(df[label].isNotNull() & df[id_col].isNotNull() & ~runtime.held_out(df[id_col]))
     some = runtime.smallest_hashes(able, df[id_col], rows).where(df[text].isNotNull())
-    span = F.greatest(F.lit(1), F.length(df[text]) - chars)
-    piece = F.substring(df[text], F.pmod(F.xxhash64(df[id_col], F.lit(1)), span).cast("int") + 1, F.lit(chars))
-    got = some.select(df[label].alias("y"), piece.alias("t"), F.xxhash64(df[id_col], F.lit(0)).alias("h")).orderBy("h", "t").limit(rows).collect()
+    got = some.select(df[label].alias("y"), df[text].alias("t"), F.xxhash64(df[id_col], F.lit(0)).alias("h")).orderBy("h", "t").limit(rows).collect()
     got = [r for r in got if LETTER.search(r.t)]
     labels = sorted({r.y for r in got})
     if not labels:
         return None
-    cut = [windows(r.t.encode())[: max(1, len(r.t.encode()) // WINDOW)] for r in got]
+    cut = [windows(r.t.encode()) for r in got]
     y = np.repeat([labels.index(r.y) for r in got], [len(c) for c in cut])
     return train(np.concatenate(cut), y, labels)
 
 
 def predict(df: DataFrame, net: Net | None, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, `keep`, held_out, lang_pred and score (mean share of the predicted language) for each row.
+    """id, `keep`, held_out, lang_pred and score (see above) for each row.
 
     A null text, or one without a letter, is `und` with score 0; so is every text if there is no net.
     Ties go to the label that comes first. All of a text is read, however long. Ids may be null or
-    repeat; columns not named are not read.
+    repeat, and an empty table gives no rows; columns not named are not read.
     """
     runtime.ship(df.sparkSession)
 
@@ -140,30 +148,36 @@ def predict(df: DataFrame, net: Net | None, id_col: str = "doc_id", text: str =
         pools = Pools(net) if net else None
 
         def shares(raw: list[bytes]) -> np.ndarray:
-            out, todo, first = np.zeros((len(raw), len(net.labels))), [windows(r) for r in raw], 0
+            out, todo = np.zeros((len(raw), len(net.labels))), [windows(r) for r in raw]
             owner = np.repeat(np.arange(len(raw)), [len(w) for w in todo])
+            # A window counts by the bytes of the text in it.
+            size = np.full(len(owner), WINDOW)
+            size[np.cumsum([len(w) for w in todo]) - 1] = [len(r) - WINDOW * (len(w) - 1) for r, w in zip(raw, todo)]
             x = np.concatenate(todo)
             for first in range(0, len(x), 256):
                 part = softmax(pools(x[first : first + 256]) @ net.weight + net.offset)
-                np.add.at(out, owner[first : first + 256], part)
-            return out / np.bincount(owner, minlength=len(raw))[:, None]
+                np.add.at(out, owner[first : first + 256], part * size[first : first + 256, None])
+            return out / np.bincount(owner, size, len(raw))[:, None]
 
-        for b in runtime.slices(batches, "_t"):
-            texts = b.column("_t").to_pylist()
+        for b in runtime.slices(batches, read):
+            texts = b.column(read).to_pylist()
             lang, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if net else []
             if known:
-                s = shares([texts[i].encode() for i in known])
-                for i, k, v in zip(known, s.argmax(axis=1), s.max(axis=1)):
-                    lang[i], score[i] = net.labels[k], min(1.0, float(v))
+                raw = [texts[i].encode() for i in known]
+                s = shares(raw)
+                for i, r, k, v in zip(known, raw, s.argmax(axis=1), s.max(axis=1)):
+                    lang[i], score[i] = net.labels[k], min(1.0, float(v)) * familiar(r, net.seen)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), b.column("_h"), pa.array(lang), pa.array(score)], [*names, "held_out", "lang_pred", "score"])
 
     names = list(dict.fromkeys([id_col, *keep]))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    src = df.select(*(df[c] for c in names), df[text].alias("_t"), runtime.held_out(df[id_col]).alias("_h"))
+    # A text that is kept is sent to Python once.
+    read = text if text in names else "_t"
+    src = df.select(*(df[c] for c in names), *([] if text in names else [df[text].alias("_t")]), runtime.held_out(df[id_col]).alias("_h"))
     return src.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "held_out boolean, lang_pred string, score double"]))
 
 
-def rejected(lang_pred: Column, score: Column, least: float = 0.3) -> Column:
-    """Rows whose language is not determined, or with less than the least score."""
+def rejected(lang_pred: Column, score: Column, least: float = 0.5) -> Column:
+    """Rows whose language is not determined: without a letter, without a language that has most of the text, or in none that was learned."""
     return (lang_pred == UNDETERMINED) | (score < least)
