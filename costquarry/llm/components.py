@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costquarry.llm.runtime import drop_staged, stage
+from costquarry.llm.runtime import drop_staged, join_counted, stage
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Rows (node, root) for each node with an edge; root is the smallest node that can be reached.
 
     Loops, repeated edges and nulls are dropped first. Each round gives a node's neighbours to its
-    smallest neighbour; only minima are aggregated, so no task gathers a node's neighbours. Rounds
-    are written to the shared folder; the edges never come to the driver.
+    smallest neighbour; minima are aggregated where the edges lie, and the few nodes with a large share of
+    all edges have theirs sent to the edges, so no task gathers a node's neighbours. Rounds are written to
+    the shared folder; the edges never come to the driver. No edges: no rows.
     """
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = stage(pair.where("u > v").distinct(), "edges")
-    seen = None
+    seen, size = None, now.count()
     for _ in range(most_rounds):
         both = now.union(now.select("v", "u"))
-        smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(smallest, "u").where("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        smallest = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_counted(both, smallest, ["u"], "n", 2 * size).where("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = join_counted(large, low, ["u"], "n", large.count())
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         after = stage(small.where("u > v").distinct(), "edges")
         mark = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -33,7 +34,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         now = after
         if mark == seen:
             break
-        seen = mark
+        seen, size = mark, mark[0]
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -41,18 +41,20 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", site:
 
     Lines end at \\n; they are compared without surrounding blanks. Lines without other characters are
     never boilerplate. A null site is a site of its own. Null text: null, 0 lines. Repeated rows are
-    kept; a null id is an id like any other. All copies of a boilerplate line go, the first too.
-    Other columns are not read.
+    kept; a null id is an id like any other. All copies of a boilerplate line go, the first too. A text is
+    one row, however long; of its lines only hashes are shuffled. An empty table gives no rows. Other
+    columns are not read.
     """
-    docs = df.select(df[id_col].alias("_i"), df[text].alias("_t"), F.coalesce(df[site].cast("string"), F.lit("\u0000")).alias("site"))
-    line = docs.select("_i", "site", F.explode(F.split("_t", "\n", -1)).alias("line")).where(_bare(F.col("line")) != "")
-    keys = stage(line.select("_i", "site", line_key(F.col("line")).alias("key")), "lines")
+    # Rows of one id are told apart by their texts, so that an id on many rows is many keys.
+    docs = df.select(df[id_col].alias("_i"), df[text].alias("_t"), F.xxhash64(df[text]).alias("_m"), F.coalesce(df[site].cast("string"), F.lit("\u0000")).alias("site"))
+    line = docs.select("_i", "_m", "site", F.explode(F.split("_t", "\n", -1)).alias("line")).where(_bare(F.col("line")) != "")
+    keys = stage(line.select("_i", "_m", "site", line_key(F.col("line")).alias("key")), "lines")
     common = stage(boilerplate(keys, min_sites, lg_k), "boilerplate")
     # Of a document only the boilerplate keys that it holds are gathered.
-    held = keys.join(common, "key", "left_semi").groupBy(F.col("_i").alias("_j")).agg(F.collect_set("key").alias("_keys"))
+    held = keys.join(common, "key", "left_semi").groupBy(F.col("_i").alias("_j"), F.col("_m").alias("_n")).agg(F.collect_set("key").alias("_keys"))
     parts = F.split("_t", "\n", -1)
     kept = F.filter(parts, lambda x: (_bare(x) == "") | ~F.array_contains("_keys", line_key(x)))
-    out = docs.join(held, F.col("_i").eqNullSafe(F.col("_j")), "left")
+    out = docs.join(held, F.col("_i").eqNullSafe(F.col("_j")) & (F.col("_m") == F.col("_n")), "left")
     out = out.withColumn("_kept", F.when(F.col("_keys").isNotNull(), kept))
     clean = F.when(F.col("_keys").isNull(), F.col("_t")).otherwise(F.array_join("_kept", "\n"))
     n = F.when(F.col("_t").isNull(), F.lit(0)).otherwise(F.size(parts))

@@ -13,7 +13,7 @@ from costquarry import ship  # noqa: F401
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: under spark.checkpoint.dir, or a local one where that is unset."""
+    """A folder of this application that driver and executors share: under spark.checkpoint.dir, which only a local master may leave unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file:///tmp/checkpoints"
@@ -22,11 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/costquarry/{spark.sparkContext.applicationId}"
 
 
+def _path(spark: SparkSession, name: str):  # noqa: ANN202
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors."""
+    """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors.
+
+    What no call of drop_staged() has deleted goes when the driver ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = shared_dir(spark)
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    top, files = _path(spark, folder)
+    files.deleteOnExit(top)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
@@ -34,15 +45,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_staged(df: DataFrame) -> None:
     """Delete a table written by stage() that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._staged_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _path(df.sparkSession, df._staged_path)
+    files.delete(path, True)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete all tables that this application has staged, once no result that reads them is needed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def hot_bound(spark: SparkSession) -> int:
+    """A key with a share of 1 / hot_bound of all rows, or more, is hot: there are at most hot_bound such keys."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, cols: list[str], count: str, total: int) -> DataFrame:
+    """rows joined with a table that has each of their keys (cols) once and says how many rows there are of it.
+
+    The at most hot_bound() keys with that share of all rows are sent to every executor, so that their rows
+    stay where they are; the others are joined by a shuffle.
+    """
+    most = hot_bound(rows.sparkSession)
+    hot = F.col(count) * most >= total
+    few = F.broadcast(counted.where(hot).drop(count))
+    return rows.join(few, cols).unionByName(rows.join(few.select(*cols), cols, "left_anti").join(counted.where(~hot).drop(count), cols))
 
 
 def smallest_hashes(df: DataFrame, key: Column, rows: int) -> DataFrame:

@@ -237,7 +237,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     docs = runtime.stage(fingerprints(df, text, words, lanes, tuple(dict.fromkeys([id_col, *keep]))), "prints")
     nodes = docs.groupBy(*cols).agg(F.min(id_col).alias("least_id"), F.count(F.lit(1)).alias("copies"))
     nodes = runtime.stage(nodes.withColumn("node", F.col("f0") if lanes == 1 else F.xxhash64(*cols)), "nodes")
-    n = nodes.count()
+    n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     masks = masks_pigeonhole(distance, blocks_for(n, distance)) if exact else masks_sampled(lanes, n, distance / (64 * lanes))
     found = link(nodes.select(*cols), distance, masks)
     one = lambda s: F.col(f"{s}0") if lanes == 1 else F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
@@ -245,9 +245,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     linked = nodes.join(roots, "node").select(*cols, "root", "least_id")
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = linked.join(least, "root").select(*cols, "component_id")
-    classes = nodes.join(linked, cols, "left").select(*cols, F.coalesce("component_id", "least_id").alias("component_id"))
+    classes = nodes.join(linked, cols, "left").select(*cols, "copies", F.coalesce("component_id", "least_id").alias("component_id"))
     digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in reversed(cols)))
-    return docs.join(classes, cols).select(id_col, *keep, digits.alias("fingerprint"), "component_id")
+    joined = runtime.join_counted(docs, runtime.stage(classes, "classes"), cols, "copies", rows)
+    return joined.select(id_col, *keep, digits.alias("fingerprint"), "component_id")
 
 
 def smallest_shingles(distinct: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
@@ -327,11 +328,12 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     """
     cols = [f"f{i}" for i in range(lanes)]
     prints = runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints")
-    nodes = prints.groupBy("mark", "size", "keys", *cols).agg(F.min(id_col).alias("least_id"), F.min("row").alias("row"))
+    nodes = prints.groupBy("mark", "size", "keys", *cols).agg(F.min(id_col).alias("least_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
     nodes = runtime.stage(nodes.withColumn("node", F.xxhash64(*cols)), "nodes")
     # A smaller set is similar to none but its equals.
+    n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     likes = nodes.where(F.col("size") * (similar[1] - similar[0]) >= similar[0])
-    found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, nodes.count(), likely / (64 * lanes)))
+    found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, n, likely / (64 * lanes)))
     one = lambda s: F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
     roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
     held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
@@ -341,7 +343,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
     texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
-    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark", "left").select("mark", "root", "least_id")
+    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark", "left").select("mark", "root", "least_id", "copies")
     least = linked.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = linked.join(least, "root", "left").select("mark", F.coalesce("component_id", "least_id").alias("component_id"))
-    return prints.select(id_col, "mark").join(classes, "mark").select(id_col, "component_id")
+    classes = linked.join(least, "root", "left").select("mark", "copies", F.coalesce("component_id", "least_id").alias("component_id"))
+    return runtime.join_counted(prints.select(id_col, "mark"), runtime.stage(classes, "classes"), ["mark"], "copies", rows).select(id_col, "component_id")
