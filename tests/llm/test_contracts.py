@@ -288,6 +288,45 @@ def test_language(spark, sf_dir):
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.9 * len(held)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the larger tables")
+def test_language_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = language.predict(docs, language.fit(docs), keep=("lang",)).where("held_out and lang_pred <> 'und'").select("lang", "lang_pred").collect()
+    assert len(got) > 2000 and sum(r.lang == r.lang_pred for r in got) >= 0.99 * len(got)
+
+
+def by_loops(net, text):
+    """The shares of a text, place by place."""
+    raw, total = text.encode(), np.zeros(len(net.labels))
+    for begin in range(0, len(raw), language.WINDOW):
+        w = raw[begin : begin + language.WINDOW]
+        x, h = w.ljust(language.WINDOW, b"\0"), []
+        for width, table in net.tables.items():
+            for f in range(table.shape[2]):
+                h.append(max(sum(float(table[j, x[i + j], f]) for j in range(width)) for i in range(len(x) - width + 1)))
+        z = np.maximum(np.array(h) + net.bias, 0) @ net.weight + net.offset
+        e = np.exp(z - z.max())
+        total += e / e.sum() * len(w)
+    pairs = [net.seen[a << 8 | b] for a, b in zip(raw, raw[1:])] or [1]
+    return total / len(raw), sum(pairs) / len(pairs)
+
+
+def test_language_equals_plain_loops(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(12)
+    strange = spark.createDataFrame([(900, "가나다라마바사 아자차카"), (901, "x"), (902, "é" * 300), (903, "12 ab"), (904, "12 34"), (905, None)], "doc_id long, text string")
+    net = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    df = docs.select("doc_id", "text").union(strange)
+    got = {r.doc_id: r for r in language.predict(df, net, keep=("text",)).collect()}
+    for r in got.values():
+        if not r.text or not re.search(r"[^\W\d_]", r.text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        shares, known = by_loops(net, r.text[:700] if len(r.text) > 3000 else r.text)
+        if len(r.text) <= 3000:
+            assert r.lang_pred == net.labels[int(shares.argmax())] and abs(r.score - shares.max() * known) < 1e-4
+    assert got[900].score < 0.1 and got[900].lang_pred in net.labels
+
+
 def test_language_odd(odd, none):
     got = language.predict(odd, language.fit(odd)).collect()
     assert len(got) == len(ODD) + 1
@@ -298,7 +337,7 @@ def test_language_odd(odd, none):
 
 def test_pooled_tables_are_the_convolution():
     rng = np.random.default_rng(0)
-    net = language.Net(["a"], {w: rng.normal(size=(w, 256, 4)).astype(np.float32) for w in language.WIDTHS}, np.zeros(12, np.float32), np.zeros((12, 1)), np.zeros(1))
+    net = language.Net(["a"], {w: rng.normal(size=(w, 256, 4)).astype(np.float32) for w in language.WIDTHS}, np.zeros(12, np.float32), np.zeros((12, 1)), np.zeros(1), np.ones(65536, bool))
     x = rng.integers(0, 256, (3, 20)).astype(np.uint8)
     want = [max(sum(net.tables[w][j][x[i, p + j], f] for j in range(w)) for p in range(20 - w + 1)) for i in range(3) for w in language.WIDTHS for f in range(4)]
     assert np.allclose(language.Pools(net)(x).ravel(), np.maximum(want, 0), atol=1e-4)
@@ -411,6 +450,22 @@ def test_broken_media():
     assert len(matroska.parse(unknown).packets) == 20
 
 
+def test_blocks_that_refer_are_no_keys():
+    m = matroska
+    block = lambda *rest: m.element(m.BLOCK_GROUP, b"".join(rest))
+    data = lambda t: m.element(m.BLOCK, b"\x81" + t.to_bytes(2, "big") + b"\0abc")
+    refers = m.element(m.REFERENCE, b"\x01")
+    cluster = m.element(m.CLUSTER, m.number(m.CLUSTER_TIME, 0) + block(data(0)) + block(data(1), refers) + block(refers, data(2)) + block(data(3)))
+    point = m.element(m.CUE_POINT, m.element(m.CUE_POSITIONS, m.number(m.CUE_CLUSTER, 5) + m.number(m.CUE_TRACK, 2)) + m.element(m.CUE_POSITIONS, m.number(m.CUE_TRACK, 3) + m.number(m.CUE_CLUSTER, 6)) + m.number(m.CUE_TIME, 7))
+    cues = m.element(m.CUES, point + m.element(m.CUE_POINT, m.element(m.CUE_POSITIONS, m.number(m.CUE_CLUSTER, 9))))
+    head = m.element(m.EBML, m.element(m.DOC_TYPE, b"matroska"))
+    body = cluster + cues
+    got = m.parse(head + m.element(m.SEGMENT, body))
+    at = len(head) + len(m.element(m.SEGMENT, body)) - len(body)
+    assert got.intact and [p.key for p in got.packets] == [True, False, False, True]
+    assert got.cues == [(7, 2, at + 5), (7, 3, at + 6), (0, 0, at + 9)]
+
+
 def test_media_odd(odd, none):
     got = matroska.text_media(odd).collect()
     assert len(got) == len(ODD) + 1 and min(r.payload_bytes for r in got) == 576
@@ -566,10 +621,14 @@ def test_decontamination_lays_whole_items(spark, most):
 
     rng = random.Random(8)
     items = [[f"i{k}x{j}" for j in range(n)] for k, n in enumerate((1000, 256, 257, 700, 513, 60, 20))]
+    phrase = [f"p{i}" for i in range(9)]
+    items += [[f"q{j}" for j in range(400)], ["two", "plus", "two", "is", "five"], [*phrase, *(f"a{i}" for i in range(12)), *phrase, *(f"b{i}" for i in range(12))]]
     spread = [w if j < 9 or j % 300 == 0 else "other" for j, w in enumerate(items[0])]
     docs = [
         items[0], ["pre", "fix", *items[0], "end"], spread, items[0][400:], items[0][:601], ["x"] * 300 + items[0][300:900] + ["y"] * 200,
         [w if rng.random() < 0.8 else "other" for w in items[3]], items[1] + items[2], items[4] + items[4][100:400], items[5] + items[6], items[4][:100] + items[3] + items[4][100:], ["x"] * 2000, items[0][500:507], [],
+        ["z"] * 70 + items[7] + ["z"], [w if j % 7 else "other" for j, w in enumerate(items[7])], items[8], ["x", *items[8], "x", *items[8]], items[8][:4],
+        ["x", "y", *phrase, *(w if i % 4 == 3 or i > 9 else f"o{i}" for i, w in enumerate(items[9][30:]))], phrase * 3,
     ]
     rows, bench = list(enumerate(map(" ".join, docs))), list(enumerate(map(" ".join, items)))
     documents, benchmark = pd.DataFrame(rows, columns=["doc_id", "text"]), pd.DataFrame(bench, columns=["item_id", "text"])  # noqa: F841
@@ -578,6 +637,7 @@ def test_decontamination_lays_whole_items(spark, most):
     got = decontaminate.contaminated(twice, spark.createDataFrame(bench, "item_id long, text string"), broadcast_tokens=most)
     assert sorted(tuple(r) for r in got.collect()) == want
     assert {(0, 0, 1000, 1000, 0, 1.0), (1, 0, 1000, 1000, 2, 1.0), (2, 0, 1000, 12, 0, 0.012)} <= set(want)
+    assert {(14, 7, 400, 400, 70, 1.0), (16, 8, 5, 5, 0, 1.0), (17, 8, 5, 5, 1, 1.0), (19, 9, 42, 13, -19, 0.309524)} <= set(want) and not any(r[0] == 18 for r in want)
 
 
 def test_decontamination_by_a_repeated_phrase(spark):
