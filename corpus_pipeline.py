@@ -28,9 +28,10 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined: those without a letter, or without a likely language, go."""
     net = language.fit(docs)
-    rows = docs.select("doc_id", "text", F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    kept = language.predict(rows, net, keep=("row",)).where(~language.rejected(F.col("lang_pred"), F.col("score")))
-    return kept.select("row.*")
+    rest = F.struct(*(docs[c] for c in docs.columns if c != "text"))
+    rows = docs.select("doc_id", "text", rest.alias("row"))
+    kept = language.predict(rows, net, keep=("text", "row")).where(~language.rejected(F.col("lang_pred"), F.col("score")))
+    return kept.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def _key() -> Column:
@@ -38,13 +39,13 @@ def _key() -> Column:
 
 
 def _take(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of docs whose key is in keys (key, rows, ...), once each, with the other columns of keys."""
+    """The rows of docs whose key is in keys (key, rows, ...), once each, with the other columns of keys; of rows of one key the first as JSON."""
     row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), "doc_id", "text")
     renamed = keys.withColumnRenamed("key", "_key")
     same = row["doc_id"].eqNullSafe(renamed["_key.id"]) & (F.xxhash64(row["text"]) == renamed["_key.mark"])
-    got = row.join(renamed, same)
+    got = row.join(renamed, same).select("_row", *renamed.columns)
     if keys.where("rows > 1").limit(1).count():
-        got = got.dropDuplicates(["_key"])
+        got = got.groupBy(*renamed.columns).agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
     return got
 
 
@@ -57,10 +58,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
-    found = decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_bad")).distinct()
-    found = stage(found, "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_bad"]), "left_anti")
+    """Documents that overlap no benchmark item. A document is its id and text: others of the same or of a null id stay."""
+    keyed = docs.select(_key().alias("key"), "text")
+    found = decontaminate.contaminated(keyed, read(spark, sf_dir, "benchmark"), id_col="key")
+    bad = stage(found.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_mark")).distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_mark"]), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
