@@ -5,12 +5,13 @@ The rules are data; they become one CASE expression inside code generation, with
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costquarry.functions.scalars import clean, clean_or_empty
+from costquarry.functions.scalars import clean, clean_or_empty, normalize_text
 
 
 def first_match(text: Column, rules: Iterable[tuple[str, str]], default: str) -> Column:
@@ -95,6 +96,28 @@ WORKS_TITLE = r"(?i)(construction|civil.?works|renovation|공사|시공|신축|
 OTHER_TITLE = r"(?i)(design|supervision|consult|supply|procurement|설계|감리|PMC|기자재|물품|가구|차량|구매|공급)"
 SERVICE_TITLE = r"(?i)(설계.*(?:용역|입찰|업체|사\s*선정)|감리|설계감리|시공감리|저작권감리|control\s+office|design\s+(?:and\s+)?supervision|consult(?:ant|ing)|supervision\s+service)"
 CONTRACTOR_TITLE = r"(?i)(시공업체|시공사|신축공사|건축\s*공사|리모델링\s*공사|보수\s*공사|마감공사|공사입찰|설계\s*[·및/]?\s*시공|construction\s+works|civil\s+works|renovation\s+works|contractor)"
+CONSTRUCTION_KEYWORDS = (
+    "건축", "건립", "신축", "증축", "개축", "개보수", "보수공사", "환경개선", "리모델링", "리노베이션", "시공", "공사", "설계", "감리", "시설물", "토목",
+    "epc", "construction", "building", "renovation", "remodeling", "architect", "supervision",
+)
+COUNTRIES = {
+    "가나": "Ghana", "과테말라": "Guatemala", "네팔": "Nepal", "도미니카": "Dominican Republic", "라오스": "Laos", "르완다": "Rwanda", "모로코": "Morocco", "몽골": "Mongolia",
+    "미얀마": "Myanmar", "방글라데시": "Bangladesh", "베트남": "Vietnam", "볼리비아": "Bolivia", "세네갈": "Senegal", "스리랑카": "Sri Lanka", "알제리": "Algeria",
+    "에콰도르": "Ecuador", "에티오피아": "Ethiopia", "엘살바도르": "El Salvador", "요르단": "Jordan", "우간다": "Uganda", "우즈베키스탄": "Uzbekistan", "이라크": "Iraq",
+    "인도네시아": "Indonesia", "잠비아": "Zambia", "캄보디아": "Cambodia", "케냐": "Kenya", "콜롬비아": "Colombia", "키르기즈": "Kyrgyzstan", "타지키스탄": "Tajikistan",
+    "탄자니아": "Tanzania", "튀니지": "Tunisia", "파라과이": "Paraguay", "파키스탄": "Pakistan", "팔레스타인": "Palestine", "페루": "Peru", "필리핀": "Philippines",
+    "온두라스": "Honduras", "코트디부아르": "Côte d’Ivoire", "카메룬": "Cameroon", "모잠비크": "Mozambique", "말라위": "Malawi", "짐바브웨": "Zimbabwe",
+    "동티모르": "Timor-Leste", "피지": "Fiji", "솔로몬": "Solomon Islands", "부탄": "Bhutan", "조지아": "Georgia",
+}
+COUNTRY_ALIASES = {"우즈벡": ("우즈베키스탄", "Uzbekistan")}
+COUNTRY_PREFIXES = (
+    "가나", "과테말라", "나이지리아", "네팔", "도미니카", "동티모르", "라오스", "모잠비크", "몽골", "미얀마", "방글라데시", "베트남", "볼리비아", "세네갈", "스리랑카",
+    "알제리", "에콰도르", "에티오피아", "엘살바도르", "요르단", "우간다", "우즈베키스탄", "우크라이나", "이라크", "이집트", "인도네시아", "카메룬", "캄보디아", "케냐",
+    "코트디부아르", "키르기스스탄", "키르기즈", "타지키스탄", "탄자니아", "튀니지", "투르크메니스탄", "파라과이", "파키스탄", "페루", "피지", "필리핀",
+)
+UNKNOWN_COUNTRY = "미상"
+#: Order in which evidence of the categories is shown; others come last.
+CATEGORY_ORDER = ("공사비", "설계비", "감리·CM비", "연면적·면적", "총사업비·예산", "부가세·예비비", "기간")
 AMOUNT_STAGES = {
     "NOTICE_EXECUTION_CEILING": "집행한도",
     "NOTICE_EXECUTION_CEILING_RAW": "공고 집행한도(미검토)",
@@ -140,6 +163,45 @@ def relation(title: Column, contract: Column) -> Column:
     )
 
 
+def construction_candidate(title: Column, contract: Column) -> Column:
+    """A works contract, or a title with one of the construction keywords."""
+    return F.coalesce(contract == "공사", F.lit(False)) | F.lower(F.coalesce(title, F.lit(""))).rlike(keyword_pattern(CONSTRUCTION_KEYWORDS))
+
+
+def select_scope(bids: DataFrame, scope: str, flag: str = "construction_candidate") -> DataFrame:
+    """The bids of a scope: none, construction (those with the flag) or any other for all."""
+    return bids.limit(0) if scope == "none" else bids.where(flag) if scope == "construction" else bids
+
+
+def category_rank(category: Column) -> Column:
+    """Place of an evidence category, from 1; 99 for others."""
+    place = F.array_position(F.array(*map(F.lit, CATEGORY_ORDER)), F.coalesce(category, F.lit(""))).cast("int")
+    return F.when(place > 0, place).otherwise(99)
+
+
+def _dictionary(rows: list[dict[str, str]], fields: str) -> Column:
+    """Rows as one constant array of structs, whatever their number."""
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<struct<{fields}>>")
+
+
+def find_country(text: Column) -> Column:
+    """Struct (ko, en) of the country whose longest name is in the text; of equals the first of the table, then of the aliases; none: nulls."""
+    named = [(ko, en, ko, en.lower()) for ko, en in COUNTRIES.items()] + [(ko, en, alias, alias) for alias, (ko, en) in COUNTRY_ALIASES.items()]
+    # Every name by itself, the longest first: of each country its longest name that is there decides.
+    names = sorted({(-len(n), place, n, ko, en, n != own) for place, (ko, en, own, other) in enumerate(named) for n in (own, other)})
+    known = _dictionary([{"name": n, "ko": ko, "en": en, "folded": str(folded)} for _, _, n, ko, en, folded in names], "name string, ko string, en string, folded string")
+    low = F.lower(text)
+    hit = F.try_element_at(F.filter(known, lambda x: F.contains(F.when(x["folded"] == "True", low).otherwise(text), x["name"])), F.lit(1))
+    return F.struct(hit["ko"].alias("ko"), hit["en"].alias("en"))
+
+
+def country_by_name(country: Column, project_name: Column) -> Column:
+    """The country that is given, else the longest country name with which the project's begins, else unknown."""
+    name = normalize_text(project_name)
+    begins = F.regexp_extract(name, "^(" + "|".join(sorted(COUNTRY_PREFIXES, key=len, reverse=True)) + ")", 1)
+    return F.coalesce(F.nullif(normalize_text(country), F.lit("")), F.nullif(begins, F.lit("")), F.lit(UNKNOWN_COUNTRY))
+
+
 def construction_relation(text: Column, category: Column) -> Column:
     """Struct of related (bool), reasons and keywords (arrays): strong words, or an asset with a service, weak word or works category."""
     strong, weak = keywords_in(text, STRONG_BUILDING), keywords_in(text, WEAK_CONSTRUCTION)
@@ -236,15 +298,16 @@ def grade_rank(grade: Column) -> Column:
     )
 
 
-def longest_marker(df: DataFrame, text: str, markers: DataFrame, out: str = "country") -> DataFrame:
+def longest_marker(df: DataFrame, text: str, markers: DataFrame, out: str = "country", most: int = 20_000) -> DataFrame:
     """Adds the label of the longest marker (label, marker) in the text; ties by label; none: null.
 
-    The text is matched without regard to case. Markers are a dictionary: they become one map per row
-    of code, so the dictionary's rows are collected and must be few.
+    The text is matched without regard to case. Markers are a dictionary: they are sent along as one
+    constant array, longest first, so a table of more than `most` of them is refused.
     """
-    known = [(r["label"], r["marker"]) for r in markers.select("label", "marker").distinct().collect() if r["marker"]]
+    rows = markers.select("label", "marker").where("marker <> ''").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} markers")
+    known = sorted((-len(r["marker"]), r["label"], r["marker"].lower()) for r in rows)
+    longest = _dictionary([{"label": label, "marker": m} for _, label, m in known], "label string, marker string")
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    chosen = F.lit(None).cast("string")
-    for label, marker in sorted(known, key=lambda x: (len(x[1]), [-ord(c) for c in x[0]])):
-        chosen = F.when(F.contains(low, F.lit(marker.lower())), label).otherwise(chosen)
-    return df.withColumn(out, chosen)
+    return df.withColumn(out, F.try_element_at(F.filter(longest, lambda x: F.contains(low, x["marker"])), F.lit(1))["label"])

@@ -6,6 +6,7 @@ Rounding is half away from zero. All casts are tries, so malformed input gives n
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -85,6 +86,22 @@ def safe_file_name(x: Column, most: int = 220) -> Column:
     return F.substring(F.trim(F.regexp_replace(x, r'[\x00-\x1f/\\:*?"<>|]+', "_")), 1, most)
 
 
+def glob(x: Column, pattern: str) -> Column:
+    """Whether the whole text fits a pattern with * (any run), ? (one character) and [...] (a set; ^ negates)."""
+    out, at = [], 0
+    while at < len(pattern):
+        ch = pattern[at]
+        close = pattern.find("]", at + 2) if ch == "[" else -1
+        if close > 0:
+            negated, inside = pattern[at + 1] == "^", pattern[at + 1 : close].lstrip("^")
+            out.append("[" + "^" * negated + re.sub(r"([\\\[&^])", r"\\\1", inside) + "]")
+            at = close
+        else:
+            out.append({"*": ".*", "?": "."}.get(ch, "\\Q" + ch + "\\E"))
+        at += 1
+    return x.rlike("(?s)^" + "".join(out) + "$")
+
+
 def portable_path(path: Column, root: str, markers: tuple[str, ...]) -> Column:
     """Path below the root, else from the last marker folder on, else as it is; with forward slashes."""
     p = F.regexp_replace(path, r"\\", "/")
@@ -235,7 +252,23 @@ def is_sha256(x: Column) -> Column:
 
 
 def valid_json(x: Column) -> Column:
-    return F.try_parse_json(x).isNotNull()
+    """One whole JSON value. The parser stops behind a value, so it is read within brackets and within braces."""
+    one = F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1
+    return F.coalesce(one & F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"x":'), x, F.lit("}"))).isNotNull(), F.lit(False))
+
+
+def merge_fields(x: Column, **fields: Column) -> Column:
+    """A struct with further fields; those that are there already are replaced."""
+    for name, value in fields.items():
+        x = x.withField(name, value)
+    return x
+
+
+def array_problem(x: Column, name: str, most: int, least: int = 0) -> Column:
+    """What is wrong about a text that has to be a JSON array of least to most elements; null: nothing."""
+    n = F.when(F.ltrim(x).startswith("["), F.json_array_length(x))
+    few = F.lit(f"{name} must be a non-empty JSON array" if least else f"{name} must be a JSON array")
+    return F.when(n.isNull() | (n < least), few).when(n > most, F.lit(f"{name} exceeds the {most} row safety limit"))
 
 
 def to_json_with_nulls(x: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costquarry.functions.scalars import normalize_title
+from costquarry.scratch import stage
 
 
 @F.pandas_udf(T.DoubleType())
@@ -41,7 +42,7 @@ def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_i
     open_side = named.select(key, "_l").crossJoin(cand.where("country is null").select("project_no", "_r"))
     open_record = unnamed.select(key, "_l").crossJoin(cand.select("project_no", "_r"))
     pairs = by_country.union(open_side).union(open_record)
-    return pairs.withColumn("score", title_score(F.col("_l"), F.col("_r"))).where("score > 0").groupBy(key, "project_no").agg(F.max("score").alias("score"))
+    return pairs.distinct().withColumn("score", title_score(F.col("_l"), F.col("_r"))).groupBy(key, "project_no").agg(F.max("score").alias("score"))
 
 
 def decide(scores: DataFrame, key: str, sure: float = 0.98, apart: float = 0.005, fuzzy: float = 0.86, margin: float = 0.04, prefix: str = "official_report") -> DataFrame:
@@ -88,14 +89,20 @@ def canonical_file(files: DataFrame, digest: str = "sha256", name: str = "file_n
     return files.withColumn("canonical_name", F.min(F.struct(numbered, F.col(name).alias("n"))).over(w).getField("n")).withColumn("is_canonical", F.col(name) == F.col("canonical_name"))
 
 
-def cyclic_parents(files: DataFrame, key: str = "file_id", parent: str = "duplicate_of", most: int = 32) -> DataFrame:
-    """Rows whose chain of parents comes back to them or does not end: violations, by doubling the step of the parent each round."""
-    now = files.select(F.col(key).alias("k"), F.col(parent).alias("p"))
-    steps = 1
-    while steps < most:
-        now = now.alias("a").join(now.alias("b"), F.col("a.p") == F.col("b.k"), "left").select("a.k", F.col("b.p").alias("p"))
-        steps *= 2
-    return now.where("p is not null").select(F.col("k").alias(key))
+def cyclic_parents(files: DataFrame, key: str = "file_id", parent: str = "duplicate_of") -> DataFrame:
+    """Rows whose chain of parents never ends: violations.
+
+    The step to the parent is doubled each round, and rows whose chain has ended are left out; after as many
+    steps as there are rows only those of cycles, or that lead into one, remain.
+    """
+    now = files.select(F.col(key).alias("k"), F.col(parent).alias("p")).where("p is not null")
+    now = stage(now, "parents")
+    left, steps = now.count(), 1
+    rows = left
+    while left and steps < rows + 1:
+        now = stage(now.alias("a").join(now.alias("b"), F.col("a.p") == F.col("b.k")).select("a.k", "b.p"), "parents")
+        left, steps = now.count(), 2 * steps
+    return now.select(F.col("k").alias(key))
 
 
 def screening(universe: DataFrame, matches: DataFrame, key: str = "project_no") -> DataFrame:

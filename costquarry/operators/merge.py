@@ -16,16 +16,26 @@ IDENTITY = ("schema_version", "data_version", "audit_date", "source_sha256")
 def merge(old: DataFrame, new: DataFrame, keys: list[str], stamp: str | None = None) -> DataFrame:
     """The rows of `new`, with is_published true where it is null and synced_at set; keys that are absent are gone.
 
-    Incoming columns replace old ones as a whole, so nothing of `old` remains but its schema.
+    Incoming columns replace old ones; columns that `new` lacks keep their old values by key. A key that stands
+    twice in `new` is an error.
     """
+    quality.gate({"repeated key": quality.unique(new, *keys)})
     out = new
+    kept = [c for c in old.columns if c not in new.columns and c not in ("is_published", "synced_at")]
+    if kept:
+        out = out.join(old.select(*keys, *kept), keys, "left")
     if "is_published" in old.columns:
         flag = F.coalesce("is_published", F.lit(True)) if "is_published" in new.columns else F.lit(True)
         out = out.withColumn("is_published", flag)
     if "synced_at" in old.columns:
         out = out.withColumn("synced_at", (F.lit(stamp) if stamp else F.current_timestamp()).cast("timestamp"))
-    missing = [c for c in old.columns if c not in out.columns]
-    return out.withColumns({c: F.lit(None).cast(old.schema[c].dataType) for c in missing}).select(*(F.col(c).cast(old.schema[c].dataType).alias(c) for c in old.columns))
+    return out.select(*(F.col(c).cast(old.schema[c].dataType).alias(c) for c in old.columns))
+
+
+def upsert_singleton(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The one row of snapshot metadata: the new one, or the old one where there is no new one."""
+    ranked = new.withColumn("_n", F.lit(0)).unionByName(old.withColumn("_n", F.lit(1)), allowMissingColumns=True)
+    return ranked.orderBy("_n").limit(1).drop("_n")
 
 
 def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,3 +127,31 @@ class SnapshotStore:
         for f in old:
             self._fs.delete(f.getPath(), False)
         return v
+
+
+#: The tables of a snapshot, in the order in which they are written.
+SNAPSHOT = ("cases", "related_notices", "evaluation_projects", "evaluation_reports", "evaluation_matches", "evaluation_findings")
+
+
+def write_snapshot(tables: dict[str, DataFrame], identity: dict[str, str], path: str) -> None:
+    """A snapshot as files: a CSV folder for each of its six tables, then one line of JSON with its identity and row counts."""
+    spark = tables["cases"].sparkSession
+    counts = {}
+    for name in SNAPSHOT:
+        tables[name].write.option("header", True).mode("overwrite").csv(f"{path}/{name}")
+        counts[f"{name}_count"] = spark.read.option("header", True).csv(f"{path}/{name}").count()
+    meta = spark.range(1).select(*(F.lit(identity[k]).alias(k) for k in IDENTITY), *(F.lit(n).alias(k) for k, n in counts.items()))
+    meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+
+
+def sync(store: SnapshotStore, tables: dict[str, DataFrame], identity: dict[str, str]) -> list[str]:
+    """Publish a snapshot in two calls: cases and notices first, then the evaluations that belong to them; returns the versions.
+
+    Each call is checked before readers see it, so a failure of the second leaves the cases of the first.
+    """
+    validate_cases(tables["cases"], tables["related_notices"], identity)
+    first = {n: tables[n] for n in SNAPSHOT[:2]}
+    versions = [store.publish(first)]
+    validate_evaluations(*(tables[n] for n in SNAPSHOT[2:]), identity, identity)
+    versions.append(store.publish({n: tables[n] for n in SNAPSHOT}))
+    return versions

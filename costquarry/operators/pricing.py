@@ -68,6 +68,16 @@ def weighted_factor(items: DataFrame, key: str = "project_no") -> DataFrame:
     return items.groupBy(key).agg(F.when(F.count_if(part.isNull()) == 0, F.max("fixed_share") + F.sum(part)).alias("factor"))
 
 
+def with_tiers(sources: DataFrame, tiers: DataFrame) -> DataFrame:
+    """Index sources with the label, use and requirements of their policy tier; without a tier: nulls."""
+    return sources.join(tiers.select("priority", F.col("label").alias("tier_label"), F.col("use").alias("tier_use"), F.col("requirements").alias("tier_requirements")), "priority", "left")
+
+
+def log_runs(runs: DataFrame, path: str, created_at: str) -> None:
+    """Append the results of a normalization to the log; earlier runs stay."""
+    runs.withColumn("created_at", F.lit(created_at).cast("timestamp")).write.mode("append").parquet(path)
+
+
 def unit_records(cases: DataFrame) -> DataFrame:
     """Adds unit_usd_m2: the unit cost that the source gives, else cost by area; none without both."""
     from costquarry.functions.scalars import ratio

@@ -57,6 +57,19 @@ def unequal(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
     return x.join(y, key).where(~F.col("left_value").eqNullSafe(F.col("right_value")))
 
 
+def counts_differ(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """Keys of which two tables have different numbers of rows."""
+    n = F.count(F.lit(1))
+    both = a.groupBy(*keys).agg(n.alias("left_count")).join(b.groupBy(*keys).agg(n.alias("right_count")), list(keys), "full")
+    both = both.select(*keys, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("left_count", "right_count")))
+    return both.where("left_count <> right_count")
+
+
+def recomputed(df: DataFrame, column: str, rule: Column) -> DataFrame:
+    """Rows whose stored value isn't the one that the rule gives, null from a value included."""
+    return df.where(~F.col(column).eqNullSafe(rule))
+
+
 def outside(child: DataFrame, parent: DataFrame, key: str, first: str, last: str, bound: str) -> DataFrame:
     """Child ranges first..last that don't lie within 1..bound of the parent."""
     return child.join(parent.select(key, bound), key).where((F.col(first) < 1) | (F.col(last) < F.col(first)) | (F.col(last) > F.col(bound)))

@@ -126,6 +126,14 @@ def with_notices(cases: DataFrame, notices: DataFrame, fields: tuple[str, ...] =
     return out.withColumn("related_notices", F.coalesce("related_notices", F.array().cast(kind)))
 
 
+def with_evaluation(cases: DataFrame, projects: DataFrame, matches: DataFrame, findings: DataFrame) -> DataFrame:
+    """Cases with the match status of their project's published evaluation (null without one) and the count of its published findings."""
+    p = published(projects).select("project_no", F.col("match_status").alias("evaluation_match_status"))
+    n = published(matches).select("match_id", "project_no").join(published(findings).select("match_id"), "match_id").groupBy("project_no").agg(F.count(F.lit(1)).alias("_n"))
+    out = cases.join(p, "project_no", "left").join(n, "project_no", "left")
+    return out.withColumn("evaluation_finding_count", F.coalesce("_n", F.lit(0))).drop("_n")
+
+
 def get_case(cases: DataFrame, notices: DataFrame, case_id: str) -> DataFrame:
     """The published case of an id with its notices, or no row."""
     return with_notices(public(cases.where(F.col("case_id") == case_id)), notices, tuple(c for c in notices.columns if c not in (*PRIVATE, "case_id")))

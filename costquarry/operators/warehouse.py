@@ -106,6 +106,47 @@ def unit_cost_summary(cases: DataFrame, country: str = "country", unit: str = "u
     return out.withColumn("interpretation", F.when(F.col("cases") <= 1, "단일 사례").when(F.col("cases") <= 4, "소표본").otherwise("비교 가능"))
 
 
+def grade_counts(projects: DataFrame, *by: str) -> DataFrame:
+    """Rows by grade, status or both."""
+    return projects.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def evidence_counts(evidence: DataFrame, projects: DataFrame, key: str = "bid_no") -> DataFrame:
+    """Evidence records by notice and category, with the notice's project, country and name (empty where unknown)."""
+    out = evidence.groupBy(key, "category").agg(F.count(F.lit(1)).alias("evidence_records")).join(projects.select(key, "project_no", "country_ko", "project_name"), key, "left")
+    return out.select(key, *(F.coalesce(c, F.lit("")).alias(c) for c in ("project_no", "country_ko", "project_name")), "category", "evidence_records")
+
+
+def source_stats(rows: DataFrame) -> DataFrame:
+    """Seven counters of a source's rows; flags are 0, 1 or null."""
+    on = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(0)) != 0
+    return rows.agg(
+        F.count(F.lit(1)).alias("normalized_row_count"), F.count_if(on("construction_related")).alias("construction_related_count"), F.count_if(on("is_uganda")).alias("uganda_row_count"),
+        F.count_if(on("is_uganda") & on("construction_related")).alias("uganda_construction_related_count"), F.count_if(F.coalesce("project_no_linked", F.lit("")) != "").alias("linked_project_no_count"),
+        F.count_if(on("existing_db_project_match")).alias("existing_db_project_match_count"), F.count_if(on("unit_cost_potential")).alias("unit_cost_potential_count"),
+    )
+
+
+def numbered(df: DataFrame, *order: str | Column, out: str = "audit_no") -> DataFrame:
+    """Rows with their number from 1 in a total order, by a range sort and the sizes of its parts; no task sees all rows."""
+    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).persist()
+    part, within = F.shiftright("_id", 33).cast("int"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, seen = [], 0
+    for p in sorted(sizes):
+        before += [F.lit(p), F.lit(seen).cast("long")]
+        seen += sizes[p]
+    first = F.element_at(F.create_map(*before), part) if before else F.lit(0).cast("long")
+    return placed.withColumn(out, first + within + 1).drop("_id")
+
+
+def evidence_in_order(evidence: DataFrame, key: str = "bid_no") -> DataFrame:
+    """Evidence by the order of categories, then the latest notice number, then the file."""
+    from costquarry.functions.rules import category_rank
+
+    return evidence.withColumn("category_rank", category_rank(F.col("category"))).orderBy("category_rank", F.desc(key), "source_file")
+
+
 def corpus_digest(files: DataFrame, name: str, digest: str, size: str) -> DataFrame:
     """One SHA-256 over the sorted lines `name NUL digest NUL size LF`. One row gathers all lines: for file lists, not for contents."""
     line = F.concat_ws("\0", F.col(name), F.col(digest), F.col(size).cast("string"))

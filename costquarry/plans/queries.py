@@ -278,17 +278,6 @@ def corpus_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- pricing ----
 
 
-@query(
-    """WITH v AS (SELECT event_type AS source_id, strftime(ts, '%Y-%m') || CASE WHEN day(ts) <= 15 THEN '-a' ELSE '-b' END AS period, round(avg(value), 4) AS value FROM events GROUP BY 1, 2)
-SELECT a.source_id, a.value AS from_value, b.value AS to_value, round(b.value / nullif(a.value, 0), 6) AS index_factor FROM v a JOIN v b USING (source_id) WHERE a.period = '2024-01-a' AND b.period = '2024-01-b'"""
-)
-def index_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    half = F.concat(F.date_format("ts", "yyyy-MM"), F.when(F.dayofmonth("ts") <= 15, "-a").otherwise("-b"))
-    v = t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source_id"), half.alias("period")).agg(F.round(F.avg("value"), 4).alias("value"))
-    at = lambda p, n: v.where(F.col("period") == p).select("source_id", F.col("value").alias(n))
-    return at("2024-01-a", "from_value").join(at("2024-01-b", "to_value"), "source_id").withColumn("index_factor", F.round(F.try_divide("to_value", "from_value"), 6))
-
-
 def price_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Yearly mean order value per priority and status as index series of the market segments."""
     o = t(spark, sf_dir, "orders")
@@ -369,20 +358,6 @@ def representative_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("bid_no", "is_bid_base_representative", "is_project_display_representative", F.col("sample_weight_notice").cast("int").alias("sample_weight_notice"))
 
 
-@query("SELECT a.o_orderkey AS case_id, b.o_orderkey AS related_id, b.o_totalprice AS amount_usd FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey WHERE a.o_orderpriority = '1-URGENT'")
-def related_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = t(spark, sf_dir, "orders")
-    a = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("case_id"), "o_custkey")
-    b = o.select(F.col("o_orderkey").alias("related_id"), "o_custkey", F.col("o_totalprice").alias("amount_usd"))
-    return a.join(b, "o_custkey").where("case_id <> related_id").drop("o_custkey")
-
-
-@query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
-def semi_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
-    return t(spark, sf_dir, "customer").select("c_custkey", "c_name").join(o, "c_custkey", "left_semi")
-
-
 @query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def anti_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
@@ -507,14 +482,6 @@ def trade_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boq.trade_counts(scenario_items(spark, sf_dir))
 
 
-@query(
-    """SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS user_context FROM conversations"""
-)
-def running_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    upto = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(upto).alias("user_context"))
-
-
 def bill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as bill rows: a sheet for each document."""
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sheet"), F.posexplode(F.split("text", "\n")).alias("row", "description"))
@@ -536,7 +503,10 @@ def bill_row_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boq.in_context(bill_rows(spark, sf_dir)).select("sheet", "row", "row_type", "heading")
 
 
-@query()
+@query(
+    """SELECT p_brand AS sheet_id, 'visible' AS sheet_state, CAST(1 AS INTEGER) AS header_row, CAST(count(*) AS INTEGER) AS quantity_rows, CAST(count(*) FILTER (p_partkey % 10 <> 0) AS INTEGER) AS rate_rows, CAST(0 AS INTEGER) AS amount_rows,
+CAST(count(*) FILTER (p_partkey % 10 <> 0) AS INTEGER) AS priced_rows, count(*) FILTER (p_partkey % 10 <> 0) / count(*) AS priced_ratio, 'A' AS description_columns, 'C' AS quantity_columns, 'D' AS rate_columns, '' AS amount_columns FROM part GROUP BY 1 HAVING count(*) >= 3"""
+)
 def bill_table_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of orders as sheets with a header, a sheet for each status and flag of a part's brand."""
     p = t(spark, sf_dir, "part")
@@ -549,13 +519,12 @@ def bill_table_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- text, rules and scalars ----
 
 
-@query(r"SELECT doc_id, coalesce(len(regexp_extract_all(text, '([0-9]+(?:[.,][0-9]+)?)\s*%')), 0) AS percents, len(regexp_extract_all(text, '[0-9]+')) AS numbers FROM documents")
+@query(r"SELECT doc_id, coalesce(len(regexp_extract_all(text, '([0-9]+(?:[.,][0-9]+)?)\s*%')), 0) AS percents FROM documents")
 def numeric_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents")
-    return d.select("doc_id", F.size(evidence.percent_tokens(F.col("text"))).cast("long").alias("percents"), F.size(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0))).cast("long").alias("numbers"))
+    return d.select("doc_id", F.size(evidence.percent_tokens(F.col("text"))).cast("long").alias("percents"))
 
 
-@query()
 def evidence_emission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence rows of texts that are made from parts and lines, which hold amounts, areas and shares."""
     return evidence.evidence(evidence_chunks(spark, sf_dir))
@@ -567,11 +536,6 @@ def evidence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").cast("string").alias("bid_no"), F.col("p_brand").alias("source_file"), F.col("p_name").alias("locator"), text.alias("text"))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS bid_no, unnest(['연면적·면적', '공사비', '부가세·예비비']) AS category, p_brand AS source_file, p_name AS source_locator FROM part")
-def evidence_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evidence_emission(spark, sf_dir).select("bid_no", "category", "source_file", "source_locator")
-
-
 @query("SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CAST(p_size * 100 AS DOUBLE) AS value, 'GFA' AS semantic FROM part WHERE p_size * 100 >= 20")
 def best_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.best_area(evidence.area_observations(evidence_emission(spark, sf_dir).where("category = '연면적·면적'"))).select("bid_no", "value", "semantic")
@@ -695,10 +659,10 @@ def source_file_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def title_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First sentences of documents against those of benchmark items, by language as country."""
-    lang = lambda i: F.element_at(F.array(*map(F.lit, ("en", "fr", "de", "es"))), (i % 4 + 1).cast("int"))
-    rec = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.substring_index("text", ".", 1).alias("title"), F.array("lang").alias("countries"))
-    cand = t(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("project_no"), F.substring_index("text", ".", 1).alias("title"), lang(F.col("item_id")).alias("country"))
+    """Parts as records against the names of the first as official titles, by type as country; tests compare it with plain loops."""
+    p = t(spark, sf_dir, "part")
+    rec = p.select(F.col("p_partkey").alias("record_id"), F.concat_ws(" of the ", "p_name", "p_brand").alias("title"), F.array("p_type").alias("countries"))
+    cand = p.where("p_partkey < 40").select(F.col("p_partkey").cast("string").alias("project_no"), F.concat("p_name", F.lit(" of the brand")).alias("title"), F.col("p_type").alias("country"))
     return linking.decide(linking.score_titles(rec, cand), "record_id")
 
 

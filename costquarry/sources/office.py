@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 CHUNKS = "path string, pos int, locator string, text string, error string"
-SHEETS = "path string, sheet string, sheet_state string, cells array<array<string>>"
+SHEETS = "path string, sheet string, sheet_state string, cells array<array<string>>, error string"
 MOST_ROWS, MOST_COLUMNS = 5000, 80
 
 
@@ -152,12 +152,52 @@ def extract_chunks(files: DataFrame) -> DataFrame:
 
 
 def extract_sheets(files: DataFrame) -> DataFrame:
-    """Workbooks (path, content) to bounded matrices, hidden sheets included."""
+    """Workbooks (path, content) to bounded matrices, hidden sheets included; a broken workbook is an error row."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for path, raw in zip(f["path"], f["content"]):
-                rows = [(path, name, state, matrix) for name, state, matrix, _ in sheets(bytes(raw))]
-                yield pd.DataFrame(rows, columns=["path", "sheet", "sheet_state", "cells"])
+                try:
+                    rows = [(path, name, state, matrix, None) for name, state, matrix, _ in sheets(bytes(raw))]
+                except Exception as x:  # a broken file is reported and the run goes on
+                    rows = [(path, None, None, None, f"{type(x).__name__}: {x}")]
+                yield pd.DataFrame(rows, columns=["path", "sheet", "sheet_state", "cells", "error"])
 
     return files.select("path", "content").mapInPandas(run, SHEETS)
+
+
+def write_xlsx(tables: dict[str, list[list[object]]]) -> bytes:
+    """A workbook with a sheet for each table; texts that begin with an equals sign are formulas, numbers stay numbers."""
+    from xml.sax.saxutils import escape, quoteattr
+
+    from costquarry.operators.boq import letters
+
+    def cell(r: int, c: int, v: object) -> str:
+        ref = f"{letters([c])}{r}"
+        if v is None:
+            return ""
+        if isinstance(v, str) and v.startswith("="):
+            return f'<c r="{ref}"><f>{escape(v[1:])}</f></c>'
+        if isinstance(v, int | float) and not isinstance(v, bool):
+            return f'<c r="{ref}"><v>{v}</v></c>'
+        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>'
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006"
+    kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    names = list(tables)
+    parts = {
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="{kinds}.worksheet+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>' + "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships">' + "".join(f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + "</Relationships>",
+    }
+    for i, rows in enumerate(tables.values(), 1):
+        body = "".join(f'<row r="{r}">' + "".join(cell(r, c, v) for c, v in enumerate(row)) + "</row>" for r, row in enumerate(rows, 1))
+        parts[f"xl/worksheets/sheet{i}.xml"] = f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in parts.items():
+            z.writestr(zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0)), text)
+    return out.getvalue()

@@ -154,6 +154,18 @@ def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
     df.select(*fields).write.option("header", True).csv(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """Rows as lines of JSON, with nulls."""
+    df.write.option("ignoreNullFields", False).mode("overwrite").json(path)
+
+
+def projected(rows: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
+    """Rows as the columns of a table, by place: the i-th column gets the i-th field's name and type; what doesn't fit is null."""
+    if len(fields) != len(rows.columns):
+        raise ValueError(f"{len(rows.columns)} columns for {len(fields)} fields")
+    return rows.toDF(*(f"_{i}" for i in range(len(fields)))).select(*(F.col(f"_{i}").cast("string").try_cast(kind).alias(name) for i, (name, kind) in enumerate(fields)))
+
+
 def repair_paths(attachments: DataFrame, files: DataFrame) -> DataFrame:
     """Attachments with the path of a file of the same notice, size and digest, the first by path; without one, as they were."""
     keys = ["bid_no", "bytes", "sha256"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,3 +24,22 @@ def collect_incrementally(spark: SparkSession, source: str, schema: T.StructType
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def page_violations(pages: DataFrame) -> DataFrame:
+    """What is wrong about the pages (page, total, rows) of one listing: a total that changed while paging, and rows that don't add up to it."""
+    whole = pages.agg(F.min_by("total", "page").alias("expected"), F.sum("rows").alias("got"))
+    drift = pages.join(whole.select("expected")).where(F.col("total") != F.col("expected")).select("page", F.format_string("total changed from %s to %s", "expected", "total").alias("violation"))
+    lost = whole.where(F.col("got") != F.col("expected")).select(F.lit(None).cast("int").alias("page"), F.format_string("expected %s rows, got %s", "expected", "got").alias("violation"))
+    return drift.union(lost)
+
+
+def until_stopped(attempts: DataFrame, group: str, most: int) -> DataFrame:
+    """Attempts (group, step, ok) of each group up to the one that is its `most`-th failure in a row."""
+    upto = Window.partitionBy(group).orderBy("step")
+    # A success begins a new run of failures; within it failures are counted.
+    runs = attempts.withColumn("_run", F.sum(F.col("ok").cast("int")).over(upto))
+    within = Window.partitionBy(group, "_run").orderBy("step")
+    counted = runs.withColumn("_bad", F.sum((~F.col("ok")).cast("int")).over(within))
+    stop = counted.where(F.col("_bad") == most).groupBy(group).agg(F.min("step").alias("_stop"))
+    return counted.join(stop, group, "left").where(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop"))).drop("_run", "_bad", "_stop")

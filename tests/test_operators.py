@@ -236,3 +236,62 @@ def test_sql_surface(spark):
     got = {r.source_id: (r.actual_observation_count, r.latest_observation_status) for r in spark.sql("SELECT * FROM v_price_index_coverage").collect()}
     assert got == {"s": (2, "early"), "e": (0, None)}
     assert [r.source_id for r in spark.sql("SELECT * FROM v_best_available_price_index").collect()] == ["s"]
+
+
+def test_title_link_equals_plain_loops(spark, sf_dir):
+    """Every record against every candidate of its country, by the standard library's matcher."""
+    from difflib import SequenceMatcher
+
+    from costquarry.plans import queries
+
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").orderBy("p_partkey").collect()
+    plain = lambda x: "".join(ch for ch in x.lower() if ch.isascii() and ch.isalnum())
+    want = {}
+    for r in parts:
+        a, scores = plain(f"{r.p_name} of the {r.p_brand}"), []
+        for c in parts[:40]:
+            if c.p_type == r.p_type:
+                b = plain(f"{c.p_name} of the brand")
+                short, long = sorted((a, b), key=len)
+                scores.append((-(0.99 if short in long else SequenceMatcher(None, a, b).ratio()), str(c.p_partkey)))
+        if scores:
+            scores.sort()
+            best, second = -scores[0][0], -scores[1][0] if len(scores) > 1 else 0.0
+            sure = best >= 0.98 and best - second > 0.005
+            good = best >= 0.86 and best - second >= 0.04
+            method = "official_report_title_containment" if sure else "official_report_title_fuzzy" if good else None
+            want[r.p_partkey] = (scores[0][1] if method else None, method, round(best, 9))
+    got = {r.record_id: (r.project_no, r.method, round(r.score, 9)) for r in queries.title_link(spark, sf_dir).collect()}
+    assert got == want and any(m for _, m, _ in got.values()) and any(m is None for _, m, _ in got.values())
+
+
+def test_long_chains_are_no_cycles(spark):
+    rows = [(i, i + 1) for i in range(99)] + [(99, None), (200, 201), (201, 200), (202, 200)]
+    assert {r.file_id for r in linking.cyclic_parents(spark.createDataFrame(rows, "file_id int, duplicate_of int")).collect()} == {200, 201, 202}
+
+
+def test_merge_refuses_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(quality.QualityError):
+        merge.merge(old, spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string"), ["id"])
+
+
+def test_second_table_begins_behind_the_first():
+    rows = table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"]])
+    got = boq.table_signals([*rows, *([[None] * 5] * 26), *rows])
+    assert [(g["header_row"], g["quantity_rows"], g["description_columns"], g["quantity_columns"]) for g in got] == [(1, 3, "A", "C"), (29, 3, "A", "C")]  # headers are joined over three rows
+    # A header without items doesn't hide the next one.
+    assert [g["header_row"] for g in boq.table_signals([["Quantity", "Description"], ["", ""], ["", ""], *rows])] == [2]
+
+
+def test_workbooks_are_written_and_read():
+    book = office.write_xlsx({"A & B": [["x", 1, 2.5, None, "=SUM(B1:C1)"]], "Two": []})
+    assert [(n, m, f) for n, _, m, f in office.sheets(book)] == [("A & B", [["x", "1", "2.5", "", ""]], {"E1": "=SUM(B1:C1)"}), ("Two", [], {})]
+    assert book == office.write_xlsx({"A & B": [["x", 1, 2.5, None, "=SUM(B1:C1)"]], "Two": []})
+
+
+@pytest.mark.parametrize(("text", "pattern", "fits"), [("a.txt", "*.txt", True), ("a.txt", "?.txt", True), ("ab.txt", "?.txt", False), ("b1", "[a-c][0-9]", True), ("d1", "[^a-c]1", True), ("a+b", "a+b", True), ("aab", "a+b", False), ("[x", "[x", True)])
+def test_globs(spark, text, pattern, fits):
+    from costquarry.functions import scalars
+
+    assert spark.range(1).select(scalars.glob(F.lit(text), pattern).alias("x")).first().x is fits

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from costquarry.plans import queries as engine
+from costquarry.plans import catalog as engine
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
