@@ -1,10 +1,9 @@
-"""The registered queries of this subpackage: one opN_<name> for each operator, and the pipeline."""
+"""The registered queries of this subpackage: one opN_<name> for each operator."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     each = (op1_line_dedup, op2_mixing, op3_chat, op4_token_counts, op5_simhash, op6_language, op7_token_ids, op8_decontamination, op9_matroska, op10_toxicity)
-    return {f.__name__: f for f in each} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
