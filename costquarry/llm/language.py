@@ -52,7 +52,8 @@ class Pools:
 
     def __init__(self, net: Net):
         self.net = net
-        self.pairs = {w: [(t[i][:, None, :] + t[i + 1][None, :, :]).reshape(65536, -1) if i + 1 < w else t[i] for i in range(0, w, 2)] for w, t in net.tables.items()}
+        self.pairs = {w: [(t[i][:, None, :] + t[i + 1][None, :, :]).reshape(65536, -1) if i + 1 < w else t[i] for i in range(0, w,
+            2)] for w, t in net.tables.items()}
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         pair = x[:, :-1].astype(np.int32) << 8 | x[:, 1:]
@@ -76,7 +77,8 @@ def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 6, batc
     rng = np.random.default_rng(seed)
     n_pool = len(WIDTHS) * FILTERS
     p = {f"t{w}": rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
-    p |= {"bias": np.zeros(n_pool, np.float32), "weight": rng.normal(0, 0.2, (n_pool, len(labels))).astype(np.float32), "offset": np.zeros(len(labels), np.float32)}
+    p |= {"bias": np.zeros(n_pool, np.float32), "weight": rng.normal(0, 0.2, (n_pool, len(labels))).astype(np.float32),
+        "offset": np.zeros(len(labels), np.float32)}
     first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
@@ -132,7 +134,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str =
         return None
     cut = [windows(r.t.encode()) for r in got]
     y = np.repeat([labels.index(r.y) for r in got], [len(c) for c in cut])
-    return train(np.concatenate(cut), y, labels)
+    x = np.concatenate(cut)
+    del got, cut
+    net = train(x, y, labels)
+    runtime.tidy()
+    return net
 
 
 def predict(df: DataFrame, net: Net | None, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -168,7 +174,9 @@ def predict(df: DataFrame, net: Net | None, id_col: str = "doc_id", text: str =
                 s = shares(raw)
                 for i, r, k, v in zip(known, raw, s.argmax(axis=1), s.max(axis=1)):
                     lang[i], score[i] = net.labels[k], min(1.0, float(v)) * familiar(r, net.seen)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), b.column("_h"), pa.array(lang), pa.array(score)], [*names, "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), b.column("_h"), pa.array(lang), pa.array(score)],
+                [*names, "held_out", "lang_pred", "score"])
+        runtime.tidy()
 
     names = list(dict.fromkeys([id_col, *keep]))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}

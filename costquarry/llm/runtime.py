@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -27,12 +28,19 @@ def _path(spark: SparkSession, name: str):  # noqa: ANN202
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Narrow rows that one task writes at least where a table's size is known before.
+ROWS_A_FILE = 100_000
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors.
 
-    What no call of drop_staged() has deleted goes when the driver ends.
+    rows: about how many narrow rows there are, if known; few are written as few files. What no call of
+    drop_staged() has deleted goes when the driver ends.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     folder = shared_dir(spark)
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
@@ -88,6 +96,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def tidy() -> None:
+    """Give memory that is free back to the system: Python workers live on when a task has ended."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library has no such call
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_rows: int = 512, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that Python holds a few MB of text at a time; one long text is a slice of its own."""
     for batch in batches:

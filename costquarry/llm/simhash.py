@@ -33,7 +33,7 @@ from costquarry.llm.components import connected_components
 LARGE = 4096
 FEW = 16
 #: Distinct shingles that a task compares of each chunk of a candidate component, and texts.
-CHUNK_SHINGLES, CHUNK_TEXTS = 2_000_000, 2048
+CHUNK_SHINGLES, CHUNK_TEXTS = 500_000, 2048
 #: Sets of up to so many shingles also meet under their smallest shingles, as few shingles make noisy fingerprints.
 SHORT = 30
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # fixed values of the splitmix64 generator
@@ -79,8 +79,10 @@ def fingerprints(df: DataFrame, text: str = "text", words: int = 4, lanes: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in runtime.slices(batches, "_text"):
-            f = np.array([fingerprint(shingle_hashes(t or b"", words), lanes) for t in b.column("_text").cast(pa.binary()).to_pylist()], np.uint64).reshape(-1, lanes)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(f[:, i].view(np.int64)) for i in range(lanes))], [*keep, *(f"f{i}" for i in range(lanes))])
+            f = np.array([fingerprint(shingle_hashes(t or b"", words), lanes) for t in b.column("_text").cast(pa.binary()).to_pylist()],
+                np.uint64).reshape(-1, lanes)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(f[:, i].view(np.int64)) for i in range(lanes))],
+                [*keep, *(f"f{i}" for i in range(lanes))])
 
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), *(f"f{i} long" for i in range(lanes))])
     return df.select(*(df[c] for c in keep), df[text].alias("_text")).mapInArrow(run, schema)
@@ -135,8 +137,12 @@ def _close(f: np.ndarray, g: np.ndarray, distance: int) -> np.ndarray:
 
 
 def _forest(f: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the close pairs of f."""
-    rest, edges = np.arange(len(f)), []
+    """Edges of a spanning forest of the close pairs of f.
+
+    Fingerprints are taken in their order, so that a cluster that meets under many keys has mostly the same
+    edges under each, to its first fingerprint.
+    """
+    rest, edges = np.lexsort(f.T[::-1]), []
     while len(rest) > 1:
         queue, rest = [int(rest[0])], rest[1:]
         while queue and len(rest):
@@ -202,7 +208,8 @@ def close_edges(keyed: DataFrame, by: list[str], lanes: list[str], distance: int
             key = np.concatenate([np.zeros(len(a) - len(h), np.int64), k[h, 0]])
             is_hot = np.arange(len(a)) >= len(a) - len(h)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(is_hot), pa.array(key), *(pa.array(np.ascontiguousarray(a[:, i])) for i in range(n)), *(pa.array(np.ascontiguousarray(b[:, i])) for i in range(n))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(is_hot), pa.array(key),
+                    *(pa.array(np.ascontiguousarray(a[:, i])) for i in range(n)), *(pa.array(np.ascontiguousarray(b[:, i])) for i in range(n))], names)
 
     names = ["hot", "key", *(f"a{i}" for i in range(n)), *(f"b{i}" for i in range(n))]
     dealt = keyed.repartition(*by).sortWithinPartitions(*by)
@@ -223,7 +230,8 @@ def link(prints: DataFrame, distance: int, masks: list[list[int]]) -> DataFrame:
     return cold.union(again)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1, distance: int = 4, exact: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1, distance: int = 4,
+    exact: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: id, `keep`, fingerprint (hex) and component_id.
 
     Fingerprints link at `distance` or fewer differing bits; component_id is the smallest id that can
@@ -231,7 +239,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     keys with a recall of 0.99 for pairs at that distance. Equal texts have equal fingerprints and are
     one node. Null or empty text: fingerprint zero, linked like any other. Null ids never name a
     component (a component of null ids only has null). Repeated rows are kept, each with the same
-    result. Other columns are not read. An empty table gives an empty result.
+    result. A text is read whole by one task, however long. Other columns are not read. An empty table gives
+    an empty result.
     """
     cols = [f"f{i}" for i in range(lanes)]
     docs = runtime.stage(fingerprints(df, text, words, lanes, tuple(dict.fromkeys([id_col, *keep]))), "prints")
@@ -268,9 +277,11 @@ def set_fingerprints(df: DataFrame, id_col: str, text: str, words: int, lanes: i
             marks = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
             keys = pa.array([smallest_shingles(s, similar).view(np.int64) for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(id_col), b.column("row"), pa.array(marks), pa.array([len(s) for s in sets], pa.int64()), keys, *(pa.array(f[:, i].view(np.int64)) for i in range(lanes))],
+                [b.column(id_col), b.column("row"), pa.array(marks), pa.array([len(s) for s in sets], pa.int64()), keys,
+                    *(pa.array(f[:, i].view(np.int64)) for i in range(lanes))],
                 [id_col, "row", "mark", "size", "keys", *(f"f{i}" for i in range(lanes))],
             )
+        runtime.tidy()
 
     schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, row long, mark long, size long, keys array<long>, " + ", ".join(f"f{i} long" for i in range(lanes))
     return df.select(df[id_col], F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("_text")).mapInArrow(run, schema)
@@ -309,6 +320,7 @@ def similar_edges(texts: DataFrame, words: int, similar: tuple[int, int]) -> Dat
     runtime.ship(texts.sparkSession)
 
     def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("mark")
         marks = rows.column("mark").to_numpy()
         sets = [np.unique(shingle_hashes(t or b"", words)) for t in rows.column("text").cast(pa.binary()).to_pylist()]
         e = np.array(similar_forest(sets, similar), np.int64).reshape(-1, 2)
@@ -317,14 +329,16 @@ def similar_edges(texts: DataFrame, words: int, similar: tuple[int, int]) -> Dat
     return texts.groupBy("group", "c1", "c2").applyInArrow(run, "a long, b long")
 
 
-def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4, distance: int = 64, likely: int = 48, similar: tuple[int, int] = (4, 5)) -> DataFrame:
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4, distance: int = 64,
+    likely: int = 48, similar: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row per input row: id and component_id, the smallest id that can be reached over similar texts.
 
     Texts are similar if the sets of their shingles share similar[0] / similar[1] or more of their union,
     which is counted exactly for all pairs of a candidate component. Candidates are fingerprints (of the
     sets) at `distance` or fewer unlike bits that meet under a key; keys are drawn with a recall of 0.99
     at `likely` unlike bits. Texts of one set are one node, null and empty texts too. Null ids never name
-    a component but one of null ids only. Other columns are not read.
+    a component but one of null ids only. A text is read whole by one task, however long; a component of many
+    or long texts is compared in pairs of chunks. Other columns are not read. An empty table gives no rows.
     """
     cols = [f"f{i}" for i in range(lanes)]
     prints = runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints")
@@ -338,12 +352,13 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
     held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
     chunks = F.ceil(F.greatest(F.col("n") / CHUNK_TEXTS, F.col("total") / CHUNK_SHINGLES)).cast("int")
-    groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"))
-    wanted = runtime.stage(held.join(groups, "group"), "candidates")
+    groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"), "n")
+    wanted = runtime.stage(runtime.join_counted(held, groups, ["group"], "n", n), "candidates")
     texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
     texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
-    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark", "left").select("mark", "root", "least_id", "copies")
+    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark",
+        "left").select("mark", "root", "least_id", "copies")
     least = linked.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = linked.join(least, "root", "left").select("mark", "copies", F.coalesce("component_id", "least_id").alias("component_id"))
     return runtime.join_counted(prints.select(id_col, "mark"), runtime.stage(classes, "classes"), ["mark"], "copies", rows).select(id_col, "component_id")

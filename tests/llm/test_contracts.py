@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from costquarry.llm import bpe_counts, chat, components, decontaminate, language, lines, matroska, mixing, queries, repair, simhash, toxicity
 
-ODD = [None, "", " ", "a", "A b\tc\nd", "word " * 3000, "x" * 70_000, "é ñ ß 가나 \U0001f600", "<|endoftext|> </s>[INST]", "a\x1cb　c", "same", "same", "\n\n", "don't   they'll  "]
+ODD = [None, "", " ", "a", "A b\tc\nd", "word " * 3000, "x" * 70_000, "é ñ ß 가나 \U0001f600", "<|endoftext|> </s>[INST]", "a\x1cb　c", "same",
+    "same", "\n\n", "don't   they'll  "]
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +100,27 @@ def brute_components(prints):
     return {i: root(i) for i in ids}
 
 
+@pytest.mark.parametrize("most", [1, 7, 250_000])
+def test_components_of_thinned_edges(spark, monkeypatch, most):
+    """Whatever part of the edges is thinned at once, the roots are those of plain union."""
+    monkeypatch.setattr(components, "EDGES_A_TASK", most)
+    rnd = random.Random(2)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(500, k) for k in range(501, 700)] + [(k, k + 1) for k in range(800, 860)] * 3 + [(900, 900), (None, 901)]
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    assert got == {x: top(x) for x in root}
+
+
 def test_simhash(spark, sf_dir):
     prints = {i: brute_fingerprint(t) for i, t in texts(spark, sf_dir).items()}
     classes = brute_components(prints)
@@ -262,13 +284,16 @@ def test_escapes_come_back():
 def test_typed_parts(spark):
     part = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
     rows = [
-        (1, 0, "user", [("text", "look <|end|>", None, None, None, None, None), ("image", None, "a.png", 57, 28, None, None), None, ("audio", None, "b.wav", None, None, 1.01, None)]),
-        (1, 1, "assistant", [("text", "fine", None, None, None, None, None), ("document", None, "c.pdf", None, None, None, 2), ("odd kind", None, None, None, None, None, None)]),
+        (1, 0, "user", [("text", "look <|end|>", None, None, None, None, None), ("image", None, "a.png", 57, 28, None, None), None,
+            ("audio", None, "b.wav", None, None, 1.01, None)]),
+        (1, 1, "assistant", [("text", "fine", None, None, None, None, None), ("document", None, "c.pdf", None, None, None, 2),
+            ("odd kind", None, None, None, None, None, None)]),
         (2, None, None, None), (2, None, None, None),
     ]
     df = spark.createDataFrame(rows, f"conv_id int, turn int, role string, parts array<{part}>")
     got = {r.conv_id: r for r in chat.format_chats(df).collect()}
-    assert [(a.place, a.type, a.ref, a.tokens) for a in got[1].attachments] == [(0, "image", "a.png", 3), (1, "audio", "b.wav", 26), (2, "document", "c.pdf", 512), (3, "odd kind", None, 1)]
+    assert [(a.place, a.type, a.ref, a.tokens) for a in got[1].attachments] == [(0, "image", "a.png", 3), (1, "audio", "b.wav", 26),
+        (2, "document", "c.pdf", 512), (3, "odd kind", None, 1)]
     assert got[1].attachment_tokens == 542
     assert chat.read_back(got[1].formatted) == [("user", "look <|end|>"), ("assistant", "fine")]
     assert [got[1].formatted[s.begin : s.end] for s in got[1].loss_spans] == ["fine"]
@@ -313,7 +338,8 @@ def by_loops(net, text):
 
 def test_language_equals_plain_loops(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(12)
-    strange = spark.createDataFrame([(900, "가나다라마바사 아자차카"), (901, "x"), (902, "é" * 300), (903, "12 ab"), (904, "12 34"), (905, None)], "doc_id long, text string")
+    strange = spark.createDataFrame([(900, "가나다라마바사 아자차카"), (901, "x"), (902, "é" * 300), (903, "12 ab"), (904, "12 34"), (905, None)],
+        "doc_id long, text string")
     net = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     df = docs.select("doc_id", "text").union(strange)
     got = {r.doc_id: r for r in language.predict(df, net, keep=("text",)).collect()}
@@ -337,9 +363,11 @@ def test_language_odd(odd, none):
 
 def test_pooled_tables_are_the_convolution():
     rng = np.random.default_rng(0)
-    net = language.Net(["a"], {w: rng.normal(size=(w, 256, 4)).astype(np.float32) for w in language.WIDTHS}, np.zeros(12, np.float32), np.zeros((12, 1)), np.zeros(1), np.ones(65536, bool))
+    net = language.Net(["a"], {w: rng.normal(size=(w, 256, 4)).astype(np.float32) for w in language.WIDTHS}, np.zeros(12, np.float32),
+        np.zeros((12, 1)), np.zeros(1), np.ones(65536, bool))
     x = rng.integers(0, 256, (3, 20)).astype(np.uint8)
-    want = [max(sum(net.tables[w][j][x[i, p + j], f] for j in range(w)) for p in range(20 - w + 1)) for i in range(3) for w in language.WIDTHS for f in range(4)]
+    want = [max(sum(net.tables[w][j][x[i, p + j],
+        f] for j in range(w)) for p in range(20 - w + 1)) for i in range(3) for w in language.WIDTHS for f in range(4)]
     assert np.allclose(language.Pools(net)(x).ravel(), np.maximum(want, 0), atol=1e-4)
 
 
@@ -421,7 +449,8 @@ def test_media(spark, sf_dir):
     for r in queries.op9_matroska(spark, sf_dir).collect():
         raw = want[r.doc_id].encode()
         payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(),
+            zlib.crc32(payload[-32:]))
 
 
 @pytest.mark.parametrize("lacing", [matroska.NO_LACING, matroska.XIPH, matroska.FIXED, matroska.EBML_LACING])
@@ -456,7 +485,8 @@ def test_blocks_that_refer_are_no_keys():
     data = lambda t: m.element(m.BLOCK, b"\x81" + t.to_bytes(2, "big") + b"\0abc")
     refers = m.element(m.REFERENCE, b"\x01")
     cluster = m.element(m.CLUSTER, m.number(m.CLUSTER_TIME, 0) + block(data(0)) + block(data(1), refers) + block(refers, data(2)) + block(data(3)))
-    point = m.element(m.CUE_POINT, m.element(m.CUE_POSITIONS, m.number(m.CUE_CLUSTER, 5) + m.number(m.CUE_TRACK, 2)) + m.element(m.CUE_POSITIONS, m.number(m.CUE_TRACK, 3) + m.number(m.CUE_CLUSTER, 6)) + m.number(m.CUE_TIME, 7))
+    point = m.element(m.CUE_POINT, m.element(m.CUE_POSITIONS, m.number(m.CUE_CLUSTER, 5) + m.number(m.CUE_TRACK,
+        2)) + m.element(m.CUE_POSITIONS, m.number(m.CUE_TRACK, 3) + m.number(m.CUE_CLUSTER, 6)) + m.number(m.CUE_TIME, 7))
     cues = m.element(m.CUES, point + m.element(m.CUE_POINT, m.element(m.CUE_POSITIONS, m.number(m.CUE_CLUSTER, 9))))
     head = m.element(m.EBML, m.element(m.DOC_TYPE, b"matroska"))
     body = cluster + cues
@@ -507,7 +537,8 @@ def test_toxicity_held_out(spark):
 
 
 def scorer(**weights):
-    return toxicity.Scorer(toxicity.Lexicon({w: (c, 1.0) for c, ws in toxicity.CLASSES.items() for w in ws.split()}, {"zork": 2.0}), toxicity.CONTEXTS | weights)
+    return toxicity.Scorer(toxicity.Lexicon({w: (c, 1.0) for c, ws in toxicity.CLASSES.items() for w in ws.split()}, {"zork": 2.0}),
+        toxicity.CONTEXTS | weights)
 
 
 def test_clauses():
@@ -529,7 +560,8 @@ def contexts_by_rule(reads):
     t, out = toxicity, {}
     for i, r in enumerate(reads):
         if r == t.INSULT or r == t.ACT and near(i, {t.MODAL}, 4, 4):
-            found = {t.HEAPED: r == t.INSULT and near(i, {t.INSULT}, 2, 0), t.AIMED: near(i, {t.TARGET}, 4, 4), t.NEGATED: near(i, {t.LATE}, 3, 4) or near(i, {t.NEGATION}, 3, 0)}
+            found = {t.HEAPED: r == t.INSULT and near(i, {t.INSULT}, 2, 0), t.AIMED: near(i, {t.TARGET}, 4, 4),
+                t.NEGATED: near(i, {t.LATE}, 3, 4) or near(i, {t.NEGATION}, 3, 0)}
             found[t.REPORTED] = t.REPORT in reads or reads[:i].count(t.QUOTE) % 2 == 1
             out[i] = t.symbol(t.INSULT if r == t.INSULT else t.THREAT, [c for c, yes in found.items() if yes])
     return out
@@ -605,7 +637,8 @@ def test_lines_odd(odd, none):
 def test_decontamination_tolerates_substitutions(spark):
     item = [f"b{i}" for i in range(30)]
     swapped = [w if i % 6 else "other" for i, w in enumerate(item)]
-    docs = [(1, "x y " + " ".join(item) + " z"), (2, " ".join(swapped)), (3, "X Y, ".join(item[:8])), (4, None), (5, ""), (None, "pre " + " ".join(item).upper()), (6, "some clean text " * 50)]
+    docs = [(1, "x y " + " ".join(item) + " z"), (2, " ".join(swapped)), (3, "X Y, ".join(item[:8])), (4, None), (5, ""),
+        (None, "pre " + " ".join(item).upper()), (6, "some clean text " * 50)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame([(10, " ".join(item)), (11, None), (12, "short item")], "item_id long, text string")
     for most in (decontaminate.BROADCAST_TOKENS, 0):
@@ -622,11 +655,13 @@ def test_decontamination_lays_whole_items(spark, most):
     rng = random.Random(8)
     items = [[f"i{k}x{j}" for j in range(n)] for k, n in enumerate((1000, 256, 257, 700, 513, 60, 20))]
     phrase = [f"p{i}" for i in range(9)]
-    items += [[f"q{j}" for j in range(400)], ["two", "plus", "two", "is", "five"], [*phrase, *(f"a{i}" for i in range(12)), *phrase, *(f"b{i}" for i in range(12))]]
+    items += [[f"q{j}" for j in range(400)], ["two", "plus", "two", "is", "five"],
+        [*phrase, *(f"a{i}" for i in range(12)), *phrase, *(f"b{i}" for i in range(12))]]
     spread = [w if j < 9 or j % 300 == 0 else "other" for j, w in enumerate(items[0])]
     docs = [
         items[0], ["pre", "fix", *items[0], "end"], spread, items[0][400:], items[0][:601], ["x"] * 300 + items[0][300:900] + ["y"] * 200,
-        [w if rng.random() < 0.8 else "other" for w in items[3]], items[1] + items[2], items[4] + items[4][100:400], items[5] + items[6], items[4][:100] + items[3] + items[4][100:], ["x"] * 2000, items[0][500:507], [],
+        [w if rng.random() < 0.8 else "other" for w in items[3]], items[1] + items[2], items[4] + items[4][100:400], items[5] + items[6],
+        items[4][:100] + items[3] + items[4][100:], ["x"] * 2000, items[0][500:507], [],
         ["z"] * 70 + items[7] + ["z"], [w if j % 7 else "other" for j, w in enumerate(items[7])], items[8], ["x", *items[8], "x", *items[8]], items[8][:4],
         ["x", "y", *phrase, *(w if i % 4 == 3 or i > 9 else f"o{i}" for i, w in enumerate(items[9][30:]))], phrase * 3,
     ]
@@ -637,7 +672,8 @@ def test_decontamination_lays_whole_items(spark, most):
     got = decontaminate.contaminated(twice, spark.createDataFrame(bench, "item_id long, text string"), broadcast_tokens=most)
     assert sorted(tuple(r) for r in got.collect()) == want
     assert {(0, 0, 1000, 1000, 0, 1.0), (1, 0, 1000, 1000, 2, 1.0), (2, 0, 1000, 12, 0, 0.012)} <= set(want)
-    assert {(14, 7, 400, 400, 70, 1.0), (16, 8, 5, 5, 0, 1.0), (17, 8, 5, 5, 1, 1.0), (19, 9, 42, 13, -19, 0.309524)} <= set(want) and not any(r[0] == 18 for r in want)
+    assert {(14, 7, 400, 400, 70, 1.0), (16, 8, 5, 5, 0, 1.0), (17, 8, 5, 5, 1, 1.0),
+        (19, 9, 42, 13, -19, 0.309524)} <= set(want) and not any(r[0] == 18 for r in want)
 
 
 def test_decontamination_by_a_repeated_phrase(spark):

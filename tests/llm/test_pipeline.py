@@ -17,7 +17,9 @@ def docs(spark):
     body = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
     item = " ".join(f"b{i}" for i in range(30))
     rows = [(i, body(i), "en", f"s{i % 3}", 400, "extra") for i in range(30)]
-    rows += [(100, body(3), "en", "s0", 400, "copy"), (101, body(4).replace("w4x40", "changed"), "en", "s1", 400, "near"), (102, f"{body(50)} {item}", "en", "s1", 400, "leak"), (103, "12345 67 89", "en", "s1", 11, "no letter"), (104, None, None, None, None, None), (5, body(5), "en", "s2", 400, "extra")]
+    rows += [(100, body(3), "en", "s0", 400, "copy"), (101, body(4).replace("w4x40", "changed"), "en", "s1", 400, "near"),
+        (102, f"{body(50)} {item}", "en", "s1", 400, "leak"), (103, "12345 67 89", "en", "s1", 11, "no letter"),
+        (104, None, None, None, None, None), (5, body(5), "en", "s2", 400, "extra")]
     return stage(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _row string"), "test")
 
 
@@ -79,7 +81,8 @@ def test_near_dedup_is_exact(spark, sf_dir, monkeypatch, chunk):
         seen.add(round(similarity(rows[-1][1], rows[-2][1]), 2))
 
     for _ in range(25):
-        for shingles, ends, cut in ((5, 0, 1), (4, 0, 1), (6, 0, 1), (6, 1, 0), (8, 1, 1), (9, 1, 0), (10, 0, 2), (8, 2, 0), (100, 25, 0), (100, 14, 0), (100, 11, 0), (100, 0, 20), (100, 8, 0), (360, 40, 0), (20, 0, 3)):
+        for shingles, ends, cut in ((5, 0, 1), (4, 0, 1), (6, 0, 1), (6, 1, 0), (8, 1, 1), (9, 1, 0), (10, 0, 2), (8, 2, 0), (100, 25, 0),
+            (100, 14, 0), (100, 11, 0), (100, 0, 20), (100, 8, 0), (360, 40, 0), (20, 0, 3)):
             pair(shingles, ends, cut)
     chain = [f"c{i}" for i in range(200)]
     rows += [(len(rows) + k, " ".join(chain[8 * k : 8 * k + 84])) for k in range(12)]
@@ -103,10 +106,13 @@ def odd(spark):
     item = " ".join(f"b{i}" for i in range(30))
     body = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
     rows = [
-        (None, f"leak {item}", "a", 1), (None, body(1), "b", 2), (7, f"other {body(5)} leak {item}", "c", 3), (7, body(2), "d", 4), (7, body(2), "e", 5), (7, body(2), "d", 4),
-        (8, body(3), None, None), (9, "", "g", 7), (10, None, "h", 8), (11, LONG + body(4), "i", 9), (12, "  \n", "j", 10), (None, None, "k", 11), (None, "", "l", 12),
+        (None, f"leak {item}", "a", 1), (None, body(1), "b", 2), (7, f"other {body(5)} leak {item}", "c", 3), (7, body(2), "d", 4),
+        (7, body(2), "e", 5), (7, body(2), "d", 4),
+        (8, body(3), None, None), (9, "", "g", 7), (10, None, "h", 8), (11, LONG + body(4), "i", 9), (12, "  \n", "j", 10),
+        (None, None, "k", 11), (None, "", "l", 12),
     ]
-    return stage(spark.createDataFrame([(i, t, "en", k, n, "r", 0.5) for i, t, k, n in rows], "doc_id long, text string, lang string, source string, key int, row string, score double"), "odd")
+    return stage(spark.createDataFrame([(i, t, "en", k, n, "r", 0.5) for i, t, k, n in rows],
+        "doc_id long, text string, lang string, source string, key int, row string, score double"), "odd")
 
 
 def whole(df):
@@ -161,7 +167,8 @@ def test_language_stage_decides(spark, sf_dir):
     part = lambda lang: "".join(r.text for r in table.where(f"lang = '{lang}' and length(text) > 600").orderBy("doc_id").limit(3).collect())[:1536]
     mixed, hangul = "".join(part(x) for x in ("en", "de", "fr", "es")), "가나다라 마바사 아자차카타파하 " * 20
     a, b, c = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 4 == 2][:3]  # nothing is learned from them
-    more = spark.createDataFrame([(a, mixed, "en", "s", 1), (b, hangul, "en", "s", 1), (c, part("de"), "fr", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    more = spark.createDataFrame([(a, mixed, "en", "s", 1), (b, hangul, "en", "s", 1), (c, part("de"), "fr", "s", 1)],
+        "doc_id long, text string, lang string, source string, n_chars long")
     got = set(ids(pipeline.language_id(spark, table.unionByName(more), sf_dir)))
     assert not got & {a, b} and c in got
     own = table.where("length(text) > 100 and text rlike '[A-Za-z]{3}'")
