@@ -56,8 +56,10 @@ LOWER[65:91] += 32
 
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... (size[0] of them), then the same of the next."""
-    ends = np.cumsum(size)
-    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(size, dtype=np.int32)
+    out = np.repeat(begin.astype(np.int32) - (ends - size.astype(np.int32)), size)
+    out += np.arange(len(out), dtype=np.int32)
+    return out
 
 
 def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,8 +91,9 @@ def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         inside = _spread(part[here], size)
         kind[inside], low[inside], first[inside] = ODD, data[inside], False
         first[part[here]] = True
-    start = np.flatnonzero(first[:n])
-    size, kinds = np.diff(np.append(start, n)), kind[start]
+    start = np.flatnonzero(first[:n]).astype(np.int32)
+    del first
+    size, kinds = np.diff(np.append(start, np.int32(n))), kind[start]
     real = kinds != SPACE
     start = start[real]
     return low[kind != SPACE], size[real], kinds[real], np.searchsorted(start, begins)
@@ -113,7 +116,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         split = ((rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        added = [t["content"] for t in rules.get("added_tokens", []) if t["content"][:1] != "<" or t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]]
+        added = [t["content"] for t in rules.get("added_tokens",
+            []) if t["content"][:1] != "<" or t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]]
         lowered = (rules.get("normalizer") or {}).get("normalizers") == NORMALIZER and split.get("pattern") == {"Regex": SPLIT}
         self.by_words = lowered and not added and rules["model"].get("end_of_word_suffix") == WORD_END and rules.get("post_processor") is None
         vocab = self.tok.get_vocab(with_added_tokens=True)
@@ -133,14 +137,16 @@ class Encoder:
         if cut[0] == cut[-1]:
             return [end] * len(texts)
         data, size, kinds, before = words(np.frombuffer(texts.buffers()[2], np.uint8)[cut[0] : cut[-1]], cut[:-1] - cut[0])
-        ends = np.append(0, np.cumsum(size)).astype(np.int32)
+        ends = np.zeros(len(size) + 1, np.int32)
+        np.cumsum(size, out=ends[1:])
         coded = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        del ends, data, size
         which = coded.indices.to_numpy()
         kind = np.zeros(len(coded.dictionary), np.uint8)
         kind[which] = kinds
         found = [*self._ids(coded.dictionary.to_pylist(), kind == ODD), end.tobytes()]
         flat = np.frombuffer(b"".join(found), self.dtype)
-        long = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        long = np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize
         after = np.append(before[1:], len(which))
         which = np.insert(which, after, len(found) - 1)
         n = long[which]
@@ -258,7 +264,8 @@ def pack(docs: list[int | None], counts: list[int], ids: np.ndarray, base: int)
     kind = np.dtype(f"<u{width}")
     known = np.array([d is not None for d in docs], np.uint8)
     body = b"".join(
-        [rules.astype(kind).tobytes(), length.astype("<u4").tobytes(), known.tobytes(), np.array([d or 0 for d in docs], "<i8").tobytes(), np.array(counts, "<u8").tobytes(), seq.astype(kind).tobytes()]
+        [rules.astype(kind).tobytes(), length.astype("<u4").tobytes(), known.tobytes(), np.array([d or 0 for d in docs], "<i8").tobytes(),
+            np.array(counts, "<u8").tobytes(), seq.astype(kind).tobytes()]
     )
     return HEADER.pack(MAGIC, base, len(rules), len(seq), len(ids), len(docs), width, zlib.crc32(body)) + body
 
@@ -307,7 +314,8 @@ class Shard:
         return self.ids(int(self.starts[i]), int(self.starts[i] + self.counts[i]))
 
 
-def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json", path: str | None = None, end_id: int = 1) -> DataFrame:
+def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json", path: str | None = None,
+    end_id: int = 1) -> DataFrame:
     """Encode, compress and write all texts to the shared folder; returns the table of shards (part, shard, shard_ids, data) read from it.
 
     Null texts are empty (the end id alone). Null ids come first; rows of one id follow each other, ordered
@@ -323,7 +331,8 @@ def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", toke
 
         def flush() -> pa.RecordBatch:
             data = pack(docs, counts, np.concatenate(parts), enc.size)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([total], pa.int64()), pa.array([data], pa.binary())], ["part", "shard", "shard_ids", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([total], pa.int64()),
+                pa.array([data], pa.binary())], ["part", "shard", "shard_ids", "data"])
 
         for b in runtime.slices(batches, "_t", max_rows=4096, max_bytes=8 << 20):
             for d, e in zip(b.column("_i").to_pylist(), enc.encode(b.column("_t"), end_id)):
@@ -337,6 +346,8 @@ def write_shards(df: DataFrame, id_col: str = "doc_id", text: str = "text", toke
                 total += n
         if docs:
             yield flush()
+        docs, parts, counts = [], [], []
+        runtime.tidy()
 
     # The hash parts the rows of one id, the last column those that are equal.
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(997))
@@ -361,7 +372,8 @@ def read_shards(shards: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(s.doc(i).astype("<u4").tobytes()) for i in range(len(s.docs))]
                 same = lambda x: pa.array([x] * len(crc), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [same(b.column("part")[row].as_py()), same(b.column("shard")[row].as_py()), pa.array(s.docs, pa.int64()), pa.array(s.starts), pa.array(s.counts), pa.array(crc, pa.int64())],
+                    [same(b.column("part")[row].as_py()), same(b.column("shard")[row].as_py()), pa.array(s.docs, pa.int64()),
+                        pa.array(s.starts), pa.array(s.counts), pa.array(crc, pa.int64())],
                     ["part", "shard", "_i", "own_start", "n_tokens", "ids_crc32"],
                 )
 
