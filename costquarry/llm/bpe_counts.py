@@ -146,11 +146,13 @@ def counter(tokenizer: str, path: str | None = None) -> TokenCounter:
     return _counters[path]
 
 
-def token_counts(df: DataFrame, text: str = "text", id_col: str = "doc_id", tokenizer: str = "byte_bpe_50k.json", path: str | None = None, limit: int = 512) -> DataFrame:
+def token_counts(df: DataFrame, text: str = "text", id_col: str = "doc_id", tokenizer: str = "byte_bpe_50k.json", path: str | None = None,
+    limit: int = 512) -> DataFrame:
     """One row per input row: the id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
-    Null and empty texts: 0 bytes, 0 tokens. Null ids and repeated rows are kept as they are; other
-    columns are not read, so clashing names do no harm. path: the vocabulary file on the executors,
+    Null and empty texts: 0 bytes, 0 tokens. A text is counted whole, however long. Null ids and repeated
+    rows are kept as they are, and an empty table gives no rows; other columns are not read, so clashing
+    names do no harm. path: the vocabulary file on the executors,
     by default where the installed tokenizer files are.
     """
     runtime.ship(df.sparkSession)
@@ -160,7 +162,8 @@ def token_counts(df: DataFrame, text: str = "text", id_col: str = "doc_id", toke
         for b in runtime.slices(batches, "t"):
             n = [count(t) for t in b.column("t").to_pylist()]
             size = pa.compute.fill_null(pa.compute.binary_length(b.column("t")), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("i"), size, pa.array(n, pa.int64()), pa.array([x > limit for x in n])], ["i", "n_bytes", "n_tokens", "over_limit"])
+            yield pa.RecordBatch.from_arrays([b.column("i"), size, pa.array(n, pa.int64()), pa.array([x > limit for x in n])],
+                ["i", "n_bytes", "n_tokens", "over_limit"])
 
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(df[id_col].alias("i"), df[text].alias("t"))

@@ -101,12 +101,14 @@ def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("type"), F.coalesce(text, F.lit("")).alias("text"), *(F.lit(None).cast(t).alias(n) for n, t in empty.items())))
 
 
-def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts", loss_role: str = "assistant") -> DataFrame:
+def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts",
+    loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: formatted string, loss spans (code points), attachments and their tokens.
 
     Turns go by `turn`, null first; ties by role, then parts, so repeated rows stay and reruns agree.
     A null role is an empty one; null parts and texts are empty. Rows of a null id are one conversation.
-    A conversation is one output row, so it is gathered whole; nothing else is.
+    A conversation is one output row, so it is gathered whole, however long; nothing else is. An empty table
+    gives no rows; other columns are not read.
     """
     runtime.ship(df.sparkSession)
     one = F.struct(df[turn].alias("turn"), df[role].alias("role"), df[parts].alias("parts"))
@@ -131,7 +133,8 @@ def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
                 kinds = kinds or {
                     "formatted": pa.string(),
                     "loss_spans": pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])),
-                    "attachments": pa.list_(pa.struct([("place", pa.int32()), ("turn", pa.int32()), ("type", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())])),
+                    "attachments": pa.list_(pa.struct([("place", pa.int32()), ("turn", pa.int32()), ("type", pa.string()),
+                        ("ref", pa.string()), ("tokens", pa.int64())])),
                     "attachment_tokens": pa.int64(),
                 }
                 yield pa.RecordBatch.from_arrays([b.column("conv_id"), *(pa.array(rows[k], t) for k, t in kinds.items())], ["conv_id", *kinds])
@@ -140,7 +143,11 @@ def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What can be read back from format_chats(): turns and the text under the loss mask, as counts and digests."""
+    """What can be read back from format_chats(): turns and the text under the loss mask, as counts and digests.
+
+    A row for each conversation, whatever its id; a conversation without assistant text has an empty loss text.
+    Only the columns of format_chats() are read, so further ones do no harm. No rows: no rows.
+    """
     runtime.ship(formatted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +159,8 @@ def digests(formatted: DataFrame) -> DataFrame:
                 rows.append((len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), _sha(loss), len(text)))
             n, turns_sha, chars, loss_sha, total = zip(*rows) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [b.column("conv_id"), pa.array(n, pa.int64()), pa.array(turns_sha, pa.string()), pa.array(chars, pa.int64()), pa.array(loss_sha, pa.string()), pa.array(total, pa.int64()), b.column("attachment_tokens")],
+                [b.column("conv_id"), pa.array(n, pa.int64()), pa.array(turns_sha, pa.string()), pa.array(chars, pa.int64()),
+                    pa.array(loss_sha, pa.string()), pa.array(total, pa.int64()), b.column("attachment_tokens")],
                 ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "attachment_tokens"],
             )
 

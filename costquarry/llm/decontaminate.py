@@ -83,7 +83,8 @@ def _by_segments(docs: DataFrame, items: DataFrame, seeds: DataFrame, masks: tup
     laid = laid.withColumn("_k", F.explode(F.sequence((lowest / SEGMENT).cast("int"), (highest / SEGMENT).cast("int"))))
     first, part = _under(F.col("_dw"), F.col("_k") * SEGMENT, (F.col("_k") + 1) * SEGMENT, F.col("start"))
     laid = laid.select("_i", "_mark", "_item", "start", "_k", (first - F.col("_k") * SEGMENT).alias("_b"), part.alias("_part"))
-    cut = items.select("_item", F.xxhash64("_iw").alias("_im"), F.size("_iw").alias("item_tokens"), "_iw", F.explode(F.sequence(F.lit(0), ((F.size("_iw") - 1) / SEGMENT).cast("int"))).alias("_k"))
+    cut = items.select("_item", F.xxhash64("_iw").alias("_im"), F.size("_iw").alias("item_tokens"), "_iw",
+        F.explode(F.sequence(F.lit(0), ((F.size("_iw") - 1) / SEGMENT).cast("int"))).alias("_k"))
     cut = cut.select("_item", "_im", "item_tokens", "_k", F.slice("_iw", F.col("_k") * SEGMENT + 1, F.lit(SEGMENT)).alias("_is"))
     same = _equal(F.col("_part"), F.slice("_is", F.col("_b") + 1, F.size("_part")))
     counted = laid.join(send(cut), ["_item", "_k"]).select("_i", "_mark", "_item", "_im", "start", "item_tokens", "_k", same.alias("n"))
@@ -131,7 +132,8 @@ def contaminated(
     best = hits.where("n >= least").groupBy("_i", "_item").agg(F.max(F.struct("n", (-F.col("start")).alias("back"), "item_tokens")).alias("best"))
     start, n = -F.col("best.back"), F.col("best.n")
     total = F.col("best.item_tokens")
-    return best.select(F.col("_i").alias(id_col), F.col("_item").alias(item_col), total.cast("long").alias("item_tokens"), n.cast("long").alias("matched_tokens"), start.cast("long").alias("start"), F.round(n / total, 6).alias("share"))
+    return best.select(F.col("_i").alias(id_col), F.col("_item").alias(item_col), total.cast("long").alias("item_tokens"),
+        n.cast("long").alias("matched_tokens"), start.cast("long").alias("start"), F.round(n / total, 6).alias("share"))
 
 
 def _oracle() -> str:
@@ -154,7 +156,8 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')
               FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
      best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, start) AS place FROM laid
               WHERE n >= CASE WHEN item_tokens < {shortest} THEN item_tokens ELSE least({MIN_MATCHED}, ceil(item_tokens * {MIN_SHARE})) END)
-SELECT doc_id, item_id, CAST(item_tokens AS BIGINT) AS item_tokens, CAST(n AS BIGINT) AS matched_tokens, CAST(start AS BIGINT) AS start, round(n / item_tokens, 6) AS share FROM best WHERE place = 1
+SELECT doc_id, item_id, CAST(item_tokens AS BIGINT) AS item_tokens, CAST(n AS BIGINT) AS matched_tokens, CAST(start AS BIGINT) AS start,
+round(n / item_tokens, 6) AS share FROM best WHERE place = 1
 """
 
 

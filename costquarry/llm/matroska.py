@@ -84,8 +84,10 @@ def mux(payload: bytes, frame: int = FRAME, rate: int = RATE, per_block: int = 8
     step = frame * 1000 // rate
     frames = [payload[i : i + frame] for i in range(0, len(payload), frame)]
     audio = element(AUDIO, element(SAMPLING, struct.pack(">d", rate)) + number(CHANNELS, 1) + number(BIT_DEPTH, 8))
-    track = number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(FLAG_LACING, int(lacing != NO_LACING)) + number(DEFAULT_DURATION, step * 1_000_000) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio
-    parts = [element(INFO, number(TIMESTAMP_SCALE, 1_000_000) + element(DURATION, struct.pack(">d", float(step * len(frames))))), element(TRACKS, element(TRACK_ENTRY, track))]
+    track = number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(FLAG_LACING,
+        int(lacing != NO_LACING)) + number(DEFAULT_DURATION, step * 1_000_000) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio
+    parts = [element(INFO, number(TIMESTAMP_SCALE, 1_000_000) + element(DURATION, struct.pack(">d", float(step * len(frames))))),
+        element(TRACKS, element(TRACK_ENTRY, track))]
     at, cues = sum(map(len, parts)), []
     for c in range(0, len(frames), per_cluster):
         group, body = frames[c : c + per_cluster], [number(CLUSTER_TIME, c * step)]
@@ -191,7 +193,8 @@ def parse(data: bytes | None) -> Parsed:
                 lacing = flags >> 1 & 3
                 step = tracks.get(which, {}).get("default_ns", 0) / 1e6
                 for i, (offset, n) in enumerate(_frames(data, p + 3, end, lacing)):
-                    packets.append(Packet(which, (cluster + relative) * scale / 1e6 + i * step, offset, n, bool(flags & 0x80) if ident == SIMPLE_BLOCK else not refers, lacing))
+                    packets.append(Packet(which, (cluster + relative) * scale / 1e6 + i * step, offset, n,
+                        bool(flags & 0x80) if ident == SIMPLE_BLOCK else not refers, lacing))
             elif ident == REFERENCE:
                 refers = True
                 packets[group:] = [p._replace(key=False) for p in packets[group:]]
@@ -222,10 +225,12 @@ def packet_table(df: DataFrame, id_col: str, media: str) -> DataFrame:
         for b in runtime.slices(batches, "_m", max_rows=64):
             for i, m in enumerate(b.column("_m")):
                 if p := parse(m.as_py()).packets:
-                    yield pa.RecordBatch.from_arrays([pa.array([b.column("_i")[i].as_py()] * len(p), b.column("_i").type), *map(pa.array, zip(*p))], ["_i", *Packet._fields])
+                    yield pa.RecordBatch.from_arrays([pa.array([b.column("_i")[i].as_py()] * len(p), b.column("_i").type),
+                        *map(pa.array, zip(*p))], ["_i", *Packet._fields])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(df[id_col].alias("_i"), df[media].alias("_m")).mapInArrow(run, f"_i {kind}, track long, time_ms double, offset long, size long, key boolean, lacing long").withColumnRenamed("_i", id_col)
+    return df.select(df[id_col].alias("_i"), df[media].alias("_m")).mapInArrow(run,
+        f"_i {kind}, track long, time_ms double, offset long, size long, key boolean, lacing long").withColumnRenamed("_i", id_col)
 
 
 def payload_of(text: bytes | None, unit: int = FRAME) -> bytes:

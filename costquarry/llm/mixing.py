@@ -49,7 +49,8 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float
     t = t.withColumn("_level", left / open_weight).withColumn("_stops", F.col("_cap") / F.col("weight") < F.col("_level"))
     level = F.min(F.when(~F.col("_stops"), F.struct(F.col("_cap") / F.col("weight"), F.col("_level")))).over(whole)
     t = t.withColumn("_final", level.getField("_level"))
-    return t.select("source", "source_size", "n_docs", "weight", F.least(F.col("_cap"), F.coalesce(F.col("_final") * F.col("weight"), F.col("_cap"))).alias("target"))
+    return t.select("source", "source_size", "n_docs", "weight", F.least(F.col("_cap"),
+        F.coalesce(F.col("_final") * F.col("weight"), F.col("_cap"))).alias("target"))
 
 
 def pivot(share: np.ndarray, size: np.ndarray, draw: np.ndarray) -> int:
@@ -112,23 +113,27 @@ def round_blocks(open_rows: DataFrame, blocks: Column, level: int, seed: int) ->
     return dealt.select(*cols, "_block", "_draw").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in cols))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = 7) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS,
+    cap: float = CAP, seed: int = 7) -> DataFrame:
     """One row per input row: id, source, size, source_size, target, copies and taken (copies * size).
 
     Words taken of a source come within about one document of its target; no row has more than
     ceil(cap) copies. Null texts have size 0 and the whole part of copies; a null source is a source of
     its own, last in order. Null or repeated ids: each row is rounded by itself; rows that are equal in
-    id, source and size are told apart by a running number, so reruns agree. Extra columns are not read.
+    id, source and size are told apart by a running number, so reruns agree. Of a text only its size is used,
+    however long. An empty table gives no rows. Extra columns are not read.
     """
     spark = df.sparkSession
     ship(spark)
-    sized = df.select(df[id_col].alias("doc_id"), df[source].cast("string").alias("source"), word_count(df[text]).alias("size"), F.xxhash64(df[text]).alias("_mark"))
+    sized = df.select(df[id_col].alias("doc_id"), df[source].cast("string").alias("source"), word_count(df[text]).alias("size"),
+        F.xxhash64(df[text]).alias("_mark"))
     sized = stage(sized, "sizes")
     per_source = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))), "targets")
     ratio = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     twin = Window.partitionBy("doc_id", "_mark", "source").orderBy("size")
     rows = sized.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "_mark", F.row_number().over(twin)))
-    rows = rows.join(per_source.select(F.col("source").alias("_s"), "n_docs", ratio.alias("_ratio")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "_mark")
+    rows = rows.join(per_source.select(F.col("source").alias("_s"), "n_docs", ratio.alias("_ratio")),
+        F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "_mark")
     rows = rows.withColumn("whole", F.floor(F.col("_ratio") + F.lit(TINY)).cast("long"))
     rows = rows.withColumn("share", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("_ratio") - F.col("whole"))).otherwise(F.lit(0.0)))
     most = per_source.agg(F.max("n_docs")).first()[0] or 0
@@ -140,7 +145,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
         done.append(now.where(~fractional))
         level, blocks = level + 1, blocks / BLOCK
         up = now.where(fractional).join(per_source.select(F.col("source").alias("_s"), "n_docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        now = stage(round_blocks(up.select("source", "doc_id", "key", "size", "share", "n_docs"), F.ceil(F.col("n_docs") / F.lit(float(BLOCK) ** (level + 1))), level, seed), "rounded")
+        now = stage(round_blocks(up.select("source", "doc_id", "key", "size", "share", "n_docs"),
+            F.ceil(F.col("n_docs") / F.lit(float(BLOCK) ** (level + 1))), level, seed), "rounded")
     # At the root one fractional share a source is left: it is drawn.
     last = F.when(fractional, (_unit(F.col("key"), seed, "root") < F.col("share")).cast("double")).otherwise(F.col("share"))
     done.append(now.withColumn("share", last))

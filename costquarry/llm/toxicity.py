@@ -305,7 +305,8 @@ def marks(words: Iterable[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
 
 
-def learn_lexicon(toxic: list[tuple[np.ndarray, np.ndarray]], clean_rows: int, clean: Callable[[np.ndarray], np.ndarray], names: Callable[[np.ndarray], dict[int, str]]) -> Lexicon:
+def learn_lexicon(toxic: list[tuple[np.ndarray, np.ndarray]], clean_rows: int, clean: Callable[[np.ndarray], np.ndarray],
+    names: Callable[[np.ndarray], dict[int, str]]) -> Lexicon:
     """toxic: for each toxic row the marks (hashes) of its entries, and of the words before them; clean: how many other rows have each of some marks; names: the entries of some marks."""
     words = {w: (c, PRIOR_WEIGHT) for c, ws in CLASSES.items() for w in ws.split()}
     stems: dict[str, float] = {}
@@ -390,7 +391,8 @@ def learn_weights(rows: list[tuple[list[tuple[str, float]], int]], y: np.ndarray
     return weights, best
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS, toxic_rows: int = SAMPLE_TOXIC) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS,
+    toxic_rows: int = SAMPLE_TOXIC) -> Model:
     """Learn from at most `rows` labelled rows that are not held out, of which at most `toxic_rows` are toxic.
 
     Whole texts are learned from; executors reduce them to hashes of their entries, to counts and to hits, so
@@ -400,7 +402,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     runtime.ship(spark)
-    usable = labels.select(labels[id_col].alias("_i"), labels[label].alias("_y")).where(F.col("_y").isNotNull() & F.col("_i").isNotNull() & ~runtime.held_out(F.col("_i")))
+    usable = labels.select(labels[id_col].alias("_i"),
+        labels[label].alias("_y")).where(F.col("_y").isNotNull() & F.col("_i").isNotNull() & ~runtime.held_out(F.col("_i")))
     one = usable.groupBy("_i").agg(F.max("_y").alias("_y"))
     chosen = runtime.smallest_hashes(one, F.col("_i"), rows).orderBy(F.xxhash64("_i", F.lit(0)), "_i").limit(rows).collect()
     toxic = {r._i for r in [r for r in chosen if r._y > 0][:toxic_rows]}
@@ -418,7 +421,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, found in each(batches):
-            yield pa.RecordBatch.from_arrays([h, pa.array([marks(e).tobytes() for e in found], pa.binary()), pa.array([marks(e.values()).tobytes() for e in found], pa.binary())], ["h", "marks", "befores"])
+            yield pa.RecordBatch.from_arrays([h, pa.array([marks(e).tobytes() for e in found], pa.binary()),
+                pa.array([marks(e.values()).tobytes() for e in found], pa.binary())], ["h", "marks", "befores"])
 
     def clean(wanted: np.ndarray) -> np.ndarray:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,6 +453,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     rows_of = sorted((r.h, bytes(r.marks), bytes(r.befores)) for r in bad.mapInArrow(hashed, "h long, marks binary, befores binary").collect())
     lexicon = learn_lexicon([(np.frombuffer(m, np.uint64), np.frombuffer(x, np.uint64)) for _, m, x in rows_of], good.count(), clean, names)
     del rows_of
+    runtime.tidy()
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
@@ -459,7 +464,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 for s, w, _ in row:
                     sum_of[s] += w
             symbols, values = pa.array([list(c) for c in total], pa.list_(pa.string())), pa.array([list(c.values()) for c in total], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("_y"), symbols, values, pa.array([n for _, n in found], pa.int64())], ["h", "y", "symbols", "sums", "clauses"])
+            yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("_y"), symbols, values, pa.array([n for _, n in found], pa.int64())],
+                ["h", "y", "symbols", "sums", "clauses"])
 
     hits = sample.mapInArrow(matches, "h long, y int, symbols array<string>, sums array<double>, clauses long").collect()
     hits.sort(key=lambda r: (r.h, r.y))
@@ -483,7 +489,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text
         for b in runtime.slices(batches, "_t"):
             x = np.array([(1.0, *scorer.features(t)) for t in b.column("_t").to_pylist()]).reshape(-1, len(w))
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_h"), pa.array(p), pa.array((p >= PREDICT_AT).astype(np.int32))], ["_i", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_h"), pa.array(p), pa.array((p >= PREDICT_AT).astype(np.int32))],
+                ["_i", "held_out", "score", "predicted"])
 
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(df[id_col].alias("_i"), df[text].alias("_t"), runtime.held_out(df[id_col]).alias("_h"))
