@@ -4,9 +4,11 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 written and read again as the next one's docs. All but the last return the columns of docs. run()
 applies them in turn.
 
-Rows that are equal in doc_id and text are one document from the second stage on; null ids are ids
-like any other there, told apart by their text. Extra columns go through; of columns that clash with
-names used inside nothing is lost, as rows travel as one struct or are joined back.
+Rows that are equal in doc_id and text are one document from the second stage on, that of the row whose
+JSON comes first; null ids are ids like any other there, told apart by their text. Texts are read whole by
+all stages, however long, and empty tables give empty ones. Extra columns go through; of columns that clash
+with names used inside nothing is lost, as rows travel as one struct or are joined back. The same rows in
+another order give the same result.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined: those without a letter, or without a likely language, go."""
+    """Documents whose language is determined: null texts and those without a letter go, those of which no language
+    has most, and those that are like nothing learned. Without a labelled text to learn from all go.
+    """
     net = language.fit(docs)
     rest = F.struct(*(docs[c] for c in docs.columns if c != "text"))
     rows = docs.select("doc_id", "text", rest.alias("row"))
@@ -50,7 +54,10 @@ def _take(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, five-word shingles similar to 0.8 or more: the one with the smallest id."""
+    """One document of each group of near duplicates, five-word shingles similar to 0.8 or more: the one with the smallest id.
+
+    Null and empty texts are one group, as are texts of blanks. A null id comes before all others.
+    """
     keyed = docs.select(_key().alias("key"), "text")
     classes = simhash.similar_texts(keyed, id_col="key", words=SHINGLE, lanes=LANES, distance=DISTANCE, likely=LIKELY, similar=SIMILAR)
     first = stage(classes.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "kept")
@@ -58,7 +65,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item. A document is its id and text: others of the same or of a null id stay."""
+    """Documents that overlap no benchmark item. A document is its id and text: others of the same or of a null id stay.
+
+    Null and empty texts overlap nothing; rows that repeat stay or go together.
+    """
     keyed = docs.select(_key().alias("key"), "text")
     found = decontaminate.contaminated(keyed, read(spark, sf_dir, "benchmark"), id_col="key")
     bad = stage(found.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_mark")).distinct(), "contaminated")
@@ -66,14 +76,18 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, which may be never."""
+    """Each document as often as the mix takes it, which may be never. Texts without a word count nothing and stay as
+    often as their source's whole part says; a null source is a source of its own.
+    """
     copies = mixing.mix(docs.select(_key().alias("key"), "text", "source"), id_col="key")
     copies = stage(copies.groupBy("key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"), "copies")
     return _take(docs, copies).select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What can be read back from the shards of token ids: doc_id, start, n_tokens, ids_crc32 of each row."""
+    """What can be read back from the shards of token ids: doc_id, start, n_tokens, ids_crc32 of each row, null ids first,
+    null texts as empty. Other columns end here.
+    """
     return repair.read_shards(repair.write_shards(docs))
 
 
