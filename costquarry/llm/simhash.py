@@ -251,9 +251,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     found = link(nodes.select(*cols), distance, masks)
     one = lambda s: F.col(f"{s}0") if lanes == 1 else F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
     roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
-    linked = nodes.join(roots, "node").select(*cols, "root", "least_id")
-    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = linked.join(least, "root").select(*cols, "component_id")
+    linked = runtime.stage(nodes.join(roots, "node").select(*cols, "root", "least_id"), "linked")
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    linked = runtime.join_counted(linked, least, ["root"], "n", n).select(*cols, "component_id")
     classes = nodes.join(linked, cols, "left").select(*cols, "copies", F.coalesce("component_id", "least_id").alias("component_id"))
     digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in reversed(cols)))
     joined = runtime.join_counted(docs, runtime.stage(classes, "classes"), cols, "copies", rows)
@@ -357,8 +357,9 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
     texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
-    linked = nodes.join(runtime.stage(connected_components(edges), "roots").withColumnRenamed("node", "mark"), "mark",
-        "left").select("mark", "root", "least_id", "copies")
-    least = linked.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = linked.join(least, "root", "left").select("mark", "copies", F.coalesce("component_id", "least_id").alias("component_id"))
+    roots = connected_components(edges).withColumnRenamed("node", "mark")
+    linked = runtime.stage(nodes.join(roots, "mark").select("mark", "root", "least_id"), "linked")
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    linked = runtime.join_counted(linked, least, ["root"], "n", n).select("mark", "component_id")
+    classes = nodes.join(linked, "mark", "left").select("mark", "copies", F.coalesce("component_id", "least_id").alias("component_id"))
     return runtime.join_counted(prints.select(id_col, "mark"), runtime.stage(classes, "classes"), ["mark"], "copies", rows).select(id_col, "component_id")
