@@ -129,7 +129,8 @@ AMOUNT_STAGES = {
     "BID_LIMIT": "입찰한도",
     "SERVICE_OR_GOODS_CEILING": "용역·물품 한도",
 }
-DOCUMENT_TYPES = (("BOQ", ("boq", "bill of quantities", "내역서", "물량")), ("도면", ("drawing", "도면", ".dwg")), ("시방서", ("specification", "시방")), ("가격·견적", ("price", "견적", "단가")))
+DOCUMENT_TYPES = (("BOQ", ("boq", "bill of quantities", "내역서", "물량")), ("도면", ("drawing", "도면", ".dwg")), ("시방서", ("specification", "시방")),
+    ("가격·견적", ("price", "견적", "단가")))
 
 
 def facility(text: Column) -> Column:
@@ -189,7 +190,8 @@ def find_country(text: Column) -> Column:
     named = [(ko, en, ko, en.lower()) for ko, en in COUNTRIES.items()] + [(ko, en, alias, alias) for alias, (ko, en) in COUNTRY_ALIASES.items()]
     # Every name by itself, the longest first: of each country its longest name that is there decides.
     names = sorted({(-len(n), place, n, ko, en, n != own) for place, (ko, en, own, other) in enumerate(named) for n in (own, other)})
-    known = _dictionary([{"name": n, "ko": ko, "en": en, "folded": str(folded)} for _, _, n, ko, en, folded in names], "name string, ko string, en string, folded string")
+    known = _dictionary([{"name": n, "ko": ko, "en": en, "folded": str(folded)} for _, _, n, ko, en, folded in names],
+        "name string, ko string, en string, folded string")
     low = F.lower(text)
     hit = F.try_element_at(F.filter(known, lambda x: F.contains(F.when(x["folded"] == "True", low).otherwise(text), x["name"])), F.lit(1))
     return F.struct(hit["ko"].alias("ko"), hit["en"].alias("en"))
@@ -209,7 +211,8 @@ def construction_relation(text: Column, category: Column) -> Column:
     has = lambda a: F.size(a) > 0
     works = F.coalesce(F.trim(category) == "공사", F.lit(False))
     reasons = F.array_compact(
-        F.array(F.when(works & has(asset), "입찰구분=공사+시설어"), F.when(has(strong), "강한건축어"), F.when(has(asset) & has(weak), "시설어+공사어"), F.when(has(asset) & has(service), "시설어+설계감리어"))
+        F.array(F.when(works & has(asset), "입찰구분=공사+시설어"), F.when(has(strong), "강한건축어"), F.when(has(asset) & has(weak), "시설어+공사어"),
+            F.when(has(asset) & has(service), "시설어+설계감리어"))
     )
     return F.struct((F.size(reasons) > 0).alias("related"), reasons.alias("reasons"), F.concat(strong, weak, asset, service).alias("keywords"))
 
@@ -282,7 +285,8 @@ def document_types(path: Column) -> Column:
 def compact_grade(grade: Column, unknown: str | None = None) -> Column:
     """A, B, C?, C, U or X by how the grade begins; C? is told from C first."""
     g = clean(grade)
-    out = F.when(g.startswith("A"), "A").when(g.startswith("B"), "B").when(g.startswith("C?"), "C?").when(g.startswith("C"), "C").when(g.startswith("U"), "U").when(g.startswith("X"), "X")
+    out = F.when(g.startswith("A"), "A").when(g.startswith("B"), "B").when(g.startswith("C?"), "C?").when(g.startswith("C"),
+        "C").when(g.startswith("U"), "U").when(g.startswith("X"), "X")
     return out.otherwise(F.lit(unknown))
 
 

@@ -121,7 +121,8 @@ def excel_column(index: Column) -> Column:
     n = index.cast("int")
     letter = lambda k: F.char(k + 65)
     one, two, three = n % 26, F.floor(n / 26).cast("int"), F.floor((n - 26) / 676).cast("int")
-    return F.when(n < 26, letter(one)).when(n < 702, F.concat(letter(two - 1), letter(one))).otherwise(F.concat(letter(three - 1), letter(F.floor((n - 702) / 26).cast("int") % 26), letter(one)))
+    return F.when(n < 26, letter(one)).when(n < 702, F.concat(letter(two - 1), letter(one))).otherwise(F.concat(letter(three - 1),
+        letter(F.floor((n - 702) / 26).cast("int") % 26), letter(one)))
 
 
 # Numbers
@@ -153,7 +154,8 @@ def usd_ceiling(x: Column) -> Column:
 def amount(x: Column) -> Column:
     """First amount marked as US dollars, else the first number."""
     t = clean(x)
-    marked = F.coalesce(F.nullif(F.regexp_extract(t, r"(?i)(?:(?:US\s*)?\$|USD)\s*([\d,]+(?:\.\d+)?)", 1), F.lit("")), F.regexp_extract(t, r"[-+]?\d[\d,]*(?:\.\d+)?", 0))
+    marked = F.coalesce(F.nullif(F.regexp_extract(t, r"(?i)(?:(?:US\s*)?\$|USD)\s*([\d,]+(?:\.\d+)?)", 1), F.lit("")),
+        F.regexp_extract(t, r"[-+]?\d[\d,]*(?:\.\d+)?", 0))
     return _number(marked)
 
 
@@ -254,7 +256,8 @@ def is_sha256(x: Column) -> Column:
 def valid_json(x: Column) -> Column:
     """One whole JSON value. The parser stops behind a value, so it is read within brackets and within braces."""
     one = F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1
-    return F.coalesce(one & F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"x":'), x, F.lit("}"))).isNotNull(), F.lit(False))
+    return F.coalesce(one & F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"x":'), x,
+        F.lit("}"))).isNotNull(), F.lit(False))
 
 
 def merge_fields(x: Column, **fields: Column) -> Column:

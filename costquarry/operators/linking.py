@@ -2,56 +2,98 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from costquarry.functions.scalars import normalize_title
 from costquarry.scratch import stage
 
 
-@F.pandas_udf(T.DoubleType())
-def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    def of(a: str, b: str) -> float:
-        if not a or not b:
-            return 0.0
-        short, long = sorted((a, b), key=len)
-        return 0.99 if len(short) >= 12 and short in long else SequenceMatcher(None, a, b).ratio()
+class Titles(NamedTuple):
+    """Candidates of one country: project, title and the title's characters with their numbers."""
 
-    return pd.Series([of(a, b) for a, b in zip(left, right)])
+    projects: list[str]
+    titles: list[str]
+    letters: list[Counter]
 
 
-def title_score(left: Column, right: Column) -> Column:
+def title_score(a: str, b: str) -> float:
     """Of normalized titles: 0.99 if one of at least 12 characters is within the other, else their matching-block ratio; empty: 0."""
-    return _similarity(left, right)
+    if not a or not b:
+        return 0.0
+    short, long = sorted((a, b), key=len)
+    return 0.99 if len(short) >= 12 and short in long else SequenceMatcher(None, a, b).ratio()
 
 
-def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_id") -> DataFrame:
-    """Scores of records (key, title, countries) against candidates (project_no, title, country) that may share a country.
+def two_best(title: str, groups: list[Titles]) -> tuple[float, str, float | None] | None:
+    """Score and project of the best candidate (of equals the first project), and the next project's score.
 
-    Rows meet by country; where either side names none any candidate may be meant, so only such rows are
-    compared with all of the other side.
+    Candidates are taken by how many characters they share with the title; those that share too few to pass the
+    second best are not compared.
     """
-    rec = records.select(key, normalize_title(F.col("title")).alias("_l"), F.col("countries"))
-    cand = candidates.select("project_no", normalize_title(F.col("title")).alias("_r"), F.nullif(F.col("country"), F.lit("")).alias("country"))
-    named, unnamed = rec.where(F.size("countries") > 0), rec.where(F.coalesce(F.size("countries"), F.lit(0)) <= 0)
-    by_country = named.select(key, "_l", F.explode(F.array_distinct("countries")).alias("country")).join(cand, "country").select(key, "_l", "project_no", "_r")
-    open_side = named.select(key, "_l").crossJoin(cand.where("country is null").select("project_no", "_r"))
-    open_record = unnamed.select(key, "_l").crossJoin(cand.select("project_no", "_r"))
-    pairs = by_country.union(open_side).union(open_record)
-    return pairs.distinct().withColumn("score", title_score(F.col("_l"), F.col("_r"))).groupBy(key, "project_no").agg(F.max("score").alias("score"))
-
-
-def decide(scores: DataFrame, key: str, sure: float = 0.98, apart: float = 0.005, fuzzy: float = 0.86, margin: float = 0.04, prefix: str = "official_report") -> DataFrame:
+    letters, bounds = Counter(title), []
+    for g in groups:
+        for project, other, own in zip(g.projects, g.titles, g.letters):
+            shared = sum(min(n, own[ch]) for ch, n in letters.items())
+            within = len(title) >= 12 or len(other) >= 12
+            bounds.append((max(2 * shared / max(1, len(title) + len(other)), 0.99 * (within and shared == min(len(title), len(other)))), project, other))
+    bounds.sort(key=lambda x: -x[0])
+    found: dict[str, float] = {}
+    second = -1.0
+    for bound, project, other in bounds:
+        if bound < second:
+            break
+        score = title_score(title, other)
+        if score > found.get(project, -1.0):
+            found[project] = score
+            ranked = sorted(found.values(), reverse=True)
+            second = ranked[1] if len(ranked) > 1 else -1.0
+    best = sorted((-score, project) for project, score in found.items())[:2]
+    return (-best[0][0], best[0][1], -best[1][0] if len(best) > 1 else None) if best else None
+
+
+def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_id", most: int = 50_000) -> DataFrame:
+    """Of records (key, title, countries) the best of the candidates (project_no, title, country) that may share a country: key, project_no, score, second.
+
+    Where a side names no country any candidate may be meant. Candidates are a list of projects: they are sent to
+    every executor, so a list of more than `most` is refused; records stay where they are, and no pair is a row.
+    """
+    rows = candidates.select("project_no", normalize_title(F.col("title")).alias("t"), F.coalesce("country", F.lit("")).alias("c")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} candidates")
+    by: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for r in rows:
+        by[r.c].append((r.project_no, r.t))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = {c: Titles([p for p, _ in x], [t for _, t in x], [Counter(t) for _, t in x]) for c, x in by.items()}
+        for b in batches:
+            out = []
+            for title, countries in zip(b.column("_l").to_pylist(), b.column("countries").to_pylist()):
+                own = {*countries, ""} if countries else groups.keys()
+                out.append(two_best(title, [groups[c] for c in own if c in groups]))
+            have = [i for i, x in enumerate(out) if x]
+            score, project, second = zip(*(out[i] for i in have)) if have else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(have, pa.int64())), pa.array(project, pa.string()),
+                pa.array(score, pa.float64()), pa.array(second, pa.float64())], [key, "project_no", "score", "second"])
+
+    src = records.select(key, normalize_title(F.col("title")).alias("_l"), F.filter("countries", lambda c: c != "").alias("countries"))
+    return src.mapInArrow(run, f"{key} {records.schema[key].dataType.simpleString()}, project_no string, score double, second double")
+
+
+def decide(scores: DataFrame, key: str, sure: float = 0.98, apart: float = 0.005, fuzzy: float = 0.86, margin: float = 0.04,
+    prefix: str = "official_report") -> DataFrame:
     """Per record the best project if it is sure and alone at the top, or good with a margin to the second; else none, with the best score kept."""
-    w = Window.partitionBy(key).orderBy(F.desc("score"), "project_no")
-    first = scores.withColumn("second", F.lead("score").over(w)).withColumn("_n", F.row_number().over(w)).where("_n = 1")
     gap = F.col("score") - F.coalesce("second", F.lit(0.0))
-    method = F.when((F.col("score") >= sure) & (gap > apart), f"{prefix}_title_containment").when((F.col("score") >= fuzzy) & (gap >= margin), f"{prefix}_title_fuzzy")
-    return first.select(key, F.when(method.isNotNull(), F.col("project_no")).alias("project_no"), method.alias("method"), "score")
+    method = F.when((F.col("score") >= sure) & (gap > apart),
+        f"{prefix}_title_containment").when((F.col("score") >= fuzzy) & (gap >= margin), f"{prefix}_title_fuzzy")
+    return scores.select(key, F.when(method.isNotNull(), F.col("project_no")).alias("project_no"), method.alias("method"), "score")
 
 
 def link(records: DataFrame, official: DataFrame, existing: DataFrame, key: str = "record_id") -> DataFrame:
@@ -75,7 +117,8 @@ def project_key(project_no: Column, alias: Column, record_id: Column) -> Column:
 
 def canonical_projects(rows: DataFrame, key: str = "project_no") -> DataFrame:
     """One row per project: with country before without, with name, longest name, latest notice; flags hold if any row's do."""
-    order = F.struct(F.coalesce("country_ko", F.lit("")) != "", F.coalesce("project_name", F.lit("")) != "", F.length(F.coalesce("project_name", F.lit(""))), "bid_no")
+    order = F.struct(F.coalesce("country_ko", F.lit("")) != "", F.coalesce("project_name", F.lit("")) != "",
+        F.length(F.coalesce("project_name", F.lit(""))), "bid_no")
     return rows.groupBy(key).agg(
         F.max_by("country_ko", order).alias("country_ko"), F.max_by("project_name", order).alias("project_name"),
         F.bool_or(F.col("contract_type") == "공사").alias("has_works_contract"), F.bool_or("construction_candidate").alias("has_construction_candidate"),
@@ -86,7 +129,8 @@ def canonical_file(files: DataFrame, digest: str = "sha256", name: str = "file_n
     """Adds canonical_name: of the files of one content the one without a copy number, then the first by name."""
     numbered = F.col(name).rlike(r"\(\d+\)\.[^.]+$")
     w = Window.partitionBy(digest)
-    return files.withColumn("canonical_name", F.min(F.struct(numbered, F.col(name).alias("n"))).over(w).getField("n")).withColumn("is_canonical", F.col(name) == F.col("canonical_name"))
+    return files.withColumn("canonical_name", F.min(F.struct(numbered,
+        F.col(name).alias("n"))).over(w).getField("n")).withColumn("is_canonical", F.col(name) == F.col("canonical_name"))
 
 
 def cyclic_parents(files: DataFrame, key: str = "file_id", parent: str = "duplicate_of") -> DataFrame:
@@ -115,7 +159,8 @@ def screening(universe: DataFrame, matches: DataFrame, key: str = "project_no")
 def crosswalk(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """How many keys two universes share and how many each has alone."""
     both = left.select(key).distinct().withColumn("l", F.lit(1)).join(right.select(key).distinct().withColumn("r", F.lit(1)), key, "full")
-    return both.agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("shared"), F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
+    return both.agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("shared"),
+        F.count_if(F.col("r").isNull()).alias("left_only"), F.count_if(F.col("l").isNull()).alias("right_only"))
 
 
 def match_violations(matches: DataFrame, reports: DataFrame, least: float = 0.85) -> DataFrame:
@@ -144,8 +189,11 @@ def finding_violations(findings: DataFrame, pages: DataFrame, units: list[str])
     from costquarry.functions.scalars import clean_or_empty, number_in_text
 
     excerpt = clean_or_empty(F.col("evidence_excerpt"))
-    on_page = findings.join(pages, "report_id").where("page between pdf_page_start and pdf_page_end").where(F.contains(clean_or_empty(F.col("text")), excerpt)).select("finding_id").distinct()
+    on_page = findings.join(pages,
+        "report_id").where("page between pdf_page_start and pdf_page_end").where(F.contains(clean_or_empty(F.col("text")),
+            excerpt)).select("finding_id").distinct()
     lost = findings.join(on_page, "finding_id", "left_anti").select("finding_id", F.lit("excerpt not on pages").alias("violation"))
-    value = findings.where(F.col("value_numeric").isNotNull() & ~number_in_text(F.col("value_numeric"), excerpt)).select("finding_id", F.lit("value not in excerpt").alias("violation"))
+    value = findings.where(F.col("value_numeric").isNotNull() & ~number_in_text(F.col("value_numeric"), excerpt)).select("finding_id",
+        F.lit("value not in excerpt").alias("violation"))
     unit = findings.where(F.col("unit").isNotNull() & ~F.col("unit").isin(*units)).select("finding_id", F.lit("unit").alias("violation"))
     return lost.union(value).union(unit)

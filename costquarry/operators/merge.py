@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from costquarry.operators import quality
 
-LIMITS = {"cases": 10_000, "related_notices": 50_000, "evaluation_projects": 10_000, "evaluation_reports": 10_000, "evaluation_matches": 20_000, "evaluation_findings": 100_000}
+LIMITS = {"cases": 10_000, "related_notices": 50_000, "evaluation_projects": 10_000, "evaluation_reports": 10_000,
+    "evaluation_matches": 20_000, "evaluation_findings": 100_000}
 IDENTITY = ("schema_version", "data_version", "audit_date", "source_sha256")
 
 
@@ -71,23 +72,29 @@ def validate_cases(cases: DataFrame, notices: DataFrame, identity: dict[str, str
             "notice without case": quality.foreign(notices, cases, "case_id"),
             "grade": quality.one_of(cases, "evidence_grade", ["A", "B", "C", "C?", "U", "X"]),
             "case kind": quality.one_of(cases, "case_kind", ["CONSTRUCTION_NOTICE", "DESIGN_SUPERVISION_REFERENCE"]),
-            "area or cost not positive": quality.breaks(cases, (F.coalesce("gross_floor_area_m2", F.lit(1)) > 0) & (F.coalesce("construction_cost_usd", F.lit(1)) > 0)),
+            "area or cost not positive": quality.breaks(cases, (F.coalesce("gross_floor_area_m2",
+                F.lit(1)) > 0) & (F.coalesce("construction_cost_usd", F.lit(1)) > 0)),
         }
     )
 
 
-def validate_evaluations(projects: DataFrame, reports: DataFrame, matches: DataFrame, findings: DataFrame, identity: dict[str, str], current: dict[str, str]) -> None:
+def validate_evaluations(projects: DataFrame, reports: DataFrame, matches: DataFrame, findings: DataFrame, identity: dict[str, str],
+    current: dict[str, str]) -> None:
     """Raise QualityError unless the evaluation tables fit each other and belong to the current cases' snapshot."""
     if differ := [k for k in IDENTITY if identity.get(k) != current.get(k)]:
         raise quality.QualityError({f"identity {k}": 1 for k in differ})
     quality.gate(
         {
             "no projects": projects.agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
-            "repeated project": quality.unique(projects, "project_no"), "repeated report": quality.unique(reports, "report_id"), "repeated match": quality.unique(matches, "match_id"),
+            "repeated project": quality.unique(projects, "project_no"), "repeated report": quality.unique(reports, "report_id"),
+            "repeated match": quality.unique(matches, "match_id"),
             "repeated pair": quality.unique(matches, "report_id", "project_no"), "repeated finding": quality.unique(findings, "finding_id"),
-            "match without project": quality.foreign(matches, projects, "project_no"), "match without report": quality.foreign(matches, reports, "report_id"), "finding without match": quality.foreign(findings, matches, "match_id"),
-            "pages": quality.outside(findings.join(matches.select("match_id", "report_id"), "match_id"), reports, "report_id", "pdf_page_start", "pdf_page_end", "page_count"),
-            "number and unit": quality.both_or_none(findings, "value_numeric", "unit"), "match score": quality.breaks(matches, F.col("match_score").between(0, 1)),
+            "match without project": quality.foreign(matches, projects, "project_no"),
+            "match without report": quality.foreign(matches, reports, "report_id"), "finding without match": quality.foreign(findings, matches, "match_id"),
+            "pages": quality.outside(findings.join(matches.select("match_id", "report_id"), "match_id"), reports, "report_id",
+                "pdf_page_start", "pdf_page_end", "page_count"),
+            "number and unit": quality.both_or_none(findings, "value_numeric", "unit"),
+            "match score": quality.breaks(matches, F.col("match_score").between(0, 1)),
         }
     )
 

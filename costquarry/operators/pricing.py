@@ -13,7 +13,8 @@ NO_INDEX, SCENARIO, UNCONFIRMED = "실제지수 관측기간 부족", "대체지
 def both_periods(keyed: DataFrame, sources: DataFrame, values: DataFrame, on: str) -> DataFrame:
     """Per row of `keyed` (id, on, from_day, to_day) and source: the observed values of both periods, each null where there is none."""
     seen = values.where("is_actual").groupBy("source_id", "period").agg(F.max("value").alias("value"))
-    pairs = keyed.join(sources, on).withColumn("from_period", period_key(F.col("from_day"), F.col("frequency"))).withColumn("to_period", period_key(F.col("to_day"), F.col("frequency")))
+    pairs = keyed.join(sources, on).withColumn("from_period", period_key(F.col("from_day"), F.col("frequency"))).withColumn("to_period",
+        period_key(F.col("to_day"), F.col("frequency")))
     at = lambda p: seen.select("source_id", F.col("period").alias(f"{p}_period"), F.col("value").alias(f"{p}_value"))
     return pairs.join(at("from"), ["source_id", "from_period"], "left").join(at("to"), ["source_id", "to_period"], "left")
 
@@ -21,7 +22,8 @@ def both_periods(keyed: DataFrame, sources: DataFrame, values: DataFrame, on: st
 def select_source(cases: DataFrame, sources: DataFrame, values: DataFrame, target_day: str) -> DataFrame:
     """Per case the first source of its country, by priority, construction-specific first, then id, that has both periods."""
     keyed = cases.select("bid_no", "country", F.col("notice_date").alias("from_day"), F.lit(target_day).alias("to_day"))
-    found = both_periods(keyed, sources.where(F.col("priority").isNotNull()).drop("iso3"), values, "country").where("from_value is not null and to_value is not null")
+    found = both_periods(keyed, sources.where(F.col("priority").isNotNull()).drop("iso3"), values,
+        "country").where("from_value is not null and to_value is not null")
     order = F.struct("priority", (~F.col("construction_specific").cast("boolean")).alias("other"), "source_id")
     best = found.groupBy("bid_no").agg(F.min_by(F.struct("source_id", "priority", "from_period", "to_period", "from_value", "to_value"), order).alias("s"))
     return best.select("bid_no", "s.*")
@@ -29,7 +31,8 @@ def select_source(cases: DataFrame, sources: DataFrame, values: DataFrame, targe
 
 def exchange_rates(cases: DataFrame, sources: DataFrame, values: DataFrame, target_day: str) -> DataFrame:
     """Per case the official exchange rates at both dates, from the first source of its country code; either may be null."""
-    first = sources.where("index_class = 'official_exchange_rate'").withColumn("_n", F.row_number().over(Window.partitionBy("iso3").orderBy(F.desc("construction_specific"), "source_id"))).where("_n = 1")
+    first = sources.where("index_class = 'official_exchange_rate'").withColumn("_n",
+        F.row_number().over(Window.partitionBy("iso3").orderBy(F.desc("construction_specific"), "source_id"))).where("_n = 1")
     keyed = cases.select("bid_no", "iso3", F.col("notice_date").alias("from_day"), F.lit(target_day).alias("to_day"))
     got = both_periods(keyed, first.select("iso3", "source_id", "frequency"), values, "iso3")
     return got.select("bid_no", F.col("from_value").alias("fx_source"), F.col("to_value").alias("fx_target"))
@@ -70,7 +73,8 @@ def weighted_factor(items: DataFrame, key: str = "project_no") -> DataFrame:
 
 def with_tiers(sources: DataFrame, tiers: DataFrame) -> DataFrame:
     """Index sources with the label, use and requirements of their policy tier; without a tier: nulls."""
-    return sources.join(tiers.select("priority", F.col("label").alias("tier_label"), F.col("use").alias("tier_use"), F.col("requirements").alias("tier_requirements")), "priority", "left")
+    return sources.join(tiers.select("priority", F.col("label").alias("tier_label"), F.col("use").alias("tier_use"),
+        F.col("requirements").alias("tier_requirements")), "priority", "left")
 
 
 def log_runs(runs: DataFrame, path: str, created_at: str) -> None:

@@ -15,7 +15,8 @@ from costquarry.functions.scalars import area_closeness, contains_ci, either_con
 GRADE_POINTS = {"A": 5, "B": 4, "C": 3, "C?": 2, "U": 1}
 #: Columns that stay inside.
 PRIVATE = ("is_published", "synced_at")
-NOTICE_DOC = ("related_bid_base_no", "representative_bid_no", "relation_type", "display_name", "contract_type", "amount_usd", "amount_stage_code", "notice_date", "procurement_url", "note")
+NOTICE_DOC = ("related_bid_base_no", "representative_bid_no", "relation_type", "display_name", "contract_type", "amount_usd",
+    "amount_stage_code", "notice_date", "procurement_url", "note")
 
 
 def blank_to_none(x: str | None) -> str | None:
@@ -80,14 +81,16 @@ def newest_first(day: Column) -> list[Column]:
     return [day.isNull(), -F.unix_date(day.cast("date"))]
 
 
-def score_cases(cases: DataFrame, text: str | None = None, country: str | None = None, facility: str | None = None, work: str | None = None, area: float | None = None) -> DataFrame:
+def score_cases(cases: DataFrame, text: str | None = None, country: str | None = None, facility: str | None = None, work: str | None = None,
+    area: float | None = None) -> DataFrame:
     """Adds match_score (decimal) and match_reason to published cases: country 40, facility 30, text 15, work 10, area up to 5, grade up to 5."""
     text, country, facility, work = map(blank_to_none, (text, country, facility, work))
     area = area if area and area > 0 else None
     c = F.col
 
     def like(column: str, wanted: str | None) -> Column:
-        return F.lit(False) if wanted is None else either_contains(c(column), F.lit(wanted)) | F.coalesce(contains_ci(c("search_text"), F.lit(wanted)), F.lit(False))
+        return F.lit(False) if wanted is None else either_contains(c(column),
+            F.lit(wanted)) | F.coalesce(contains_ci(c("search_text"), F.lit(wanted)), F.lit(False))
 
     same_country = F.lit(False) if country is None else F.lower(F.coalesce(c("country_ko"), F.lit(""))) == country.lower()
     same_facility, same_work = like("facility_type", facility), like("work_type", work)
@@ -95,7 +98,8 @@ def score_cases(cases: DataFrame, text: str | None = None, country: str | None =
     gfa = c("gross_floor_area_m2")
     near = F.lit(0).cast("decimal(10,2)") if area is None else area_closeness(gfa, area)
     close = F.lit(False) if area is None else F.coalesce(F.abs(gfa.cast("decimal(20,4)") - F.lit(area).cast("decimal(20,4)")) / F.lit(area).cast("decimal(20,4)") <= 0.25, F.lit(False))
-    grade = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in GRADE_POINTS.items() for x in pair)), F.coalesce(c("evidence_grade"), F.lit(""))), F.lit(0))
+    grade = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in GRADE_POINTS.items() for x in pair)),
+        F.coalesce(c("evidence_grade"), F.lit(""))), F.lit(0))
     points = sum((F.when(hit, p).otherwise(0) for hit, p in ((same_country, 40), (same_facility, 30), (same_work, 10), (same_text, 15))), F.lit(0))
     labels = ((same_country, "동일 국가"), (same_facility, "동일·유사 시설기능"), (same_work, "동일 공종"), (same_text, "검색어 일치"), (close, "연면적 ±25%"))
     reason = label_list(*(F.when(hit, label) for hit, label in labels), default="근거등급 기준")
@@ -129,7 +133,8 @@ def with_notices(cases: DataFrame, notices: DataFrame, fields: tuple[str, ...] =
 def with_evaluation(cases: DataFrame, projects: DataFrame, matches: DataFrame, findings: DataFrame) -> DataFrame:
     """Cases with the match status of their project's published evaluation (null without one) and the count of its published findings."""
     p = published(projects).select("project_no", F.col("match_status").alias("evaluation_match_status"))
-    n = published(matches).select("match_id", "project_no").join(published(findings).select("match_id"), "match_id").groupBy("project_no").agg(F.count(F.lit(1)).alias("_n"))
+    n = published(matches).select("match_id", "project_no").join(published(findings).select("match_id"),
+        "match_id").groupBy("project_no").agg(F.count(F.lit(1)).alias("_n"))
     out = cases.join(p, "project_no", "left").join(n, "project_no", "left")
     return out.withColumn("evaluation_finding_count", F.coalesce("_n", F.lit(0))).drop("_n")
 
@@ -165,10 +170,12 @@ def status(cases: DataFrame, notices: DataFrame, metadata: DataFrame | None = No
 def findings_star(findings: DataFrame, matches: DataFrame, projects: DataFrame, reports: DataFrame) -> DataFrame:
     """Published findings joined to their published match, project and report; the latter three are small and shared by many."""
     drop = lambda df, *more: published(df).drop(*PRIVATE, *more)
-    return drop(findings).join(drop(matches, "data_version"), "match_id").join(drop(projects, "data_version"), "project_no").join(drop(reports, "data_version"), "report_id")
+    return drop(findings).join(drop(matches, "data_version"), "match_id").join(drop(projects, "data_version"),
+        "project_no").join(drop(reports, "data_version"), "report_id")
 
 
-def search_findings(star: DataFrame, query: str | None = None, project_no: str | None = None, country: str | None = None, category: str | None = None, n: int | None = None) -> DataFrame:
+def search_findings(star: DataFrame, query: str | None = None, project_no: str | None = None, country: str | None = None,
+    category: str | None = None, n: int | None = None) -> DataFrame:
     """Findings that meet all given conditions (blank ones are left out), the latest publications first; 20, at most 100."""
     query, project_no, country, category = map(blank_to_none, (query, project_no, country, category))
     if query:
@@ -197,14 +204,16 @@ def project_document(projects: DataFrame, matches: DataFrame, reports: DataFrame
     text_desc = F.transform(F.split(F.coalesce("publication_date", F.lit("9999-99")), ""), lambda ch: -F.ascii(ch))
     report_docs = nested(mr, "project_no", [text_desc, F.col("report_id")], [c for c in mr.columns if c != "project_no"], "reports")
     mrf = mr.select("match_id", "report_id", "project_no", "publication_date").join(f.drop("report_id", "project_no", "publication_date"), "match_id")
-    finding_docs = nested(mrf, "project_no", [text_desc, F.col("pdf_page_start"), F.col("finding_id")], [c for c in mrf.columns if c != "project_no"], "findings")
+    finding_docs = nested(mrf, "project_no", [text_desc, F.col("pdf_page_start"), F.col("finding_id")],
+        [c for c in mrf.columns if c != "project_no"], "findings")
     n_reports = mr.groupBy("project_no").agg(F.countDistinct("report_id").alias("report_count"))
     n_findings = m.select("match_id", "project_no").join(f.select("match_id"), "match_id").groupBy("project_no").agg(F.count(F.lit(1)).alias("finding_count"))
     out = p
     for part in (n_reports, n_findings, report_docs, finding_docs):
         out = out.join(part, "project_no", "left")
     empty = lambda c, d: F.coalesce(c, F.array().cast(d.schema[c].dataType)).alias(c)
-    return out.select(*p.columns, F.coalesce("report_count", F.lit(0)).alias("report_count"), F.coalesce("finding_count", F.lit(0)).alias("finding_count"), empty("reports", report_docs), empty("findings", finding_docs))
+    return out.select(*p.columns, F.coalesce("report_count", F.lit(0)).alias("report_count"),
+        F.coalesce("finding_count", F.lit(0)).alias("finding_count"), empty("reports", report_docs), empty("findings", finding_docs))
 
 
 def as_json(df: DataFrame, out: str = "doc") -> DataFrame:

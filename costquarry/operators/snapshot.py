@@ -45,12 +45,16 @@ def title(prefix: str = "") -> Column:
 def case_groups(rows: DataFrame, projects: DataFrame) -> DataFrame:
     """Published groups (bid_base_no, case_kind): those with a works contract, and the representative design or supervision notice of a graded project that has none."""
     works = rows.where(contract() == "공사").select("bid_base_no").distinct()
-    works_projects = rows.join(works, "bid_base_no", "left_semi").where(clean(F.col("project_no")).isNotNull()).select(clean(F.col("project_no")).alias("project_no")).distinct()
+    works_projects = rows.join(works, "bid_base_no",
+        "left_semi").where(clean(F.col("project_no")).isNotNull()).select(clean(F.col("project_no")).alias("project_no")).distinct()
     ready = projects.where(
-        F.col("compact_grade").isin("A", "B", "C") & F.col("representative_amount_stage").isin("DESIGN_ESTIMATE", "CONSTRUCTION_BUDGET") & (F.col("representative_area_m2") != 0) & (F.col("representative_construction_cost_usd") != 0)
+        F.col("compact_grade").isin("A", "B", "C") & F.col("representative_amount_stage").isin("DESIGN_ESTIMATE",
+            "CONSTRUCTION_BUDGET") & (F.col("representative_area_m2") != 0) & (F.col("representative_construction_cost_usd") != 0)
     ).join(works_projects, "project_no", "left_anti")
-    rep = ready.select(F.col("display_representative_bid").alias("bid_no")).join(rows, "bid_no").where(relation(title(), contract()).isin("DESIGN", "SUPERVISION"))
-    return works.withColumn("case_kind", F.lit(NOTICE)).union(rep.select("bid_base_no").distinct().join(works, "bid_base_no", "left_anti").withColumn("case_kind", F.lit(REFERENCE)))
+    rep = ready.select(F.col("display_representative_bid").alias("bid_no")).join(rows,
+        "bid_no").where(relation(title(), contract()).isin("DESIGN", "SUPERVISION"))
+    return works.withColumn("case_kind", F.lit(NOTICE)).union(rep.select("bid_base_no").distinct().join(works, "bid_base_no",
+        "left_anti").withColumn("case_kind", F.lit(REFERENCE)))
 
 
 def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects: DataFrame, data_version: str) -> DataFrame:
@@ -58,12 +62,15 @@ def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects
     kinds = case_groups(rows, projects)
     latest = latest_rows(rows.join(kinds, "bid_base_no", "left_semi"), "bid_base_no")
     sizes = rows.groupBy("bid_base_no").agg(F.count(F.lit(1)).alias("_n"))
-    wanted = latest.select("bid_base_no", F.col("bid_no").alias("_latest")).join(groups.select("bid_base_no", clean(F.col("representative_bid_no")).alias("_rep")), "bid_base_no", "left")
+    wanted = latest.select("bid_base_no", F.col("bid_no").alias("_latest")).join(groups.select("bid_base_no",
+        clean(F.col("representative_bid_no")).alias("_rep")), "bid_base_no", "left")
     known = rows.select(F.col("bid_no").alias("_known")).distinct()
-    wanted = wanted.join(known, F.col("_rep") == F.col("_known"), "left").select("bid_base_no", F.coalesce("_rep", "_latest").alias("_chosen"), F.coalesce("_known", "_latest").alias("_row"))
+    wanted = wanted.join(known, F.col("_rep") == F.col("_known"), "left").select("bid_base_no",
+        F.coalesce("_rep", "_latest").alias("_chosen"), F.coalesce("_known", "_latest").alias("_row"))
     r = rows.alias("r")
     j = wanted.join(r, F.col("_row") == F.col("r.bid_no")).drop(F.col("r.bid_base_no"))
-    j = j.join(notices.drop("bid_base_no").alias("n"), F.col("_chosen") == F.col("n.bid_no"), "left").join(groups.alias("g"), "bid_base_no", "left").join(kinds, "bid_base_no").join(sizes, "bid_base_no")
+    j = j.join(notices.drop("bid_base_no").alias("n"), F.col("_chosen") == F.col("n.bid_no"), "left").join(groups.alias("g"), "bid_base_no",
+        "left").join(kinds, "bid_base_no").join(sizes, "bid_base_no")
     j = j.withColumn("_project", first_text(F.col("n.project_no"), F.col("g.project_no"), F.col("r.project_no")))
     j = j.join(projects.alias("p"), F.col("_project") == F.col("p.project_no"), "left")
     c = F.col
@@ -78,28 +85,37 @@ def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects
     scope = join_notes(c("n.scope_role"), c("n.record_scope_status"), c("n.same_scope_status"), c("p.duplicate_and_scope_warning"))
     note = join_notes(c("n.grade_detail"), c("n.manual_note"), c("n.area_quote"), c("p.grade_detail"))
     out = j.select(
-        c("bid_base_no").alias("case_id"), c("case_kind"), c("_project").alias("project_no"), c("_chosen").alias("representative_bid_no"), name.alias("display_name"), official.alias("official_project_name"), country.alias("country_ko"),
-        clean(c("r.facility_type")).alias("facility_type"), family.alias("facility_family"), clean(c("r.work_type")).alias("work_type"), first_text(c("n.notice_date"), c("g.latest_notice_date"), c("r.notice_date")).alias("notice_date"),
+        c("bid_base_no").alias("case_id"), c("case_kind"), c("_project").alias("project_no"), c("_chosen").alias("representative_bid_no"),
+        name.alias("display_name"), official.alias("official_project_name"), country.alias("country_ko"),
+        clean(c("r.facility_type")).alias("facility_type"), family.alias("facility_family"), clean(c("r.work_type")).alias("work_type"),
+        first_text(c("n.notice_date"), c("g.latest_notice_date"), c("r.notice_date")).alias("notice_date"),
         area.alias("gross_floor_area_m2"), F.coalesce(curated, raw).alias("construction_cost_usd"), stage.alias("amount_stage_code"),
-        compact_grade(F.coalesce(c("n.compact_grade"), c("g.best_grade"), c("p.compact_grade"))).alias("evidence_grade"), first_text(c("n.verification_level"), c("p.verification_level")).alias("verification_level"),
+        compact_grade(F.coalesce(c("n.compact_grade"), c("g.best_grade"), c("p.compact_grade"))).alias("evidence_grade"),
+        first_text(c("n.verification_level"), c("p.verification_level")).alias("verification_level"),
         scope.alias("scope_note"), note.alias("evidence_note"), first_text(c("n.unit_cost_allowed_use"), c("p.unit_cost_allowed_use")).alias("allowed_use"),
-        F.coalesce(F.nullif(c("g.notice_count"), F.lit(0)), c("_n")).cast("int").alias("notice_count"), first_text(c("n.source_url"), c("r.detail_url")).alias("procurement_url"),
+        F.coalesce(F.nullif(c("g.notice_count"), F.lit(0)), c("_n")).cast("int").alias("notice_count"),
+        first_text(c("n.source_url"), c("r.detail_url")).alias("procurement_url"),
         F.lit(data_version).alias("data_version"), clean(c("n.audit_date")).alias("audit_date"),
     )
     out = out.withColumn("nominal_unit_usd_m2", F.round(ratio(c("construction_cost_usd"), c("gross_floor_area_m2")), 2))
     words = ["display_name", "official_project_name", "country_ko", "facility_type", "facility_family"]
-    text = F.concat_ws(" ", *words, F.nullif(family_aliases(c("facility_family")), F.lit("")), "work_type", "scope_note", "evidence_note", "project_no", "case_id")
+    text = F.concat_ws(" ", *words, F.nullif(family_aliases(c("facility_family")), F.lit("")), "work_type", "scope_note", "evidence_note",
+        "project_no", "case_id")
     return out.withColumn("search_text", text).withColumn("is_published", F.lit(True))
 
 
 def related_notices(cases: DataFrame, rows: DataFrame, note: str = "동일 사업번호의 관련 공고") -> DataFrame:
     """Per case the other groups of its project, each by its latest notice: a self join on the project."""
     own = cases.where(F.col("project_no").isNotNull()).select("case_id", "project_no")
-    others = latest_rows(rows.where(clean(F.col("project_no")).isNotNull()).withColumn("_p", clean(F.col("project_no"))).withColumn("_k", F.struct("_p", "bid_base_no")), "_k")
+    others = latest_rows(rows.where(clean(F.col("project_no")).isNotNull()).withColumn("_p", clean(F.col("project_no"))).withColumn("_k",
+        F.struct("_p", "bid_base_no")), "_k")
     j = own.join(others.drop("project_no"), F.col("project_no") == F.col("_p")).where("bid_base_no <> case_id")
     name = F.coalesce(title(), clean(F.col("project_name")), F.col("bid_base_no"))
     amount = usd_ceiling(F.col("ceiling_usd_raw"))
     return j.select(
-        "case_id", F.col("bid_base_no").alias("related_bid_base_no"), F.col("bid_no").alias("representative_bid_no"), relation(name, contract()).alias("relation_type"), name.alias("display_name"), contract().alias("contract_type"),
-        amount.alias("amount_usd"), F.when(amount != 0, RAW_STAGE).alias("amount_stage_code"), clean(F.col("notice_date")).alias("notice_date"), clean(F.col("detail_url")).alias("procurement_url"), F.lit(note).alias("note"), F.lit(True).alias("is_published"),
+        "case_id", F.col("bid_base_no").alias("related_bid_base_no"), F.col("bid_no").alias("representative_bid_no"),
+        relation(name, contract()).alias("relation_type"), name.alias("display_name"), contract().alias("contract_type"),
+        amount.alias("amount_usd"), F.when(amount != 0, RAW_STAGE).alias("amount_stage_code"),
+        clean(F.col("notice_date")).alias("notice_date"), clean(F.col("detail_url")).alias("procurement_url"), F.lit(note).alias("note"),
+        F.lit(True).alias("is_published"),
     )

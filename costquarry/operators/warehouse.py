@@ -11,7 +11,8 @@ READY = ("A", "B", "C")
 FOLLOW_UP = ("C?", "U")
 
 
-def sample_coverage(cases: DataFrame, keys: list[str] | None = None, grade: str = "evidence_grade", day: str = "notice_date", unit: str = "unit_usd_m2_nominal") -> DataFrame:
+def sample_coverage(cases: DataFrame, keys: list[str] | None = None, grade: str = "evidence_grade", day: str = "notice_date",
+    unit: str = "unit_usd_m2_nominal") -> DataFrame:
     """Cases, grade-A cases, first and last date, lowest and highest unit cost by country, facility and work."""
     keys = keys or ["country", "facility_type", "work_type"]
     return cases.groupBy(*keys).agg(
@@ -29,7 +30,8 @@ def yearly_inventory(cases: DataFrame, day: str = "notice_date", grade: str = "e
     """Cases by the year of a date (or of text that begins with it)."""
     open_case = F.col("normalization_status") == "미보정" if open_case is None else open_case
     year = F.substring(F.col(day).cast("string"), 1, 4).alias("notice_year")
-    return cases.groupBy(year).agg(F.count(F.lit(1)).alias("reviewed_case_count"), F.count_if(F.col(grade) == "A").alias("grade_a_count"), F.count_if(open_case).alias("unnormalized_count"))
+    return cases.groupBy(year).agg(F.count(F.lit(1)).alias("reviewed_case_count"), F.count_if(F.col(grade) == "A").alias("grade_a_count"),
+        F.count_if(open_case).alias("unnormalized_count"))
 
 
 def ready_projects(projects: DataFrame, grade: str = "compact_grade") -> DataFrame:
@@ -102,7 +104,8 @@ def country_readiness(projects: DataFrame, country: str = "country_ko", grade: s
 
 def unit_cost_summary(cases: DataFrame, country: str = "country", unit: str = "unit_usd_m2_nominal", include: str = "summary_include") -> DataFrame:
     """Mean, lowest and highest unit cost of the included cases per country, and how far they go: one case, up to four, more."""
-    out = cases.where(F.col(include)).groupBy(country).agg(F.count(F.lit(1)).alias("cases"), F.avg(unit).alias("mean_unit"), F.min(unit).alias("min_unit"), F.max(unit).alias("max_unit"))
+    out = cases.where(F.col(include)).groupBy(country).agg(F.count(F.lit(1)).alias("cases"), F.avg(unit).alias("mean_unit"),
+        F.min(unit).alias("min_unit"), F.max(unit).alias("max_unit"))
     return out.withColumn("interpretation", F.when(F.col("cases") <= 1, "단일 사례").when(F.col("cases") <= 4, "소표본").otherwise("비교 가능"))
 
 
@@ -113,7 +116,8 @@ def grade_counts(projects: DataFrame, *by: str) -> DataFrame:
 
 def evidence_counts(evidence: DataFrame, projects: DataFrame, key: str = "bid_no") -> DataFrame:
     """Evidence records by notice and category, with the notice's project, country and name (empty where unknown)."""
-    out = evidence.groupBy(key, "category").agg(F.count(F.lit(1)).alias("evidence_records")).join(projects.select(key, "project_no", "country_ko", "project_name"), key, "left")
+    out = evidence.groupBy(key, "category").agg(F.count(F.lit(1)).alias("evidence_records")).join(projects.select(key, "project_no",
+        "country_ko", "project_name"), key, "left")
     return out.select(key, *(F.coalesce(c, F.lit("")).alias(c) for c in ("project_no", "country_ko", "project_name")), "category", "evidence_records")
 
 
@@ -121,9 +125,12 @@ def source_stats(rows: DataFrame) -> DataFrame:
     """Seven counters of a source's rows; flags are 0, 1 or null."""
     on = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(0)) != 0
     return rows.agg(
-        F.count(F.lit(1)).alias("normalized_row_count"), F.count_if(on("construction_related")).alias("construction_related_count"), F.count_if(on("is_uganda")).alias("uganda_row_count"),
-        F.count_if(on("is_uganda") & on("construction_related")).alias("uganda_construction_related_count"), F.count_if(F.coalesce("project_no_linked", F.lit("")) != "").alias("linked_project_no_count"),
-        F.count_if(on("existing_db_project_match")).alias("existing_db_project_match_count"), F.count_if(on("unit_cost_potential")).alias("unit_cost_potential_count"),
+        F.count(F.lit(1)).alias("normalized_row_count"), F.count_if(on("construction_related")).alias("construction_related_count"),
+        F.count_if(on("is_uganda")).alias("uganda_row_count"),
+        F.count_if(on("is_uganda") & on("construction_related")).alias("uganda_construction_related_count"),
+        F.count_if(F.coalesce("project_no_linked", F.lit("")) != "").alias("linked_project_no_count"),
+        F.count_if(on("existing_db_project_match")).alias("existing_db_project_match_count"),
+        F.count_if(on("unit_cost_potential")).alias("unit_cost_potential_count"),
     )
 
 
@@ -150,7 +157,8 @@ def evidence_in_order(evidence: DataFrame, key: str = "bid_no") -> DataFrame:
 def corpus_digest(files: DataFrame, name: str, digest: str, size: str) -> DataFrame:
     """One SHA-256 over the sorted lines `name NUL digest NUL size LF`. One row gathers all lines: for file lists, not for contents."""
     line = F.concat_ws("\0", F.col(name), F.col(digest), F.col(size).cast("string"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(name).alias("n"), line.alias("l")))), lambda x: F.concat(x["l"], F.lit("\n"))), "")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(name).alias("n"), line.alias("l")))),
+        lambda x: F.concat(x["l"], F.lit("\n"))), "")
     return files.agg(F.count(F.lit(1)).alias("file_count"), F.sha2(joined, 256).alias("corpus_sha256"))
 
 

@@ -45,7 +45,8 @@ def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "n_nationkey int, n_name string, region int"
     parts = {
         "rows": tables.read_json_rows(spark, f"{path}/rows.json", schema),
-        "map": tables.read_json_map(spark, f"{path}/map.json", "n_name string, region int", "n_nationkey").withColumn("n_nationkey", F.col("n_nationkey").cast("int")),
+        "map": tables.read_json_map(spark, f"{path}/map.json", "n_name string, region int", "n_nationkey").withColumn("n_nationkey",
+            F.col("n_nationkey").cast("int")),
         "written": spark.read.schema(schema).json(f"{path}/lines"),
     }
     out = None
@@ -56,7 +57,8 @@ def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'utf-8-sig' AS encoding, n_nationkey, '가나 ' || n_name AS name, CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END AS region FROM nation WHERE n_nationkey < 10
+    """SELECT 'utf-8-sig' AS encoding, n_nationkey, '가나 ' || n_name AS name, CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END AS region
+FROM nation WHERE n_nationkey < 10
 UNION ALL SELECT 'cp949', n_nationkey, '가나 ' || n_name, CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END FROM nation WHERE n_nationkey >= 10
 UNION ALL SELECT 'written', n_nationkey, n_name, n_regionkey FROM nation"""
 )
@@ -68,7 +70,8 @@ def delimited_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch.put(spark, f"{path}/in/b.csv", text(rows[10:]).encode("cp949"))
     raw = tables.read_csv_any_encoding(spark, f"{path}/in/*.csv", ["key", "name"])
     got = raw.select("encoding", "values").transform(lambda df: df.select("encoding", F.col("values")))
-    named = tables.typed(got.withColumn("values", F.map_concat("values", F.create_map(F.lit("encoding"), "encoding"))), {"encoding": "string", "key": "int", "name": "string", "region": "int"})
+    named = tables.typed(got.withColumn("values", F.map_concat("values", F.create_map(F.lit("encoding"), "encoding"))),
+        {"encoding": "string", "key": "int", "name": "string", "region": "int"})
     tables.write_csv(t(spark, sf_dir, "nation").withColumn("left_out", F.lit(1)), f"{path}/out", ["n_nationkey", "n_name", "n_regionkey"])
     schema = t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").schema
     again = tables.read_csv(spark, f"{path}/out", schema).select(F.lit("written"), "n_nationkey", "n_name", "n_regionkey")
@@ -77,7 +80,8 @@ def delimited_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS code, CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey END AS amount, n_name AS label FROM nation")
 def projected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, F.col("n_regionkey").cast("string")).otherwise("n/a"), "n_name")
+    rows = t(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0,
+        F.col("n_regionkey").cast("string")).otherwise("n/a"), "n_name")
     return tables.projected(rows, [("code", "string"), ("amount", "int"), ("label", "string")])
 
 
@@ -87,13 +91,16 @@ def projected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each page of the table, with a detail table, a list and the portal's embedded data."""
     lit, key = F.lit, F.col("page_id").cast("string")
-    rows = F.concat(lit("<TABLE><tr class='a'><th>번호</th><td> "), key, lit("</td></tr>\n<tr><th><b>제목</b></th><td><a>Title "), key, lit("</a> &amp; co</td><th>번호</th><td>last</td></tr></TABLE>"))
-    data = F.concat(lit('<script>{"contentUrl" : "http://files/'), key, lit('.csv", "dateModified": "2026-01-0'), (F.col("page_id") % 9 + 1).cast("string"), lit('"}</script><p>전체 행: 1,'), F.lpad(key, 3, "0"), lit(" 건</p>"))
+    rows = F.concat(lit("<TABLE><tr class='a'><th>번호</th><td> "), key, lit("</td></tr>\n<tr><th><b>제목</b></th><td><a>Title "), key,
+        lit("</a> &amp; co</td><th>번호</th><td>last</td></tr></TABLE>"))
+    data = F.concat(lit('<script>{"contentUrl" : "http://files/'), key, lit('.csv", "dateModified": "2026-01-0'),
+        (F.col("page_id") % 9 + 1).cast("string"), lit('"}</script><p>전체 행: 1,'), F.lpad(key, 3, "0"), lit(" 건</p>"))
     return t(spark, sf_dir, "pages").select("page_id", F.concat(lit("<html><title> List "), key, lit("</title>"), data, rows, lit("</html>")).alias("html"))
 
 
 @query(
-    """SELECT page_id, 'http://files/' || page_id || '.csv' AS content_url, CAST('1' || lpad(CAST(page_id AS VARCHAR), 3, '0')[1:3] AS BIGINT) AS row_count, '2026-01-0' || (page_id % 9 + 1) AS version, 'List ' || page_id AS title FROM pages"""
+    """SELECT page_id, 'http://files/' || page_id || '.csv' AS content_url, CAST('1' || lpad(CAST(page_id AS VARCHAR), 3,
+'0')[1:3] AS BIGINT) AS row_count, '2026-01-0' || (page_id % 9 + 1) AS version, 'List ' || page_id AS title FROM pages"""
 )
 def portal_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.page_metadata(portal_pages(spark, sf_dir)).drop("html")
@@ -124,7 +131,8 @@ def portal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def office_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files (path, content) in each format, made of the nations, and a broken one."""
     path, rows = scratch.folder(spark, "office"), nations(spark, sf_dir)
-    word = "".join(f"<w:p><w:r><w:t>{n}</w:t></w:r></w:p>" for _, n, _ in rows[:3]) + "<w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>b</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
+    word = "".join(f"<w:p><w:r><w:t>{n}</w:t></w:r></w:p>" for _, n,
+        _ in rows[:3]) + "<w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>b</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
     scratch.put(spark, f"{path}/w.docx", zipped({"word/document.xml": f'<w:document xmlns:w="w"><w:body>{word}</w:body></w:document>'}))
     scratch.put(spark, f"{path}/p.pptx", zipped({f"ppt/slides/slide{k}.xml": f'<s xmlns:a="a"><a:t>{n}</a:t><a:t>x</a:t></s>' for k, n, _ in rows[2:11]}))
     scratch.put(spark, f"{path}/x.xlsx", office.write_xlsx({"One": [["Name", "Key"], *[[n, k] for k, n, _ in rows[:4]]], "Two": [["=1+2", None, 'q"<']]}))
@@ -135,9 +143,11 @@ def office_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'w.docx' AS path, '문단 ' || (n_nationkey + 1) AS locator, n_name AS text, false AS broken FROM nation WHERE n_nationkey < 3 UNION ALL SELECT 'w.docx', '표 1 행 1', 'a | b', false
+    """SELECT 'w.docx' AS path, '문단 ' || (n_nationkey + 1) AS locator, n_name AS text, false AS broken
+FROM nation WHERE n_nationkey < 3 UNION ALL SELECT 'w.docx', '표 1 행 1', 'a | b', false
 UNION ALL SELECT 'p.pptx', '슬라이드 ' || n_nationkey, n_name || ' x', false FROM nation WHERE n_nationkey BETWEEN 2 AND 10
-UNION ALL SELECT 'x.xlsx', 'One!1', 'A1=Name | B1=Key', false UNION ALL SELECT 'x.xlsx', 'One!' || (n_nationkey + 2), 'A' || (n_nationkey + 2) || '=' || n_name || ' | B' || (n_nationkey + 2) || '=' || n_nationkey, false FROM nation WHERE n_nationkey < 4
+UNION ALL SELECT 'x.xlsx', 'One!1', 'A1=Name | B1=Key', false
+UNION ALL SELECT 'x.xlsx', 'One!' || (n_nationkey + 2), 'A' || (n_nationkey + 2) || '=' || n_name || ' | B' || (n_nationkey + 2) || '=' || n_nationkey, false FROM nation WHERE n_nationkey < 4
 UNION ALL SELECT 'x.xlsx', 'Two!1', 'A1==1+2 | C1=q"<', false UNION ALL SELECT 't.html', '본문', '가나 text', false UNION ALL SELECT 'broken.xlsx', NULL, NULL, true"""
 )
 def office_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +157,8 @@ def office_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'x.xlsx' AS path, 'One' AS sheet, 5 AS rows, false AS broken UNION ALL SELECT 'x.xlsx', 'Two', 1, false UNION ALL SELECT 'broken.xlsx', NULL, NULL, true")
 def office_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = office_files(spark, sf_dir).where("path like '%.xlsx'")
-    return office.extract_sheets(books).select("path", "sheet", F.when(F.col("cells").isNotNull(), F.size("cells")).alias("rows"), F.col("error").isNotNull().alias("broken"))
+    return office.extract_sheets(books).select("path", "sheet", F.when(F.col("cells").isNotNull(), F.size("cells")).alias("rows"),
+        F.col("error").isNotNull().alias("broken"))
 
 
 @query("SELECT n_nationkey, n_name || ' 본문' AS text FROM nation")
@@ -156,7 +167,8 @@ def hwp_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = b""
     for k, n, _ in nations(spark, sf_dir):
         data = f"{n}\n 본문 ".encode("utf-16-le")
-        body += struct.pack("<I", 66 | 4 << 20) + b"skip" + (struct.pack("<I", 67 | len(data) << 20) if k % 2 else struct.pack("<II", 67 | 0xFFF << 20, len(data))) + data
+        body += struct.pack("<I", 66 | 4 << 20) + b"skip" + (struct.pack("<I", 67 | len(data) << 20) if k % 2 else struct.pack("<II",
+            67 | 0xFFF << 20, len(data))) + data
     packer = zlib.compressobj(wbits=-15)
     got = list(office.hwp_section(packer.compress(body) + packer.flush()))
     return spark.createDataFrame(list(enumerate(got)), "n_nationkey int, text string")
@@ -164,7 +176,9 @@ def hwp_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT 'a.zip' AS root, n_name || '.txt' AS path, 0 AS depth, CAST(length(n_name) AS BIGINT) AS bytes, false AS bad FROM nation WHERE n_nationkey < 5
-UNION ALL SELECT 'a.zip', 'in.zip!/' || n_name || '.txt', 1, length(n_name), false FROM nation WHERE n_nationkey >= 5 UNION ALL SELECT 'a.zip', '../up.txt', 0, 0, true UNION ALL SELECT 'plain.txt', 'plain.txt', 0, 5, false UNION ALL SELECT 'bad.zip', 'bad.zip', 0, 0, true"""
+UNION ALL SELECT 'a.zip', 'in.zip!/' || n_name || '.txt', 1, length(n_name), false
+FROM nation WHERE n_nationkey >= 5 UNION ALL SELECT 'a.zip', '../up.txt', 0, 0, true UNION ALL SELECT 'plain.txt', 'plain.txt', 0, 5, false
+UNION ALL SELECT 'bad.zip', 'bad.zip', 0, 0, true"""
 )
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of an archive within an archive; a climbing path and a broken archive are error rows."""
@@ -174,7 +188,8 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch.put(spark, f"{path}/plain.txt", b"plain")
     scratch.put(spark, f"{path}/bad.zip", b"no archive")
     found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
-    return archives.unpack_archives(found).where("path <> 'in.zip'").select("root", "path", "depth", "bytes", (F.coalesce("error", F.lit("")) != "").alias("bad"))
+    return archives.unpack_archives(found).where("path <> 'in.zip'").select("root", "path", "depth", "bytes",
+        (F.coalesce("error", F.lit("")) != "").alias("bad"))
 
 
 @query("SELECT 'ISO' || n_nationkey AS iso3, y AS period, CAST(n_regionkey + CAST(y AS INTEGER) / 10.0 AS DOUBLE) AS value FROM nation, (VALUES ('2015'), ('2026')) p(y) WHERE y = '2015' OR n_nationkey % 2 = 0")
@@ -182,7 +197,8 @@ def indicator_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.folder(spark, "indicators")
     for part in (0, 1):
         lines = ['"Data Source","x"', "", '"Country Name","Country Code","2014","2015","2026"']
-        lines += [f'"{n}","ISO{k}","1","{r + 201.5}","{r + 202.6 if k % 2 == 0 else ""}"' for k, n, r in nations(spark, sf_dir) if k % 3 == part or part == 1 and k % 3 == 2]
+        lines += [f'"{n}","ISO{k}","1","{r + 201.5}","{r + 202.6 if k % 2 == 0 else ""}"' for k, n,
+            r in nations(spark, sf_dir) if k % 3 == part or part == 1 and k % 3 == 2]
         scratch.put(spark, f"{path}/{part}.zip", zipped({"Metadata_x.csv": "no", "API_x.csv": "﻿" + "\n".join(lines)}))
     return files.read_indicators(spark, path)
 
@@ -198,11 +214,13 @@ def sqlite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     db.commit()
     scratch.put(spark, f"{path}/a.db", db.serialize())
     scratch.put(spark, f"{path}/b.db", b"no database at all" * 100)
-    return files.read_sqlite(spark, path, "SELECT id, name FROM nation WHERE region = 1", "id int, name string", errors="error").select("id", "name", F.col("error").isNotNull().alias("broken"))
+    return files.read_sqlite(spark, path, "SELECT id, name FROM nation WHERE region = 1", "id int, name string",
+        errors="error").select("id", "name", F.col("error").isNotNull().alias("broken"))
 
 
 @query(
-    """SELECT 'doc' || n_regionkey AS document, count(*) AS pages, sha256(string_agg((n_nationkey + 1) || chr(0) || n_name || chr(10), '' ORDER BY n_nationkey)) AS digest, max(n_nationkey) + 1 <> count(*) AS incomplete FROM nation GROUP BY n_regionkey"""
+    """SELECT 'doc' || n_regionkey AS document, count(*) AS pages, sha256(string_agg((n_nationkey + 1) || chr(0) || n_name || chr(10),
+'' ORDER BY n_nationkey)) AS digest, max(n_nationkey) + 1 <> count(*) AS incomplete FROM nation GROUP BY n_regionkey"""
 )
 def page_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of page texts for each region; most lack pages."""
@@ -212,18 +230,21 @@ def page_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = files.read_page_texts(spark, f"{path}/*")
     docs = pages.groupBy("document").agg(F.count(F.lit(1)).alias("n"), F.max("page").alias("page_count"))
     lacking = files.incomplete_pages(pages, docs.drop("n")).select("document", F.lit(True).alias("_bad"))
-    return docs.join(files.page_digests(pages), "document").join(lacking, "document", "left").select("document", F.col("n").alias("pages"), F.col("text_digest").alias("digest"), F.coalesce("_bad", F.lit(False)).alias("incomplete"))
+    return docs.join(files.page_digests(pages), "document").join(lacking, "document", "left").select("document", F.col("n").alias("pages"),
+        F.col("text_digest").alias("digest"), F.coalesce("_bad", F.lit(False)).alias("incomplete"))
 
 
 @query(
-    """SELECT 'a' AS source, n_nationkey AS id, n_name AS name, CAST(NULL AS INTEGER) AS region FROM nation WHERE n_nationkey < 10 UNION ALL SELECT 'b', n_nationkey, n_name, n_regionkey FROM nation WHERE n_nationkey >= 10
+    """SELECT 'a' AS source, n_nationkey AS id, n_name AS name, CAST(NULL AS INTEGER) AS region
+FROM nation WHERE n_nationkey < 10 UNION ALL SELECT 'b', n_nationkey, n_name, n_regionkey FROM nation WHERE n_nationkey >= 10
 UNION ALL SELECT 'record', n_nationkey, n_name || '!', CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey END FROM nation UNION ALL SELECT 'repeated', 2, NULL, NULL"""
 )
 def fragments_and_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table and its fragment as one, records unpacked from JSON, and how many keys stand twice where fragments overlap."""
     n = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
     a, b = n.where("id < 10").drop("region").withColumn("source", F.lit("a")), n.where("id >= 10").withColumn("source", F.lit("b"))
-    doc = F.concat(F.lit('[{"name": "'), "name", F.lit('!"'), F.when(F.col("id") % 2 == 0, F.concat(F.lit(', "region": '), F.col("region").cast("string"))).otherwise(""), F.lit("}]"))
+    doc = F.concat(F.lit('[{"name": "'), "name", F.lit('!"'), F.when(F.col("id") % 2 == 0,
+        F.concat(F.lit(', "region": '), F.col("region").cast("string"))).otherwise(""), F.lit("}]"))
     records = files.unpack_records(n.select("id", doc.alias("doc")), "doc", "name string, region int").withColumn("source", F.lit("record"))
     try:
         twice = 0
@@ -235,7 +256,8 @@ def fragments_and_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT n_name || '.txt' AS name, CAST(3 AS BIGINT) AS bytes, sha256('r' || n_regionkey || chr(10)) AS sha256, '[r' || n_regionkey || ']' AS scanned, 5 AS contents FROM nation"""
+    """SELECT n_name || '.txt' AS name, CAST(3 AS BIGINT) AS bytes, sha256('r' || n_regionkey || chr(10)) AS sha256,
+'[r' || n_regionkey || ']' AS scanned, 5 AS contents FROM nation"""
 )
 def scanned_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with few contents: digests of all, and a scan that sees each content once."""
@@ -260,21 +282,25 @@ def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = {f"{n}.txt": n.encode() for _, n, _ in nations(spark, sf_dir)}
     first, manifest = files.package(members)
     second, _ = files.package(dict(reversed(members.items())))
-    return spark.createDataFrame([(m["path"], m["bytes"], m["sha256"], first == second) for m in manifest], "path string, bytes long, sha256 string, same boolean")
+    return spark.createDataFrame([(m["path"], m["bytes"], m["sha256"], first == second) for m in manifest],
+        "path string, bytes long, sha256 string, same boolean")
 
 
 @query(
-    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '/found/' || min(doc_id) OVER (PARTITION BY source, n_chars, text) ELSE '/old/' || doc_id END AS path FROM documents WHERE doc_id % 3 = 0 OR doc_id % 3 = 1""".replace("min(doc_id) OVER (PARTITION BY source, n_chars, text)", "doc_id")
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '/found/' || doc_id
+ELSE '/old/' || doc_id END AS path FROM documents WHERE doc_id % 3 = 0 OR doc_id % 3 = 1"""
 )
 def repaired_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = t(spark, sf_dir, "documents").where("doc_id % 3 < 2").select("doc_id", F.col("source").alias("bid_no"), F.col("n_chars").alias("bytes"), F.sha2(F.concat_ws("/", "text", "doc_id"), 256).alias("sha256"))
+    d = t(spark, sf_dir, "documents").where("doc_id % 3 < 2").select("doc_id", F.col("source").alias("bid_no"),
+        F.col("n_chars").alias("bytes"), F.sha2(F.concat_ws("/", "text", "doc_id"), 256).alias("sha256"))
     found = d.where("doc_id % 3 = 0").select("bid_no", "bytes", "sha256", F.concat(F.lit("/found/"), F.col("doc_id").cast("string")).alias("path"))
     later = found.withColumn("path", F.concat(F.lit("/zz"), "path"))
     return tables.repair_paths(d.withColumn("path", F.concat(F.lit("/old/"), F.col("doc_id").cast("string"))), found.union(later)).select("doc_id", "path")
 
 
 @query(
-    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'container' WHEN 2 THEN 'no extension' ELSE 'format not read' END AS exclusion, CASE p_partkey % 4 WHEN 0 THEN 'BOQ' ELSE '' END AS types FROM part"""
+    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'container' WHEN 2 THEN 'no extension'
+ELSE 'format not read' END AS exclusion, CASE p_partkey % 4 WHEN 0 THEN 'BOQ' ELSE '' END AS types FROM part"""
 )
 def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
@@ -302,16 +328,20 @@ def collected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(n_nationkey AS INTEGER) AS page, 'total changed from 250 to 251' AS violation FROM nation WHERE n_nationkey IN (7, 9) UNION ALL SELECT NULL, 'expected 250 rows, got ' || CAST(sum(CASE WHEN n_nationkey = 3 THEN 9 ELSE 10 END) AS VARCHAR) FROM nation"""
+    """SELECT CAST(n_nationkey AS INTEGER) AS page, 'total changed from 250 to 251' AS violation
+FROM nation WHERE n_nationkey IN (7, 9) UNION ALL SELECT NULL, 'expected 250 rows, got ' || CAST(sum(CASE WHEN n_nationkey = 3 THEN 9
+ELSE 10 END) AS VARCHAR) FROM nation"""
 )
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
-    pages = t(spark, sf_dir, "nation").select(key.cast("int").alias("page"), F.when(key.isin(7, 9), 251).otherwise(250).alias("total"), F.when(key == 3, 9).otherwise(10).alias("rows"))
+    pages = t(spark, sf_dir, "nation").select(key.cast("int").alias("page"), F.when(key.isin(7, 9), 251).otherwise(250).alias("total"),
+        F.when(key == 3, 9).otherwise(10).alias("rows"))
     return incremental.page_violations(pages)
 
 
 @query(
-    """WITH a AS (SELECT l_orderkey AS g, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS step, l_quantity > 25 AS ok FROM lineitem),
+    """WITH a AS (SELECT l_orderkey AS g, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+l_extendedprice) AS step, l_quantity > 25 AS ok FROM lineitem),
 s AS (SELECT a.g, min(a.step) AS stop FROM a JOIN a b ON b.g = a.g AND b.step = a.step - 1 WHERE NOT a.ok AND NOT b.ok GROUP BY 1)
 SELECT a.g, a.step, a.ok FROM a LEFT JOIN s USING (g) WHERE stop IS NULL OR step <= stop"""
 )
@@ -320,11 +350,12 @@ def attempts_until_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    a = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("g"), F.row_number().over(order).cast("long").alias("step"), (F.col("l_quantity") > 25).alias("ok"))
+    a = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("g"), F.row_number().over(order).cast("long").alias("step"),
+        (F.col("l_quantity") > 25).alias("ok"))
     return incremental.until_stopped(a, "g", 2)
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 0 THEN 1 ELSE 0 END AS page_count FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) WHERE length(text) > 0".replace("CASE WHEN length(text) > 0 THEN 1 ELSE 0 END", "CAST(1 AS BIGINT)"))
+@query("SELECT doc_id, CAST(1 AS BIGINT) AS page_count FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) WHERE length(text) > 0")
 def document_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-page files: pages by document."""
     return evidence.page_metrics(t(spark, sf_dir, "documents").where("length(text) > 0"), "doc_id").select("doc_id", "page_count")

@@ -22,9 +22,11 @@ from costquarry.plans.queries import (
 )
 def evidence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     lit = F.lit
-    text = F.concat(lit("site "), F.format_number(F.col("p_size") * 10, 0), lit(" m2 and US$"), F.format_number("p_retailprice", 2), lit(" or 1,500 KRW; $F$30, 12.5 % VAT"))
+    text = F.concat(lit("site "), F.format_number(F.col("p_size") * 10, 0), lit(" m2 and US$"), F.format_number("p_retailprice", 2),
+        lit(" or 1,500 KRW; $F$30, 12.5 % VAT"))
     joined = lambda x: F.array_join(x, " | ")
-    return t(spark, sf_dir, "part").select("p_partkey", joined(evidence.area_tokens(text)).alias("areas"), joined(evidence.currency_tokens(text)).alias("currencies"), joined(evidence.percent_tokens(text)).alias("percents"))
+    return t(spark, sf_dir, "part").select("p_partkey", joined(evidence.area_tokens(text)).alias("areas"),
+        joined(evidence.currency_tokens(text)).alias("currencies"), joined(evidence.percent_tokens(text)).alias("percents"))
 
 
 _EVIDENCE_TEXT = "'연면적 ' || format('{:,}', p_size * 100) || ' ㎡, contract amount USD ' || format('{:,.2f}', p_retailprice) || ' VAT 10 % ' || p_name"
@@ -32,7 +34,8 @@ _EVIDENCE_TEXT = "'연면적 ' || format('{:,}', p_size * 100) || ' ㎡, contrac
 
 @query(
     f"""WITH c(category, matched_keywords) AS (VALUES ('연면적·면적', '연면적, ㎡'), ('공사비', 'contract amount'), ('부가세·예비비', 'vat'))
-SELECT CAST(p_partkey AS VARCHAR) AS bid_no, category, matched_keywords, format('{{:,}}', p_size * 100) || ' ㎡' AS area_mentions, 'USD ' || format('{{:,.2f}}', p_retailprice) AS currency_mentions, '10 %' AS percentage_mentions,
+SELECT CAST(p_partkey AS VARCHAR) AS bid_no, category, matched_keywords, format('{{:,}}', p_size * 100) || ' ㎡' AS area_mentions,
+'USD ' || format('{{:,.2f}}', p_retailprice) AS currency_mentions, '10 %' AS percentage_mentions,
 p_brand AS source_file, p_name AS source_locator, {_EVIDENCE_TEXT} AS evidence_text, '{evidence.REVIEW}' AS review_status FROM part, c WHERE p_partkey % 3 <> 0"""
 )
 def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,19 +45,25 @@ def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of parts with an area, an amount and a share; every third has keywords and no number."""
     lit = F.lit
-    whole = F.concat(lit("연면적 "), F.format_number(F.col("p_size") * 100, 0), lit(" ㎡, contract amount USD "), F.format_number("p_retailprice", 2), lit(" VAT 10 % "), "p_name")
+    whole = F.concat(lit("연면적 "), F.format_number(F.col("p_size") * 100, 0), lit(" ㎡, contract amount USD "),
+        F.format_number("p_retailprice", 2), lit(" VAT 10 % "), "p_name")
     text = F.when(F.col("p_partkey") % 3 == 0, F.concat(lit("연면적, contract amount, VAT of "), "p_name")).otherwise(whole)
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bid_no"), F.col("p_brand").alias("source_file"), F.col("p_name").alias("locator"), text.alias("text"))
+    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bid_no"), F.col("p_brand").alias("source_file"),
+        F.col("p_name").alias("locator"), text.alias("text"))
 
 
-_MEANING = """CASE p_partkey % 8 WHEN 0 THEN 'SITE_AREA' WHEN 1 THEN 'GFA' WHEN 2 THEN 'GFA' WHEN 3 THEN 'BUILDING_OR_CONSTRUCTION_AREA' WHEN 4 THEN 'WORK_ITEM_AREA' WHEN 5 THEN 'QUALIFICATION' WHEN 6 THEN 'GFA' ELSE 'AMBIGUOUS_AREA' END"""
+_MEANING = """CASE p_partkey % 8 WHEN 0 THEN 'SITE_AREA' WHEN 1 THEN 'GFA' WHEN 2 THEN 'GFA' WHEN 3 THEN 'BUILDING_OR_CONSTRUCTION_AREA'
+WHEN 4 THEN 'WORK_ITEM_AREA' WHEN 5 THEN 'QUALIFICATION' WHEN 6 THEN 'GFA' ELSE 'AMBIGUOUS_AREA' END"""
 _POINTS = "CASE p_partkey % 8 WHEN 0 THEN 20 WHEN 1 THEN 105 WHEN 2 THEN 100 WHEN 3 THEN 75 WHEN 4 THEN 5 WHEN 5 THEN 10 WHEN 6 THEN 105 ELSE 40 END"
 
 
 @query(
     f"""WITH x AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS value, {_MEANING} AS m, {_POINTS} AS s,
-CASE p_partkey % 8 WHEN 0 THEN 'site area ' WHEN 1 THEN 'in the north of the town a gross floor area ' WHEN 2 THEN 'floor area ' WHEN 3 THEN 'building area ' WHEN 4 THEN 'painting ' WHEN 5 THEN 'similar project of ' ELSE '' END || p_size || ' m2' || CASE p_partkey % 8 WHEN 6 THEN ' total floor area' ELSE '' END AS quote FROM part)
-SELECT CAST(p_partkey AS VARCHAR) AS bid_no, value, CASE WHEN value < 20 AND m NOT IN ('GFA', 'BUILDING_OR_CONSTRUCTION_AREA') THEN 'WORK_ITEM_AREA' ELSE m END AS semantic,
+CASE p_partkey % 8 WHEN 0 THEN 'site area ' WHEN 1 THEN 'in the north of the town a gross floor area ' WHEN 2 THEN 'floor area '
+WHEN 3 THEN 'building area ' WHEN 4 THEN 'painting ' WHEN 5 THEN 'similar project of '
+ELSE '' END || p_size || ' m2' || CASE p_partkey % 8 WHEN 6 THEN ' total floor area' ELSE '' END AS quote FROM part)
+SELECT CAST(p_partkey AS VARCHAR) AS bid_no, value, CASE WHEN value < 20
+AND m NOT IN ('GFA', 'BUILDING_OR_CONSTRUCTION_AREA') THEN 'WORK_ITEM_AREA' ELSE m END AS semantic,
 CAST(CASE WHEN value < 20 AND m NOT IN ('GFA', 'BUILDING_OR_CONSTRUCTION_AREA') THEN least(s, 5) ELSE s END AS INTEGER) AS score, quote FROM x"""
 )
 def area_meanings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,36 +73,47 @@ def area_meanings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def area_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An area of each kind, in the text or, for every other eight parts, in the mentions."""
     key, lit = "p_partkey", F.lit
-    before = by_rest(key, 8, *map(lit, ("site area ", "in the north of the town a gross floor area ", "floor area ", "building area ", "painting ", "similar project of ", "")))
+    before = by_rest(key, 8, *map(lit, ("site area ", "in the north of the town a gross floor area ", "floor area ", "building area ",
+        "painting ", "similar project of ", "")))
     text = F.concat(before, F.col("p_size").cast("string"), lit(" m2"), F.when(F.col(key) % 8 == 6, " total floor area").otherwise(""))
     in_text = F.col(key) % 16 < 8
     return t(spark, sf_dir, "part").select(
-        F.col(key).cast("string").alias("bid_no"), lit("f").alias("source_file"), lit("l").alias("source_locator"), F.when(in_text, text).otherwise("no area here").alias("evidence_text"), F.when(in_text, "").otherwise(text).alias("area_mentions")
+        F.col(key).cast("string").alias("bid_no"), lit("f").alias("source_file"), lit("l").alias("source_locator"),
+        F.when(in_text, text).otherwise("no area here").alias("evidence_text"), F.when(in_text, "").otherwise(text).alias("area_mentions")
     )
 
 
 @query(
-    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size * 100.0 WHEN 2 THEN p_size * 1.0 END AS value,
-CASE p_partkey % 4 WHEN 0 THEN 'explicit_gross_floor_area' WHEN 1 THEN 'multiple_explicit_gross_floor_areas' WHEN 2 THEN 'single_unlabelled_area' ELSE '' END AS method,
-CASE p_partkey % 4 WHEN 0 THEN format('{:.1f}', p_size * 100.0) || ' 9.0' WHEN 1 THEN '10.0 20.5' ELSE format('{:.1f}', p_size * 1.0) END AS every FROM part""".replace("p_size * 100.0 WHEN 2 THEN p_size * 1.0 END", "CAST(p_size * 100 AS DOUBLE) WHEN 2 THEN CAST(p_size AS DOUBLE) END")
+    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN CAST(p_size * 100 AS DOUBLE) WHEN 2 THEN CAST(p_size AS DOUBLE) END AS value,
+CASE p_partkey % 4 WHEN 0 THEN 'explicit_gross_floor_area' WHEN 1 THEN 'multiple_explicit_gross_floor_areas'
+WHEN 2 THEN 'single_unlabelled_area' ELSE '' END AS method,
+CASE p_partkey % 4 WHEN 0 THEN format('{:.1f}', p_size * 100.0) || ' 9.0' WHEN 1 THEN '10.0 20.5'
+ELSE format('{:.1f}', p_size * 1.0) END AS every FROM part"""
 )
 def floor_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
-    text = by_rest("p_partkey", 4, F.concat(F.lit("연면적: 약 "), F.format_number(size * 100, 0), F.lit("㎡, 옥상 9 m2")), F.lit("연면적 10㎡ 연면적 20.5㎡"), F.concat(F.lit("규모 "), size.cast("string"), F.lit(" 제곱미터")), F.concat(F.lit("대지 면적 "), size.cast("string"), F.lit("㎡")))
+    text = by_rest("p_partkey", 4, F.concat(F.lit("연면적: 약 "), F.format_number(size * 100, 0), F.lit("㎡, 옥상 9 m2")),
+        F.lit("연면적 10㎡ 연면적 20.5㎡"), F.concat(F.lit("규모 "), size.cast("string"), F.lit(" 제곱미터")), F.concat(F.lit("대지 면적 "), size.cast("string"), F.lit("㎡")))
     found = evidence.gross_floor_area(text)
-    return t(spark, sf_dir, "part").select("p_partkey", found["value"].alias("value"), found["method"].alias("method"), F.array_join(evidence.area_values(text), " ").alias("every"))
+    return t(spark, sf_dir, "part").select("p_partkey", found["value"].alias("value"), found["method"].alias("method"),
+        F.array_join(evidence.area_values(text), " ").alias("every"))
 
 
 @query(
-    """WITH r AS (SELECT l_orderkey AS bid_no, l_returnflag AS category, 'p' || l_linenumber AS loc, l_linestatus || l_partkey || '-' || l_suppkey AS f FROM lineitem),
+    """WITH r AS (SELECT l_orderkey AS bid_no, l_returnflag AS category, 'p' || l_linenumber AS loc,
+l_linestatus || l_partkey || '-' || l_suppkey AS f FROM lineitem),
 c AS (SELECT o_orderkey AS bid_no, CASE o_orderkey % 2 WHEN 0 THEN 'N' ELSE 'Z' END AS category, 'p1' AS loc FROM orders),
-e AS (SELECT bid_no, category, loc, min(f) AS f FROM r GROUP BY ALL), n AS (SELECT bid_no, min((category, loc, f)) AS m FROM r GROUP BY 1)
-SELECT CAST(c.bid_no AS VARCHAR) AS bid_no, coalesce('text ' || e.f, 'text ' || n.m[3]) AS found, e.f IS NOT NULL AS is_exact FROM c LEFT JOIN e USING (bid_no, category, loc) LEFT JOIN n ON n.bid_no = c.bid_no""".replace("min((category, loc, f)) AS m", "min(row(category, loc, f)) AS m")
+e AS (SELECT bid_no, category, loc, min(f) AS f FROM r GROUP BY ALL), n AS (SELECT bid_no, min(row(category, loc, f)) AS m FROM r GROUP BY 1)
+SELECT CAST(c.bid_no AS VARCHAR) AS bid_no, coalesce('text ' || e.f, 'text ' || n.m[3]) AS found, e.f IS NOT NULL AS is_exact
+FROM c LEFT JOIN e USING (bid_no, category, loc) LEFT JOIN n ON n.bid_no = c.bid_no"""
 )
 def evidence_of_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = F.concat("l_linestatus", F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
-    rows = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("bid_no"), F.col("l_returnflag").alias("category"), F.concat(F.lit("p"), F.col("l_linenumber").cast("string")).alias("source_locator"), file.alias("source_file"), F.concat(F.lit("text "), file).alias("evidence_text"))
-    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("bid_no"), by_rest("o_orderkey", 2, F.lit("N"), F.lit("Z")).alias("category"), F.lit("p1").alias("source_locator"))
+    rows = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("bid_no"), F.col("l_returnflag").alias("category"),
+        F.concat(F.lit("p"), F.col("l_linenumber").cast("string")).alias("source_locator"), file.alias("source_file"),
+        F.concat(F.lit("text "), file).alias("evidence_text"))
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("bid_no"),
+        by_rest("o_orderkey", 2, F.lit("N"), F.lit("Z")).alias("category"), F.lit("p1").alias("source_locator"))
     return evidence.locate(o, rows).select("bid_no", F.col("evidence.evidence_text").alias("found"), "is_exact")
 
 
@@ -105,29 +125,38 @@ def _trade_sql(text: str) -> str:
 
 
 @query(
-    f"""WITH r AS (SELECT p_brand AS sheet, p_partkey AS row, p_partkey % 7 AS k, CASE p_partkey % 7 WHEN 0 THEN 'Element No. ' || p_size WHEN 1 THEN 'Concrete works ' || p_size WHEN 2 THEN 'Blank type a' WHEN 3 THEN 'painting' WHEN 4 THEN 'Sub total' ELSE 'roof truss' END AS description FROM part WHERE p_partkey % 7 < 6),
-e AS (SELECT *, sum(CAST(k = 0 AS INTEGER)) OVER w AS block, coalesce(last_value(CASE WHEN k = 0 THEN description END IGNORE NULLS) OVER w, '') AS element FROM r WINDOW w AS (PARTITION BY sheet ORDER BY row ROWS UNBOUNDED PRECEDING)),
-h AS (SELECT *, coalesce(last_value(CASE WHEN k = 1 THEN description END IGNORE NULLS) OVER (PARTITION BY sheet, block ORDER BY row ROWS UNBOUNDED PRECEDING), '') AS heading FROM e)
+    f"""WITH r AS (SELECT p_brand AS sheet, p_partkey AS row, p_partkey % 7 AS k, CASE p_partkey % 7 WHEN 0 THEN 'Element No. ' || p_size
+WHEN 1 THEN 'Concrete works ' || p_size WHEN 2 THEN 'Blank type a' WHEN 3 THEN 'painting' WHEN 4 THEN 'Sub total' ELSE 'roof truss' END AS description FROM part WHERE p_partkey % 7 < 6),
+e AS (SELECT *, sum(CAST(k = 0 AS INTEGER)) OVER w AS block, coalesce(last_value(CASE
+WHEN k = 0 THEN description END IGNORE NULLS) OVER w, '') AS element FROM r WINDOW w AS (PARTITION BY sheet ORDER BY row ROWS UNBOUNDED PRECEDING)),
+h AS (SELECT *, coalesce(last_value(CASE WHEN k = 1 THEN description END IGNORE NULLS) OVER (PARTITION BY sheet,
+block ORDER BY row ROWS UNBOUNDED PRECEDING), '') AS heading FROM e)
 SELECT sheet, row, CASE k WHEN 2 THEN 'item' WHEN 3 THEN 'item' WHEN 4 THEN 'total' WHEN 5 THEN 'item_unquantified' ELSE 'heading' END AS row_type, element, heading,
-{_trade_sql("lower(concat_ws(' ', sheet, element, heading, description))")} AS trade, CASE k WHEN 2 THEN 'm²' WHEN 3 THEN 'm²' WHEN 5 THEN 'running' ELSE '' END AS unit_normalized FROM h"""
+{_trade_sql("lower(concat_ws(' ', sheet, element, heading, description))")} AS trade, CASE k WHEN 2 THEN 'm²' WHEN 3 THEN 'm²'
+WHEN 5 THEN 'running' ELSE '' END AS unit_normalized FROM h"""
 )
 def bill_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, lit, size = "p_partkey", F.lit, F.col("p_size").cast("string")
-    described = by_rest(key, 7, F.concat(lit("Element No. "), size), F.concat(lit("Concrete  works "), size), lit("Blank type a"), lit("painting"), lit("Sub total"), lit("roof truss"), lit("  "))
+    described = by_rest(key, 7, F.concat(lit("Element No. "), size), F.concat(lit("Concrete  works "), size), lit("Blank type a"),
+        lit("painting"), lit("Sub total"), lit("roof truss"), lit("  "))
     item = (F.col(key) % 7).isin(2, 3)
     rows = t(spark, sf_dir, "part").select(
-        F.col("p_brand").alias("sheet"), F.col(key).alias("row"), described.alias("description"), F.when(F.col(key) % 7 == 5, "1.1").otherwise("").alias("item_code"),
-        F.when(item, "SM").when(F.col(key) % 7 == 5, "running").otherwise("").alias("unit"), F.when(item, F.col("p_size").cast("double")).alias("quantity"), lit("").alias("quantity_formula"),
+        F.col("p_brand").alias("sheet"), F.col(key).alias("row"), described.alias("description"),
+        F.when(F.col(key) % 7 == 5, "1.1").otherwise("").alias("item_code"),
+        F.when(item, "SM").when(F.col(key) % 7 == 5, "running").otherwise("").alias("unit"),
+        F.when(item, F.col("p_size").cast("double")).alias("quantity"), lit("").alias("quantity_formula"),
     )
     return boq.in_context(rows).select("sheet", "row", "row_type", "element", "heading", "trade", "unit_normalized")
 
 
 @query(
-    """SELECT n_name AS sheet, 2 + n_nationkey % 12 AS row, 2 AS description, 1 AS item, 3 AS unit, 4 AS quantity, 5 AS rate, 6 AS amount FROM nation WHERE n_nationkey <> 3 AND n_nationkey % 12 <= 10
+    """SELECT n_name AS sheet, 2 + n_nationkey % 12 AS row, 2 AS description, 1 AS item, 3 AS unit, 4 AS quantity, 5 AS rate, 6 AS amount
+FROM nation WHERE n_nationkey <> 3 AND n_nationkey % 12 <= 10
 UNION ALL SELECT 'Rainwater  harvesting ' || n_name, 1, 2, 1, 3, 4, 5, 6 FROM nation WHERE n_nationkey = 3"""
 )
 def bill_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.array(*(F.struct(F.lit(c).alias("col"), F.lit(v).alias("value")) for c, v in ((1, "S/N"), (2, "Item  Description"), (3, "UoM"), (4, "Qty "), (5, "Unit Rate"), (6, "Amount (USD)"), (21, "Total"))))
+    head = F.array(*(F.struct(F.lit(c).alias("col"), F.lit(v).alias("value")) for c,
+        v in ((1, "S/N"), (2, "Item  Description"), (3, "UoM"), (4, "Qty "), (5, "Unit Rate"), (6, "Amount (USD)"), (21, "Total"))))
     sheet = F.when(F.col("n_nationkey") == 3, F.concat(F.lit("Rainwater  harvesting "), "n_name")).otherwise(F.col("n_name"))
     at = F.when(F.col("n_nationkey") == 3, 5).otherwise(2 + F.col("n_nationkey") % 12).cast("int")
     cells = t(spark, sf_dir, "nation").select(sheet.alias("sheet"), at.alias("row"), F.inline(head))
@@ -142,7 +171,8 @@ def repeated_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT p_partkey, p_type FROM part WHERE p_partkey % 4 <> 0), b AS (SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN 'OTHER' ELSE p_type END AS p_type FROM part WHERE p_partkey % 5 <> 0)
+    """WITH a AS (SELECT p_partkey, p_type FROM part WHERE p_partkey % 4 <> 0), b AS (SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN 'OTHER'
+ELSE p_type END AS p_type FROM part WHERE p_partkey % 5 <> 0)
 SELECT *, 'left' AS only_in FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)"""
 )
 def library_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,9 +182,11 @@ def library_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH x AS (SELECT l_returnflag AS trade, l_linestatus AS u, l_quantity * CASE p_type WHEN 'PROMO' THEN 5 WHEN 'LARGE' THEN 2 ELSE 1 END AS low, l_quantity * CASE p_type WHEN 'PROMO' THEN 6 WHEN 'LARGE' THEN 2 ELSE 1 END AS high
+    """WITH x AS (SELECT l_returnflag AS trade, l_linestatus AS u, l_quantity * CASE p_type WHEN 'PROMO' THEN 5 WHEN 'LARGE' THEN 2
+ELSE 1 END AS low, l_quantity * CASE p_type WHEN 'PROMO' THEN 6 WHEN 'LARGE' THEN 2 ELSE 1 END AS high
 FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type IN ('ECONOMY', 'PROMO', 'LARGE', 'SMALL', 'MEDIUM', 'STANDARD')), p(trade, u, price) AS (VALUES ('A', 'F', 2.5), ('N', 'O', 4.0))
-SELECT s.scenario, trade, u AS unit_normalized, count(*) AS n, round(sum(CASE s.scenario WHEN 'HIGH' THEN high ELSE low END * CAST(price AS DOUBLE)), 2) AS amount, round(sum(CASE s.scenario WHEN 'HIGH' THEN high ELSE low END / 500.0), 4) AS per_area
+SELECT s.scenario, trade, u AS unit_normalized, count(*) AS n, round(sum(CASE s.scenario WHEN 'HIGH' THEN high
+ELSE low END * CAST(price AS DOUBLE)), 2) AS amount, round(sum(CASE s.scenario WHEN 'HIGH' THEN high ELSE low END / 500.0), 4) AS per_area
 FROM x LEFT JOIN p USING (trade, u), (VALUES ('LOW'), ('HIGH')) s(scenario) GROUP BY ALL"""
 )
 def priced_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,56 +194,68 @@ def priced_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = scenario_items(spark, sf_dir)
     one = lambda s: boq.priced_scenario(items, prices, s, 500.0).withColumn("scenario", F.lit(s))
     both = one("LOW").unionByName(one("HIGH"))
-    return both.groupBy("scenario", "trade", "unit_normalized").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("scenario_amount"), 2).alias("amount"), F.round(F.sum("quantity_per_area"), 4).alias("per_area"))
+    return both.groupBy("scenario", "trade", "unit_normalized").agg(F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("scenario_amount"), 2).alias("amount"), F.round(F.sum("quantity_per_area"), 4).alias("per_area"))
 
 
 @query("SELECT p_partkey, round(p_retailprice * p_size * CAST(1.1 AS DOUBLE) * CAST(0.9 AS DOUBLE), 4) AS estimate FROM part")
 def simulated_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "part").select("p_partkey", F.round(boq.simulate(F.col("p_retailprice"), [F.lit(1.1), F.lit(0.9)], F.col("p_size")), 4).alias("estimate"))
+    return t(spark, sf_dir, "part").select("p_partkey", F.round(boq.simulate(F.col("p_retailprice"), [F.lit(1.1), F.lit(0.9)],
+        F.col("p_size")), 4).alias("estimate"))
 
 
 _SHEETS = "s AS (SELECT p_type || '/' || p_brand AS sheet_id, p_type, count(*) AS q, count(*) FILTER (p_partkey % 10 <> 0) AS p FROM part GROUP BY ALL HAVING count(*) >= 3)"
 
 
 @query(
-    f"""WITH {_SHEETS} SELECT p_type AS file_id, count(*) AS table_count, CAST(max(q) AS INTEGER) AS quantity_rows, CAST(max(p) AS INTEGER) AS priced_rows, bool_or(p >= 3 AND p / q >= 0.9) AS strong_priced, max(q * 1000 + p) AS best FROM s GROUP BY 1"""
+    f"""WITH {_SHEETS} SELECT p_type AS file_id, count(*) AS table_count, CAST(max(q) AS INTEGER) AS quantity_rows,
+CAST(max(p) AS INTEGER) AS priced_rows, bool_or(p >= 3 AND p / q >= 0.9) AS strong_priced, max(q * 1000 + p) AS best FROM s GROUP BY 1"""
 )
 def scanned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets of parts by type and brand to their tables, and those to a summary of each type's file."""
     p = t(spark, sf_dir, "part")
     cells = F.array(F.col("p_name"), F.lit("SM"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice").cast("string")))
-    rows = p.groupBy(F.concat_ws("/", "p_type", "p_brand").alias("sheet_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", cells.alias("c")))), lambda x: x["c"]).alias("body"))
+    rows = p.groupBy(F.concat_ws("/", "p_type",
+        "p_brand").alias("sheet_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", cells.alias("c")))), lambda x: x["c"]).alias("body"))
     head = F.array(F.array(F.lit("Description"), F.lit("Unit"), F.lit("Quantity"), F.lit("Unit Rate")))
     signals = boq.find_tables(rows.select("sheet_id", F.concat(head, "body").alias("cells"))).withColumn("file_id", F.substring_index("sheet_id", "/", 1))
     got = boq.scan_summary(signals)
     best = signals.select("file_id", F.col("sheet_id").alias("_s"), (F.col("quantity_rows") * 1000 + F.col("priced_rows")).cast("long").alias("_b"))
-    top = got.join(best, (got["file_id"] == best["file_id"]) & (got["best.sheet_id"] == best["_s"])).select(got["file_id"], "table_count", "quantity_rows", "priced_rows", "strong_priced", F.col("_b").alias("best"))
+    top = got.join(best, (got["file_id"] == best["file_id"]) & (got["best.sheet_id"] == best["_s"])).select(got["file_id"], "table_count",
+        "quantity_rows", "priced_rows", "strong_priced", F.col("_b").alias("best"))
     return top
 
 
 # ---- warehouse ----
 
-_FILES = """f AS (SELECT source AS bid_no, sha256(text) AS sha256, n_chars AS bytes, CASE doc_id % 4 WHEN 0 THEN 'a.XLSX' WHEN 1 THEN 'blank BOQ.pdf' WHEN 2 THEN '내역서.xls' ELSE 'x.txt' END AS source_file FROM documents)"""
+_FILES = """f AS (SELECT source AS bid_no, sha256(text) AS sha256, n_chars AS bytes, CASE doc_id % 4 WHEN 0 THEN 'a.XLSX'
+WHEN 1 THEN 'blank BOQ.pdf' WHEN 2 THEN '내역서.xls' ELSE 'x.txt' END AS source_file FROM documents)"""
 
 
 @query(
-    f"""WITH {_FILES} SELECT bid_no, count(*) AS files, count(DISTINCT sha256) AS distinct_files, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) FILTER (source_file IN ('a.XLSX', '내역서.xls')) AS workbooks,
+    f"""WITH {_FILES} SELECT bid_no, count(*) AS files, count(DISTINCT sha256) AS distinct_files, CAST(sum(bytes) AS BIGINT) AS bytes,
+count(*) FILTER (source_file IN ('a.XLSX', '내역서.xls')) AS workbooks,
 count(*) FILTER (source_file IN ('blank BOQ.pdf', '내역서.xls')) AS boq_files, count(*) FILTER (source_file = 'blank BOQ.pdf') AS blank_boq_files FROM f GROUP BY 1"""
 )
 def attachment_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = by_rest("doc_id", 4, F.lit("a.XLSX"), F.lit("blank BOQ.pdf"), F.lit("내역서.xls"), F.lit("x.txt"))
-    return warehouse.attachment_stats(t(spark, sf_dir, "documents").select(F.col("source").alias("bid_no"), F.sha2("text", 256).alias("sha256"), F.col("n_chars").alias("bytes"), name.alias("source_file")))
+    return warehouse.attachment_stats(t(spark, sf_dir, "documents").select(F.col("source").alias("bid_no"),
+        F.sha2("text", 256).alias("sha256"), F.col("n_chars").alias("bytes"), name.alias("source_file")))
 
 
 @query(
-    """WITH n AS (SELECT event_type, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days FROM events GROUP BY 1), b AS (SELECT min(days) AS d, 'OTHER' AS country FROM n WHERE event_type = 'click')
-SELECT c.country, CAST(CASE c.country WHEN 'OTHER' THEN 1 WHEN 'NATION' THEN 2 END AS INTEGER) AS best_priority, CASE c.country WHEN 'OTHER' THEN (SELECT days FROM n WHERE event_type = 'click') WHEN 'NATION' THEN (SELECT days FROM n WHERE event_type = 'signup') END AS observations,
-CASE c.country WHEN 'NATION_1' THEN 'found' WHEN 'OTHER' THEN 'found' END AS audit_status, CASE c.country WHEN 'OTHER' THEN 'observed' WHEN 'NATION' THEN 'observed' WHEN 'NATION_1' THEN 'source known' ELSE 'no source' END AS coverage_status
+    """WITH n AS (SELECT event_type, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days
+FROM events GROUP BY 1), b AS (SELECT min(days) AS d, 'OTHER' AS country FROM n WHERE event_type = 'click')
+SELECT c.country, CAST(CASE c.country WHEN 'OTHER' THEN 1 WHEN 'NATION' THEN 2 END AS INTEGER) AS best_priority, CASE c.country
+WHEN 'OTHER' THEN (SELECT days FROM n WHERE event_type = 'click') WHEN 'NATION' THEN (SELECT days FROM n WHERE event_type = 'signup') END AS observations,
+CASE c.country WHEN 'NATION_1' THEN 'found' WHEN 'OTHER' THEN 'found' END AS audit_status, CASE c.country WHEN 'OTHER' THEN 'observed'
+WHEN 'NATION' THEN 'observed' WHEN 'NATION_1' THEN 'source known' ELSE 'no source' END AS coverage_status
 FROM (SELECT n_name AS country FROM nation UNION SELECT unnest(['OTHER', 'NATION'])) c"""
 )
 def index_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = warehouse.best_index(warehouse.index_coverage(*index_tables(spark, sf_dir)))
-    countries = t(spark, sf_dir, "nation").select(F.col("n_name").alias("country")).union(spark.createDataFrame([("OTHER",), ("NATION",), ("OTHER",)], "country string"))
+    countries = t(spark, sf_dir, "nation").select(F.col("n_name").alias("country")).union(spark.createDataFrame([("OTHER",), ("NATION",),
+        ("OTHER",)], "country string"))
     audit = spark.createDataFrame([("NATION_1", "found"), ("OTHER", "found"), ("OTHER", "asked")], "country string, status string")
     return warehouse.index_coverage_report(countries, best, audit)
 
@@ -224,16 +268,20 @@ def grade_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {_REVIEWED}, c AS (SELECT CASE WHEN work_type = '0' THEN country || facility_type ELSE '미상' END AS country_ko, grade FROM reviewed),
 g AS (SELECT country_ko, count(*) FILTER (grade = 'A') AS a, count(*) FILTER (grade = 'B') AS b FROM c GROUP BY 1)
-SELECT country_ko, CASE WHEN a > 0 THEN 'A' WHEN b > 0 THEN 'B' ELSE 'C' END AS country_best_project_grade, CASE WHEN a >= 3 THEN '초기 국가모형 가능(독립성·시설유형 추가검증 필요)' WHEN a > 0 THEN '가격사례 부족: 사업별 기준점만 가능'
+SELECT country_ko, CASE WHEN a > 0 THEN 'A' WHEN b > 0 THEN 'B'
+ELSE 'C' END AS country_best_project_grade, CASE WHEN a >= 3 THEN '초기 국가모형 가능(독립성·시설유형 추가검증 필요)' WHEN a > 0 THEN '가격사례 부족: 사업별 기준점만 가능'
 WHEN b > 0 THEN '수량사례만 있음: 현지단가 필요' ELSE '직접 산정근거 없음: 문서추적·원단위 스크리닝만' END AS country_sample_sufficiency FROM g"""
 )
 def readiness_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = reviewed(spark, sf_dir).select(F.when(F.col("work_type") == "0", F.concat("country", "facility_type")).otherwise("").alias("country_ko"), F.col("evidence_grade").alias("grade"), F.col("evidence_grade").alias("technical_status"))
+    p = reviewed(spark, sf_dir).select(F.when(F.col("work_type") == "0",
+        F.concat("country", "facility_type")).otherwise("").alias("country_ko"), F.col("evidence_grade").alias("grade"),
+        F.col("evidence_grade").alias("technical_status"))
     return warehouse.country_readiness(p).select("country_ko", "country_best_project_grade", "country_sample_sufficiency")
 
 
 @query(
-    """WITH i AS (SELECT l_returnflag AS facility, l_quantity * coalesce(p_retailprice, 0) AS a FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
+    """WITH i AS (SELECT l_returnflag AS facility, l_quantity * coalesce(p_retailprice, 0) AS a FROM lineitem LEFT JOIN (SELECT *
+FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
 SELECT facility, count(*) AS item_rows, round(sum(a), 2) AS amount, round(sum(a) / (SELECT sum(a) FROM i), 6) AS share FROM i GROUP BY 1"""
 )
 def facility_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,24 +290,29 @@ def facility_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(l_orderkey AS VARCHAR) AS bid_no, CASE WHEN l_orderkey % 2 = 0 THEN CAST(max(o_custkey) AS VARCHAR) ELSE '' END AS project_no, CASE WHEN l_orderkey % 2 = 0 THEN max(o_orderstatus) ELSE '' END AS country_ko,
-CASE WHEN l_orderkey % 2 = 0 THEN max(o_orderpriority) ELSE '' END AS project_name, l_returnflag AS category, count(*) AS evidence_records FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_returnflag"""
+    """SELECT CAST(l_orderkey AS VARCHAR) AS bid_no, CASE WHEN l_orderkey % 2 = 0 THEN CAST(max(o_custkey) AS VARCHAR)
+ELSE '' END AS project_no, CASE WHEN l_orderkey % 2 = 0 THEN max(o_orderstatus) ELSE '' END AS country_ko,
+CASE WHEN l_orderkey % 2 = 0 THEN max(o_orderpriority) ELSE '' END AS project_name, l_returnflag AS category, count(*) AS evidence_records
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_returnflag"""
 )
 def notice_evidence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("bid_no"), F.col("l_returnflag").alias("category"))
     o = t(spark, sf_dir, "orders").where("o_orderkey % 2 = 0")
-    projects = o.select(F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("project_no"), F.col("o_orderstatus").alias("country_ko"), F.col("o_orderpriority").alias("project_name"))
+    projects = o.select(F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("project_no"),
+        F.col("o_orderstatus").alias("country_ko"), F.col("o_orderpriority").alias("project_name"))
     return warehouse.evidence_counts(rows, projects)
 
 
 @query(
-    """SELECT count(*) AS normalized_row_count, count(*) FILTER (p_size % 2 = 0) AS construction_related_count, count(*) FILTER (p_size % 3 = 0) AS uganda_row_count, count(*) FILTER (p_size % 6 = 0) AS uganda_construction_related_count,
+    """SELECT count(*) AS normalized_row_count, count(*) FILTER (p_size % 2 = 0) AS construction_related_count,
+count(*) FILTER (p_size % 3 = 0) AS uganda_row_count, count(*) FILTER (p_size % 6 = 0) AS uganda_construction_related_count,
 count(*) FILTER (p_partkey % 5 = 0) AS linked_project_no_count, count(*) FILTER (p_partkey % 7 = 0) AS existing_db_project_match_count, count(*) FILTER (p_partkey % 2 = 1) AS unit_cost_potential_count FROM part"""
 )
 def source_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     on = lambda c, n: (F.col(c) % n == 0).cast("int")
     rows = t(spark, sf_dir, "part").select(
-        on("p_size", 2).alias("construction_related"), F.nullif(on("p_size", 3), F.lit(0)).alias("is_uganda"), F.when(F.col("p_partkey") % 5 == 0, "2019-00001").when(F.col("p_partkey") % 5 == 1, "").alias("project_no_linked"),
+        on("p_size", 2).alias("construction_related"), F.nullif(on("p_size", 3), F.lit(0)).alias("is_uganda"),
+        F.when(F.col("p_partkey") % 5 == 0, "2019-00001").when(F.col("p_partkey") % 5 == 1, "").alias("project_no_linked"),
         (F.col("p_partkey") % 7 == 0).alias("existing_db_project_match"), (F.col("p_partkey") % 2).alias("unit_cost_potential"),
     )
     return warehouse.source_stats(rows)
@@ -275,21 +328,25 @@ _ORDERED = "CASE p_partkey % 8 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3
 
 @query(f"SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CAST({_ORDERED} AS INTEGER) AS category_rank, row_number() OVER (ORDER BY {_ORDERED}, CAST(p_partkey AS VARCHAR) DESC, p_brand) AS place FROM part")
 def evidence_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bid_no"), by_rest("p_partkey", 8, *map(F.lit, (*rules.CATEGORY_ORDER, "other"))).alias("category"), F.col("p_brand").alias("source_file"))
+    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bid_no"),
+        by_rest("p_partkey", 8, *map(F.lit, (*rules.CATEGORY_ORDER, "other"))).alias("category"), F.col("p_brand").alias("source_file"))
     listed = warehouse.evidence_in_order(rows)
     return warehouse.numbered(listed, "category_rank", F.desc("bid_no"), "source_file", out="place").select("bid_no", "category_rank", "place")
 
 
 @query(
-    """SELECT o_orderkey AS finding_id, o_custkey AS match_id, CAST(c_nationkey AS VARCHAR) AS project_no, c_mktsegment AS report_id, CASE WHEN c_nationkey % 2 = 0 THEN 'accepted' ELSE 'no_candidate' END AS match_status FROM orders JOIN customer ON c_custkey = o_custkey
+    """SELECT o_orderkey AS finding_id, o_custkey AS match_id, CAST(c_nationkey AS VARCHAR) AS project_no, c_mktsegment AS report_id, CASE
+WHEN c_nationkey % 2 = 0 THEN 'accepted' ELSE 'no_candidate' END AS match_status FROM orders JOIN customer ON c_custkey = o_custkey
 WHERE o_orderstatus = 'F' AND c_custkey % 3 = 0 AND c_mktsegment <> 'FURNITURE'"""
 )
 def accepted_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = lambda ok: F.when(ok, "accepted").otherwise("rejected").alias("review_status")
     f = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("finding_id"), F.col("o_custkey").alias("match_id"), state(F.col("o_orderstatus") == "F"))
     c = t(spark, sf_dir, "customer")
-    m = c.select(F.col("c_custkey").alias("match_id"), F.col("c_nationkey").cast("string").alias("project_no"), F.col("c_mktsegment").alias("report_id"), state(F.col("c_custkey") % 3 == 0))
-    s = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("project_no"), F.when(F.col("n_nationkey") % 2 == 0, "accepted").otherwise("no_candidate").alias("match_status"))
+    m = c.select(F.col("c_custkey").alias("match_id"), F.col("c_nationkey").cast("string").alias("project_no"),
+        F.col("c_mktsegment").alias("report_id"), state(F.col("c_custkey") % 3 == 0))
+    s = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("project_no"),
+        F.when(F.col("n_nationkey") % 2 == 0, "accepted").otherwise("no_candidate").alias("match_status"))
     r = c.where("c_mktsegment <> 'FURNITURE'").select(F.col("c_mktsegment").alias("report_id")).distinct()
     return warehouse.accepted_findings(f, m, s, r)
 
@@ -305,7 +362,8 @@ SELECT case_id, CASE WHEN CAST(k.project_no AS INTEGER) < 25 AND k.project_no <>
 def cases_with_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, m, p, _ = findings(spark, sf_dir)
     c = cases(spark, sf_dir).withColumn("project_no", (F.col("case_id").cast("int") % 40).cast("string"))
-    return search.with_evaluation(c, p.withColumnRenamed("country_ko", "match_status"), m, o).select("case_id", "evaluation_match_status", "evaluation_finding_count")
+    return search.with_evaluation(c, p.withColumnRenamed("country_ko", "match_status"), m, o).select("case_id", "evaluation_match_status",
+        "evaluation_finding_count")
 
 
 _FORMS = {"any": "cold OR small", "without": "widget -cold", "phrase": '"cold widget"', "all": "ring tiny", "blank": "  "}
@@ -313,7 +371,8 @@ _FORMS = {"any": "cold OR small", "without": "widget -cold", "phrase": '"cold wi
 
 @query(
     """WITH x AS (SELECT p_partkey, lower(p_name || ' ' || p_type) AS s FROM part)
-SELECT p_partkey, contains(s, 'cold') OR contains(s, 'small') AS any, contains(s, 'widget') AND NOT contains(s, 'cold') AS without, contains(s, 'cold widget') AS phrase, contains(s, 'ring') AND contains(s, 'tiny') AS "all", true AS blank FROM x"""
+SELECT p_partkey, contains(s, 'cold') OR contains(s, 'small') AS any, contains(s, 'widget')
+AND NOT contains(s, 'cold') AS without, contains(s, 'cold widget') AS phrase, contains(s, 'ring') AND contains(s, 'tiny') AS "all", true AS blank FROM x"""
 )
 def full_text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat_ws(" ", F.upper("p_name"), "p_type")
@@ -321,10 +380,13 @@ def full_text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_CASES}, s AS (SELECT *, CAST(CASE WHEN lower(coalesce(country_ko, '')) = 'nation_3' THEN 40 ELSE 0 END + CASE WHEN contains(lower(facility_type), 'promo') OR contains('promo', lower(facility_type)) OR contains(lower(search_text), 'promo') THEN 30 ELSE 0 END
-+ CASE WHEN contains(lower(search_text), 'ring') OR contains(lower(search_text), 'cold') THEN 15 ELSE 0 END + CASE evidence_grade WHEN 'A' THEN 5 WHEN 'B' THEN 4 WHEN 'C' THEN 3 WHEN 'C?' THEN 2 WHEN 'U' THEN 1 ELSE 0 END
+    f"""WITH {_CASES}, s AS (SELECT *, CAST(CASE WHEN lower(coalesce(country_ko, '')) = 'nation_3' THEN 40
+ELSE 0 END + CASE WHEN contains(lower(facility_type), 'promo') OR contains('promo', lower(facility_type)) OR contains(lower(search_text), 'promo') THEN 30 ELSE 0 END
++ CASE WHEN contains(lower(search_text), 'ring') OR contains(lower(search_text), 'cold') THEN 15
+ELSE 0 END + CASE evidence_grade WHEN 'A' THEN 5 WHEN 'B' THEN 4 WHEN 'C' THEN 3 WHEN 'C?' THEN 2 WHEN 'U' THEN 1 ELSE 0 END
 + coalesce(round(CAST(5 * greatest(0, 1 - abs(gross_floor_area_m2 - 30) / 30) AS DECIMAL(20, 8)), 2), 0) AS DECIMAL(10, 2)) AS match_score FROM cases)
-SELECT case_id, CAST(match_score AS DOUBLE) AS match_score, dense_rank() OVER (ORDER BY match_score DESC) AS priority FROM s ORDER BY match_score DESC, notice_date DESC NULLS LAST, case_id LIMIT 25"""
+SELECT case_id, CAST(match_score AS DOUBLE) AS match_score, dense_rank() OVER (ORDER BY match_score DESC) AS priority
+FROM s ORDER BY match_score DESC, notice_date DESC NULLS LAST, case_id LIMIT 25"""
 )
 def search_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search as a SQL table function over the public view."""
@@ -334,18 +396,23 @@ def search_function(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_REVIEWED} SELECT 'v_sample_coverage' AS view, count(DISTINCT (country, facility_type, work_type)) AS n FROM reviewed UNION ALL SELECT 'v_yearly_inventory', count(DISTINCT year(day)) FROM reviewed
-UNION ALL SELECT 'v_area_cost_ready_projects', count(*) FILTER (grade IN ('A', 'B', 'C')) FROM reviewed UNION ALL SELECT 'v_area_cost_followup_queue', count(*) FILTER (grade IN ('C?', 'U')) FROM reviewed
+    f"""WITH {_REVIEWED} SELECT 'v_sample_coverage' AS view, count(DISTINCT country || '|' || facility_type || '|' || work_type) AS n
+FROM reviewed UNION ALL SELECT 'v_yearly_inventory', count(DISTINCT year(day)) FROM reviewed
+UNION ALL SELECT 'v_area_cost_ready_projects', count(*) FILTER (grade IN ('A', 'B', 'C'))
+FROM reviewed UNION ALL SELECT 'v_area_cost_followup_queue', count(*) FILTER (grade IN ('C?', 'U')) FROM reviewed
 UNION ALL SELECT 'v_duplicate_attachments', count(*) FROM (SELECT 1 FROM documents GROUP BY text HAVING count(*) > 1 AND text IS NOT NULL)
-UNION ALL SELECT 'v_price_index_coverage', 5 UNION ALL SELECT 'v_best_available_price_index', 2""".replace("count(DISTINCT (country, facility_type, work_type))", "count(DISTINCT country || '|' || facility_type || '|' || work_type)")
+UNION ALL SELECT 'v_price_index_coverage', 5 UNION ALL SELECT 'v_best_available_price_index',
+2"""
 )
 def analytic_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the analytic views, counted in SQL."""
     r = reviewed(spark, sf_dir).withColumn("normalization_status", F.lit("미보정"))
     s, v = index_tables(spark, sf_dir)
     files = t(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("sha256"), F.col("n_chars").alias("bytes"))
-    views.register(spark, {"reviewed_cases": r, "area_cost_project_review": r.withColumnRenamed("evidence_grade", "compact_grade"), "attachments": files, "price_index_sources": s, "price_index_values": v})
-    names = ("v_sample_coverage", "v_yearly_inventory", "v_area_cost_ready_projects", "v_area_cost_followup_queue", "v_duplicate_attachments", "v_price_index_coverage", "v_best_available_price_index")
+    views.register(spark, {"reviewed_cases": r, "area_cost_project_review": r.withColumnRenamed("evidence_grade", "compact_grade"),
+        "attachments": files, "price_index_sources": s, "price_index_values": v})
+    names = ("v_sample_coverage", "v_yearly_inventory", "v_area_cost_ready_projects", "v_area_cost_followup_queue",
+        "v_duplicate_attachments", "v_price_index_coverage", "v_best_available_price_index")
     return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS view, count(*) AS n FROM {n}" for n in names))
 
 
@@ -355,57 +422,72 @@ def status_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = c.select("case_id", "is_published").limit(0)
     got = search.status(c, none, spark.createDataFrame([("v9",)], "data_version string"))
     # Without a published case there is no row.
-    return got.unionByName(search.status(c.withColumn("is_published", F.lit(False)), none, spark.createDataFrame([("v8",)], "data_version string"))).select("case_count", "data_version")
+    return got.unionByName(search.status(c.withColumn("is_published", F.lit(False)), none,
+        spark.createDataFrame([("v8",)], "data_version string"))).select("case_count", "data_version")
 
 
-@query("""SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","none":null}' AS doc FROM part WHERE p_size < 4""")
+@query("""SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","none":null}' AS doc FROM part""")
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.as_json(t(spark, sf_dir, "part").where("p_size < 4").select("p_partkey", "p_name", F.lit(None).cast("string").alias("none")))
+    return search.as_json(t(spark, sf_dir, "part").select("p_partkey", "p_name", F.lit(None).cast("string").alias("none")))
 
 
 # ---- prices ----
 
 
 @query(
-    f"""WITH {_PRICE}, found AS (SELECT bid_no, s.source_id, a.value AS f, b.value AS t, row_number() OVER (PARTITION BY bid_no ORDER BY priority, specific DESC, s.source_id) AS n
+    f"""WITH {_PRICE}, found AS (SELECT bid_no, s.source_id, a.value AS f, b.value AS t, row_number() OVER (PARTITION BY bid_no ORDER BY priority,
+specific DESC, s.source_id) AS n
 FROM due JOIN s USING (country) JOIN v a ON a.source_id = s.source_id AND a.period = strftime(day, '%Y') JOIN v b ON b.source_id = s.source_id AND b.period = '2000'),
-x AS (SELECT d.bid_no, d.country, source_id, t / f AS index_factor, CASE WHEN country <> 'BUILDING' THEN (length(country) * (year(day) - 1990) / 10.0) / (length(country) * 10 / 10.0) END AS fx, c_acctbal FROM due d LEFT JOIN (SELECT * FROM found WHERE n = 1) USING (bid_no) JOIN customer ON CAST(c_custkey AS VARCHAR) = d.bid_no)
-SELECT bid_no, round(CAST(fx AS DOUBLE), 6) AS fx_factor, CASE WHEN source_id IS NOT NULL AND fx IS NOT NULL THEN round(c_acctbal * index_factor * fx, 3) END AS adjusted_unit_usd_m2,
+x AS (SELECT d.bid_no, d.country, source_id, t / f AS index_factor, CASE
+WHEN country <> 'BUILDING' THEN (length(country) * (year(day) - 1990) / 10.0) / (length(country) * 10 / 10.0) END AS fx, c_acctbal
+FROM due d LEFT JOIN (SELECT * FROM found WHERE n = 1) USING (bid_no) JOIN customer ON CAST(c_custkey AS VARCHAR) = d.bid_no)
+SELECT bid_no, round(CAST(fx AS DOUBLE), 6) AS fx_factor, CASE
+WHEN source_id IS NOT NULL AND fx IS NOT NULL THEN round(c_acctbal * index_factor * fx, 3) END AS adjusted_unit_usd_m2,
 CASE WHEN source_id IS NULL THEN '{pricing.NO_INDEX}' WHEN fx IS NOT NULL THEN '{pricing.SCENARIO}' ELSE '{pricing.UNCONFIRMED}' END AS status FROM x"""
 )
 def exchange_adjusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices by index and exchange rate, under the assumption of local cost; one segment has no exchange rates."""
-    return normalized(spark, sf_dir).select("bid_no", F.round("fx_factor", 6).alias("fx_factor"), F.round("adjusted_unit_usd_m2", 3).alias("adjusted_unit_usd_m2"), "status")
+    return normalized(spark, sf_dir).select("bid_no", F.round("fx_factor", 6).alias("fx_factor"),
+        F.round("adjusted_unit_usd_m2", 3).alias("adjusted_unit_usd_m2"), "status")
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("bid_no"), F.col("c_mktsegment").alias("country"), F.date_add(F.lit("1995-01-01").cast("date"), F.col("c_custkey").cast("int") % 3000).alias("notice_date"), F.col("c_acctbal").alias("unit_usd_m2_nominal")
+        F.col("c_custkey").cast("string").alias("bid_no"), F.col("c_mktsegment").alias("country"),
+        F.date_add(F.lit("1995-01-01").cast("date"), F.col("c_custkey").cast("int") % 3000).alias("notice_date"),
+        F.col("c_acctbal").alias("unit_usd_m2_nominal")
     )
     s, v = price_series(spark, sf_dir)
     segments = t(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_mktsegment").alias("country")).distinct()
     iso, fx = F.substring("country", 1, 3), F.lit("official_exchange_rate")
-    s = s.unionByName(segments.select(F.concat(F.lit("fx/"), iso).alias("source_id"), "country", iso.alias("iso3"), F.lit(None).cast("int").alias("priority"), F.lit(False).alias("construction_specific"), F.lit("annual").alias("frequency"), fx.alias("index_class")))
+    s = s.unionByName(segments.select(F.concat(F.lit("fx/"), iso).alias("source_id"), "country", iso.alias("iso3"),
+        F.lit(None).cast("int").alias("priority"), F.lit(False).alias("construction_specific"), F.lit("annual").alias("frequency"), fx.alias("index_class")))
     years = segments.withColumn("y", F.explode(F.sequence(F.lit(1990), F.lit(2003))))
-    rate = years.select(F.concat(F.lit("fx/"), iso).alias("source_id"), F.col("y").cast("string").alias("period"), (F.length("country") * (F.col("y") - 1990) / 10.0).cast("double").alias("value"), F.lit(True).alias("is_actual"))
+    rate = years.select(F.concat(F.lit("fx/"), iso).alias("source_id"), F.col("y").cast("string").alias("period"),
+        (F.length("country") * (F.col("y") - 1990) / 10.0).cast("double").alias("value"), F.lit(True).alias("is_actual"))
     return pricing.normalize(c, s, v.unionByName(rate), "2000-06-01", True)
 
 
 @query(
-    f"""WITH {_PRICE}, ok AS (SELECT DISTINCT bid_no FROM due JOIN s USING (country) JOIN v a ON a.source_id = s.source_id AND a.period = strftime(day, '%Y') JOIN v b ON b.source_id = s.source_id AND b.period = '2000')
-SELECT count(*) AS case_count, count(ok.bid_no) AS indexed_count, count(CASE WHEN due.country <> 'BUILDING' THEN ok.bid_no END) AS adjusted_count, count(*) - count(ok.bid_no) AS no_index_count FROM due LEFT JOIN ok USING (bid_no)"""
+    f"""WITH {_PRICE}, ok AS (SELECT DISTINCT bid_no FROM due JOIN s USING (country)
+JOIN v a ON a.source_id = s.source_id AND a.period = strftime(day, '%Y') JOIN v b ON b.source_id = s.source_id AND b.period = '2000')
+SELECT count(*) AS case_count, count(ok.bid_no) AS indexed_count, count(CASE
+WHEN due.country <> 'BUILDING' THEN ok.bid_no END) AS adjusted_count, count(*) - count(ok.bid_no) AS no_index_count FROM due LEFT JOIN ok USING (bid_no)"""
 )
 def price_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pricing.run_summary(normalized(spark, sf_dir))
 
 
 @query(
-    """WITH i AS (SELECT l_orderkey, 0.2 * l_linenumber AS w, CASE WHEN l_partkey % 50 <> 0 THEN l_quantity / l_tax END AS r FROM (SELECT *, nullif(l_tax, 0) AS l_tax2 FROM lineitem) WHERE l_tax > 0)
+    """WITH i AS (SELECT l_orderkey, 0.2 * l_linenumber AS w, CASE WHEN l_partkey % 50 <> 0 THEN l_quantity / l_tax END AS r
+FROM (SELECT *, nullif(l_tax, 0) AS l_tax2 FROM lineitem) WHERE l_tax > 0)
 SELECT CAST(l_orderkey AS VARCHAR) AS project_no, CASE WHEN count(*) = count(r) THEN round(0.1 + sum(CAST(w AS DOUBLE) * r), 3) END AS factor FROM i GROUP BY 1"""
 )
 def weighted_price_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = t(spark, sf_dir, "lineitem").where("l_tax > 0").select(
-        F.col("l_orderkey").cast("string").alias("project_no"), F.lit(0.1).alias("fixed_share"), (F.lit(0.2) * F.col("l_linenumber")).alias("weight"), F.when(F.col("l_partkey") % 50 != 0, F.col("l_quantity")).alias("to_value"), F.col("l_tax").alias("from_value")
+        F.col("l_orderkey").cast("string").alias("project_no"), F.lit(0.1).alias("fixed_share"),
+        (F.lit(0.2) * F.col("l_linenumber")).alias("weight"), F.when(F.col("l_partkey") % 50 != 0, F.col("l_quantity")).alias("to_value"),
+        F.col("l_tax").alias("from_value")
     )
     got = pricing.weighted_factor(items)
     return got.withColumn("factor", F.round("factor", 3))
@@ -417,24 +499,32 @@ _COSTS = "c AS (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 7.5 END AS di
 @query(f"WITH {_COSTS} SELECT p_partkey, coalesce(CAST(direct AS DOUBLE), round(cost / area, 2)) AS unit_usd_m2 FROM c")
 def unit_cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    c = t(spark, sf_dir, "part").select("p_partkey", F.when(key % 4 == 0, 7.5).alias("direct_unit_usd_m2"), F.when(key % 5 != 0, F.col("p_retailprice")).alias("construction_cost_usd"), F.when(key % 3 != 0, (2 * F.col("p_size") + 1).cast("double")).alias("gross_floor_area_m2"))
+    c = t(spark, sf_dir, "part").select("p_partkey", F.when(key % 4 == 0, 7.5).alias("direct_unit_usd_m2"),
+        F.when(key % 5 != 0, F.col("p_retailprice")).alias("construction_cost_usd"),
+        F.when(key % 3 != 0, (2 * F.col("p_size") + 1).cast("double")).alias("gross_floor_area_m2"))
     return pricing.unit_records(c).select("p_partkey", "unit_usd_m2")
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN round(p_size / p_retailprice, 6) END AS design_rate, CASE WHEN p_partkey % 3 = 0 THEN round(CAST(4 AS DOUBLE) / p_retailprice, 6) END AS supervision_rate,
-nullif(round((CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 4 ELSE 0 END) / p_retailprice, 6), 0) AS combined_rate, CASE WHEN p_partkey % 2 = 0 THEN CAST(1 AS DOUBLE) END AS design_fee_usd_m2 FROM part"""
+    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN round(p_size / p_retailprice, 6) END AS design_rate, CASE
+WHEN p_partkey % 3 = 0 THEN round(CAST(4 AS DOUBLE) / p_retailprice, 6) END AS supervision_rate,
+nullif(round((CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 4
+ELSE 0 END) / p_retailprice, 6), 0) AS combined_rate, CASE WHEN p_partkey % 2 = 0 THEN CAST(1 AS DOUBLE) END AS design_fee_usd_m2 FROM part"""
 )
 def fee_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size").cast("double")
-    fees = t(spark, sf_dir, "part").select("p_partkey", size.alias("gross_floor_area_m2"), F.col("p_retailprice").alias("construction_cost_usd"), F.when(key % 2 == 0, size).alias("design_fee_usd"), F.when(key % 3 == 0, 4.0).alias("supervision_fee_usd"))
+    fees = t(spark, sf_dir, "part").select("p_partkey", size.alias("gross_floor_area_m2"),
+        F.col("p_retailprice").alias("construction_cost_usd"), F.when(key % 2 == 0, size).alias("design_fee_usd"),
+        F.when(key % 3 == 0, 4.0).alias("supervision_fee_usd"))
     return pricing.fee_rates(fees).select("p_partkey", "design_rate", "supervision_rate", "combined_rate", "design_fee_usd_m2")
 
 
 @query("SELECT n_nationkey AS source_id, n_regionkey AS priority, r_name AS tier_label, 'use of ' || r_name AS tier_use FROM nation LEFT JOIN (SELECT * FROM region WHERE r_regionkey <> 2) ON r_regionkey = n_regionkey")
 def policy_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiers = t(spark, sf_dir, "region").where("r_regionkey <> 2").select(F.col("r_regionkey").alias("priority"), F.col("r_name").alias("label"), F.concat(F.lit("use of "), "r_name").alias("use"), F.lit("").alias("requirements"))
-    return pricing.with_tiers(t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_regionkey").alias("priority")), tiers).drop("tier_requirements")
+    tiers = t(spark, sf_dir, "region").where("r_regionkey <> 2").select(F.col("r_regionkey").alias("priority"),
+        F.col("r_name").alias("label"), F.concat(F.lit("use of "), "r_name").alias("use"), F.lit("").alias("requirements"))
+    return pricing.with_tiers(t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source_id"),
+        F.col("n_regionkey").alias("priority")), tiers).drop("tier_requirements")
 
 
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS bid_no, k AS run FROM nation, (VALUES ('2026-01-01'), ('2026-02-01')) r(k) WHERE k = '2026-01-01' OR n_nationkey % 2 = 0")
@@ -459,7 +549,8 @@ UNION ALL SELECT 'both or none', (SELECT count(*) FROM part WHERE (p_partkey % 2
 UNION ALL SELECT 'unequal', (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 7 = 0)
 UNION ALL SELECT 'outside', (SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber < 1 OR l_linenumber + 2 > o_orderkey % 9)
 UNION ALL SELECT 'count', 1
-UNION ALL SELECT 'counts differ', (SELECT count(*) FROM (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_quantity > 5) AS m FROM lineitem GROUP BY 1) WHERE n <> m)
+UNION ALL SELECT 'counts differ', (SELECT count(*) FROM (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_quantity > 5) AS m
+FROM lineitem GROUP BY 1) WHERE n <> m)
 UNION ALL SELECT 'recomputed', (SELECT count(*) FROM part WHERE p_partkey % 8 = 0)"""
 )
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,9 +565,12 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound = o.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 9).alias("pages"))
     graded = p.select(F.when(key % 8 == 0, "Z").otherwise(grade_of(F.col("p_size"))).alias("stored"), "p_size")
     checks = {
-        "unique": quality.unique(ln, "l_orderkey", "l_linenumber"), "foreign": quality.foreign(o.select("o_custkey"), c.where("c_custkey % 10 <> 0"), "o_custkey", "c_custkey"), "required": quality.required(texts, "a", "b"),
-        "one of": quality.one_of(o, "o_orderstatus", ["F", "O"]), "both or none": quality.both_or_none(pairs, "a", "b"), "unequal": quality.unequal(left, right, "c_custkey", "v"),
-        "outside": quality.outside(ranges, bound, "l_orderkey", "first", "last", "pages"), "count": quality.count_is(p, 1), "counts differ": quality.counts_differ(ln.select("l_orderkey"), ln.where("l_quantity > 5").select("l_orderkey"), "l_orderkey"),
+        "unique": quality.unique(ln, "l_orderkey", "l_linenumber"), "foreign": quality.foreign(o.select("o_custkey"),
+            c.where("c_custkey % 10 <> 0"), "o_custkey", "c_custkey"), "required": quality.required(texts, "a", "b"),
+        "one of": quality.one_of(o, "o_orderstatus", ["F", "O"]), "both or none": quality.both_or_none(pairs, "a", "b"),
+        "unequal": quality.unequal(left, right, "c_custkey", "v"),
+        "outside": quality.outside(ranges, bound, "l_orderkey", "first", "last", "pages"), "count": quality.count_is(p, 1),
+        "counts differ": quality.counts_differ(ln.select("l_orderkey"), ln.where("l_quantity > 5").select("l_orderkey"), "l_orderkey"),
         "recomputed": quality.recomputed(graded, "stored", grade_of(F.col("p_size"))),
     }
     out = None
@@ -490,7 +584,8 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey AS record_id, CASE WHEN c_custkey % 3 = 0 THEN '2000-00000' END AS project_no_source, CASE WHEN c_custkey % 3 = 0 THEN '2000-00000' WHEN c_custkey % 3 = 1 THEN CAST(c_nationkey AS VARCHAR) END AS project_no_linked,
+    """SELECT c_custkey AS record_id, CASE WHEN c_custkey % 3 = 0 THEN '2000-00000' END AS project_no_source, CASE
+WHEN c_custkey % 3 = 0 THEN '2000-00000' WHEN c_custkey % 3 = 1 THEN CAST(c_nationkey AS VARCHAR) END AS project_no_linked,
 CASE WHEN c_custkey % 3 = 0 THEN 'source_direct' WHEN c_custkey % 3 = 1 THEN 'official_report_title_containment' END AS project_link_method FROM customer"""
 )
 def record_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -498,58 +593,76 @@ def record_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n = t(spark, sf_dir, "customer"), t(spark, sf_dir, "nation")
     project = lambda k: F.concat(F.lit("vocational school number "), F.md5(k.cast("string")))
     title = by_rest("c_custkey", 3, F.lit("any title"), F.concat(F.lit("The "), project(F.col("c_nationkey")), F.lit(" (2020/300만불)")), F.lit("zzz"))
-    rec = c.select(F.col("c_custkey").alias("record_id"), F.when(F.col("c_custkey") % 3 == 0, "2000-00000").otherwise("").alias("project_no"), title.alias("title"), F.array(F.concat(F.lit("R"), (F.col("c_nationkey") % 5).cast("string"))).alias("countries"))
-    off = n.select(F.col("n_nationkey").cast("string").alias("project_no"), project(F.col("n_nationkey")).alias("title"), F.concat(F.lit("R"), (F.col("n_nationkey") % 5).cast("string")).alias("country"))
+    rec = c.select(F.col("c_custkey").alias("record_id"), F.when(F.col("c_custkey") % 3 == 0,
+        "2000-00000").otherwise("").alias("project_no"), title.alias("title"),
+        F.array(F.concat(F.lit("R"), (F.col("c_nationkey") % 5).cast("string"))).alias("countries"))
+    off = n.select(F.col("n_nationkey").cast("string").alias("project_no"), project(F.col("n_nationkey")).alias("title"),
+        F.concat(F.lit("R"), (F.col("n_nationkey") % 5).cast("string")).alias("country"))
     return linking.link(rec, off, off.limit(0)).drop("project_link_score")
 
 
 @query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'P' || p_size WHEN 1 THEN 'alias' ELSE 'UNLINKED:' || p_partkey END AS project_key FROM part")
 def project_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = by_rest("p_partkey", 3, F.concat(F.lit(" P"), F.col("p_size").cast("string")), F.lit(" "), F.lit(None).cast("string"))
-    return t(spark, sf_dir, "part").select("p_partkey", linking.project_key(own, F.when(F.col("p_partkey") % 3 == 1, "alias").otherwise(""), F.col("p_partkey").cast("string")).alias("project_key"))
+    return t(spark, sf_dir, "part").select("p_partkey", linking.project_key(own, F.when(F.col("p_partkey") % 3 == 1, "alias").otherwise(""),
+        F.col("p_partkey").cast("string")).alias("project_key"))
 
 
 @query(
-    """WITH r AS (SELECT CAST(p_size AS VARCHAR) AS project_no, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS country, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_name END AS name, CAST(p_partkey AS VARCHAR) AS bid_no, p_partkey % 5 = 0 AS works, p_partkey % 7 = 0 AS cand FROM part)
-SELECT project_no, first(country ORDER BY country <> '' DESC, name <> '' DESC, length(name) DESC, bid_no DESC) AS country_ko, first(name ORDER BY country <> '' DESC, name <> '' DESC, length(name) DESC, bid_no DESC) AS project_name,
+    """WITH r AS (SELECT CAST(p_size AS VARCHAR) AS project_no, CASE WHEN p_partkey % 3 = 0 THEN ''
+ELSE p_type END AS country, CASE WHEN p_partkey % 4 = 0 THEN ''
+ELSE p_name END AS name, CAST(p_partkey AS VARCHAR) AS bid_no, p_partkey % 5 = 0 AS works, p_partkey % 7 = 0 AS cand FROM part)
+SELECT project_no, first(country ORDER BY country <> '' DESC, name <> '' DESC, length(name) DESC, bid_no DESC) AS country_ko,
+first(name ORDER BY country <> '' DESC, name <> '' DESC, length(name) DESC, bid_no DESC) AS project_name,
 bool_or(works) AS has_works_contract, bool_or(cand) AS has_construction_candidate FROM r GROUP BY 1"""
 )
 def canonical_project_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     rows = t(spark, sf_dir, "part").select(
-        F.col("p_size").cast("string").alias("project_no"), F.when(key % 3 == 0, "").otherwise(F.col("p_type")).alias("country_ko"), F.when(key % 4 == 0, "").otherwise(F.col("p_name")).alias("project_name"),
+        F.col("p_size").cast("string").alias("project_no"), F.when(key % 3 == 0, "").otherwise(F.col("p_type")).alias("country_ko"),
+        F.when(key % 4 == 0, "").otherwise(F.col("p_name")).alias("project_name"),
         key.cast("string").alias("bid_no"), F.when(key % 5 == 0, "공사").otherwise("용역").alias("contract_type"), (key % 7 == 0).alias("construction_candidate"),
     )
     return linking.canonical_projects(rows)
 
 
 @query(
-    """WITH m AS (SELECT c_custkey AS match_id, c_nationkey AS report_id, c_acctbal / 10000 AS s, 'Customer#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS name FROM customer WHERE c_custkey % 4 <> 0),
+    """WITH m AS (SELECT c_custkey AS match_id, c_nationkey AS report_id, c_acctbal / 10000 AS s, 'Customer#' || lpad(CAST(c_custkey AS VARCHAR), 9,
+'0') AS name FROM customer WHERE c_custkey % 4 <> 0),
 n AS (SELECT report_id, count(*) AS k FROM m GROUP BY 1)
-SELECT match_id, 'score' AS violation FROM m WHERE s < 0.85 UNION ALL SELECT match_id, 'name not in report' FROM m WHERE match_id % 6 <> 0 UNION ALL SELECT match_id, 'several projects' FROM m JOIN n USING (report_id) WHERE k > 1 AND report_id % 2 = 0"""
+SELECT match_id, 'score' AS violation FROM m WHERE s < 0.85 UNION ALL SELECT match_id, 'name not in report'
+FROM m WHERE match_id % 6 <> 0 UNION ALL SELECT match_id, 'several projects' FROM m JOIN n USING (report_id) WHERE k > 1 AND report_id % 2 = 0"""
 )
 def match_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted matches against their reports' texts, which name every sixth of their customers."""
     c, key = t(spark, sf_dir, "customer"), F.col("c_custkey")
-    m = c.select(key.alias("match_id"), F.col("c_nationkey").alias("report_id"), F.when(key % 4 != 0, "accepted").otherwise("rejected").alias("review_status"), (F.col("c_acctbal") / 10000).alias("match_score"), F.upper("c_name").alias("report_project_name"))
+    m = c.select(key.alias("match_id"), F.col("c_nationkey").alias("report_id"),
+        F.when(key % 4 != 0, "accepted").otherwise("rejected").alias("review_status"), (F.col("c_acctbal") / 10000).alias("match_score"),
+        F.upper("c_name").alias("report_project_name"))
     named = c.where("c_custkey % 6 = 0").groupBy(F.col("c_nationkey").alias("report_id")).agg(F.array_join(F.sort_array(F.collect_set("c_name")), " and ").alias("_t"))
-    r = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("report_id"), (F.col("n_nationkey") % 2 == 1).alias("multi_project")).join(named, "report_id", "left").select("report_id", F.coalesce("_t", F.lit("")).alias("text"), "multi_project")
+    r = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("report_id"),
+        (F.col("n_nationkey") % 2 == 1).alias("multi_project")).join(named, "report_id", "left").select("report_id",
+        F.coalesce("_t", F.lit("")).alias("text"), "multi_project")
     return linking.match_violations(m, r)
 
 
 @query(
-    """SELECT p_partkey AS finding_id, CASE p_partkey % 4 WHEN 1 THEN 'excerpt not on pages' WHEN 2 THEN 'value not in excerpt' ELSE 'unit' END AS violation FROM part WHERE p_partkey % 4 <> 0"""
+    """SELECT p_partkey AS finding_id, CASE p_partkey % 4 WHEN 1 THEN 'excerpt not on pages' WHEN 2 THEN 'value not in excerpt'
+ELSE 'unit' END AS violation FROM part WHERE p_partkey % 4 <> 0"""
 )
 def finding_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, lit = "p_partkey", F.lit
     n = F.format_number("p_partkey", 0)
     excerpt = F.concat(lit("cost "), n, lit(" USD for  "), "p_name")
     finds = t(spark, sf_dir, "part").select(
-        F.col(key).alias("finding_id"), (F.col(key) % 10).alias("report_id"), lit(2).alias("pdf_page_start"), lit(3).alias("pdf_page_end"), excerpt.alias("evidence_excerpt"),
-        F.when(F.col(key) % 4 == 2, F.col(key) + 10**9).otherwise(F.col(key)).cast("double").alias("value_numeric"), F.when(F.col(key) % 4 == 3, "stone").otherwise("USD").alias("unit"),
+        F.col(key).alias("finding_id"), (F.col(key) % 10).alias("report_id"), lit(2).alias("pdf_page_start"), lit(3).alias("pdf_page_end"),
+        excerpt.alias("evidence_excerpt"),
+        F.when(F.col(key) % 4 == 2, F.col(key) + 10**9).otherwise(F.col(key)).cast("double").alias("value_numeric"),
+        F.when(F.col(key) % 4 == 3, "stone").otherwise("USD").alias("unit"),
     )
     page = F.when(F.col(key) % 4 == 1, 4).otherwise(3)
-    pages = t(spark, sf_dir, "part").groupBy((F.col(key) % 10).alias("report_id"), page.alias("page")).agg(F.array_join(F.sort_array(F.collect_list(F.concat(lit("the cost "), n, lit(" USD for "), "p_name"))), "\n").alias("text"))
+    pages = t(spark, sf_dir, "part").groupBy((F.col(key) % 10).alias("report_id"),
+        page.alias("page")).agg(F.array_join(F.sort_array(F.collect_list(F.concat(lit("the cost "), n, lit(" USD for "), "p_name"))), "\n").alias("text"))
     return linking.finding_violations(finds, pages, ["USD"])
 
 
@@ -558,7 +671,8 @@ def parent_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of ten files each, three are in a ring and the others a chain that ends; one long chain runs through every tenth."""
     p, k = t(spark, sf_dir, "part"), F.col("p_partkey")
     whole = k + 2 - k % 10 <= p.agg(F.max("p_partkey")).first()[0]
-    parent = F.when((k % 10 < 3) & whole, F.when(k % 10 == 2, k - 2).otherwise(k + 1)).when((k % 10 > 3) & (k % 10 < 9), k - 1).when((k % 10 == 9) & (k > 10), k - 10)
+    parent = F.when((k % 10 < 3) & whole, F.when(k % 10 == 2, k - 2).otherwise(k + 1)).when((k % 10 > 3) & (k % 10 < 9),
+        k - 1).when((k % 10 == 9) & (k > 10), k - 10)
     return linking.cyclic_parents(p.select(k.alias("file_id"), parent.alias("duplicate_of")))
 
 
@@ -575,8 +689,10 @@ def candidate_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 'A-부분' WHEN 1 THEN 'X' WHEN 2 THEN 'X' WHEN 3 THEN 'U' WHEN 4 THEN 'U' WHEN 5 THEN 'X' WHEN 6 THEN 'C' WHEN 7 THEN 'C?-부분' ELSE 'U' END AS grade,
-CASE p_partkey % 9 WHEN 0 THEN 'V3_ORIGINAL_MANUAL' WHEN 6 THEN 'V3_CURATED_AREA_COST_RECHECK' WHEN 7 THEN 'V2R_HUMAN_REVIEWED_EXTRACTION' WHEN 8 THEN 'V2R_HUMAN_REVIEWED_EXTRACTION' ELSE 'V3_SCOPE_REVIEW' END AS verification,
+    f"""SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 'A-부분' WHEN 1 THEN 'X' WHEN 2 THEN 'X' WHEN 3 THEN 'U' WHEN 4 THEN 'U' WHEN 5 THEN 'X'
+WHEN 6 THEN 'C' WHEN 7 THEN 'C?-부분' ELSE 'U' END AS grade,
+CASE p_partkey % 9 WHEN 0 THEN 'V3_ORIGINAL_MANUAL' WHEN 6 THEN 'V3_CURATED_AREA_COST_RECHECK' WHEN 7 THEN 'V2R_HUMAN_REVIEWED_EXTRACTION'
+WHEN 8 THEN 'V2R_HUMAN_REVIEWED_EXTRACTION' ELSE 'V3_SCOPE_REVIEW' END AS verification,
 CASE p_partkey % 9 WHEN 0 THEN '검증된 부분 Bill만' WHEN 6 THEN '초기 스크리닝만' WHEN 7 THEN '초기 스크리닝만' ELSE '계산 금지' END AS allowed_use FROM part"""
 )
 def final_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -587,13 +703,17 @@ def final_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = by_rest(key, 9, *map(lit, ("MATCH", "MATCH", "NO_MATCH", "PARTIAL_SCOPE", "NO_MATCH", "NO_MATCH", "MATCH", "PARTIAL_SCOPE", "MATCH")))
     area, cost = num(10, 10, 10, None, 10, 10, 10, 10, 0), num(5, 5, None, 5, 5, 5, 5, 5, 5)
     g = grading.final_grade(role, scope, area, cost, F.col(key) % 9 == 6, F.when(F.col(key) % 9 == 0, "A-부분"))
-    return t(spark, sf_dir, "part").select(key, g.alias("g")).select(key, "g.grade", "g.verification", grading.allowed_use(F.col("g.grade")).alias("allowed_use"))
+    return t(spark, sf_dir, "part").select(key, g.alias("g")).select(key, "g.grade", "g.verification",
+        grading.allowed_use(F.col("g.grade")).alias("allowed_use"))
 
 
 @query(
-    """SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CASE p_partkey % 7 WHEN 0 THEN 11.0 WHEN 1 THEN 22.0 WHEN 3 THEN 33.0 WHEN 5 THEN 33.0 END::DOUBLE AS selected_area_m2,
-CASE p_partkey % 7 WHEN 0 THEN 'GFA_BY_HAND' WHEN 1 THEN 'FACILITY_OR_CAMPUS_AREA' WHEN 2 THEN 'REJECTED' WHEN 3 THEN 'GFA' WHEN 4 THEN 'SITE_AREA' WHEN 5 THEN 'BUILDING_OR_CONSTRUCTION_AREA' ELSE 'NO_PARSEABLE_AREA' END AS area_semantics,
-CASE p_partkey % 7 WHEN 0 THEN 'MANUAL_CONTEXT_REVIEW' WHEN 1 THEN 'MANUAL_CURATED' WHEN 2 THEN 'MANUAL_REJECTED' WHEN 3 THEN 'AUTO_HIGH' WHEN 4 THEN 'LOW' WHEN 5 THEN 'AUTO_MEDIUM' ELSE 'LOW' END AS area_confidence FROM part"""
+    """SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CASE p_partkey % 7 WHEN 0 THEN 11.0 WHEN 1 THEN 22.0 WHEN 3 THEN 33.0
+WHEN 5 THEN 33.0 END::DOUBLE AS selected_area_m2,
+CASE p_partkey % 7 WHEN 0 THEN 'GFA_BY_HAND' WHEN 1 THEN 'FACILITY_OR_CAMPUS_AREA' WHEN 2 THEN 'REJECTED' WHEN 3 THEN 'GFA'
+WHEN 4 THEN 'SITE_AREA' WHEN 5 THEN 'BUILDING_OR_CONSTRUCTION_AREA' ELSE 'NO_PARSEABLE_AREA' END AS area_semantics,
+CASE p_partkey % 7 WHEN 0 THEN 'MANUAL_CONTEXT_REVIEW' WHEN 1 THEN 'MANUAL_CURATED' WHEN 2 THEN 'MANUAL_REJECTED' WHEN 3 THEN 'AUTO_HIGH'
+WHEN 4 THEN 'LOW' WHEN 5 THEN 'AUTO_MEDIUM' ELSE 'LOW' END AS area_confidence FROM part"""
 )
 def area_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas by curated value, reviewed case, rejection, and the best found: each of several goes before the next."""
@@ -607,51 +727,67 @@ def area_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CASE p_partkey % 6 WHEN 0 THEN 1000.0 WHEN 1 THEN 2000.0 WHEN 2 THEN 2000.0 WHEN 3 THEN 50.0 END::DOUBLE AS selected_construction_cost_usd,
-CASE p_partkey % 6 WHEN 0 THEN 'BASIC_ESTIMATED_PRICE' WHEN 1 THEN 'CONSTRUCTION_BUDGET' WHEN 2 THEN 'OTHER_PLANNING_AMOUNT' WHEN 3 THEN 'NOTICE_EXECUTION_CEILING' WHEN 4 THEN 'SERVICE_OR_GOODS_CEILING' ELSE 'NO_USABLE_CONSTRUCTION_AMOUNT' END AS amount_stage,
-CASE p_partkey % 6 WHEN 0 THEN 'MANUAL_SOURCE_VERIFIED' WHEN 1 THEN 'MANUAL_CURATED' WHEN 2 THEN 'MANUAL_CURATED' WHEN 3 THEN 'METADATA_PLUS_SCOPE_REVIEW' WHEN 4 THEN 'SCOPE_REJECTED' ELSE 'NONE' END AS amount_confidence FROM part"""
+    """SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CASE p_partkey % 6 WHEN 0 THEN 1000.0 WHEN 1 THEN 2000.0 WHEN 2 THEN 2000.0
+WHEN 3 THEN 50.0 END::DOUBLE AS selected_construction_cost_usd,
+CASE p_partkey % 6 WHEN 0 THEN 'BASIC_ESTIMATED_PRICE' WHEN 1 THEN 'CONSTRUCTION_BUDGET' WHEN 2 THEN 'OTHER_PLANNING_AMOUNT'
+WHEN 3 THEN 'NOTICE_EXECUTION_CEILING' WHEN 4 THEN 'SERVICE_OR_GOODS_CEILING' ELSE 'NO_USABLE_CONSTRUCTION_AMOUNT' END AS amount_stage,
+CASE p_partkey % 6 WHEN 0 THEN 'MANUAL_SOURCE_VERIFIED' WHEN 1 THEN 'MANUAL_CURATED' WHEN 2 THEN 'MANUAL_CURATED'
+WHEN 3 THEN 'METADATA_PLUS_SCOPE_REVIEW' WHEN 4 THEN 'SCOPE_REJECTED' ELSE 'NONE' END AS amount_confidence FROM part"""
 )
 def cost_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Costs by verified price, reviewed cost (of a usable scope or a budget stage), works ceiling, and none."""
     lit, rest = F.lit, F.col("k")
     n = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bid_no"), (F.col("p_partkey") % 6).alias("k"))
-    n = n.withColumn("scope_role", F.when(rest.isin(0, 2, 3, 5), "WORKS").otherwise("OTHER_SERVICE")).withColumn("ceiling", F.when(rest == 5, 0.0).otherwise(50.0))
+    n = n.withColumn("scope_role", F.when(rest.isin(0, 2, 3, 5), "WORKS").otherwise("OTHER_SERVICE")).withColumn("ceiling",
+        F.when(rest == 5, 0.0).otherwise(50.0))
     verified = n.where("k = 0").select("bid_no", lit(1000.0).alias("amount"), lit("BASIC_ESTIMATED_PRICE").alias("stage"))
     stage = F.when(rest == 1, "Project Budget").otherwise("plan")
-    seen = n.where("k in (0, 1, 2, 4)").select("bid_no", lit(2000.0).alias("cost_usd_nominal"), lit(5.0).alias("gross_floor_area_m2"), stage.alias("cost_stage"))
+    seen = n.where("k in (0, 1, 2, 4)").select("bid_no", lit(2000.0).alias("cost_usd_nominal"), lit(5.0).alias("gross_floor_area_m2"),
+        stage.alias("cost_stage"))
     return grading.select_cost(n, seen, verified).select("bid_no", "selected_construction_cost_usd", "amount_stage", "amount_confidence")
 
 
 @query(
-    """WITH f AS (SELECT CAST(l_partkey % 50 AS VARCHAR) AS k, max(l_linenumber) AS q, max(CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END) AS p, bool_or(l_partkey % 40 = 0 AND l_linenumber > 5) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, l_suppkey),
+    """WITH f AS (SELECT CAST(l_partkey % 50 AS VARCHAR) AS k, max(l_linenumber) AS q, max(CASE WHEN l_partkey % 3 = 0 THEN 1
+ELSE 0 END) AS p, bool_or(l_partkey % 40 = 0 AND l_linenumber > 5) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, l_suppkey),
 g AS (SELECT k, count(*) FILTER (s) AS pf, count(*) FILTER (q >= 3) AS qf FROM f GROUP BY 1),
-r AS (SELECT CAST(p_partkey % 60 AS VARCHAR) AS k, min(CASE WHEN p_partkey % 11 = 0 THEN 'C1' WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN 'U1' WHEN p_size % 3 = 0 THEN 'C2' WHEN p_size % 5 = 0 THEN 'C3' ELSE 'C4' END) AS hint, count(*) AS record_count FROM part GROUP BY 1)
-SELECT r.k AS project_key, record_count, CASE WHEN r.k = '7' THEN 'A-부분' WHEN pf > 0 THEN 'A?' WHEN qf > 0 THEN 'B?' WHEN hint = 'C1' THEN 'C?' ELSE 'U' END AS technical_status,
-CASE WHEN r.k = '7' THEN 'A' WHEN pf > 0 THEN 'A' WHEN qf > 0 THEN 'B' ELSE 'C' END AS grade, CAST(r.k = '7' AS INTEGER) AS direct_project_estimate_ready FROM r LEFT JOIN g USING (k)"""
+r AS (SELECT CAST(p_partkey % 60 AS VARCHAR) AS k, min(CASE WHEN p_partkey % 11 = 0 THEN 'C1' WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN 'U1'
+WHEN p_size % 3 = 0 THEN 'C2' WHEN p_size % 5 = 0 THEN 'C3' ELSE 'C4' END) AS hint, count(*) AS record_count FROM part GROUP BY 1)
+SELECT r.k AS project_key, record_count, CASE WHEN r.k = '7' THEN 'A-부분' WHEN pf > 0 THEN 'A?' WHEN qf > 0 THEN 'B?' WHEN hint = 'C1' THEN 'C?'
+ELSE 'U' END AS technical_status,
+CASE WHEN r.k = '7' THEN 'A' WHEN pf > 0 THEN 'A' WHEN qf > 0 THEN 'B'
+ELSE 'C' END AS grade, CAST(r.k = '7' AS INTEGER) AS direct_project_estimate_ready FROM r LEFT JOIN g USING (k)"""
 )
 def attachment_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as scanned files of projects (a supplier is a content), parts as their records."""
     ln, p, lit = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "part"), F.lit
     part, size = F.col("l_partkey"), F.col("p_size")
     files = ln.select(
-        (part % 50).cast("string").alias("project_key"), F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey").cast("string")).otherwise("").alias("sha256"), F.col("l_suppkey").cast("string").alias("source_file"), (F.col("l_returnflag") == "R").alias("cost_relevant"),
-        F.col("l_linenumber").alias("quantity_rows"), (part % 3 == 0).cast("int").alias("priced_rows"), ((part % 40 == 0) & (F.col("l_linenumber") > 5)).alias("strong_priced"),
+        (part % 50).cast("string").alias("project_key"), F.when(F.col("l_suppkey") % 2 == 0,
+            F.col("l_suppkey").cast("string")).otherwise("").alias("sha256"), F.col("l_suppkey").cast("string").alias("source_file"),
+            (F.col("l_returnflag") == "R").alias("cost_relevant"),
+        F.col("l_linenumber").alias("quantity_rows"), (part % 3 == 0).cast("int").alias("priced_rows"),
+        ((part % 40 == 0) & (F.col("l_linenumber") > 5)).alias("strong_priced"),
     )
     records = p.select(
-        (F.col("p_partkey") % 60).cast("string").alias("project_key"), F.when(F.col("p_partkey") % 11 == 0, 1).alias("unit_cost_potential"), F.when(size % 2 == 0, 5.0).alias("gross_floor_area_m2"), F.when(size % 3 == 0, 7.0).otherwise(0.0).alias("amount_value"), (size % 5 == 0).alias("linked")
+        (F.col("p_partkey") % 60).cast("string").alias("project_key"), F.when(F.col("p_partkey") % 11 == 0, 1).alias("unit_cost_potential"),
+        F.when(size % 2 == 0, 5.0).alias("gross_floor_area_m2"), F.when(size % 3 == 0, 7.0).otherwise(0.0).alias("amount_value"),
+        (size % 5 == 0).alias("linked")
     )
     manual = spark.createDataFrame([("7", "A", "A-부분")], "project_key string, grade string, technical_status string")
     return grading.attachment_grade(files, records, manual).select("project_key", "record_count", "technical_status", "grade", "direct_project_estimate_ready")
 
 
 @query(
-    """SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'X-용역계약' WHEN 1 THEN 'U-전체사업정보' WHEN 2 THEN 'X-물품' WHEN 3 THEN 'X-설계·감리·기타용역' WHEN 4 THEN 'B-부분' WHEN 5 THEN 'C?' ELSE 'U-근거부족' END AS record_status FROM part"""
+    """SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'X-용역계약' WHEN 1 THEN 'U-전체사업정보' WHEN 2 THEN 'X-물품' WHEN 3 THEN 'X-설계·감리·기타용역'
+WHEN 4 THEN 'B-부분' WHEN 5 THEN 'C?' ELSE 'U-근거부족' END AS record_status FROM part"""
 )
 def record_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, lit = "p_partkey", F.lit
     pick = lambda *v: by_rest(key, 7, *map(lit, v))
     status = grading.record_status(
-        pick("aid_procurement_contracts", "country_project_reports", "x"), pick("공사", "공사", "물품", "용역", "용역", "공사", "공사"), pick("t", "t", "t", "Design of a school", "시공 용역 설계", "t", "t"),
+        pick("aid_procurement_contracts", "country_project_reports", "x"), pick("공사", "공사", "물품", "용역", "용역", "공사", "공사"),
+        pick("t", "t", "t", "Design of a school", "시공 용역 설계", "t", "t"),
         pick("A", "A", "A", "A", "B-부분", "U", "U"), pick(1, 1, 1, 1, 1, 1, 0),
     )
     return t(spark, sf_dir, "part").select(key, status.alias("record_status"))
@@ -661,17 +797,20 @@ def record_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS first_text, CASE WHEN p_partkey % 3 = 0 THEN 0.0::DOUBLE ELSE p_retailprice END AS first_value, CASE WHEN p_partkey % 5 = 0 THEN 9.5::DOUBLE ELSE p_retailprice END AS first_true FROM part"""
+    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS first_text, CASE WHEN p_partkey % 3 = 0 THEN 0.0::DOUBLE
+ELSE p_retailprice END AS first_value, CASE WHEN p_partkey % 5 = 0 THEN 9.5::DOUBLE ELSE p_retailprice END AS first_true FROM part"""
 )
 def precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price = F.col("p_partkey"), F.col("p_retailprice")
     return t(spark, sf_dir, "part").select(
-        "p_partkey", snapshot.first_text(F.when(key % 2 == 0, F.concat(F.lit("  "), "p_name")).otherwise(" "), F.col("p_type")).alias("first_text"), snapshot.first_value(F.when(key % 3 == 0, 0.0), price).alias("first_value"),
+        "p_partkey", snapshot.first_text(F.when(key % 2 == 0, F.concat(F.lit("  "), "p_name")).otherwise(" "),
+            F.col("p_type")).alias("first_text"), snapshot.first_value(F.when(key % 3 == 0, 0.0), price).alias("first_value"),
         snapshot.first_true(F.when(key % 5 == 0, 0.0).when(key % 5 == 1, None).otherwise(price), F.when(key % 5 == 0, 9.5), price).alias("first_true"),
     )
 
 
-_ROWS = """r AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey % 20 AS VARCHAR) AS project_no, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority || ' school' AS title, o_orderstatus = 'F' AS works, o_totalprice FROM orders),
+_ROWS = """r AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey % 20 AS VARCHAR) AS project_no,
+strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority || ' school' AS title, o_orderstatus = 'F' AS works, o_totalprice FROM orders),
 last AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY base ORDER BY day DESC, bid_no DESC) = 1)"""
 
 
@@ -679,9 +818,13 @@ def notice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as raw notice rows; a customer is a group, twenty projects."""
     o, lit = t(spark, sf_dir, "orders"), F.lit
     return o.select(
-        F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("bid_base_no"), (F.col("o_custkey") % 20).cast("string").alias("project_no"), F.concat("o_orderpriority", lit(" school")).alias("bid_title_ko"), lit("").alias("source_bid_title"),
-        F.when(F.col("o_orderstatus") == "F", "공사").otherwise("용역").alias("contract_type"), lit("").alias("source_contract_type"), lit("").alias("project_name"), lit("가나").alias("country_ko"), lit("").alias("facility_type"), lit("").alias("work_type"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("notice_date"), F.concat(lit("US$ "), F.format_number("o_totalprice", 2)).alias("ceiling_usd_raw"), lit("http://x").alias("detail_url"),
+        F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("bid_base_no"),
+        (F.col("o_custkey") % 20).cast("string").alias("project_no"), F.concat("o_orderpriority", lit(" school")).alias("bid_title_ko"),
+        lit("").alias("source_bid_title"),
+        F.when(F.col("o_orderstatus") == "F", "공사").otherwise("용역").alias("contract_type"), lit("").alias("source_contract_type"),
+        lit("").alias("project_name"), lit("가나").alias("country_ko"), lit("").alias("facility_type"), lit("").alias("work_type"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("notice_date"),
+        F.concat(lit("US$ "), F.format_number("o_totalprice", 2)).alias("ceiling_usd_raw"), lit("http://x").alias("detail_url"),
     )
 
 
@@ -692,40 +835,55 @@ def latest_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_ROWS}, own AS (SELECT DISTINCT base AS case_id, project_no FROM r WHERE CAST(base AS INTEGER) % 10 = 3)
-SELECT case_id, base AS related_bid_base_no, bid_no AS representative_bid_no, CASE WHEN works THEN 'CONSTRUCTION_PACKAGE' ELSE 'SERVICE' END AS relation_type, title AS display_name, o_totalprice AS amount_usd, 'NOTICE_EXECUTION_CEILING_RAW' AS amount_stage_code, day AS notice_date
+SELECT case_id, base AS related_bid_base_no, bid_no AS representative_bid_no, CASE WHEN works THEN 'CONSTRUCTION_PACKAGE'
+ELSE 'SERVICE' END AS relation_type, title AS display_name, o_totalprice AS amount_usd, 'NOTICE_EXECUTION_CEILING_RAW' AS amount_stage_code, day AS notice_date
 FROM own JOIN last USING (project_no) WHERE base <> case_id"""
 )
 def notices_of_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = notice_rows(spark, sf_dir)
     own = rows.where("bid_base_no % 10 = 3").select(F.col("bid_base_no").alias("case_id"), "project_no").distinct()
-    return snapshot.related_notices(own, rows).select("case_id", "related_bid_base_no", "representative_bid_no", "relation_type", "display_name", "amount_usd", "amount_stage_code", "notice_date")
+    return snapshot.related_notices(own, rows).select("case_id", "related_bid_base_no", "representative_bid_no", "relation_type",
+        "display_name", "amount_usd", "amount_stage_code", "notice_date")
 
 
 @query(
     f"""WITH {_ROWS}, works AS (SELECT DISTINCT base FROM r WHERE works), n AS (SELECT base, count(*) AS k FROM r GROUP BY 1)
-SELECT base AS case_id, 'CONSTRUCTION_NOTICE' AS case_kind, bid_no AS representative_bid_no, CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN 'Reviewed ' || bid_no ELSE title END AS display_name, CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN '기타·미분류' ELSE '교육·훈련시설' END AS facility_family, day AS notice_date,
+SELECT base AS case_id, 'CONSTRUCTION_NOTICE' AS case_kind, bid_no AS representative_bid_no, CASE
+WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN 'Reviewed ' || bid_no
+ELSE title END AS display_name, CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN '기타·미분류' ELSE '교육·훈련시설' END AS facility_family, day AS notice_date,
 CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN 200.0::DOUBLE WHEN CAST(base AS INTEGER) % 3 = 0 THEN 300.0::DOUBLE END AS gross_floor_area_m2,
-CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 AND CAST(bid_no AS INTEGER) % 4 = 0 THEN 5000.0::DOUBLE WHEN CAST(base AS INTEGER) % 3 = 0 THEN 6000.0::DOUBLE ELSE o_totalprice END AS construction_cost_usd,
-CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN 'C?' WHEN CAST(base AS INTEGER) % 3 = 0 THEN 'B' END AS evidence_grade, CAST(k AS INTEGER) AS notice_count FROM last JOIN works USING (base) JOIN n USING (base)"""
+CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 AND CAST(bid_no AS INTEGER) % 4 = 0 THEN 5000.0::DOUBLE
+WHEN CAST(base AS INTEGER) % 3 = 0 THEN 6000.0::DOUBLE ELSE o_totalprice END AS construction_cost_usd,
+CASE WHEN CAST(bid_no AS INTEGER) % 2 = 0 THEN 'C?' WHEN CAST(base AS INTEGER) % 3 = 0 THEN 'B' END AS evidence_grade,
+CAST(k AS INTEGER) AS notice_count FROM last JOIN works USING (base) JOIN n USING (base)"""
 )
 def case_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases whose columns come from the reviewed notice, else from its group, else from the raw row."""
     rows, lit = notice_rows(spark, sf_dir), F.lit
     reviewed_rows = rows.where("bid_no % 2 = 0").select(
-        "bid_no", "bid_base_no", lit(None).cast("string").alias("project_no"), F.concat(lit("Reviewed "), "bid_no").alias("title"), lit("").alias("country_ko"), lit(200.0).alias("selected_area_m2"), F.when(F.col("bid_no") % 4 == 0, 5000.0).alias("selected_construction_cost_usd"),
-        lit("").alias("amount_stage"), lit("").alias("scope_role"), lit("").alias("record_scope_status"), lit("").alias("same_scope_status"), lit("").alias("grade_detail"), lit("").alias("manual_note"), lit("").alias("area_quote"), lit("C?").alias("compact_grade"), lit("").alias("verification_level"),
-        lit("").alias("unit_cost_allowed_use"), lit("").alias("source_url"), lit("2026-08-01").alias("audit_date"), lit(None).cast("string").alias("notice_date"),
+        "bid_no", "bid_base_no", lit(None).cast("string").alias("project_no"), F.concat(lit("Reviewed "), "bid_no").alias("title"),
+        lit("").alias("country_ko"), lit(200.0).alias("selected_area_m2"), F.when(F.col("bid_no") % 4 == 0, 5000.0).alias("selected_construction_cost_usd"),
+        lit("").alias("amount_stage"), lit("").alias("scope_role"), lit("").alias("record_scope_status"),
+        lit("").alias("same_scope_status"), lit("").alias("grade_detail"), lit("").alias("manual_note"), lit("").alias("area_quote"),
+        lit("C?").alias("compact_grade"), lit("").alias("verification_level"),
+        lit("").alias("unit_cost_allowed_use"), lit("").alias("source_url"), lit("2026-08-01").alias("audit_date"),
+        lit(None).cast("string").alias("notice_date"),
     )
     groups = rows.where("bid_base_no % 3 = 0").select("bid_base_no").distinct().select(
-        "bid_base_no", lit(" ").alias("project_no"), lit(0).alias("notice_count"), lit("").alias("representative_bid_no"), lit("").alias("representative_title"), lit("").alias("country_ko"), lit("").alias("latest_notice_date"), lit("B").alias("best_grade"), lit(300.0).alias("area_m2"), lit(6000.0).alias("construction_cost_usd")
+        "bid_base_no", lit(" ").alias("project_no"), lit(0).alias("notice_count"), lit("").alias("representative_bid_no"),
+        lit("").alias("representative_title"), lit("").alias("country_ko"), lit("").alias("latest_notice_date"),
+        lit("B").alias("best_grade"), lit(300.0).alias("area_m2"), lit(6000.0).alias("construction_cost_usd")
     )
-    projects = spark.createDataFrame([], "project_no string, project_name string, compact_grade string, verification_level string, display_representative_bid string, representative_amount_stage string, representative_area_m2 double, representative_construction_cost_usd double, unit_cost_allowed_use string, grade_detail string, duplicate_and_scope_warning string, country_ko string")
+    projects = spark.createDataFrame([],
+        "project_no string, project_name string, compact_grade string, verification_level string, display_representative_bid string, representative_amount_stage string, representative_area_m2 double, representative_construction_cost_usd double, unit_cost_allowed_use string, grade_detail string, duplicate_and_scope_warning string, country_ko string")
     got = snapshot.build_cases(rows, reviewed_rows, groups, projects, "v1")
-    return got.select("case_id", "case_kind", "representative_bid_no", "display_name", "facility_family", "notice_date", "gross_floor_area_m2", "construction_cost_usd", "evidence_grade", "notice_count")
+    return got.select("case_id", "case_kind", "representative_bid_no", "display_name", "facility_family", "notice_date",
+        "gross_floor_area_m2", "construction_cost_usd", "evidence_grade", "notice_count")
 
 
 @query(
-    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS c_mktsegment, c_custkey % 7 <> 0 AS is_published FROM customer WHERE c_custkey % 3 <> 1"""
+    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS c_mktsegment, c_custkey % 7 <> 0 AS is_published
+FROM customer WHERE c_custkey % 3 <> 1"""
 )
 def merge_keeps_old_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge whose new rows lack a column: keys that were there keep its old value."""
@@ -746,18 +904,26 @@ _IDENTITY = {"schema_version": "1", "data_version": "v1", "audit_date": "2026-08
 
 
 def snapshot_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six tables of a snapshot: some parts as cases, nations as projects, customers as matches."""
-    p, n, c, lit = t(spark, sf_dir, "part").where("p_partkey < 100"), t(spark, sf_dir, "nation"), t(spark, sf_dir, "customer").where("c_custkey < 100"), F.lit
-    case = p.select(F.col("p_partkey").cast("string").alias("case_id"), grade_of(F.col("p_size")).alias("evidence_grade"), lit("CONSTRUCTION_NOTICE").alias("case_kind"), F.col("p_size").cast("double").alias("gross_floor_area_m2"), F.col("p_retailprice").alias("construction_cost_usd"))
+    """The six tables of a snapshot: suppliers as cases, nations as projects, reports, matches and findings."""
+    lit, key = F.lit, F.col("n_nationkey")
+    case = t(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("case_id"), grade_of(F.col("s_nationkey")).alias("evidence_grade"),
+        lit("CONSTRUCTION_NOTICE").alias("case_kind"),
+        lit(10.0).alias("gross_floor_area_m2"), F.abs("s_acctbal").alias("construction_cost_usd"),
+    )
+    n = t(spark, sf_dir, "nation")
+    project = key.cast("string").alias("project_no")
     return {
-        "cases": case, "related_notices": case.select("case_id", F.concat(lit("n"), "case_id").alias("related_bid_base_no")), "evaluation_projects": n.select(F.col("n_nationkey").cast("string").alias("project_no")),
+        "cases": case, "related_notices": case.select("case_id", F.concat(lit("n"), "case_id").alias("related_bid_base_no")),
+        "evaluation_projects": n.select(project),
         "evaluation_reports": n.select(F.col("n_name").alias("report_id"), lit(50).alias("page_count")),
-        "evaluation_matches": c.select(F.col("c_custkey").alias("match_id"), F.col("c_nationkey").cast("string").alias("project_no"), F.col("c_nationkey").alias("_k"), lit(0.9).alias("match_score")).join(n.select(F.col("n_nationkey").alias("_k"), F.col("n_name").alias("report_id")), "_k").dropDuplicates(["project_no"]).drop("_k"),
-        "evaluation_findings": c.select(F.col("c_custkey").alias("finding_id"), F.col("c_custkey").alias("match_id"), lit(1).alias("pdf_page_start"), lit(2).alias("pdf_page_end"), lit(1.0).alias("value_numeric"), lit("USD").alias("unit")).limit(0),
+        "evaluation_matches": n.select(key.alias("match_id"), project, F.col("n_name").alias("report_id"), lit(0.9).alias("match_score")),
+        "evaluation_findings": n.select(key.alias("finding_id"), key.alias("match_id"), lit(1).alias("pdf_page_start"),
+            lit(2).alias("pdf_page_end"), lit(1.0).alias("value_numeric"), lit("USD").alias("unit")),
     }
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS case_id, 'n' || p_partkey AS related_bid_base_no, CAST(2 AS BIGINT) AS versions FROM part WHERE p_partkey < 100")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS case_id, 'n' || s_suppkey AS related_bid_base_no, CAST(2 AS BIGINT) AS versions FROM supplier")
 def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot published in two checked calls; a third, with a repeated case, is refused and changes nothing."""
     store, tables = merge.SnapshotStore(spark, f"{scratch.folder(spark, 'store')}/store"), snapshot_tables(spark, sf_dir)
@@ -766,10 +932,11 @@ def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         merge.sync(store, tables | {"cases": tables["cases"].union(tables["cases"])}, _IDENTITY)
     except quality.QualityError:
         done = done if store.version() == done[-1] else []
-    return store.read("cases").join(store.read("related_notices"), "case_id").select("case_id", "related_bid_base_no", F.lit(len(done)).cast("long").alias("versions"))
+    return store.read("cases").join(store.read("related_notices"), "case_id").select("case_id", "related_bid_base_no",
+        F.lit(len(done)).cast("long").alias("versions"))
 
 
-@query("SELECT 'cases_count' AS name, CAST(count(*) AS VARCHAR) AS value FROM part WHERE p_partkey < 100 UNION ALL SELECT 'data_version', 'v1' UNION ALL SELECT 'evaluation_findings_count', '0' UNION ALL SELECT 'evaluation_projects_count', CAST(count(*) AS VARCHAR) FROM nation")
+@query("SELECT 'cases_count' AS name, CAST(count(*) AS VARCHAR) AS value FROM supplier UNION ALL SELECT 'data_version', 'v1' UNION ALL SELECT 'evaluation_findings_count', CAST(count(*) AS VARCHAR) FROM nation UNION ALL SELECT 'evaluation_projects_count', CAST(count(*) AS VARCHAR) FROM nation")
 def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity and counts of a snapshot written as files, read back from its metadata line."""
     path = scratch.folder(spark, "snapshot")

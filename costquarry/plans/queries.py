@@ -53,19 +53,24 @@ def grade_of(size: Column) -> Column:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as published cases; the country is the nation of the part's first supplier, the date its last shipment."""
-    lines = t(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_suppkey").alias("s_suppkey"), F.max("l_shipdate").alias("shipdate"))
+    lines = t(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_suppkey").alias("s_suppkey"),
+        F.max("l_shipdate").alias("shipdate"))
     where = t(spark, sf_dir, "supplier").join(t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     c = t(spark, sf_dir, "part").join(lines, "p_partkey", "left").join(where, "s_suppkey", "left")
     return c.select(
-        F.col("p_partkey").cast("string").alias("case_id"), F.col("p_name").alias("display_name"), F.col("n_name").alias("country_ko"), F.col("p_type").alias("facility_type"), F.col("p_brand").alias("work_type"),
-        F.col("shipdate").cast("date").alias("notice_date"), F.col("p_size").cast("double").alias("gross_floor_area_m2"), grade_of(F.col("p_size")).alias("evidence_grade"), F.concat_ws(" ", "p_name", "p_type").alias("search_text"), F.lit(True).alias("is_published"),
+        F.col("p_partkey").cast("string").alias("case_id"), F.col("p_name").alias("display_name"), F.col("n_name").alias("country_ko"),
+        F.col("p_type").alias("facility_type"), F.col("p_brand").alias("work_type"),
+        F.col("shipdate").cast("date").alias("notice_date"), F.col("p_size").cast("double").alias("gross_floor_area_m2"),
+        grade_of(F.col("p_size")).alias("evidence_grade"), F.concat_ws(" ", "p_name", "p_type").alias("search_text"), F.lit(True).alias("is_published"),
     )
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as related notices of cases: one for each part and order."""
-    ln = t(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_orderkey").agg(F.max("l_extendedprice").alias("amount_usd"), F.max("l_shipdate").cast("date").alias("notice_date"))
-    return ln.select(F.col("l_partkey").cast("string").alias("case_id"), F.col("l_orderkey").cast("string").alias("related_bid_base_no"), "amount_usd", "notice_date", F.lit(True).alias("is_published"))
+    ln = t(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_orderkey").agg(F.max("l_extendedprice").alias("amount_usd"),
+        F.max("l_shipdate").cast("date").alias("notice_date"))
+    return ln.select(F.col("l_partkey").cast("string").alias("case_id"), F.col("l_orderkey").cast("string").alias("related_bid_base_no"),
+        "amount_usd", "notice_date", F.lit(True).alias("is_published"))
 
 
 SIGNALS = {"text": "ring", "country": "NATION_3", "facility": "promo", "work": "Brand#1", "area": 30.0}
@@ -82,12 +87,14 @@ scored AS (SELECT *, CAST(CASE WHEN lower(coalesce(country_ko, '')) = 'nation_3'
 @query(
     _SCORED
     + """
-SELECT case_id, display_name, country_ko, notice_date, evidence_grade, CAST(match_score AS DOUBLE) AS match_score, dense_rank() OVER (ORDER BY match_score DESC) AS priority
+SELECT case_id, display_name, country_ko, notice_date, evidence_grade, CAST(match_score AS DOUBLE) AS match_score,
+dense_rank() OVER (ORDER BY match_score DESC) AS priority
 FROM scored ORDER BY match_score DESC, notice_date DESC NULLS LAST, case_id LIMIT 10"""
 )
 def search_similar_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = search.search_cases(cases(spark, sf_dir), **SIGNALS)
-    return got.select("case_id", "display_name", "country_ko", "notice_date", "evidence_grade", F.col("match_score").cast("double").alias("match_score"), "priority")
+    return got.select("case_id", "display_name", "country_ko", "notice_date", "evidence_grade",
+        F.col("match_score").cast("double").alias("match_score"), "priority")
 
 
 @query(
@@ -110,7 +117,8 @@ _NOTICES = "notices AS (SELECT CAST(l_partkey AS VARCHAR) AS case_id, CAST(l_ord
 
 @query(
     f"""WITH {_CASES}, {_NOTICES}
-SELECT c.case_id, coalesce(string_agg(n.base, ';' ORDER BY n.day DESC NULLS LAST, n.base), '') AS related FROM cases c LEFT JOIN notices n USING (case_id) GROUP BY c.case_id"""
+SELECT c.case_id, coalesce(string_agg(n.base, ';' ORDER BY n.day DESC NULLS LAST, n.base), '') AS related
+FROM cases c LEFT JOIN notices n USING (case_id) GROUP BY c.case_id"""
 )
 def related_notice_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = search.with_notices(cases(spark, sf_dir), notices(spark, sf_dir), ("related_bid_base_no", "notice_date"))
@@ -129,7 +137,8 @@ def related_of_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_CASES}, {_NOTICES} SELECT count(*) AS case_count, count(*) FILTER (evidence_grade IN ('A', 'B', 'C')) AS graded_case_count, min(notice_date) AS earliest_notice_date,
+    f"""WITH {_CASES}, {_NOTICES} SELECT count(*) AS case_count, count(*) FILTER (evidence_grade IN ('A', 'B', 'C')) AS graded_case_count,
+min(notice_date) AS earliest_notice_date,
 max(notice_date) AS latest_notice_date, (SELECT count(*) FROM notices) AS related_notice_count FROM cases"""
 )
 def snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,25 +149,33 @@ def snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def findings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Orders as findings, customers as matches of nations (projects) with market segments (reports)."""
     o = t(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("finding_id"), F.col("o_custkey").alias("match_id"), F.lower("o_orderpriority").alias("category"), F.col("o_orderstatus").alias("field_code"),
-        (F.col("o_orderkey") % 40 + 1).alias("pdf_page_start"), F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("search_text"), (F.col("o_orderkey") % 5 != 0).alias("is_published"),
+        F.col("o_orderkey").alias("finding_id"), F.col("o_custkey").alias("match_id"), F.lower("o_orderpriority").alias("category"),
+        F.col("o_orderstatus").alias("field_code"),
+        (F.col("o_orderkey") % 40 + 1).alias("pdf_page_start"), F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("search_text"),
+        (F.col("o_orderkey") % 5 != 0).alias("is_published"),
     )
     c = t(spark, sf_dir, "customer")
-    m = c.select(F.col("c_custkey").alias("match_id"), F.col("c_nationkey").cast("string").alias("project_no"), F.col("c_mktsegment").alias("report_id"), (F.col("c_custkey") % 7 != 0).alias("is_published"))
-    p = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("project_no"), F.col("n_name").alias("country_ko"), (F.col("n_nationkey") != 4).alias("is_published"))
-    r = c.select(F.col("c_mktsegment").alias("report_id")).distinct().select("report_id", F.concat(F.lit("20"), F.lpad((F.length("report_id") + 10).cast("string"), 2, "0"), F.lit("-05")).alias("publication_date"), (F.col("report_id") != "FURNITURE").alias("is_published"))
+    m = c.select(F.col("c_custkey").alias("match_id"), F.col("c_nationkey").cast("string").alias("project_no"),
+        F.col("c_mktsegment").alias("report_id"), (F.col("c_custkey") % 7 != 0).alias("is_published"))
+    p = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("project_no"), F.col("n_name").alias("country_ko"),
+        (F.col("n_nationkey") != 4).alias("is_published"))
+    r = c.select(F.col("c_mktsegment").alias("report_id")).distinct().select("report_id",
+        F.concat(F.lit("20"), F.lpad((F.length("report_id") + 10).cast("string"), 2, "0"), F.lit("-05")).alias("publication_date"),
+        (F.col("report_id") != "FURNITURE").alias("is_published"))
     return o, m, p, r
 
 
 _STAR = """
-f AS (SELECT o_orderkey AS finding_id, o_custkey AS match_id, lower(o_orderpriority) AS category, o_orderkey % 40 + 1 AS page, o_orderpriority || ' ' || o_orderstatus AS txt FROM orders WHERE o_orderkey % 5 <> 0),
+f AS (SELECT o_orderkey AS finding_id, o_custkey AS match_id, lower(o_orderpriority) AS category, o_orderkey % 40 + 1 AS page,
+o_orderpriority || ' ' || o_orderstatus AS txt FROM orders WHERE o_orderkey % 5 <> 0),
 m AS (SELECT c_custkey AS match_id, CAST(c_nationkey AS VARCHAR) AS project_no, c_mktsegment AS report_id FROM customer WHERE c_custkey % 7 <> 0),
 p AS (SELECT CAST(n_nationkey AS VARCHAR) AS project_no, n_name AS country_ko FROM nation WHERE n_nationkey <> 4),
 r AS (SELECT DISTINCT c_mktsegment AS report_id, '20' || (length(c_mktsegment) + 10) || '-05' AS publication_date FROM customer WHERE c_mktsegment <> 'FURNITURE')"""
 
 
 @query(
-    f"""WITH {_STAR} SELECT finding_id, project_no, report_id, publication_date, category, page AS pdf_page_start FROM f JOIN m USING (match_id) JOIN p USING (project_no) JOIN r USING (report_id)
+    f"""WITH {_STAR} SELECT finding_id, project_no, report_id, publication_date, category, page AS pdf_page_start
+FROM f JOIN m USING (match_id) JOIN p USING (project_no) JOIN r USING (report_id)
 WHERE contains(lower(country_ko), 'nation_1') AND category = '2-high' AND contains(lower(txt), 'o') ORDER BY publication_date DESC, project_no, page, finding_id LIMIT 20"""
 )
 def search_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,12 +188,14 @@ def search_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_STAR} SELECT p.project_no, (SELECT count(DISTINCT m.report_id) FROM m JOIN r USING (report_id) WHERE m.project_no = p.project_no) AS report_count,
 (SELECT count(*) FROM m JOIN f USING (match_id) WHERE m.project_no = p.project_no) AS finding_count,
 (SELECT count(*) FROM m JOIN f USING (match_id) JOIN r USING (report_id) WHERE m.project_no = p.project_no) AS listed_findings,
-(SELECT first(f.finding_id ORDER BY publication_date DESC, page, f.finding_id) FROM m JOIN f USING (match_id) JOIN r USING (report_id) WHERE m.project_no = p.project_no) AS first_finding FROM p"""
+(SELECT first(f.finding_id ORDER BY publication_date DESC, page, f.finding_id)
+FROM m JOIN f USING (match_id) JOIN r USING (report_id) WHERE m.project_no = p.project_no) AS first_finding FROM p"""
 )
 def project_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, m, p, r = findings(spark, sf_dir)
     got = search.project_document(p, m, r, o)
-    return got.select("project_no", "report_count", "finding_count", F.size("findings").cast("long").alias("listed_findings"), F.try_element_at("findings", F.lit(1)).getField("finding_id").alias("first_finding"))
+    return got.select("project_no", "report_count", "finding_count", F.size("findings").cast("long").alias("listed_findings"),
+        F.try_element_at("findings", F.lit(1)).getField("finding_id").alias("first_finding"))
 
 
 @query(f"WITH {_CASES} SELECT case_id, display_name, evidence_grade FROM cases")
@@ -190,8 +209,10 @@ def public_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t(spark, sf_dir, "part")
     return p.select(
-        F.col("p_type").alias("country"), F.col("p_brand").alias("facility_type"), (F.col("p_size") % 3).cast("string").alias("work_type"), grade_of(F.col("p_size")).alias("evidence_grade"),
-        F.date_add(F.lit("2016-01-01").cast("date"), F.col("p_partkey").cast("int") % 3600).alias("notice_date"), F.col("p_retailprice").alias("unit_usd_m2_nominal"), (F.col("p_partkey") % 2 == 0).alias("open_case"),
+        F.col("p_type").alias("country"), F.col("p_brand").alias("facility_type"), (F.col("p_size") % 3).cast("string").alias("work_type"),
+        grade_of(F.col("p_size")).alias("evidence_grade"),
+        F.date_add(F.lit("2016-01-01").cast("date"), F.col("p_partkey").cast("int") % 3600).alias("notice_date"),
+        F.col("p_retailprice").alias("unit_usd_m2_nominal"), (F.col("p_partkey") % 2 == 0).alias("open_case"),
     )
 
 
@@ -199,7 +220,8 @@ _REVIEWED = f"reviewed AS (SELECT p_type AS country, p_brand AS facility_type, C
 
 
 @query(
-    f"""WITH {_REVIEWED} SELECT country, facility_type, work_type, count(*) AS reviewed_case_count, count(*) FILTER (grade = 'A') AS grade_a_count, min(day) AS earliest_notice_date, max(day) AS latest_notice_date,
+    f"""WITH {_REVIEWED} SELECT country, facility_type, work_type, count(*) AS reviewed_case_count, count(*) FILTER (grade = 'A') AS grade_a_count,
+min(day) AS earliest_notice_date, max(day) AS latest_notice_date,
 min(unit) AS nominal_unit_min, max(unit) AS nominal_unit_max, '{warehouse.SAMPLE_WARNING}' AS use_warning FROM reviewed GROUP BY country, facility_type, work_type"""
 )
 def sample_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,16 +243,21 @@ def index_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Event types as index sources, daily mean values as observations; error events are not actual."""
     e = t(spark, sf_dir, "events")
     kinds = ("click", "error", "purchase", "signup", "view")
-    s = spark.createDataFrame([(k, "NATION" if i % 2 else "OTHER", i // 2 + 1, "annual") for i, k in enumerate(kinds)], "source_id string, country string, priority int, frequency string")
+    s = spark.createDataFrame([(k, "NATION" if i % 2 else "OTHER", i // 2 + 1, "annual") for i, k in enumerate(kinds)],
+        "source_id string, country string, priority int, frequency string")
     day = F.date_format("ts", "yyyy-MM-dd")
-    v = e.groupBy(F.col("event_type").alias("source_id"), day.alias("period")).agg(F.round(F.avg("value"), 4).alias("value"), F.max("ts").alias("retrieved_at"), F.count(F.lit(1)).alias("n"))
-    return s, v.select("source_id", "period", "value", (F.col("source_id") != "error").alias("is_actual"), F.when(F.col("n") % 2 == 0, "final").otherwise("provisional").alias("observation_status"), "retrieved_at")
+    v = e.groupBy(F.col("event_type").alias("source_id"), day.alias("period")).agg(F.round(F.avg("value"), 4).alias("value"),
+        F.max("ts").alias("retrieved_at"), F.count(F.lit(1)).alias("n"))
+    return s, v.select("source_id", "period", "value", (F.col("source_id") != "error").alias("is_actual"),
+        F.when(F.col("n") % 2 == 0, "final").otherwise("provisional").alias("observation_status"), "retrieved_at")
 
 
 _INDEX = """
 s(source_id, country, priority) AS (VALUES ('click', 'OTHER', 1), ('error', 'NATION', 1), ('purchase', 'OTHER', 2), ('signup', 'NATION', 2), ('view', 'OTHER', 3)),
-v AS (SELECT event_type AS source_id, strftime(ts, '%Y-%m-%d') AS period, count(*) AS n, max(ts) AS retrieved_at FROM events WHERE event_type <> 'error' GROUP BY 1, 2),
-coverage AS (SELECT s.source_id, s.country, s.priority, count(v.period) AS actual_observation_count, min(v.period) AS earliest_period, max(v.period) AS latest_period,
+v AS (SELECT event_type AS source_id, strftime(ts, '%Y-%m-%d') AS period, count(*) AS n, max(ts) AS retrieved_at
+FROM events WHERE event_type <> 'error' GROUP BY 1, 2),
+coverage AS (SELECT s.source_id, s.country, s.priority, count(v.period) AS actual_observation_count, min(v.period) AS earliest_period,
+max(v.period) AS latest_period,
   arg_max(CASE WHEN v.n % 2 = 0 THEN 'final' ELSE 'provisional' END, v.period) AS latest_observation_status FROM s LEFT JOIN v USING (source_id) GROUP BY ALL)"""
 
 
@@ -255,12 +282,14 @@ def followup_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_REVIEWED}, c AS (SELECT country AS country_ko, count(*) AS candidate_project_count, count(*) FILTER (grade = 'A') AS grade_a_projects, count(*) FILTER (grade = 'B') AS grade_b_projects,
+    f"""WITH {_REVIEWED}, c AS (SELECT country AS country_ko, count(*) AS candidate_project_count, count(*) FILTER (grade = 'A') AS grade_a_projects,
+count(*) FILTER (grade = 'B') AS grade_b_projects,
 count(*) FILTER (grade = 'C') AS grade_c_projects, count(*) FILTER (grade LIKE 'C%') AS screening_c_projects, count(*) FILTER (grade LIKE 'U%') AS unresolved_u_projects FROM reviewed GROUP BY 1)
 SELECT *, CASE WHEN grade_a_projects > 0 THEN 'A' WHEN grade_b_projects > 0 THEN 'B' ELSE 'C' END AS country_best_project_grade FROM c"""
 )
 def country_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = reviewed(spark, sf_dir).select(F.col("country").alias("country_ko"), F.col("evidence_grade").alias("grade"), F.col("evidence_grade").alias("technical_status"))
+    p = reviewed(spark, sf_dir).select(F.col("country").alias("country_ko"), F.col("evidence_grade").alias("grade"),
+        F.col("evidence_grade").alias("technical_status"))
     return warehouse.country_readiness(p).drop("country_sample_sufficiency")
 
 
@@ -281,30 +310,40 @@ def corpus_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Yearly mean order value per priority and status as index series of the market segments."""
     o = t(spark, sf_dir, "orders")
-    v = o.groupBy(F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("source_id"), F.date_format("o_orderdate", "yyyy").alias("period")).agg(F.round(F.avg("o_totalprice"), 2).alias("value")).withColumn("is_actual", F.substring("source_id", -1, 1) != "P")
+    v = o.groupBy(F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("source_id"),
+        F.date_format("o_orderdate", "yyyy").alias("period")).agg(F.round(F.avg("o_totalprice"), 2).alias("value")).withColumn("is_actual",
+        F.substring("source_id", -1, 1) != "P")
     c = t(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("country")).distinct()
     k = v.select("source_id").distinct()
     s = c.join(k, F.length("country") % 2 == F.length("source_id") % 2).select(
-        "source_id", "country", F.substring("country", 1, 3).alias("iso3"), F.substring("source_id", 1, 1).cast("int").alias("priority"), F.endswith(F.col("source_id"), F.lit("F")).alias("construction_specific"), F.lit("annual").alias("frequency"), F.lit("price").alias("index_class")
+        "source_id", "country", F.substring("country", 1, 3).alias("iso3"), F.substring("source_id", 1, 1).cast("int").alias("priority"),
+        F.endswith(F.col("source_id"), F.lit("F")).alias("construction_specific"), F.lit("annual").alias("frequency"), F.lit("price").alias("index_class")
     )
     return s, v
 
 
 _PRICE = """
-v AS (SELECT o_orderpriority || '/' || o_orderstatus AS source_id, strftime(o_orderdate, '%Y') AS period, round(avg(o_totalprice), 2) AS value FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
+v AS (SELECT o_orderpriority || '/' || o_orderstatus AS source_id, strftime(o_orderdate, '%Y') AS period, round(avg(o_totalprice), 2) AS value
+FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
 k AS (SELECT DISTINCT o_orderpriority || '/' || o_orderstatus AS source_id FROM orders),
-s AS (SELECT source_id, country, CAST(source_id[1] AS INTEGER) AS priority, source_id LIKE '%F' AS specific FROM (SELECT DISTINCT c_mktsegment AS country FROM customer) JOIN k ON length(country) % 2 = length(source_id) % 2),
-due AS (SELECT CAST(c_custkey AS VARCHAR) AS bid_no, c_mktsegment AS country, DATE '1995-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS day FROM customer WHERE DATE '1995-01-01' + CAST(c_custkey % 3000 AS INTEGER) <= DATE '2000-06-01')"""
+s AS (SELECT source_id, country, CAST(source_id[1] AS INTEGER) AS priority, source_id LIKE '%F' AS specific
+FROM (SELECT DISTINCT c_mktsegment AS country FROM customer) JOIN k ON length(country) % 2 = length(source_id) % 2),
+due AS (SELECT CAST(c_custkey AS VARCHAR) AS bid_no, c_mktsegment AS country, DATE '1995-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS day
+FROM customer WHERE DATE '1995-01-01' + CAST(c_custkey % 3000 AS INTEGER) <= DATE '2000-06-01')"""
 
 
 @query(
-    f"""WITH {_PRICE}, found AS (SELECT bid_no, s.source_id, a.value AS f, b.value AS t, row_number() OVER (PARTITION BY bid_no ORDER BY priority, specific DESC, s.source_id) AS n
+    f"""WITH {_PRICE}, found AS (SELECT bid_no, s.source_id, a.value AS f, b.value AS t, row_number() OVER (PARTITION BY bid_no ORDER BY priority,
+specific DESC, s.source_id) AS n
 FROM due JOIN s USING (country) JOIN v a ON a.source_id = s.source_id AND a.period = strftime(day, '%Y') JOIN v b ON b.source_id = s.source_id AND b.period = '2000')
-SELECT bid_no, country, source_id, round(t / f, 6) AS index_factor, CASE WHEN source_id IS NULL THEN '{pricing.NO_INDEX}' ELSE '{pricing.UNCONFIRMED}' END AS status FROM due LEFT JOIN (SELECT * FROM found WHERE n = 1) USING (bid_no)"""
+SELECT bid_no, country, source_id, round(t / f, 6) AS index_factor, CASE WHEN source_id IS NULL THEN '{pricing.NO_INDEX}'
+ELSE '{pricing.UNCONFIRMED}' END AS status FROM due LEFT JOIN (SELECT * FROM found WHERE n = 1) USING (bid_no)"""
 )
 def price_normalization(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("bid_no"), F.col("c_mktsegment").alias("country"), F.date_add(F.lit("1995-01-01").cast("date"), F.col("c_custkey").cast("int") % 3000).alias("notice_date"), F.col("c_acctbal").alias("unit_usd_m2_nominal")
+        F.col("c_custkey").cast("string").alias("bid_no"), F.col("c_mktsegment").alias("country"),
+        F.date_add(F.lit("1995-01-01").cast("date"), F.col("c_custkey").cast("int") % 3000).alias("notice_date"),
+        F.col("c_acctbal").alias("unit_usd_m2_nominal")
     )
     s, v = price_series(spark, sf_dir)
     got = pricing.normalize(c, s, v, "2000-06-01")
@@ -319,16 +358,23 @@ def order_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t(spark, sf_dir, "orders")
     size = F.col("o_orderkey") % 6
     return o.select(
-        F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("bid_base_no"), (F.col("o_custkey") % 200).cast("string").alias("project_no"), F.col("o_orderpriority").alias("title"), grade_of(size).alias("final_grade"), grade_of(size).alias("compact_grade"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("notice_date"), F.when(F.col("o_orderstatus") == "F", "MATCH").otherwise("NO_MATCH").alias("same_scope_status"), F.when(F.col("o_orderstatus") == "O", "V3").otherwise("V2").alias("verification_level"),
-        F.lit("WORKS").alias("scope_role"), F.col("o_totalprice").alias("selected_construction_cost_usd"), (F.col("o_orderkey") % 90 + 10).cast("double").alias("selected_area_m2"), F.lit("C").alias("amount_stage"),
+        F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("bid_base_no"),
+        (F.col("o_custkey") % 200).cast("string").alias("project_no"), F.col("o_orderpriority").alias("title"),
+        grade_of(size).alias("final_grade"), grade_of(size).alias("compact_grade"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("notice_date"),
+        F.when(F.col("o_orderstatus") == "F", "MATCH").otherwise("NO_MATCH").alias("same_scope_status"),
+        F.when(F.col("o_orderstatus") == "O", "V3").otherwise("V2").alias("verification_level"),
+        F.lit("WORKS").alias("scope_role"), F.col("o_totalprice").alias("selected_construction_cost_usd"),
+        (F.col("o_orderkey") % 90 + 10).cast("double").alias("selected_area_m2"), F.lit("C").alias("amount_stage"),
         F.lit("").alias("unit_cost_allowed_use"), F.lit(0).alias("direct_future_estimate_ready"), F.lit(0.0).alias("screening_unit_usd_m2"),
     )
 
 
 _RANKED = """
-n AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey % 200 AS VARCHAR) AS project_no, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus,
-  CASE o_orderkey % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'C?' WHEN 4 THEN 'U' ELSE 'X' END AS grade, 6 - o_orderkey % 6 AS grank FROM orders)"""
+n AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey % 200 AS VARCHAR) AS project_no,
+strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus,
+  CASE o_orderkey % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'C?' WHEN 4 THEN 'U'
+ELSE 'X' END AS grade, 6 - o_orderkey % 6 AS grank FROM orders)"""
 
 
 @query(
@@ -336,11 +382,13 @@ n AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) A
 first(bid_no ORDER BY grank DESC, day DESC, bid_no DESC) AS representative_bid_no, first(grade ORDER BY grank DESC, day DESC, bid_no DESC) AS best_grade FROM n GROUP BY base"""
 )
 def group_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grading.group_representatives(order_notices(spark, sf_dir)).select("bid_base_no", "notice_count", "bid_nos", "latest_notice_date", "representative_bid_no", "best_grade")
+    return grading.group_representatives(order_notices(spark, sf_dir)).select("bid_base_no", "notice_count", "bid_nos",
+        "latest_notice_date", "representative_bid_no", "best_grade")
 
 
 @query(
-    f"""WITH {_RANKED} SELECT project_no, count(*) AS notice_count, count(DISTINCT base) AS bid_base_group_count, count(*) FILTER (grade IN ('A', 'B', 'C', 'C?')) AS valid_area_cost_notice_count,
+    f"""WITH {_RANKED} SELECT project_no, count(*) AS notice_count, count(DISTINCT base) AS bid_base_group_count, count(*) FILTER (grade IN ('A',
+'B', 'C', 'C?')) AS valid_area_cost_notice_count,
 first(bid_no ORDER BY grank DESC, o_orderstatus = 'F' DESC, o_orderstatus = 'O' DESC, day DESC, bid_no DESC) AS display_representative_bid,
 first(grade ORDER BY grank DESC, o_orderstatus = 'F' DESC, o_orderstatus = 'O' DESC, day DESC, bid_no DESC) AS best_grade FROM n GROUP BY project_no"""
 )
@@ -350,12 +398,15 @@ def project_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_RANKED}, w AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY grank DESC, day DESC, bid_no DESC) AS a, row_number() OVER (PARTITION BY project_no ORDER BY grank DESC, o_orderstatus = 'F' DESC, o_orderstatus = 'O' DESC, day DESC, bid_no DESC) AS b FROM n)
-SELECT bid_no, CAST(a = 1 AS INTEGER) AS is_bid_base_representative, CAST(b = 1 AS INTEGER) AS is_project_display_representative, CAST(b = 1 AND grade IN ('A', 'B', 'C', 'C?') AS INTEGER) AS sample_weight_notice FROM w"""
+    f"""WITH {_RANKED}, w AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY grank DESC, day DESC, bid_no DESC) AS a,
+row_number() OVER (PARTITION BY project_no ORDER BY grank DESC, o_orderstatus = 'F' DESC, o_orderstatus = 'O' DESC, day DESC, bid_no DESC) AS b FROM n)
+SELECT bid_no, CAST(a = 1 AS INTEGER) AS is_bid_base_representative, CAST(b = 1 AS INTEGER) AS is_project_display_representative, CAST(b = 1
+AND grade IN ('A', 'B', 'C', 'C?') AS INTEGER) AS sample_weight_notice FROM w"""
 )
 def representative_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = grading.mark_representatives(order_notices(spark, sf_dir))
-    return got.select("bid_no", "is_bid_base_representative", "is_project_display_representative", F.col("sample_weight_notice").cast("int").alias("sample_weight_notice"))
+    return got.select("bid_no", "is_bid_base_representative", "is_project_display_representative",
+        F.col("sample_weight_notice").cast("int").alias("sample_weight_notice"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
@@ -366,7 +417,8 @@ def anti_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate")
 def page_bounds_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    j = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+        "l_shipdate").join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
     return quality.breaks(j, F.col("l_shipdate") >= F.col("o_orderdate"))
 
 
@@ -377,12 +429,16 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS shared, count(*) FILTER (b IS NULL) AS left_only, count(*) FILTER (a IS NULL) AS right_only FROM (SELECT DISTINCT c_custkey AS a FROM customer) FULL JOIN (SELECT DISTINCT o_custkey AS b FROM orders WHERE o_orderstatus = 'P') ON a = b")
 def universe_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linking.crosswalk(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")), "k")
+    return linking.crosswalk(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")),
+        t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")), "k")
 
 
 @query(
-    """WITH l AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0), r AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 4 <> 0)
-SELECT coalesce(l.c_custkey, r.c_custkey) AS c_custkey, CASE WHEN l.c_custkey IS NULL THEN 'only_right' WHEN r.c_custkey IS NULL THEN 'only_left' WHEN l.c_acctbal IS NOT DISTINCT FROM r.c_acctbal AND l.c_mktsegment IS NOT DISTINCT FROM r.c_mktsegment THEN 'same' ELSE 'changed' END AS difference
+    """WITH l AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_custkey % 3 <> 0), r AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 4 <> 0)
+SELECT coalesce(l.c_custkey, r.c_custkey) AS c_custkey, CASE WHEN l.c_custkey IS NULL THEN 'only_right'
+WHEN r.c_custkey IS NULL THEN 'only_left' WHEN l.c_acctbal IS NOT DISTINCT FROM r.c_acctbal AND l.c_mktsegment IS NOT DISTINCT FROM r.c_mktsegment THEN 'same' ELSE 'changed' END AS difference
 FROM l FULL JOIN r ON l.c_custkey = r.c_custkey"""
 )
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,7 +450,8 @@ def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     old = c.where("c_custkey % 3 <> 0").withColumn("is_published", F.lit(True))
-    new = c.where("c_custkey % 3 <> 1").withColumn("c_acctbal", F.round(F.col("c_acctbal") * 2, 2)).withColumn("is_published", F.when(F.col("c_custkey") % 7 == 0, F.lit(False)))
+    new = c.where("c_custkey % 3 <> 1").withColumn("c_acctbal", F.round(F.col("c_acctbal") * 2, 2)).withColumn("is_published",
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(False)))
     return old, new
 
 
@@ -411,36 +468,43 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_nationkey AS project_no, CASE WHEN max(CASE WHEN c_acctbal > 9990 THEN 1 ELSE 0 END) = 1 THEN 'accepted' WHEN count(c_custkey) > 0 THEN 'reviewed_not_accepted' ELSE 'no_candidate' END AS match_status FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9500) ON c_nationkey = n_nationkey GROUP BY 1")
 def screening_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = t(spark, sf_dir, "customer").where("c_acctbal > 9500").select(F.col("c_nationkey").alias("project_no"), F.when(F.col("c_acctbal") > 9990, "accepted").otherwise("rejected").alias("review_status"))
+    m = t(spark, sf_dir, "customer").where("c_acctbal > 9500").select(F.col("c_nationkey").alias("project_no"),
+        F.when(F.col("c_acctbal") > 9990, "accepted").otherwise("rejected").alias("review_status"))
     return linking.screening(t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("project_no")), m)
 
 
 @query("WITH f AS (SELECT doc_id, sha256(text) AS sha256, source || CASE WHEN doc_id % 2 = 0 THEN '(1)' ELSE '' END || '.txt' AS file_name FROM documents) SELECT doc_id, file_name, first(file_name) OVER (PARTITION BY sha256 ORDER BY regexp_matches(file_name, '\\(\\d+\\)\\.[^.]+$'), file_name) AS canonical_name FROM f")
 def canonical_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.col("source"), F.when(F.col("doc_id") % 2 == 0, "(1)").otherwise(""), F.lit(".txt"))
-    return linking.canonical_file(t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), name.alias("file_name"))).select("doc_id", "file_name", "canonical_name")
+    return linking.canonical_file(t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"),
+        name.alias("file_name"))).select("doc_id", "file_name", "canonical_name")
 
 
 # ---- bills of quantities ----
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, l_partkey AS item_code, l_quantity AS quantity, round(l_quantity * coalesce(p_retailprice, 0), 4) AS total_amount, CASE WHEN p_retailprice > 0 THEN '복원' ELSE '미복원' END AS join_status
+    """SELECT l_orderkey, l_linenumber, l_partkey AS item_code, l_quantity AS quantity, round(l_quantity * coalesce(p_retailprice, 0),
+4) AS total_amount, CASE WHEN p_retailprice > 0 THEN '복원' ELSE '미복원' END AS join_status
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey"""
 )
 def rate_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recovered(spark, sf_dir).select("l_orderkey", "l_linenumber", "item_code", "quantity", F.round("total_amount", 4).alias("total_amount"), "join_status")
+    return recovered(spark, sf_dir).select("l_orderkey", "l_linenumber", "item_code", "quantity",
+        F.round("total_amount", 4).alias("total_amount"), "join_status")
 
 
 def recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item_code"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("facility"), F.col("l_linestatus").alias("section"))
+    items = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item_code"),
+        F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("facility"), F.col("l_linestatus").alias("section"))
     price = F.col("p_retailprice")
-    lib = t(spark, sf_dir, "part").where("p_size % 4 <> 0").select(F.col("p_partkey").alias("item_code"), (price / 2).alias("material_rate"), (price / 4).alias("labor_rate"), (price / 4).alias("expense_rate"), price.alias("total_rate"))
+    lib = t(spark, sf_dir, "part").where("p_size % 4 <> 0").select(F.col("p_partkey").alias("item_code"),
+        (price / 2).alias("material_rate"), (price / 4).alias("labor_rate"), (price / 4).alias("expense_rate"), price.alias("total_rate"))
     return boq.recover_rates(items, lib)
 
 
 @query(
-    """WITH i AS (SELECT l_returnflag AS facility, l_linestatus AS section, l_quantity * coalesce(p_retailprice, 0) AS a FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
+    """WITH i AS (SELECT l_returnflag AS facility, l_linestatus AS section, l_quantity * coalesce(p_retailprice, 0) AS a
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
 SELECT facility, section, count(*) AS item_rows, round(sum(a), 2) AS amount, round(sum(a) / (SELECT sum(a) FROM i), 6) AS share FROM i GROUP BY 1, 2"""
 )
 def section_totals_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,18 +513,24 @@ def section_totals_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH i AS (SELECT l_quantity * coalesce(p_retailprice, 0) AS a, p_partkey IS NOT NULL AS ok FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
-SELECT count(*) AS item_rows, count(*) FILTER (ok) AS recovered_rows, round(sum(a), 2) AS recovered_total, round(sum(a) / 1e9, 6) AS share_of_ceiling, round(sum(a) / 5000.0, 4) AS per_area FROM i"""
+    """WITH i AS (SELECT l_quantity * coalesce(p_retailprice, 0) AS a, p_partkey IS NOT NULL AS ok FROM lineitem LEFT JOIN (SELECT *
+FROM part WHERE p_size % 4 <> 0) ON p_partkey = l_partkey)
+SELECT count(*) AS item_rows, count(*) FILTER (ok) AS recovered_rows, round(sum(a), 2) AS recovered_total, round(sum(a) / 1e9,
+6) AS share_of_ceiling, round(sum(a) / 5000.0, 4) AS per_area FROM i"""
 )
 def recovery_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = boq.cost_metrics(recovered(spark, sf_dir), 1e9, 5000.0)
-    return got.select("item_rows", "recovered_rows", F.round("recovered_total", 2).alias("recovered_total"), F.round("share_of_ceiling", 6).alias("share_of_ceiling"), F.round("per_area", 4).alias("per_area"))
+    return got.select("item_rows", "recovered_rows", F.round("recovered_total", 2).alias("recovered_total"),
+        F.round("share_of_ceiling", 6).alias("share_of_ceiling"), F.round("per_area", 4).alias("per_area"))
 
 
 def scenario_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ln = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    items = ln.select(F.col("p_type").alias("sheet"), F.col("l_quantity").alias("quantity"), F.lit("item").alias("row_type"), F.col("l_returnflag").alias("trade"), F.col("l_linestatus").alias("unit_normalized"), F.lit("").alias("quantity_formula"), F.lit(None).cast("double").alias("rate"), F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("amount"))
-    scope = spark.createDataFrame([("ECONOMY", "a", 1, 1), ("PROMO", "b", 5, 6), ("LARGE", "c", 2, 2), ("SMALL", "d", 1, 1), ("MEDIUM", "e", 1, 1), ("STANDARD", "f", 1, 1)], "sheet string, facility string, low int, high int")
+    items = ln.select(F.col("p_type").alias("sheet"), F.col("l_quantity").alias("quantity"), F.lit("item").alias("row_type"),
+        F.col("l_returnflag").alias("trade"), F.col("l_linestatus").alias("unit_normalized"), F.lit("").alias("quantity_formula"),
+        F.lit(None).cast("double").alias("rate"), F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("amount"))
+    scope = spark.createDataFrame([("ECONOMY", "a", 1, 1), ("PROMO", "b", 5, 6), ("LARGE", "c", 2, 2), ("SMALL", "d", 1, 1),
+        ("MEDIUM", "e", 1, 1), ("STANDARD", "f", 1, 1)], "sheet string, facility string, low int, high int")
     return boq.scenarios(items, scope)
 
 
@@ -485,7 +555,9 @@ def trade_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as bill rows: a sheet for each document."""
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sheet"), F.posexplode(F.split("text", "\n")).alias("row", "description"))
-    return d.select("sheet", "row", "description", F.lit("").alias("item_code"), F.when(F.col("row") % 3 == 1, "SM").otherwise("").alias("unit"), F.when(F.col("row") % 3 == 1, F.col("row").cast("double")).alias("quantity"), F.lit("").alias("quantity_formula"))
+    return d.select("sheet", "row", "description", F.lit("").alias("item_code"),
+        F.when(F.col("row") % 3 == 1, "SM").otherwise("").alias("unit"),
+        F.when(F.col("row") % 3 == 1, F.col("row").cast("double")).alias("quantity"), F.lit("").alias("quantity_formula"))
 
 
 @query()
@@ -494,24 +566,28 @@ def bill_rows_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""WITH l AS (SELECT CAST(doc_id AS VARCHAR) AS sheet, unnest(range(len(string_split(text, chr(10))))) AS row, unnest(string_split(text, chr(10))) AS line FROM documents),
+    r"""WITH l AS (SELECT CAST(doc_id AS VARCHAR) AS sheet, unnest(range(len(string_split(text, chr(10))))) AS row, unnest(string_split(text,
+chr(10))) AS line FROM documents),
 c AS (SELECT sheet, row, trim(regexp_replace(line, '[\s\x{00A0}\x{3000}]+', ' ', 'g')) AS d FROM l),
 k AS (SELECT sheet, row, d, CASE WHEN regexp_matches(d, '(?i)\b(?:sub\s*total|subtotal|grand\s+total|total|carried\s+to|brought\s+forward|collection)\b') THEN 'total' WHEN row % 3 = 1 THEN 'item' ELSE 'heading' END AS row_type FROM c WHERE d <> '')
-SELECT sheet, CAST(row AS INTEGER) AS row, row_type, coalesce(last_value(CASE WHEN row_type = 'heading' THEN d END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS heading FROM k"""
+SELECT sheet, CAST(row AS INTEGER) AS row, row_type, coalesce(last_value(CASE
+WHEN row_type = 'heading' THEN d END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS heading FROM k"""
 )
 def bill_row_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boq.in_context(bill_rows(spark, sf_dir)).select("sheet", "row", "row_type", "heading")
 
 
 @query(
-    """SELECT p_brand AS sheet_id, 'visible' AS sheet_state, CAST(1 AS INTEGER) AS header_row, CAST(count(*) AS INTEGER) AS quantity_rows, CAST(count(*) FILTER (p_partkey % 10 <> 0) AS INTEGER) AS rate_rows, CAST(0 AS INTEGER) AS amount_rows,
+    """SELECT p_brand AS sheet_id, 'visible' AS sheet_state, CAST(1 AS INTEGER) AS header_row, CAST(count(*) AS INTEGER) AS quantity_rows,
+CAST(count(*) FILTER (p_partkey % 10 <> 0) AS INTEGER) AS rate_rows, CAST(0 AS INTEGER) AS amount_rows,
 CAST(count(*) FILTER (p_partkey % 10 <> 0) AS INTEGER) AS priced_rows, count(*) FILTER (p_partkey % 10 <> 0) / count(*) AS priced_ratio, 'A' AS description_columns, 'C' AS quantity_columns, 'D' AS rate_columns, '' AS amount_columns FROM part GROUP BY 1 HAVING count(*) >= 3"""
 )
 def bill_table_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of orders as sheets with a header, a sheet for each status and flag of a part's brand."""
     p = t(spark, sf_dir, "part")
     cells = F.array(F.col("p_name"), F.lit("SM"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice").cast("string")))
-    rows = p.groupBy(F.col("p_brand").alias("sheet_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", cells.alias("c")))), lambda x: x["c"]).alias("body"))
+    rows = p.groupBy(F.col("p_brand").alias("sheet_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey",
+        cells.alias("c")))), lambda x: x["c"]).alias("body"))
     head = F.array(F.array(F.lit("Description"), F.lit("Unit"), F.lit("Quantity"), F.lit("Unit Rate")))
     return boq.find_tables(rows.select("sheet_id", F.concat(head, "body").alias("cells")))
 
@@ -532,8 +608,10 @@ def evidence_emission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evidence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t(spark, sf_dir, "part")
-    text = F.concat_ws(" ", F.lit("연면적"), F.format_number(F.col("p_size") * 100, 0), F.lit("㎡, contract amount USD"), F.format_number("p_retailprice", 2), F.lit("VAT"), (F.col("p_size") % 20).cast("string"), F.lit("% site area 55 m2 painting 12 m2"))
-    return p.select(F.col("p_partkey").cast("string").alias("bid_no"), F.col("p_brand").alias("source_file"), F.col("p_name").alias("locator"), text.alias("text"))
+    text = F.concat_ws(" ", F.lit("연면적"), F.format_number(F.col("p_size") * 100, 0), F.lit("㎡, contract amount USD"),
+        F.format_number("p_retailprice", 2), F.lit("VAT"), (F.col("p_size") % 20).cast("string"), F.lit("% site area 55 m2 painting 12 m2"))
+    return p.select(F.col("p_partkey").cast("string").alias("bid_no"), F.col("p_brand").alias("source_file"),
+        F.col("p_name").alias("locator"), text.alias("text"))
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS bid_no, CAST(p_size * 100 AS DOUBLE) AS value, 'GFA' AS semantic FROM part WHERE p_size * 100 >= 20")
@@ -542,9 +620,12 @@ def best_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""WITH n AS (SELECT doc_id, length(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(line, '\s+', ' ', 'g')), 'www\s*\.\s*\w+\s*\.\s*go\s*\.\s*kr', '', 'gi'), '(?:^|\s)-?\s*\d{1,4}\s*-?(?:\s|$)', ' ', 'g'), '[^0-9A-Za-z가-힣]', '', 'g')) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+    r"""WITH n AS (SELECT doc_id, length(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(line, '\s+', ' ', 'g')),
+'www\s*\.\s*\w+\s*\.\s*go\s*\.\s*kr', '', 'gi'), '(?:^|\s)-?\s*\d{1,4}\s*-?(?:\s|$)', ' ', 'g'), '[^0-9A-Za-z가-힣]', '', 'g')) AS n
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
 a AS (SELECT doc_id, count(*) AS page_count, CAST(sum(n) AS BIGINT) AS meaningful_chars, count(*) FILTER (n >= 50) / count(*) AS c, avg(n) AS m FROM n GROUP BY 1)
-SELECT doc_id, page_count, meaningful_chars, round(c, 6) AS text_coverage, CASE WHEN c >= 0.75 AND m >= 100 THEN 'text' WHEN c >= 0.2 AND m >= 40 THEN 'partial_text' ELSE 'ocr_required' END AS extraction_status FROM a"""
+SELECT doc_id, page_count, meaningful_chars, round(c, 6) AS text_coverage, CASE WHEN c >= 0.75 AND m >= 100 THEN 'text'
+WHEN c >= 0.2 AND m >= 40 THEN 'partial_text' ELSE 'ocr_required' END AS extraction_status FROM a"""
 )
 def text_metrics_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = t(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
@@ -552,10 +633,12 @@ def text_metrics_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN regexp_matches(lower(p_name || ' ' || p_type), 'ring|hospital') THEN 'h' WHEN regexp_matches(lower(p_name || ' ' || p_type), 'widget|promo') THEN 'w' ELSE 'none' END AS label FROM part"""
+    """SELECT p_partkey, CASE WHEN regexp_matches(lower(p_name || ' ' || p_type), 'ring|hospital') THEN 'h'
+WHEN regexp_matches(lower(p_name || ' ' || p_type), 'widget|promo') THEN 'w' ELSE 'none' END AS label FROM part"""
 )
 def ordered_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "part").select("p_partkey", rules.first_match(F.concat_ws(" ", "p_name", "p_type"), [("h", "ring|hospital"), ("w", "widget|promo")], "none").alias("label"))
+    return t(spark, sf_dir, "part").select("p_partkey", rules.first_match(F.concat_ws(" ", "p_name", "p_type"),
+        [("h", "ring|hospital"), ("w", "widget|promo")], "none").alias("label"))
 
 
 _TITLES = "titles AS (SELECT p_partkey, p_name || CASE p_partkey % 8 WHEN 0 THEN ' 병원 신축공사' WHEN 1 THEN ' school renovation 감리' WHEN 2 THEN ' 농업 시설 설계' WHEN 3 THEN ' 연구소 기자재 PMC' WHEN 4 THEN ' 청사 증축' WHEN 5 THEN ' water treatment plant' WHEN 6 THEN ' 물품 구매' ELSE '' END AS title, CASE p_size % 3 WHEN 0 THEN '공사' WHEN 1 THEN '용역' ELSE '물품' END AS contract FROM part)"
@@ -569,23 +652,29 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_TITLES} SELECT p_partkey, CASE WHEN title LIKE '%병원%' THEN '보건·의료시설' WHEN title LIKE '%school%' THEN '교육·훈련시설' WHEN title LIKE '%농업%' THEN '농업·생산시설' WHEN title LIKE '%연구소%' THEN '연구·실험시설' WHEN title LIKE '%청사%' THEN '행정·공공시설' WHEN title LIKE '%water%' THEN '환경·기반시설' ELSE '기타·미분류' END AS family,
-CASE WHEN title LIKE '%병원%' THEN '병원' WHEN title LIKE '%school%' THEN '학교·교육시설' WHEN title LIKE '%연구소%' THEN '실험실·연구시설' WHEN title LIKE '%청사%' THEN '정부·행정시설' WHEN title LIKE '%농업%' THEN '농업시설' WHEN title LIKE '%water treatment%' THEN '상하수·환경시설' ELSE '기타·미분류' END AS facility,
+    f"""WITH {_TITLES} SELECT p_partkey, CASE WHEN title LIKE '%병원%' THEN '보건·의료시설' WHEN title LIKE '%school%' THEN '교육·훈련시설'
+WHEN title LIKE '%농업%' THEN '농업·생산시설' WHEN title LIKE '%연구소%' THEN '연구·실험시설' WHEN title LIKE '%청사%' THEN '행정·공공시설' WHEN title LIKE '%water%' THEN '환경·기반시설' ELSE '기타·미분류' END AS family,
+CASE WHEN title LIKE '%병원%' THEN '병원' WHEN title LIKE '%school%' THEN '학교·교육시설' WHEN title LIKE '%연구소%' THEN '실험실·연구시설'
+WHEN title LIKE '%청사%' THEN '정부·행정시설' WHEN title LIKE '%농업%' THEN '농업시설' WHEN title LIKE '%water treatment%' THEN '상하수·환경시설' ELSE '기타·미분류' END AS facility,
 CASE WHEN title LIKE '%renovation%' THEN '리모델링·개보수' WHEN title LIKE '%증축%' THEN '증축' WHEN title LIKE '%신축%' THEN '신축' ELSE '미분류' END AS work,
-CASE WHEN title LIKE '%감리%' THEN 'SUPERVISION' WHEN title LIKE '%PMC%' THEN 'PROJECT_MANAGEMENT' WHEN title LIKE '%설계%' THEN 'DESIGN' WHEN contract = '공사' THEN 'CONSTRUCTION_PACKAGE' WHEN contract = '물품' THEN 'GOODS' ELSE 'SERVICE' END AS relation FROM titles"""
+CASE WHEN title LIKE '%감리%' THEN 'SUPERVISION' WHEN title LIKE '%PMC%' THEN 'PROJECT_MANAGEMENT' WHEN title LIKE '%설계%' THEN 'DESIGN'
+WHEN contract = '공사' THEN 'CONSTRUCTION_PACKAGE' WHEN contract = '물품' THEN 'GOODS' ELSE 'SERVICE' END AS relation FROM titles"""
 )
 def facility_work_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = titles(spark, sf_dir)
-    return x.select("p_partkey", rules.facility_family(F.col("title")).alias("family"), rules.facility(F.col("title")).alias("facility"), rules.work(F.col("title")).alias("work"), rules.relation(F.col("title"), F.col("contract")).alias("relation"))
+    return x.select("p_partkey", rules.facility_family(F.col("title")).alias("family"), rules.facility(F.col("title")).alias("facility"),
+        rules.work(F.col("title")).alias("work"), rules.relation(F.col("title"), F.col("contract")).alias("relation"))
 
 
 @query(
-    f"""WITH {_TITLES} SELECT p_partkey, CASE WHEN contract = '물품' THEN 'GOODS' WHEN contract = '공사' AND title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' WHEN contract = '공사' THEN 'WORKS' WHEN title LIKE '%신축공사%' THEN 'WORKS' WHEN title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' ELSE 'OTHER_SERVICE' END AS scope_role,
+    f"""WITH {_TITLES} SELECT p_partkey, CASE WHEN contract = '물품' THEN 'GOODS'
+WHEN contract = '공사' AND title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' WHEN contract = '공사' THEN 'WORKS' WHEN title LIKE '%신축공사%' THEN 'WORKS' WHEN title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' ELSE 'OTHER_SERVICE' END AS scope_role,
 contract = '공사' OR (regexp_matches(title, '공사|신축|renovation') AND NOT regexp_matches(title, '설계|감리|PMC|기자재|물품|구매')) AS cost_relevant FROM titles"""
 )
 def scope_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = titles(spark, sf_dir)
-    return x.select("p_partkey", rules.scope_role(F.col("contract"), F.col("title")).alias("scope_role"), rules.cost_relevant_title(F.col("contract"), F.col("title")).alias("cost_relevant"))
+    return x.select("p_partkey", rules.scope_role(F.col("contract"), F.col("title")).alias("scope_role"),
+        rules.cost_relevant_title(F.col("contract"), F.col("title")).alias("cost_relevant"))
 
 
 def _words(column: str, words: tuple[str, ...]) -> str:
@@ -594,9 +683,11 @@ def _words(column: str, words: tuple[str, ...]) -> str:
 
 
 @query(
-    f"""WITH {_TITLES}, k AS (SELECT p_partkey, contract, {_words("lower(title)", rules.STRONG_BUILDING)} AS s, {_words("lower(title)", rules.WEAK_CONSTRUCTION)} AS w, {_words("lower(title)", rules.BUILDING_ASSETS)} AS a, {_words("lower(title)", rules.BUILDING_SERVICES)} AS v FROM titles)
+    f"""WITH {_TITLES}, k AS (SELECT p_partkey, contract, {_words("lower(title)", rules.STRONG_BUILDING)} AS s,
+{_words("lower(title)", rules.WEAK_CONSTRUCTION)} AS w, {_words("lower(title)", rules.BUILDING_ASSETS)} AS a, {_words("lower(title)", rules.BUILDING_SERVICES)} AS v FROM titles)
 SELECT p_partkey, len(s) > 0 OR (len(a) > 0 AND (len(w) > 0 OR len(v) > 0 OR contract = '공사')) AS related,
-concat_ws(';', CASE WHEN contract = '공사' AND len(a) > 0 THEN '입찰구분=공사+시설어' END, CASE WHEN len(s) > 0 THEN '강한건축어' END, CASE WHEN len(a) > 0 AND len(w) > 0 THEN '시설어+공사어' END, CASE WHEN len(a) > 0 AND len(v) > 0 THEN '시설어+설계감리어' END) AS reasons,
+concat_ws(';', CASE WHEN contract = '공사' AND len(a) > 0 THEN '입찰구분=공사+시설어' END, CASE WHEN len(s) > 0 THEN '강한건축어' END, CASE
+WHEN len(a) > 0 AND len(w) > 0 THEN '시설어+공사어' END, CASE WHEN len(a) > 0 AND len(v) > 0 THEN '시설어+설계감리어' END) AS reasons,
 array_to_string(list_concat(list_concat(s, w), list_concat(a, v)), ';') AS keywords FROM k"""
 )
 def construction_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -605,7 +696,8 @@ def construction_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, (SELECT arg_min(n_name, (-length(n_name), n_name)) FROM nation WHERE contains(lower(source || ' NATION_' || (doc_id % 30)), lower(n_name))) AS country FROM documents"""
+    """SELECT doc_id, (SELECT arg_min(n_name, (-length(n_name), n_name))
+FROM nation WHERE contains(lower(source || ' NATION_' || (doc_id % 30)), lower(n_name))) AS country FROM documents"""
 )
 def country_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("source"), F.lit(" NATION_"), (F.col("doc_id") % 30).cast("string")).alias("text"))
@@ -620,26 +712,30 @@ def clean_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, array_to_string(list_distinct_order, ' | ') AS notes FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = o_orderpriority[3] THEN [o_orderstatus, o_orderpriority] ELSE [o_orderstatus, o_orderpriority[3], o_orderpriority] END AS list_distinct_order FROM orders)")
 def join_notes_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "orders").select("o_orderkey", scalars.join_notes(F.col("o_orderstatus"), F.substring("o_orderpriority", 3, 1), F.lit("  "), F.col("o_orderstatus"), F.col("o_orderpriority")).alias("notes"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", scalars.join_notes(F.col("o_orderstatus"), F.substring("o_orderpriority", 3, 1),
+        F.lit("  "), F.col("o_orderstatus"), F.col("o_orderpriority")).alias("notes"))
 
 
 @query("SELECT o_orderkey, round(year(o_orderdate) + (dayofyear(o_orderdate) - 1) / CASE WHEN year(o_orderdate) % 4 = 0 THEN 366.0 ELSE 365.0 END, 6) AS decimal_year, strftime(o_orderdate, '%Y') || '-Q' || quarter(o_orderdate) AS quarter, strftime(o_orderdate, '%Y-%m') AS month FROM orders")
 def decimal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate")
-    return t(spark, sf_dir, "orders").select("o_orderkey", F.round(scalars.decimal_year(d), 6).alias("decimal_year"), scalars.period_key(d, F.lit("quarterly")).alias("quarter"), scalars.period_key(d, F.lit("monthly")).alias("month"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", F.round(scalars.decimal_year(d), 6).alias("decimal_year"),
+        scalars.period_key(d, F.lit("quarterly")).alias("quarter"), scalars.period_key(d, F.lit("monthly")).alias("month"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_totalprice END AS ceiling, o_totalprice AS amount FROM orders")
 def usd_ceiling_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.format_number("o_totalprice", 2)
-    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("한도 US$ "), n)).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("usd"), n, F.lit(" (VAT 포함)"))).otherwise(F.concat(n, F.lit(" 원")))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("한도 US$ "), n)).when(F.col("o_orderkey") % 3 == 1,
+        F.concat(F.lit("usd"), n, F.lit(" (VAT 포함)"))).otherwise(F.concat(n, F.lit(" 원")))
     return t(spark, sf_dir, "orders").select("o_orderkey", scalars.usd_ceiling(text).alias("ceiling"), scalars.amount(text).alias("amount"))
 
 
 @query("SELECT c_custkey, year AS period, v AS value FROM (SELECT c_custkey, unnest(['2015', '2016', '2017']) AS year, unnest([round(c_acctbal, 2), CASE WHEN c_acctbal > 0 THEN round(c_acctbal * 2, 2) END, round(c_acctbal * 3, 2)]) AS v FROM customer) WHERE v IS NOT NULL")
 def unpivot_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = F.col("c_acctbal")
-    wide = t(spark, sf_dir, "customer").select("c_custkey", F.round(b, 2).alias("2015"), F.when(b > 0, F.round(b * 2, 2)).alias("2016"), F.round(b * 3, 2).alias("2017"))
+    wide = t(spark, sf_dir, "customer").select("c_custkey", F.round(b, 2).alias("2015"), F.when(b > 0, F.round(b * 2, 2)).alias("2016"),
+        F.round(b * 3, 2).alias("2017"))
     return tables.unpivot_years(wide, ["c_custkey"])
 
 
@@ -647,13 +743,15 @@ def unpivot_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_index_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t(spark, sf_dir, "pages")
     n = tables.index_posts(p, "page_id").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
-    return p.select("page_id", tables.page_title(F.col("html")).alias("title")).join(n, "page_id", "left").select("page_id", "title", F.coalesce("n", F.lit(0)).alias("links"))
+    return p.select("page_id", tables.page_title(F.col("html")).alias("title")).join(n, "page_id", "left").select("page_id", "title",
+        F.coalesce("n", F.lit(0)).alias("links"))
 
 
 @query("SELECT doc_id, source || '/' || lang AS path FROM documents WHERE doc_id % 5 NOT IN (1, 2)")
 def source_file_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents")
-    name = F.when(F.col("doc_id") % 5 == 1, F.concat(F.lit("~$"), "lang")).when(F.col("doc_id") % 5 == 2, F.concat(F.lit("__MACOSX/"), "lang")).otherwise(F.col("lang"))
+    name = F.when(F.col("doc_id") % 5 == 1, F.concat(F.lit("~$"), "lang")).when(F.col("doc_id") % 5 == 2,
+        F.concat(F.lit("__MACOSX/"), "lang")).otherwise(F.col("lang"))
     return tables.source_documents(d.select("doc_id", F.concat_ws("/", "source", name).alias("path")), "path")
 
 
@@ -662,29 +760,40 @@ def title_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as records against the names of the first as official titles, by type as country; tests compare it with plain loops."""
     p = t(spark, sf_dir, "part")
     rec = p.select(F.col("p_partkey").alias("record_id"), F.concat_ws(" of the ", "p_name", "p_brand").alias("title"), F.array("p_type").alias("countries"))
-    cand = p.where("p_partkey < 40").select(F.col("p_partkey").cast("string").alias("project_no"), F.concat("p_name", F.lit(" of the brand")).alias("title"), F.col("p_type").alias("country"))
+    cand = p.where("p_partkey < 40").select(F.col("p_partkey").cast("string").alias("project_no"),
+        F.concat("p_name", F.lit(" of the brand")).alias("title"), F.col("p_type").alias("country"))
     return linking.decide(linking.score_titles(rec, cand), "record_id")
 
 
 @query(
     f"""WITH {_TITLES}, r AS (SELECT CAST(t.p_partkey AS VARCHAR) AS bid_no, t.p_partkey % 9 = 0 AS seen, t.p_partkey + 1000.0 AS ceiling, p_size * 100.0 AS found,
-CASE WHEN contract = '물품' THEN 'GOODS' WHEN contract = '공사' AND title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' WHEN contract = '공사' OR title LIKE '%신축공사%' THEN 'WORKS' WHEN title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' ELSE 'OTHER_SERVICE' END AS scope_role FROM titles t JOIN part USING (p_partkey)),
+CASE WHEN contract = '물품' THEN 'GOODS' WHEN contract = '공사' AND title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE'
+WHEN contract = '공사' OR title LIKE '%신축공사%' THEN 'WORKS' WHEN title LIKE '%감리%' THEN 'DESIGN_OR_SUPERVISION_SERVICE' ELSE 'OTHER_SERVICE' END AS scope_role FROM titles t JOIN part USING (p_partkey)),
 c AS (SELECT *, CASE WHEN seen THEN 500.0 ELSE found END AS area, CASE WHEN seen THEN 90000.0 WHEN scope_role = 'WORKS' THEN ceiling END AS cost,
 CASE WHEN seen THEN 'ADVERTISED_ESTIMATED_BUDGET' WHEN scope_role = 'WORKS' THEN 'NOTICE_EXECUTION_CEILING' ELSE 'SERVICE_OR_GOODS_CEILING' END AS amount_stage,
-CASE WHEN scope_role = 'WORKS' THEN 'MATCH' WHEN seen AND scope_role <> 'GOODS' THEN 'MATCH_ATTACHMENT_CONSTRUCTION_BUDGET' ELSE 'NO_MATCH' END AS same_scope_status FROM r)
+CASE WHEN scope_role = 'WORKS' THEN 'MATCH' WHEN seen AND scope_role <> 'GOODS' THEN 'MATCH_ATTACHMENT_CONSTRUCTION_BUDGET'
+ELSE 'NO_MATCH' END AS same_scope_status FROM r)
 SELECT bid_no, scope_role, CAST(area AS DOUBLE) AS selected_area_m2, CAST(cost AS DOUBLE) AS selected_construction_cost_usd, amount_stage, same_scope_status,
 CASE WHEN scope_role = 'GOODS' OR cost IS NULL THEN 'X' WHEN seen THEN 'C' ELSE 'C?' END AS final_grade,
-CASE WHEN scope_role = 'GOODS' OR cost IS NULL THEN 'V3_SCOPE_REVIEW' WHEN seen THEN 'V3_CURATED_AREA_COST_RECHECK' ELSE 'V2R_HUMAN_REVIEWED_EXTRACTION' END AS verification_level, CAST(round(cost / area, 6) AS DOUBLE) AS screening_unit_usd_m2 FROM c"""
+CASE WHEN scope_role = 'GOODS' OR cost IS NULL THEN 'V3_SCOPE_REVIEW' WHEN seen THEN 'V3_CURATED_AREA_COST_RECHECK'
+ELSE 'V2R_HUMAN_REVIEWED_EXTRACTION' END AS verification_level, CAST(round(cost / area, 6) AS DOUBLE) AS screening_unit_usd_m2 FROM c"""
 )
 def notice_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices, areas and costs to grades, all steps in one plan."""
     x = titles(spark, sf_dir)
-    n = x.select(F.col("p_partkey").cast("string").alias("bid_no"), (F.col("p_partkey") % 500).cast("string").alias("bid_base_no"), (F.col("p_partkey") % 120).cast("string").alias("project_no"), "title", F.col("contract").alias("contract_type"), F.concat(F.lit("USD "), F.col("p_partkey") + 1000).alias("ceiling_usd_raw"), F.lit("2020-01-01").alias("notice_date"))
+    n = x.select(F.col("p_partkey").cast("string").alias("bid_no"), (F.col("p_partkey") % 500).cast("string").alias("bid_base_no"),
+        (F.col("p_partkey") % 120).cast("string").alias("project_no"), "title", F.col("contract").alias("contract_type"),
+        F.concat(F.lit("USD "), F.col("p_partkey") + 1000).alias("ceiling_usd_raw"), F.lit("2020-01-01").alias("notice_date"))
     best = evidence.best_area(evidence.area_observations(evidence_emission(spark, sf_dir)))
     empty = lambda ddl: spark.createDataFrame([], ddl)
-    seen = n.where("bid_no % 9 = 0").select("bid_no", F.lit(500.0).alias("gross_floor_area_m2"), F.lit("연면적").alias("area_basis"), F.lit(90_000.0).alias("cost_usd_nominal"), F.lit("추정예산").alias("cost_stage"), F.lit("").alias("scope_caution"))
-    curated = {"roles": empty("bid_no string, role string"), "overrides": empty("bid_no string, value double, semantic string"), "rejections": empty("bid_no string, semantic string"), "verified": empty("bid_no string, amount double, stage string"), "scopes": empty("bid_no string, scope string"), "strict": empty("bid_no string, grade string")}
-    return grading.grade_notices(n, best, seen, curated).select("bid_no", "scope_role", "selected_area_m2", "selected_construction_cost_usd", "amount_stage", "same_scope_status", "final_grade", "verification_level", F.round("screening_unit_usd_m2", 6).alias("screening_unit_usd_m2"))
+    seen = n.where("bid_no % 9 = 0").select("bid_no", F.lit(500.0).alias("gross_floor_area_m2"), F.lit("연면적").alias("area_basis"),
+        F.lit(90_000.0).alias("cost_usd_nominal"), F.lit("추정예산").alias("cost_stage"), F.lit("").alias("scope_caution"))
+    curated = {"roles": empty("bid_no string, role string"), "overrides": empty("bid_no string, value double, semantic string"),
+        "rejections": empty("bid_no string, semantic string"), "verified": empty("bid_no string, amount double, stage string"),
+        "scopes": empty("bid_no string, scope string"), "strict": empty("bid_no string, grade string")}
+    return grading.grade_notices(n, best, seen, curated).select("bid_no", "scope_role", "selected_area_m2",
+        "selected_construction_cost_usd", "amount_stage", "same_scope_status", "final_grade", "verification_level",
+        F.round("screening_unit_usd_m2", 6).alias("screening_unit_usd_m2"))
 
 
 @query()
@@ -692,15 +801,23 @@ def published_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The read model built from raw rows and reviews at three grains."""
     x = titles(spark, sf_dir)
     rows = x.select(
-        F.col("p_partkey").cast("string").alias("bid_no"), (F.col("p_partkey") % 500).cast("string").alias("bid_base_no"), (F.col("p_partkey") % 120).cast("string").alias("project_no"), F.col("title").alias("bid_title_ko"), F.lit("").alias("source_bid_title"),
-        F.col("contract").alias("contract_type"), F.lit("").alias("source_contract_type"), F.col("title").alias("project_name"), F.lit("가나").alias("country_ko"), F.lit("").alias("facility_type"), F.lit("").alias("work_type"),
-        F.concat(F.lit("2020-01-"), F.lpad((F.col("p_partkey") % 28 + 1).cast("string"), 2, "0")).alias("notice_date"), F.concat(F.lit("$"), F.col("p_partkey") + 1).alias("ceiling_usd_raw"), F.lit("").alias("detail_url"),
+        F.col("p_partkey").cast("string").alias("bid_no"), (F.col("p_partkey") % 500).cast("string").alias("bid_base_no"),
+        (F.col("p_partkey") % 120).cast("string").alias("project_no"), F.col("title").alias("bid_title_ko"), F.lit("").alias("source_bid_title"),
+        F.col("contract").alias("contract_type"), F.lit("").alias("source_contract_type"), F.col("title").alias("project_name"),
+        F.lit("가나").alias("country_ko"), F.lit("").alias("facility_type"), F.lit("").alias("work_type"),
+        F.concat(F.lit("2020-01-"), F.lpad((F.col("p_partkey") % 28 + 1).cast("string"), 2, "0")).alias("notice_date"),
+        F.concat(F.lit("$"), F.col("p_partkey") + 1).alias("ceiling_usd_raw"), F.lit("").alias("detail_url"),
     )
-    graded = order_notices(spark, sf_dir).where("bid_no % 3 = 0")
-    review = graded.withColumns({c: F.lit("") for c in ("country_ko", "record_scope_status", "grade_detail", "manual_note", "area_quote", "source_url")}).withColumn("audit_date", F.lit("2026-08-01"))
-    groups = grading.group_representatives(graded).select("bid_base_no", "project_no", "notice_count", F.col("representative_bid_no"), "representative_title", "latest_notice_date", "best_grade", F.col("selected_area_m2").alias("area_m2"), F.col("selected_construction_cost_usd").alias("construction_cost_usd"), F.lit("").alias("country_ko"))
+    graded = order_notices(spark, sf_dir)
+    review = graded.withColumns({c: F.lit("") for c in ("country_ko", "record_scope_status", "grade_detail", "manual_note", "area_quote",
+        "source_url")}).withColumn("audit_date", F.lit("2026-08-01"))
+    groups = grading.group_representatives(graded).select("bid_base_no", "project_no", "notice_count", F.col("representative_bid_no"),
+        "representative_title", "latest_notice_date", "best_grade", F.col("selected_area_m2").alias("area_m2"),
+        F.col("selected_construction_cost_usd").alias("construction_cost_usd"), F.lit("").alias("country_ko"))
     projects = grading.project_representatives(graded).select(
-        "project_no", "project_name", "compact_grade", "verification_level", "display_representative_bid", F.col("amount_stage").alias("representative_amount_stage"), F.col("selected_area_m2").alias("representative_area_m2"),
-        F.col("selected_construction_cost_usd").alias("representative_construction_cost_usd"), "unit_cost_allowed_use", F.lit("").alias("grade_detail"), F.lit("").alias("duplicate_and_scope_warning"), F.lit("").alias("country_ko"),
+        "project_no", "project_name", "compact_grade", "verification_level", "display_representative_bid",
+        F.col("amount_stage").alias("representative_amount_stage"), F.col("selected_area_m2").alias("representative_area_m2"),
+        F.col("selected_construction_cost_usd").alias("representative_construction_cost_usd"), "unit_cost_allowed_use",
+        F.lit("").alias("grade_detail"), F.lit("").alias("duplicate_and_scope_warning"), F.lit("").alias("country_ko"),
     )
     return snapshot.build_cases(rows, review, groups, projects, "v1")

@@ -16,7 +16,8 @@ ANALYTIC: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "v_yearly_inventory": (("reviewed_cases",), warehouse.yearly_inventory),
     "v_area_cost_ready_projects": (("area_cost_project_review",), warehouse.ready_projects),
     "v_area_cost_followup_queue": (("area_cost_project_review",), warehouse.follow_up_queue),
-    "v_project_evaluation_findings": (("evaluation_findings", "evaluation_project_matches", "evaluation_project_screening", "evaluation_reports"), warehouse.accepted_findings),
+    "v_project_evaluation_findings": (("evaluation_findings", "evaluation_project_matches", "evaluation_project_screening",
+        "evaluation_reports"), warehouse.accepted_findings),
     "v_duplicate_attachments": (("attachments",), warehouse.duplicate_attachments),
     "v_price_index_coverage": (("price_index_sources", "price_index_values"), warehouse.index_coverage),
     "v_best_available_price_index": (("price_index_sources", "price_index_values"), lambda s, v: warehouse.best_index(warehouse.index_coverage(s, v))),
@@ -30,7 +31,8 @@ MATCHES = """aggregate(regexp_extract_all({query}, '-?"[^"]*"|\\\\S+', 0), named
 SEARCH = f"""CREATE OR REPLACE TEMPORARY FUNCTION search_cases(query STRING, country STRING, facility STRING, work STRING, area DOUBLE, n INT)
 RETURNS TABLE (case_id STRING, display_name STRING, match_score DECIMAL(10, 2), priority BIGINT)
 RETURN SELECT case_id, display_name, match_score, priority FROM (
-  SELECT *, dense_rank() OVER (ORDER BY match_score DESC) AS priority, row_number() OVER (ORDER BY match_score DESC, notice_date DESC NULLS LAST, case_id) AS place FROM (
+  SELECT *, dense_rank() OVER (ORDER BY match_score DESC) AS priority, row_number() OVER (ORDER BY match_score DESC, notice_date DESC NULLS LAST,
+case_id) AS place FROM (
     SELECT *, CAST(if(lower(coalesce(country_ko, '')) = lower(nullif(trim(search_cases.country), '')), 40, 0)
       + if(like_either(facility_type, search_text, search_cases.facility), 30, 0) + if(like_either(work_type, search_text, search_cases.work), 10, 0)
       + if(nullif(trim(search_cases.query), '') IS NOT NULL AND {MATCHES.format(query="search_cases.query", text="search_text")}, 15, 0)

@@ -70,7 +70,8 @@ def read_indicators(spark: SparkSession, path: str) -> DataFrame:
 def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
     """Text files page-NNN.txt below a document's folder: document, page, text."""
     t = spark.read.text(path, wholetext=True).withColumn("_f", F.input_file_name())
-    return t.select(F.regexp_extract("_f", r"([^/]+)/page-\d+\.txt$", 1).alias("document"), F.regexp_extract("_f", r"page-(\d+)\.txt$", 1).cast("int").alias("page"), F.col("value").alias("text"))
+    return t.select(F.regexp_extract("_f", r"([^/]+)/page-\d+\.txt$", 1).alias("document"),
+        F.regexp_extract("_f", r"page-(\d+)\.txt$", 1).cast("int").alias("page"), F.col("value").alias("text"))
 
 
 def incomplete_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
@@ -82,7 +83,8 @@ def incomplete_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
 
 def page_digests(pages: DataFrame) -> DataFrame:
     """One SHA-256 per document over its pages in order."""
-    in_order = F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))), lambda p: F.concat(p["page"].cast("string"), F.lit("\0"), p["text"], F.lit("\n")))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))),
+        lambda p: F.concat(p["page"].cast("string"), F.lit("\0"), p["text"], F.lit("\n")))
     return pages.groupBy("document").agg(F.sha2(F.array_join(in_order, ""), 256).alias("text_digest"))
 
 

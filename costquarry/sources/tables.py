@@ -64,14 +64,17 @@ def read_csv_any_encoding(spark: SparkSession, path: str, required: list[str]) -
                 if missing := [c for c in required if rows and c not in rows[0]]:
                     raise ValueError(f"{p} lacks {missing}")
                 values = [{k: html.unescape(v or "").strip() for k, v in r.items() if k} for r in rows]
-                yield pd.DataFrame({"path": p, "encoding": name, "row": range(1, len(values) + 1), "values": values}) if values else pd.DataFrame({"path": [], "encoding": [], "row": [], "values": []})
+                yield pd.DataFrame({"path": p, "encoding": name, "row": range(1, len(values) + 1),
+                    "values": values}) if values else pd.DataFrame({"path": [], "encoding": [], "row": [], "values": []})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, encoding string, row int, values map<string,string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run,
+        "path string, encoding string, row int, values map<string,string>")
 
 
 def typed(rows: DataFrame, fields: dict[str, str], values: str = "values") -> DataFrame:
     """Columns of a map by name and type; blank text is null for numbers and dates."""
-    return rows.select(*(F.nullif(F.col(values)[name], F.lit("")).try_cast(kind).alias(name) if kind != "string" else F.col(values)[name].alias(name) for name, kind in fields.items()))
+    return rows.select(*(F.nullif(F.col(values)[name],
+        F.lit("")).try_cast(kind).alias(name) if kind != "string" else F.col(values)[name].alias(name) for name, kind in fields.items()))
 
 
 def rows_match(rows: DataFrame, published: int) -> DataFrame:
@@ -121,7 +124,8 @@ def index_posts(pages: DataFrame, key: str, page_html: str = "html") -> DataFram
     h = F.col(page_html)
     hrefs = F.regexp_extract_all(h, F.lit(r'(?is)<a[^>]*?href="([^"]*)"[^>]*>.*?</a>'), F.lit(1))
     texts = F.regexp_extract_all(h, F.lit(r'(?is)<a[^>]*?href="[^"]*"[^>]*>(.*?)</a>'), F.lit(1))
-    return pages.select(key, F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("pos", "p")).select(key, "pos", "p.href", strip_tags(F.col("p.text")).alias("text"))
+    return pages.select(key, F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("pos", "p")).select(key, "pos",
+        "p.href", strip_tags(F.col("p.text")).alias("text"))
 
 
 def unpivot_years(wide: DataFrame, ids: list[str], first: int = 2015, last: int = 2026, name: str = "period", value: str = "value") -> DataFrame:
@@ -163,7 +167,8 @@ def projected(rows: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Rows as the columns of a table, by place: the i-th column gets the i-th field's name and type; what doesn't fit is null."""
     if len(fields) != len(rows.columns):
         raise ValueError(f"{len(rows.columns)} columns for {len(fields)} fields")
-    return rows.toDF(*(f"_{i}" for i in range(len(fields)))).select(*(F.col(f"_{i}").cast("string").try_cast(kind).alias(name) for i, (name, kind) in enumerate(fields)))
+    return rows.toDF(*(f"_{i}" for i in range(len(fields)))).select(*(F.col(f"_{i}").cast("string").try_cast(kind).alias(name) for i,
+        (name, kind) in enumerate(fields)))
 
 
 def repair_paths(attachments: DataFrame, files: DataFrame) -> DataFrame:

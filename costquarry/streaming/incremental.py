@@ -29,8 +29,10 @@ def collect_incrementally(spark: SparkSession, source: str, schema: T.StructType
 def page_violations(pages: DataFrame) -> DataFrame:
     """What is wrong about the pages (page, total, rows) of one listing: a total that changed while paging, and rows that don't add up to it."""
     whole = pages.agg(F.min_by("total", "page").alias("expected"), F.sum("rows").alias("got"))
-    drift = pages.join(whole.select("expected")).where(F.col("total") != F.col("expected")).select("page", F.format_string("total changed from %s to %s", "expected", "total").alias("violation"))
-    lost = whole.where(F.col("got") != F.col("expected")).select(F.lit(None).cast("int").alias("page"), F.format_string("expected %s rows, got %s", "expected", "got").alias("violation"))
+    drift = pages.join(whole.select("expected")).where(F.col("total") != F.col("expected")).select("page",
+        F.format_string("total changed from %s to %s", "expected", "total").alias("violation"))
+    lost = whole.where(F.col("got") != F.col("expected")).select(F.lit(None).cast("int").alias("page"),
+        F.format_string("expected %s rows, got %s", "expected", "got").alias("violation"))
     return drift.union(lost)
 
 

@@ -13,7 +13,8 @@ def table_of(rows):
 
 
 def test_priced_table():
-    got = boq.table_signals(table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"], ["TOTAL", "", "17", "", "79"]]))
+    got = boq.table_signals(table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"],
+        ["TOTAL", "", "17", "", "79"]]))
     assert [(g["quantity_rows"], g["priced_rows"], g["priced_ratio"]) for g in got] == [(3, 3, 1.0)]
 
 
@@ -27,7 +28,8 @@ def test_no_table(matrix):
     assert boq.table_signals(matrix) == []
 
 
-@pytest.mark.parametrize(("text", "expected"), [("cell $F$30 only", []), ("US$ 272,603 paid", ["US$ 272,603"]), ("at $ 30.00 each", ["$ 30.00"]), ("", []), (None, None)])
+@pytest.mark.parametrize(("text", "expected"), [("cell $F$30 only", []), ("US$ 272,603 paid", ["US$ 272,603"]),
+    ("at $ 30.00 each", ["$ 30.00"]), ("", []), (None, None)])
 def test_currency_tokens(spark, text, expected):
     got = spark.createDataFrame([(text,)], "t string").select(evidence.currency_tokens(F.col("t")).alias("x")).first().x
     assert (got is None) if expected is None else [g.strip() for g in got] == expected
@@ -35,7 +37,8 @@ def test_currency_tokens(spark, text, expected):
 
 def test_areas_by_nearest_label(spark):
     text = "site area 6,070.35 m2; gross floor area 835.67 m2; painting 12 m2"
-    rows = spark.createDataFrame([("b", "f", "l", text, "")], "bid_no string, source_file string, source_locator string, evidence_text string, area_mentions string")
+    rows = spark.createDataFrame([("b", "f", "l", text, "")],
+        "bid_no string, source_file string, source_locator string, evidence_text string, area_mentions string")
     got = {(r.value, r.semantic) for r in evidence.area_observations(rows).collect()}
     assert got == {(6070.35, "SITE_AREA"), (835.67, "GFA"), (12.0, "WORK_ITEM_AREA")}
     assert evidence.best_area(evidence.area_observations(rows)).first().value == 835.67
@@ -43,7 +46,8 @@ def test_areas_by_nearest_label(spark):
 
 @pytest.mark.parametrize(
     ("text", "value", "method"),
-    [("연면적: 약 1,200㎡", 1200.0, "explicit_gross_floor_area"), ("연면적 10㎡ 연면적 20㎡", None, "multiple_explicit_gross_floor_areas"), ("규모 300㎡", 300.0, "single_unlabelled_area"), ("대지 면적 300㎡", None, ""), ("없음", None, "")],
+    [("연면적: 약 1,200㎡", 1200.0, "explicit_gross_floor_area"), ("연면적 10㎡ 연면적 20㎡", None, "multiple_explicit_gross_floor_areas"),
+        ("규모 300㎡", 300.0, "single_unlabelled_area"), ("대지 면적 300㎡", None, ""), ("없음", None, "")],
 )
 def test_gross_floor_area(spark, text, value, method):
     r = spark.range(1).select(evidence.gross_floor_area(F.lit(text)).alias("x")).first().x
@@ -51,8 +55,10 @@ def test_gross_floor_area(spark, text, value, method):
 
 
 def test_links(spark):
-    rec = spark.createDataFrame([(1, "2020-00001", "x", ["가나"]), (2, "", "School of agriculture in the north", ["가나"]), (3, "", "zzz", [])], "record_id int, project_no string, title string, countries array<string>")
-    off = spark.createDataFrame([("2020-00002", "The school of agriculture in the north project", "가나"), ("2020-00003", "Water supply", "네팔")], "project_no string, title string, country string")
+    rec = spark.createDataFrame([(1, "2020-00001", "x", ["가나"]), (2, "", "School of agriculture in the north", ["가나"]), (3, "", "zzz", [])],
+        "record_id int, project_no string, title string, countries array<string>")
+    off = spark.createDataFrame([("2020-00002", "The school of agriculture in the north project", "가나"),
+        ("2020-00003", "Water supply", "네팔")], "project_no string, title string, country string")
     got = {r.record_id: (r.project_no_linked, r.project_link_method) for r in linking.link(rec, off, off.limit(0)).collect()}
     assert got == {1: ("2020-00001", "source_direct"), 2: ("2020-00002", "official_report_title_containment"), 3: (None, None)}
 
@@ -63,9 +69,13 @@ def test_cycles(spark):
 
 
 def test_pricing_needs_both_periods(spark):
-    cases = spark.createDataFrame([("a", "X", "2019-03-01", 10.0), ("b", "Y", "2019-03-01", 10.0)], "bid_no string, country string, notice_date string, unit_usd_m2_nominal double")
-    src = spark.createDataFrame([("s1", "X", "XXX", 2, True, "annual", "price"), ("s2", "X", "XXX", 1, False, "annual", "price"), ("fx", "X", "XXX", None, False, "annual", "official_exchange_rate")], "source_id string, country string, iso3 string, priority int, construction_specific boolean, frequency string, index_class string")
-    val = spark.createDataFrame([("s1", "2019", 100.0, True), ("s1", "2021", 110.0, True), ("s2", "2019", 100.0, True), ("s2", "2021", 120.0, False), ("fx", "2019", 2.0, True), ("fx", "2021", 4.0, True)], "source_id string, period string, value double, is_actual boolean")
+    cases = spark.createDataFrame([("a", "X", "2019-03-01", 10.0), ("b", "Y", "2019-03-01", 10.0)],
+        "bid_no string, country string, notice_date string, unit_usd_m2_nominal double")
+    src = spark.createDataFrame([("s1", "X", "XXX", 2, True, "annual", "price"), ("s2", "X", "XXX", 1, False, "annual", "price"),
+        ("fx", "X", "XXX", None, False, "annual", "official_exchange_rate")],
+        "source_id string, country string, iso3 string, priority int, construction_specific boolean, frequency string, index_class string")
+    val = spark.createDataFrame([("s1", "2019", 100.0, True), ("s1", "2021", 110.0, True), ("s2", "2019", 100.0, True),
+        ("s2", "2021", 120.0, False), ("fx", "2019", 2.0, True), ("fx", "2021", 4.0, True)], "source_id string, period string, value double, is_actual boolean")
     got = {r.bid_no: r for r in pricing.normalize(cases, src, val, "2021-12-31", True).collect()}
     assert got["a"].source_id == "s1" and got["a"].status == pricing.SCENARIO and abs(got["a"].adjusted_unit_usd_m2 - 10 * 1.1 * 0.5) < 1e-9
     assert got["b"].status == pricing.NO_INDEX and got["b"].adjusted_unit_usd_m2 is None
@@ -76,7 +86,8 @@ def test_pricing_needs_both_periods(spark):
 def test_no_unit_cost_without_scope(spark, sf_dir):
     from costquarry.plans import queries
 
-    bad = queries.notice_grades(spark, sf_dir).where("final_grade in ('U', 'X') and selected_construction_cost_usd is not null and selected_area_m2 is not null and same_scope_status = 'MATCH'")
+    bad = queries.notice_grades(spark,
+        sf_dir).where("final_grade in ('U', 'X') and selected_construction_cost_usd is not null and selected_area_m2 is not null and same_scope_status = 'MATCH'")
     assert bad.count() == 0
 
 
@@ -85,7 +96,8 @@ def test_clamp(n, default, most, expected):
     assert search.clamp(n, default, most) == expected
 
 
-@pytest.mark.parametrize(("query", "hits"), [("red wall", [1]), ("red OR blue", [1, 2]), ("wall -red", [2]), ('"red wall"', [1]), ("", [1, 2, 3]), ("nothing", [])])
+@pytest.mark.parametrize(("query", "hits"), [("red wall", [1]), ("red OR blue", [1, 2]), ("wall -red", [2]), ('"red wall"', [1]),
+    ("", [1, 2, 3]), ("nothing", [])])
 def test_text_queries(spark, query, hits):
     df = spark.createDataFrame([(1, "a RED wall"), (2, "blue wall"), (3, None)], "i int, t string")
     assert [r.i for r in df.where(search.text_query(F.col("t"), query)).orderBy("i").collect()] == hits
@@ -200,23 +212,30 @@ def test_fragments_and_records(spark):
 
 
 def test_locators_and_fees(spark):
-    rows = spark.createDataFrame([("b", "c1", "f", "p2", "t2"), ("b", "c1", "f", "p1", "t1")], "bid_no string, category string, source_file string, source_locator string, evidence_text string")
+    rows = spark.createDataFrame([("b", "c1", "f", "p2", "t2"), ("b", "c1", "f", "p1", "t1")],
+        "bid_no string, category string, source_file string, source_locator string, evidence_text string")
     cases = spark.createDataFrame([("b", "c1", "p2"), ("b", "c9", "p9"), ("z", "c1", "p1")], "bid_no string, category string, source_locator string")
     got = {(r.bid_no, r.category): (r.evidence.evidence_text if r.evidence else None, r.is_exact) for r in evidence.locate(cases, rows).collect()}
     assert got == {("b", "c1"): ("t2", True), ("b", "c9"): ("t1", False), ("z", "c1"): (None, False)}
-    f = pricing.fee_rates(spark.createDataFrame([(100.0, 1000.0, 50.0, None)], "gross_floor_area_m2 double, construction_cost_usd double, design_fee_usd double, supervision_fee_usd double")).first()
+    f = pricing.fee_rates(spark.createDataFrame([(100.0, 1000.0, 50.0, None)],
+        "gross_floor_area_m2 double, construction_cost_usd double, design_fee_usd double, supervision_fee_usd double")).first()
     assert (f.design_rate, f.supervision_rate, f.combined_rate, f.combined_fee_usd_m2) == (0.05, None, 0.05, 0.5)
 
 
 def test_finding_checks(spark):
-    finds = spark.createDataFrame([(1, 9, 1, 2, "cost 1,200 USD", 1200.0, "USD"), (2, 9, 3, 3, "nowhere", 5.0, "stone")], "finding_id int, report_id int, pdf_page_start int, pdf_page_end int, evidence_excerpt string, value_numeric double, unit string")
+    finds = spark.createDataFrame([(1, 9, 1, 2, "cost 1,200 USD", 1200.0, "USD"), (2, 9, 3, 3, "nowhere", 5.0, "stone")],
+        "finding_id int, report_id int, pdf_page_start int, pdf_page_end int, evidence_excerpt string, value_numeric double, unit string")
     pages = spark.createDataFrame([(9, 2, "the cost  1,200 USD was"), (9, 3, "other")], "report_id int, page int, text string")
-    assert {tuple(r) for r in linking.finding_violations(finds, pages, ["USD"]).collect()} == {(2, "excerpt not on pages"), (2, "value not in excerpt"), (2, "unit")}
+    assert {tuple(r) for r in linking.finding_violations(finds, pages, ["USD"]).collect()} == {(2, "excerpt not on pages"),
+        (2, "value not in excerpt"), (2, "unit")}
 
 
 def test_grades(spark):
-    rows = [("WORKS", "MATCH", 10.0, 5.0, True, None), ("WORKS", "MATCH", 10.0, 5.0, False, None), ("GOODS", "NO_MATCH", None, None, False, None), ("WORKS", "NO_MATCH", None, None, False, None), ("WORKS", "PARTIAL_SCOPE", 10.0, 5.0, True, None), ("WORKS", "MATCH", None, None, False, "A-부분"), ("OTHER_SERVICE", "MATCH", 1.0, None, False, None)]
-    df = spark.createDataFrame(rows, "role string, scope string, area double, cost double, seen boolean, strict string").withColumn("i", F.monotonically_increasing_id())
+    rows = [("WORKS", "MATCH", 10.0, 5.0, True, None), ("WORKS", "MATCH", 10.0, 5.0, False, None),
+        ("GOODS", "NO_MATCH", None, None, False, None), ("WORKS", "NO_MATCH", None, None, False, None),
+        ("WORKS", "PARTIAL_SCOPE", 10.0, 5.0, True, None), ("WORKS", "MATCH", None, None, False, "A-부분"), ("OTHER_SERVICE", "MATCH", 1.0, None, False, None)]
+    df = spark.createDataFrame(rows, "role string, scope string, area double, cost double, seen boolean, strict string").withColumn("i",
+        F.monotonically_increasing_id())
     g = df.withColumn("g", grading.final_grade(*map(F.col, ("role", "scope", "area", "cost", "seen", "strict")))).orderBy("i").collect()
     assert [r.g.grade for r in g] == ["C", "C?", "X", "U", "C-부분", "A-부분", "X"]
 
@@ -227,7 +246,9 @@ def test_sql_surface(spark):
     cases = spark.createDataFrame([("1", "a", True), ("2", "b", False)], "case_id string, display_name string, is_published boolean")
     files = spark.createDataFrame([("x", 1), ("x", 2), ("", 3), (None, 4)], "sha256 string, bytes long")
     sources = spark.createDataFrame([("s", "X", 1), ("n", "X", None), ("e", "Y", 2)], "source_id string, country string, priority int")
-    values = spark.createDataFrame([("s", "2019", 1.0, True, "final", "d"), ("s", "2020", 1.0, True, "early", "d"), ("s", "2021", 1.0, False, "late", "d")], "source_id string, period string, value double, is_actual boolean, observation_status string, retrieved_at string")
+    values = spark.createDataFrame([("s", "2019", 1.0, True, "final", "d"), ("s", "2020", 1.0, True, "early", "d"),
+        ("s", "2021", 1.0, False, "late", "d")],
+        "source_id string, period string, value double, is_actual boolean, observation_status string, retrieved_at string")
     made = views.register(spark, {"cases": cases, "attachments": files, "price_index_sources": sources, "price_index_values": values})
     assert set(made) == {"v_duplicate_attachments", "v_price_index_coverage", "v_best_available_price_index", "public_cases", "cases_of"}
     assert [tuple(r) for r in spark.sql("SELECT * FROM v_duplicate_attachments").collect()] == [("x", 2, 3)]
@@ -279,7 +300,8 @@ def test_merge_refuses_repeated_keys(spark):
 def test_second_table_begins_behind_the_first():
     rows = table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"]])
     got = boq.table_signals([*rows, *([[None] * 5] * 26), *rows])
-    assert [(g["header_row"], g["quantity_rows"], g["description_columns"], g["quantity_columns"]) for g in got] == [(1, 3, "A", "C"), (29, 3, "A", "C")]  # headers are joined over three rows
+    assert [(g["header_row"], g["quantity_rows"], g["description_columns"], g["quantity_columns"]) for g in got] == [(1, 3, "A", "C"),
+        (29, 3, "A", "C")]  # headers are joined over three rows
     # A header without items doesn't hide the next one.
     assert [g["header_row"] for g in boq.table_signals([["Quantity", "Description"], ["", ""], ["", ""], *rows])] == [2]
 
@@ -290,7 +312,8 @@ def test_workbooks_are_written_and_read():
     assert book == office.write_xlsx({"A & B": [["x", 1, 2.5, None, "=SUM(B1:C1)"]], "Two": []})
 
 
-@pytest.mark.parametrize(("text", "pattern", "fits"), [("a.txt", "*.txt", True), ("a.txt", "?.txt", True), ("ab.txt", "?.txt", False), ("b1", "[a-c][0-9]", True), ("d1", "[^a-c]1", True), ("a+b", "a+b", True), ("aab", "a+b", False), ("[x", "[x", True)])
+@pytest.mark.parametrize(("text", "pattern", "fits"), [("a.txt", "*.txt", True), ("a.txt", "?.txt", True), ("ab.txt", "?.txt", False),
+    ("b1", "[a-c][0-9]", True), ("d1", "[^a-c]1", True), ("a+b", "a+b", True), ("aab", "a+b", False), ("[x", "[x", True)])
 def test_globs(spark, text, pattern, fits):
     from costquarry.functions import scalars
 

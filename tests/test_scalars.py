@@ -12,17 +12,27 @@ def one(spark, column):
     ("function", "given", "expected"),
     [
         (scalars.clean, "  a  　b ", "a b"), (scalars.clean, "  ", None), (scalars.clean_or_empty, None, ""),
-        (scalars.amount, "$ 5,497,600 (환율 : 1150)", 5497600.0), (scalars.amount, "USD 12", 12.0), (scalars.amount, "3,000 원", 3000.0), (scalars.amount, "", None),
+        (scalars.amount, "$ 5,497,600 (환율 : 1150)", 5497600.0), (scalars.amount, "USD 12", 12.0), (scalars.amount, "3,000 원", 3000.0),
+        (scalars.amount, "", None),
         (scalars.usd_ceiling, "3,000 원", None), (scalars.usd_ceiling, "US$ 272,603", 272603.0), (scalars.usd_ceiling, None, None),
-        (scalars.area_number, "1, 706", 1706.0), (scalars.area_number, "255,52", 255.52), (scalars.area_number, "1,0 8 0", 1080.0), (scalars.area_number, "1,234,567", 1234567.0), (scalars.area_number, "0", None), (scalars.area_number, "", None),
-        (scalars.strict_number, "1,234.5", 1234.5), (scalars.strict_number, "12 m", None), (scalars.digits_to_long, "1,234 건", 1234), (scalars.digits_to_long, "-", None),
-        (scalars.program_budget_usd, "사업('23-'28/1,220만불)", 12_200_000), (scalars.program_budget_usd, "3백만불", 3_000_000), (scalars.program_budget_usd, "없음", None),
-        (scalars.normalize_title, "Vocational School ('23-'28/500만불)", "vocationalschool"), (scalars.normalize_title, None, ""), (scalars.compact_text, "Ａ-b 가", "ab가"),
-        (scalars.project_no, "no 2019-00012 x", "2019-00012"), (scalars.bid_no, "l2025-00018-1", "L2025-00018-1"), (scalars.bid_base, "L2025-00018-1", "L2025-00018"), (scalars.bid_base, "L2025-00018", "L2025-00018"),
-        (scalars.normalize_unit, "sm", "m²"), (scalars.normalize_unit, "CM", "m³"), (scalars.normalize_unit, "Meters", "m"), (scalars.normalize_unit, "pieces", "no."), (scalars.normalize_unit, "bag", "bag"), (scalars.normalize_unit, None, ""),
-        (scalars.country_tokens, "가나, 네팔 및 페루", ["가나", "네팔", "페루"]), (scalars.stamp_to_iso, "20240102030405", "2024-01-02T03:04:05"), (scalars.work_code, "1234.0", "001234"),
-        (scalars.valid_partial_date, "2020-13", False), (scalars.valid_partial_date, "2020-12-31", True), (scalars.safe_member_path, "a/../b", None), (scalars.safe_member_path, "a\\b", "a/b"),
-        (rules.compact_grade, "C?-부분", "C?"), (rules.compact_grade, "C-부분", "C"), (rules.compact_grade, "Z", None), (rules.work, "청사 보수 및 증축", "리모델링·개보수"), (rules.cost_stage, "심층기획 결과", "DESIGN_ESTIMATE"),
+        (scalars.area_number, "1, 706", 1706.0), (scalars.area_number, "255,52", 255.52), (scalars.area_number, "1,0 8 0", 1080.0),
+        (scalars.area_number, "1,234,567", 1234567.0), (scalars.area_number, "0", None), (scalars.area_number, "", None),
+        (scalars.strict_number, "1,234.5", 1234.5), (scalars.strict_number, "12 m", None), (scalars.digits_to_long, "1,234 건", 1234),
+        (scalars.digits_to_long, "-", None),
+        (scalars.program_budget_usd, "사업('23-'28/1,220만불)", 12_200_000), (scalars.program_budget_usd, "3백만불", 3_000_000),
+        (scalars.program_budget_usd, "없음", None),
+        (scalars.normalize_title, "Vocational School ('23-'28/500만불)", "vocationalschool"), (scalars.normalize_title, None, ""),
+        (scalars.compact_text, "Ａ-b 가", "ab가"),
+        (scalars.project_no, "no 2019-00012 x", "2019-00012"), (scalars.bid_no, "l2025-00018-1", "L2025-00018-1"),
+        (scalars.bid_base, "L2025-00018-1", "L2025-00018"), (scalars.bid_base, "L2025-00018", "L2025-00018"),
+        (scalars.normalize_unit, "sm", "m²"), (scalars.normalize_unit, "CM", "m³"), (scalars.normalize_unit, "Meters", "m"),
+        (scalars.normalize_unit, "pieces", "no."), (scalars.normalize_unit, "bag", "bag"), (scalars.normalize_unit, None, ""),
+        (scalars.country_tokens, "가나, 네팔 및 페루", ["가나", "네팔", "페루"]), (scalars.stamp_to_iso, "20240102030405", "2024-01-02T03:04:05"),
+        (scalars.work_code, "1234.0", "001234"),
+        (scalars.valid_partial_date, "2020-13", False), (scalars.valid_partial_date, "2020-12-31", True),
+        (scalars.safe_member_path, "a/../b", None), (scalars.safe_member_path, "a\\b", "a/b"),
+        (rules.compact_grade, "C?-부분", "C?"), (rules.compact_grade, "C-부분", "C"), (rules.compact_grade, "Z", None),
+        (rules.work, "청사 보수 및 증축", "리모델링·개보수"), (rules.cost_stage, "심층기획 결과", "DESIGN_ESTIMATE"),
     ],
 )
 def test_values(spark, function, given, expected):
@@ -47,7 +57,8 @@ def test_clean_is_idempotent(spark):
 
 @pytest.mark.parametrize(
     ("contract", "title", "role"),
-    [("공사", "학교 신축공사", "WORKS"), ("공사", "병원 설계·시공", "DESIGN_BUILD_WORKS"), ("용역", "설계 및 감리 용역", "DESIGN_OR_SUPERVISION_SERVICE"), ("물품", "가구", "GOODS"), ("용역", "조사", "OTHER_SERVICE")],
+    [("공사", "학교 신축공사", "WORKS"), ("공사", "병원 설계·시공", "DESIGN_BUILD_WORKS"), ("용역", "설계 및 감리 용역", "DESIGN_OR_SUPERVISION_SERVICE"),
+        ("물품", "가구", "GOODS"), ("용역", "조사", "OTHER_SERVICE")],
 )
 def test_scope_roles(spark, contract, title, role):
     assert one(spark, rules.scope_role(F.lit(contract), F.lit(title))) == role
