@@ -3,8 +3,8 @@
 Filters of several widths run over the bytes of a window; each filter's largest answer in the window is
 pooled, and a softmax layer turns the pooled answers into shares of the languages. A text is cut into
 windows of fixed length that cover all of it; its shares are the mean over its windows, by their bytes.
-A score is the largest share times the share of the text's byte pairs that the learned texts have, as a
-net of a few languages places a text in any other one too.
+A score is the largest share times the share of the text's byte pairs that are ASCII or that the learned
+texts have, as a net of a few languages places a text of any other script too.
 
 As the input of a filter is one byte out of 256 at each place, a filter of width w is w tables of 256
 entries; tables of two neighbouring places are joined to one of 65,536, so that a width takes w / 2
@@ -38,7 +38,7 @@ class Net(NamedTuple):
     bias: np.ndarray
     weight: np.ndarray  # (widths * filters, labels)
     offset: np.ndarray
-    seen: np.ndarray  # of each pair of bytes, whether a learned text has it
+    seen: np.ndarray  # of each pair of bytes, whether it is ASCII or a learned text has it
 
 
 def windows(data: bytes, length: int = WINDOW) -> np.ndarray:
@@ -110,6 +110,7 @@ def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 6, batc
                 second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
                 p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     seen = np.zeros(65536, bool)
+    seen.reshape(256, 256)[:128, :128] = True
     seen[x[:, :-1].astype(np.int32) << 8 | x[:, 1:]] = True
     return Net(labels, {w: p[f"t{w}"] for w in WIDTHS}, p["bias"], p["weight"], p["offset"], seen)
 
