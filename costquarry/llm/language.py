@@ -27,7 +27,7 @@ from costquarry.llm import runtime
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-SAMPLE_ROWS = 2000  #: labelled rows that a model is fitted on, the first by hash of their id; all windows of their texts
+SAMPLE_ROWS = 2000  #: labelled rows that a model is fitted on, the first by hash of their id and text; all windows of their texts
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 
@@ -124,11 +124,13 @@ def familiar(data: bytes, seen: np.ndarray) -> float:
 def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Net | None:
     """A net learned from the whole texts of at most `rows` labelled rows that may be learned from; None if there are none.
 
-    Rows with a null id, text or label and rows that are held out teach nothing, nor do texts without a letter.
+    Rows with a null id, text or label and rows that are held out teach nothing, nor do texts without a letter. A
+    row is known by its id and text, so that one id may be on any number of rows; rows that repeat count once.
     """
-    able = df.where(df[label].isNotNull() & df[id_col].isNotNull() & ~runtime.held_out(df[id_col]))
-    some = runtime.smallest_hashes(able, df[id_col], rows).where(df[text].isNotNull())
-    got = some.select(df[label].alias("y"), df[text].alias("t"), F.xxhash64(df[id_col], F.lit(0)).alias("h")).orderBy("h", "t").limit(rows).collect()
+    able = df.where(df[label].isNotNull() & df[id_col].isNotNull() & df[text].isNotNull() & ~runtime.held_out(df[id_col]))
+    key = F.struct(df[id_col], F.xxhash64(df[text]))
+    some = runtime.smallest_hashes(able, key, rows).select(df[label].alias("y"), df[text].alias("t"), F.xxhash64(key, F.lit(0)).alias("h"))
+    got = some.dropDuplicates(["h", "y"]).orderBy("h", "y", "t").limit(rows).collect()
     got = [r for r in got if LETTER.search(r.t)]
     labels = sorted({r.y for r in got})
     if not labels:

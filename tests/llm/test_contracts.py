@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from costquarry.llm import bpe_counts, chat, components, decontaminate, language, lines, matroska, mixing, queries, repair, simhash, toxicity
+from costquarry.llm import bpe_counts, chat, components, decontaminate, language, lines, matroska, mixing, queries, repair, runtime, simhash, toxicity
 
 ODD = [None, "", " ", "a", "A b\tc\nd", "word " * 3000, "x" * 70_000, "é ñ ß 가나 \U0001f600", "<|endoftext|> </s>[INST]", "a\x1cb　c", "same",
     "same", "\n\n", "don't   they'll  "]
@@ -371,6 +371,28 @@ def test_pooled_tables_are_the_convolution():
     assert np.allclose(language.Pools(net)(x).ravel(), np.maximum(want, 0), atol=1e-4)
 
 
+def test_language_of_one_id_on_all_rows(spark, sf_dir):
+    """Rows are chosen by id and text: one id on more rows than are learned from teaches as many ids would."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
+    many = docs.crossJoin(spark.range(30).withColumnRenamed("id", "k")).select(F.concat_ws(" ", "text", "k").alias("text"), "lang")
+    for i in (1, 8, 12):
+        df = many.withColumn("doc_id", F.lit(i).cast("long"))
+        assert df.count() > language.SAMPLE_ROWS
+        net = language.fit(df)
+        assert net is not None and len(net.labels) == 4
+        kept = language.predict(df, net, keep=("lang",)).where("lang is not null").select((F.col("lang") == F.col("lang_pred")).alias("right")).collect()
+        assert np.mean([r.right for r in kept]) > 0.97
+    same = docs.where("lang is not null").limit(1).crossJoin(spark.range(5000)).select(F.lit(1).cast("long").alias("doc_id"), "text", "lang")
+    assert language.fit(same).labels == [same.first().lang]
+
+
+def test_sample_near_its_bound(spark):
+    """Just more keys than are asked for: all go, as a tenth more is taken."""
+    df = spark.range(2100)
+    assert runtime.smallest_hashes(df, F.col("id"), 2000).count() == 2100
+    assert 2000 <= runtime.smallest_hashes(spark.range(50_000), F.col("id"), 2000).count() <= 2600
+
+
 # 7: token ids
 
 
