@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costquarry.llm import bpe_counts, chat, decontaminate, language, lines, matroska, mixing, repair, simhash, toxicity
+from costquarry.llm import bpe_counts, chat, clustered, decontaminate, language, lines, matroska, middle, mixing, neighbours, repair, simhash, toxicity
 from costquarry.llm.runtime import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,10 +63,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where(neighbours.every(rows, 20)))
+
+
+def op12_clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered.layout(read(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digests(middle.fill_in_middle(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    each = (op1_line_dedup, op2_mixing, op3_chat, op4_token_counts, op5_simhash, op6_language, op7_token_ids, op8_decontamination, op9_matroska, op10_toxicity)
+    each = (op1_line_dedup, op2_mixing, op3_chat, op4_token_counts, op5_simhash, op6_language, op7_token_ids, op8_decontamination, op9_matroska, op10_toxicity,
+        op11_neighbours, op12_clustered_layout, op13_fill_in_middle)
     return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": lines.ORACLE, "op8_decontamination": decontaminate.ORACLE}
+    return {"op1_line_dedup": lines.ORACLE, "op8_decontamination": decontaminate.ORACLE, "op12_clustered_layout": clustered.ORACLE,
+        "op13_fill_in_middle": middle.ORACLE}
