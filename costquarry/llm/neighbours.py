@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from costquarry.llm import runtime
 
 TABLES, WIDTH, TARGET = 8, 2.0, 0.93
-BUCKET, CELL = 64, 8192  #: rows that a bucket and a cell are meant to have; they may have any number
-TILE_ROWS, TILE_BYTES = 8192, 32 << 20
-SAMPLE_ROWS = 2000  #: vectors of which mean and covariance are taken, the first by hash; all rows are indexed
+BUCKET, CELL = 128, 65536  #: rows that a bucket and a cell are meant to have; they may have any number
+TILE_ROWS, TILE_BYTES = 65536, 32 << 20
+SAMPLE_ROWS = 2000  #: vectors by which a query estimates how near its k-th neighbour is, the first by hash; all rows are indexed
 LEAST = 1e-4  # slots that are less probable are not visited
 
 
@@ -45,9 +45,9 @@ class Hashes(NamedTuple):
     slots: int
     cell_slots: int  # the first ones, which make the cell
     longest: float
-    mean: np.ndarray
-    cov: np.ndarray
-    tail: float  # standard deviations from the mean at which the k-th of all rows is expected
+    ids: np.ndarray  # of the sample
+    sample: np.ndarray
+    share: float  # k of all rows
 
 
 def usable(df: DataFrame, id_col: str, vec: str) -> DataFrame:
@@ -67,15 +67,14 @@ def lifted(v: np.ndarray, longest: float) -> np.ndarray:
 
 
 def fit(rows: DataFrame, n: int, dim: int, longest: float, k: int, seed: int = 5) -> Hashes:
-    """Projections for n rows: as many slots as make buckets of about BUCKET rows; moments of a sample."""
-    some = runtime.smallest_hashes(rows, F.struct("id", "v"), SAMPLE_ROWS).orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE_ROWS).select("v").collect()
+    """Projections for n rows: as many slots as make buckets of about BUCKET rows; and a bounded sample."""
+    some = runtime.smallest_hashes(rows, F.struct("id", "v"), SAMPLE_ROWS).orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE_ROWS).collect()
     x = lifted(np.array([r.v for r in some], np.float64), longest)
     slots, cell = (max(0, math.ceil(math.log2(max(1, n / size)))) for size in (BUCKET, CELL))
     rng = np.random.default_rng(seed)
-    tail = NormalDist().inv_cdf(min(max(1 - k / max(n, 1), 0.5), 1 - 1e-12))
     weight = rng.integers(1 << 40, 1 << 55, slots, dtype=np.int64) | 1
     return Hashes(rng.normal(0, 1, (TABLES * slots, dim + 1)), rng.uniform(0, WIDTH, TABLES * slots), weight, slots, min(cell, slots), longest,
-        x.mean(axis=0), np.cov(x.T, bias=True).reshape(dim + 1, dim + 1), tail)
+        np.array([r.id for r in some]), x.astype(np.float32), min(1.0, k / max(n, 1)))
 
 
 def placed(h: Hashes, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,12 +117,31 @@ def visited(sure: float, others: list[list[tuple[float, int, int]]], cell: int,
     return out
 
 
-def probes(h: Hashes, x: np.ndarray, target: float = TARGET) -> Iterator[list[list[tuple[int, int]]]]:
-    """For each query (of length 1), for each table, the buckets it visits."""
+def nearness(h: Hashes, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The cosine of each query and its k-th neighbour, estimated by the sample.
+
+    That is the sample's at the same share of rows; where this is less than one row, the line through its fifth and
+    fiftieth, over the normal quantiles of their shares, is carried on.
+    """
+    score = x.astype(np.float32) @ h.sample.T
+    score[own[:, None] == h.ids[None]] = -1
+    score = -np.sort(-score, axis=1)
+    m = score.shape[1]
+    if h.share * m >= 1:
+        near = score[:, min(math.ceil(h.share * m), m) - 1]
+    else:
+        at = lambda p: NormalDist().inv_cdf(1 - p)
+        high, low = score[:, min(4, m - 1)], score[:, min(49, m - 1)]
+        near = high + (high - low) * (at(max(h.share, 1e-12)) - at(5 / m)) / (at(5 / m) - at(50 / m)) if m > 100 else high
+    return np.clip(near, 0.05, 0.95).astype(np.float64)
+
+
+def probes(h: Hashes, x: np.ndarray, own: np.ndarray, target: float = TARGET) -> Iterator[list[list[tuple[int, int]]]]:
+    """For each query (x, of length 1; own: its id), for each table, the buckets it visits."""
     if not h.slots:
         yield from ([[(0, 0)]] for _ in x)
         return
-    near = np.clip(x @ h.mean + h.tail * np.sqrt(np.maximum(0, np.einsum("ij,jk,ik->i", x, h.cov, x))), 0.05, 0.95)
+    near = nearness(h, x, own)
     spread = np.sqrt(1 - near**2)
     at = near[:, None] * (x @ h.plane.T) + h.offset  # where the neighbour's projections are expected
     home = np.floor(at / WIDTH).astype(np.int64)
@@ -182,7 +200,7 @@ def probed(rows: DataFrame, h: Hashes, dim: int, target: float) -> DataFrame:
                 v = _matrix(b.column("v"), dim)
                 x = np.column_stack([v / np.sqrt((v * v).sum(axis=1))[:, None], np.zeros(len(v))])
                 out = []
-                for tables in probes(h, x, target):
+                for tables in probes(h, x, b.column("id").to_numpy(), target):
                     cells: dict[tuple[int, int], list[int]] = {}
                     for t, buckets in enumerate(tables):
                         for c, k in buckets:
@@ -195,13 +213,17 @@ def probed(rows: DataFrame, h: Hashes, dim: int, target: float) -> DataFrame:
     return rows.select("id", "v").mapInArrow(run, f"id {kinds['id']}, v {kinds['v']}, at array<struct<table_no:int,cell:bigint,buckets:array<bigint>>>")
 
 
-def best(q: np.ndarray, p: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, slack: np.ndarray) -> tuple:
-    """Of (query, row, score) those that are, or within the slack may be, among a query's k largest by distinct id; and its k-th score."""
-    order = np.lexsort((-s, ids[p], q))
-    q, p, s = q[order], p[order], s[order]
-    new = np.ones(len(q), bool)
-    new[1:] = (q[1:] != q[:-1]) | (ids[p[1:]] != ids[p[:-1]])
-    q, p, s = q[new], p[new], s[new]
+def best(q: np.ndarray, p: np.ndarray, s: np.ndarray, ids: np.ndarray | None, k: int, slack: np.ndarray) -> tuple:
+    """Of (query, row, score) those that are, or within the slack may be, among a query's k largest by distinct id; and its k-th score.
+
+    ids: of the rows, if some repeat.
+    """
+    if ids is not None:
+        order = np.lexsort((-s, ids[p], q))
+        q, p, s = q[order], p[order], s[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1]) | (ids[p[1:]] != ids[p[:-1]])
+        q, p, s = q[new], p[new], s[new]
     order = np.lexsort((-s, q))
     q, p, s = q[order], p[order], s[order]
     begin = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
@@ -221,6 +243,7 @@ def tile(points: pa.Table, queries: pa.Table, dim: int, k: int) -> tuple[np.ndar
     bucket = points.column("bucket").to_numpy()
     order = np.argsort(bucket, kind="stable")
     ids, v = ids[order], v[order]
+    repeated = ids if len(np.unique(ids)) < len(ids) else None
     there, begin, size = np.unique(bucket[order], return_index=True, return_counts=True)
     asked = queries.column("buckets").combine_chunks()
     b, q = asked.flatten().to_numpy(), np.repeat(np.arange(len(own)), pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False))
@@ -244,9 +267,9 @@ def tile(points: pa.Table, queries: pa.Table, dim: int, k: int) -> tuple[np.ndar
             held.append((who[r], lo + c, score[r, c]))
             count += len(r)
             if count > most:
-                *one, low = best(*(np.concatenate(a) for a in zip(*held)), ids, k, slack)
+                *one, low = best(*(np.concatenate(a) for a in zip(*held)), repeated, k, slack)
                 held, count = [tuple(one)], 0
-    q, p, _, _ = best(*(np.concatenate(a) for a in zip(*held)), ids, k, slack)
+    q, p, _, _ = best(*(np.concatenate(a) for a in zip(*held)), repeated, k, slack)
     # Rows of equal vectors get the same number here, unlike in a product of matrices.
     score = np.concatenate([np.empty(0), *((x[q[i : i + 65536]] * v[p[i : i + 65536]]).sum(axis=1) for i in range(0, len(q), 65536))])
     order = np.lexsort((ids[p], -score, q))
@@ -305,7 +328,9 @@ def nearest(points: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec:
     h = fit(rows, n, dim, longest, k)
     table = runtime.stage(index(rows, h, dim), "index")
     runtime.drop_staged(rows)
-    visits = runtime.stage(probed(asked, h, dim, target), "probes")
+    # Probes take time by the row, of which there are few: they are dealt to all partitions.
+    dealt = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    visits = runtime.stage(probed(dealt, h, dim, target), "probes")
     found = tiles(table.select("id", "v", F.inline("at")), visits.select("id", "v", F.inline("at")), dim, k)
     hits = runtime.stage(_merged(found, k), "hits")
     if h.slots:
