@@ -1,0 +1,28 @@
+"""Texts as runs of characters, for indexes and joins on parts of texts. All in linear time: no character is looked up by its place."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def characters(text: Column) -> Column:
+    """The code points of a text in small letters; null: none."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("(?s)(.)"), F.lit(1))
+
+
+def _joined(parts: Column, shift: int) -> Column:
+    """Each part with the one `shift` places on; the last `shift` parts, which have none, begin no run."""
+    n = F.greatest(F.size(parts) - shift, F.lit(0))
+    return F.zip_with(F.slice(parts, F.lit(1), n), F.slice(parts, F.lit(1 + shift), n), lambda a, b: F.concat(a, b))
+
+
+def with_grams(df: DataFrame, text: Column) -> DataFrame:
+    """Adds _g1, _g2 and _g4: the text's runs of one, two and four characters, in order.
+
+    They are meant for the outer forms of explode: for the others a condition on an array's size is pushed down, and
+    with it all that makes the array, several times over.
+    """
+    df = df.withColumn("_g1", characters(text))
+    df = df.withColumn("_g2", _joined(F.col("_g1"), 1))
+    return df.withColumn("_g4", _joined(F.col("_g2"), 2))

@@ -300,18 +300,3 @@ def grade_rank(grade: Column) -> Column:
         .when(grade.startswith("U"), 2)
         .otherwise(1)
     )
-
-
-def longest_marker(df: DataFrame, text: str, markers: DataFrame, out: str = "country", most: int = 20_000) -> DataFrame:
-    """Adds the label of the longest marker (label, marker) in the text; ties by label; none: null.
-
-    The text is matched without regard to case. Markers are a dictionary: they are sent along as one
-    constant array, longest first, so a table of more than `most` of them is refused.
-    """
-    rows = markers.select("label", "marker").where("marker <> ''").distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} markers")
-    known = sorted((-len(r["marker"]), r["label"], r["marker"].lower()) for r in rows)
-    longest = _dictionary([{"label": label, "marker": m} for _, label, m in known], "label string, marker string")
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    return df.withColumn(out, F.try_element_at(F.filter(longest, lambda x: F.contains(low, x["marker"])), F.lit(1))["label"])

@@ -2,94 +2,21 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-from typing import NamedTuple
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costquarry.functions.scalars import normalize_title
+from costquarry.operators.titles import score_titles, title_score
 from costquarry.scratch import stage
 
-
-class Titles(NamedTuple):
-    """Candidates of one country: project, title and the title's characters with their numbers."""
-
-    projects: list[str]
-    titles: list[str]
-    letters: list[Counter]
-
-
-def title_score(a: str, b: str) -> float:
-    """Of normalized titles: 0.99 if one of at least 12 characters is within the other, else their matching-block ratio; empty: 0."""
-    if not a or not b:
-        return 0.0
-    short, long = sorted((a, b), key=len)
-    return 0.99 if len(short) >= 12 and short in long else SequenceMatcher(None, a, b).ratio()
-
-
-def two_best(title: str, groups: list[Titles]) -> tuple[float, str, float | None] | None:
-    """Score and project of the best candidate (of equals the first project), and the next project's score.
-
-    Candidates are taken by how many characters they share with the title; those that share too few to pass the
-    second best are not compared.
-    """
-    letters, bounds = Counter(title), []
-    for g in groups:
-        for project, other, own in zip(g.projects, g.titles, g.letters):
-            shared = sum(min(n, own[ch]) for ch, n in letters.items())
-            within = len(title) >= 12 or len(other) >= 12
-            bounds.append((max(2 * shared / max(1, len(title) + len(other)), 0.99 * (within and shared == min(len(title), len(other)))), project, other))
-    bounds.sort(key=lambda x: -x[0])
-    found: dict[str, float] = {}
-    second = -1.0
-    for bound, project, other in bounds:
-        if bound < second:
-            break
-        score = title_score(title, other)
-        if score > found.get(project, -1.0):
-            found[project] = score
-            ranked = sorted(found.values(), reverse=True)
-            second = ranked[1] if len(ranked) > 1 else -1.0
-    best = sorted((-score, project) for project, score in found.items())[:2]
-    return (-best[0][0], best[0][1], -best[1][0] if len(best) > 1 else None) if best else None
-
-
-def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_id", most: int = 50_000) -> DataFrame:
-    """Of records (key, title, countries) the best of the candidates (project_no, title, country) that may share a country: key, project_no, score, second.
-
-    Where a side names no country any candidate may be meant. Candidates are a list of projects: they are sent to
-    every executor, so a list of more than `most` is refused; records stay where they are, and no pair is a row.
-    """
-    rows = candidates.select("project_no", normalize_title(F.col("title")).alias("t"), F.coalesce("country", F.lit("")).alias("c")).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} candidates")
-    by: dict[str, list[tuple[str, str]]] = defaultdict(list)
-    for r in rows:
-        by[r.c].append((r.project_no, r.t))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = {c: Titles([p for p, _ in x], [t for _, t in x], [Counter(t) for _, t in x]) for c, x in by.items()}
-        for b in batches:
-            out = []
-            for title, countries in zip(b.column("_l").to_pylist(), b.column("countries").to_pylist()):
-                own = {*countries, ""} if countries else groups.keys()
-                out.append(two_best(title, [groups[c] for c in own if c in groups]))
-            have = [i for i, x in enumerate(out) if x]
-            score, project, second = zip(*(out[i] for i in have)) if have else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(have, pa.int64())), pa.array(project, pa.string()),
-                pa.array(score, pa.float64()), pa.array(second, pa.float64())], [key, "project_no", "score", "second"])
-
-    src = records.select(key, normalize_title(F.col("title")).alias("_l"), F.filter("countries", lambda c: c != "").alias("countries"))
-    return src.mapInArrow(run, f"{key} {records.schema[key].dataType.simpleString()}, project_no string, score double, second double")
+__all__ = ["score_titles", "title_score"]
 
 
 def decide(scores: DataFrame, key: str, sure: float = 0.98, apart: float = 0.005, fuzzy: float = 0.86, margin: float = 0.04,
     prefix: str = "official_report") -> DataFrame:
-    """Per record the best project if it is sure and alone at the top, or good with a margin to the second; else none, with the best score kept."""
+    """Per record the best project if it is sure and alone at the top, or good with a margin to the second; else none, with the best score kept.
+
+    A second that score_titles doesn't tell is further below than any margin asked for here.
+    """
     gap = F.col("score") - F.coalesce("second", F.lit(0.0))
     method = F.when((F.col("score") >= sure) & (gap > apart),
         f"{prefix}_title_containment").when((F.col("score") >= fuzzy) & (gap >= margin), f"{prefix}_title_fuzzy")
@@ -97,7 +24,7 @@ def decide(scores: DataFrame, key: str, sure: float = 0.98, apart: float = 0.005
 
 
 def link(records: DataFrame, official: DataFrame, existing: DataFrame, key: str = "record_id") -> DataFrame:
-    """Project of each record: its own id (score 1), else by official titles, else by existing projects' titles; the best score is kept."""
+    """Project of each record: its own id (score 1), else by official titles, else by existing projects' titles; the best score is kept, if it is told."""
     open_rows = records.where(F.coalesce("project_no", F.lit("")) == "")
     a = decide(score_titles(open_rows, official, key), key)
     b = decide(score_titles(open_rows, existing, key), key, fuzzy=0.88, margin=0.05, prefix="existing_db")

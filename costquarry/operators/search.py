@@ -28,35 +28,44 @@ def clamp(n: int | None, default: int, most: int) -> int:
     return min(max(default if n is None else n, 1), most)
 
 
-def text_query(text: Column, query: str | None) -> Column:
-    """Words are all needed; OR between words is either; a leading minus excludes; quotes hold a phrase. Case does not matter."""
+#: A query as groups that are all needed; of a group's (word, excluded) one has to hold.
+Terms = list[list[tuple[str, bool]]]
+
+
+def parsed(query: str | None) -> Terms:
+    """Words are all needed; OR between words is either; a leading minus excludes; quotes hold a phrase."""
     if not blank_to_none(query):
-        return F.lit(True)
+        return []
     import shlex
 
     try:
         words = shlex.split(query)
     except ValueError:
         words = query.split()
-    groups: list[list[Column]] = []
+    groups: Terms = []
     joined = False
     for w in words:
         if w == "OR":
             joined = bool(groups)
             continue
         minus = len(w) > 1 and w[0] == "-"
-        hit = contains_ci(text, F.lit(w[1:] if minus else w))
-        hit = ~hit if minus else hit
+        term = (w[1:] if minus else w, minus)
         if joined:
-            groups[-1].append(hit)
+            groups[-1].append(term)
         else:
-            groups.append([hit])
+            groups.append([term])
         joined = False
+    return groups
+
+
+def text_query(text: Column, query: str | None) -> Column:
+    """Whether a text meets a query (see parsed), by looking through it; case does not matter. `fulltext` answers the same by an index."""
     out = F.lit(True)
-    for g in groups:
-        any_of = g[0]
-        for h in g[1:]:
-            any_of = any_of | h
+    for g in parsed(query):
+        any_of = F.lit(False)
+        for word, minus in g:
+            hit = contains_ci(text, F.lit(word))
+            any_of = any_of | (~hit if minus else hit)
         out = out & any_of
     return F.coalesce(out, F.lit(False))
 
@@ -175,9 +184,14 @@ def findings_star(findings: DataFrame, matches: DataFrame, projects: DataFrame,
 
 
 def search_findings(star: DataFrame, query: str | None = None, project_no: str | None = None, country: str | None = None,
-    category: str | None = None, n: int | None = None) -> DataFrame:
-    """Findings that meet all given conditions (blank ones are left out), the latest publications first; 20, at most 100."""
+    category: str | None = None, n: int | None = None, hits: DataFrame | None = None) -> DataFrame:
+    """Findings that meet all given conditions (blank ones are left out), the latest publications first; 20, at most 100.
+
+    hits: keys (finding_id as key) that an index found for a query, instead of a query that looks through the texts.
+    """
     query, project_no, country, category = map(blank_to_none, (query, project_no, country, category))
+    if hits is not None:
+        star = star.join(hits.withColumnRenamed("key", "finding_id"), "finding_id", "left_semi")
     if query:
         star = star.where(text_query(F.col("search_text"), query))
     if project_no:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from costquarry.plans import files, functions, operators  # noqa: F401
+from costquarry.plans import files, functions, indexes, operators  # noqa: F401
 from costquarry.plans.queries import ORACLES, QUERIES, search_similar_cases
 
 __all__ = ["ORACLES", "QUERIES", "search_similar_cases"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from costquarry import ship
 from costquarry.functions import rules, scalars
 from costquarry.operators import boq, evidence, grading, linking, merge, pricing, quality, search, snapshot, warehouse
+from costquarry.operators.titles import longest_marker
 from costquarry.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -702,7 +703,7 @@ FROM nation WHERE contains(lower(source || ' NATION_' || (doc_id % 30)), lower(n
 def country_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("source"), F.lit(" NATION_"), (F.col("doc_id") % 30).cast("string")).alias("text"))
     n = t(spark, sf_dir, "nation").select(F.col("n_name").alias("label"), F.col("n_name").alias("marker"))
-    return rules.longest_marker(d, "text", n).select("doc_id", "country")
+    return longest_marker(d, "text", n).select("doc_id", "country")
 
 
 @query(r"SELECT doc_id, length(trim(regexp_replace(text, '[\s\x{00A0}\x{3000}]+', ' ', 'g'))) AS n FROM documents")
@@ -757,10 +758,10 @@ def source_file_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def title_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as records against the names of the first as official titles, by type as country; tests compare it with plain loops."""
+    """Parts as records against the names of all as official titles, by type as country; tests compare it with plain loops."""
     p = t(spark, sf_dir, "part")
     rec = p.select(F.col("p_partkey").alias("record_id"), F.concat_ws(" of the ", "p_name", "p_brand").alias("title"), F.array("p_type").alias("countries"))
-    cand = p.where("p_partkey < 40").select(F.col("p_partkey").cast("string").alias("project_no"),
+    cand = p.select(F.col("p_partkey").cast("string").alias("project_no"),
         F.concat("p_name", F.lit(" of the brand")).alias("title"), F.col("p_type").alias("country"))
     return linking.decide(linking.score_titles(rec, cand), "record_id")
 

@@ -259,31 +259,144 @@ def test_sql_surface(spark):
     assert [r.source_id for r in spark.sql("SELECT * FROM v_best_available_price_index").collect()] == ["s"]
 
 
-def test_title_link_equals_plain_loops(spark, sf_dir):
-    """Every record against every candidate of its country, by the standard library's matcher."""
-    from difflib import SequenceMatcher
+def plain_links(records, candidates, least=0.82):
+    """Best project, score and second by comparing each record (id, title, countries) with each candidate (project, title, country)."""
+    from costquarry.operators.titles import title_score
 
-    from costquarry.plans import queries
+    out, known = {}, {}
+    for i, title, countries in records:
+        scores = {}
+        for project, other, country in candidates:
+            if not countries or not country or country in countries:
+                if (title, other) not in known:
+                    known[title, other] = title_score(title, other)
+                scores[project] = max(scores.get(project, 0.0), known[title, other])
+        best = sorted((-s, p) for p, s in scores.items() if s >= least)[:2]
+        if best:
+            out[i] = (best[0][1], round(-best[0][0], 9), round(-best[1][0], 9) if len(best) > 1 else None)
+    return out
+
+
+def told(df):
+    return {r.record_id: (r.project_no, round(r.score, 9), None if r.second is None else round(r.second, 9)) for r in df.collect()}
 
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").orderBy("p_partkey").collect()
-    plain = lambda x: "".join(ch for ch in x.lower() if ch.isascii() and ch.isalnum())
-    want = {}
-    for r in parts:
-        a, scores = plain(f"{r.p_name} of the {r.p_brand}"), []
-        for c in parts[:40]:
-            if c.p_type == r.p_type:
-                b = plain(f"{c.p_name} of the brand")
-                short, long = sorted((a, b), key=len)
-                scores.append((-(0.99 if short in long else SequenceMatcher(None, a, b).ratio()), str(c.p_partkey)))
-        if scores:
-            scores.sort()
-            best, second = -scores[0][0], -scores[1][0] if len(scores) > 1 else 0.0
-            sure = best >= 0.98 and best - second > 0.005
-            good = best >= 0.86 and best - second >= 0.04
-            method = "official_report_title_containment" if sure else "official_report_title_fuzzy" if good else None
-            want[r.p_partkey] = (scores[0][1] if method else None, method, round(best, 9))
-    got = {r.record_id: (r.project_no, r.method, round(r.score, 9)) for r in queries.title_link(spark, sf_dir).collect()}
-    assert got == want and any(m for _, m, _ in got.values()) and any(m is None for _, m, _ in got.values())
+
+def plain_title(x):
+    return "".join(ch for ch in (x or "").lower() if ch.isascii() and ch.isalnum() or "가" <= ch <= "힣")
+
+
+def test_title_link_equals_plain_loops(spark, sf_dir):
+    """Every record against every candidate of its country, by the standard library's matcher: titles of parts, then names of clients."""
+    from costquarry.plans import catalog
+
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").collect()
+    clients = spark.read.parquet(f"{sf_dir}/clients.parquet").collect()
+    nation = lambda r: "" if r.nation_id is None else str(r.nation_id)
+    for name, rec, cand in (
+        ("title_link", [(r.p_partkey, plain_title(f"{r.p_name} of the {r.p_brand}"), [r.p_type]) for r in parts],
+            [(str(r.p_partkey), plain_title(f"{r.p_name} of the brand"), r.p_type) for r in parts]),
+        ("client_links", [(r.client_id, plain_title(r.name), [nation(r)] if nation(r) else []) for r in clients if r.source == "web"],
+            [(str(r.client_id), plain_title(r.name), nation(r)) for r in clients if r.source not in (None, "web")]),
+    ):
+        want = {}
+        for i, (project, best, second) in plain_links(rec, cand).items():
+            gap = best - (second or 0.0)
+            method = "official_report_title_containment" if best >= 0.98 and gap > 0.005 else "official_report_title_fuzzy" if best >= 0.86 and gap >= 0.04 else None
+            want[i] = (project if method else None, method, best)
+        got = {r.record_id: (r.project_no, r.method, round(r.score, 9)) for r in catalog.QUERIES[name](spark, sf_dir).collect()}
+        assert got == want and any(m for _, m, _ in got.values()) and any(m is None for _, m, _ in got.values())
+
+
+def test_titles_lose_no_pair(spark):
+    """Random titles of few letters, near the least score and below, with nulls, blanks, single letters, repeats and several titles of a project."""
+    import random
+
+    from costquarry.operators import titles
+
+    rng = random.Random(6)
+    words = ["school", "hospital", "road", "water", "training", "centre", "a", "가나", "병원", "건립", "o"]
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(0, 5)))
+    base = [text() for _ in range(60)]
+    changed = lambda x: "".join(rng.choice("abx가") if rng.random() < 0.12 else ch for ch in x if rng.random() > 0.06)
+    rec = [(i, changed(rng.choice(base)), rng.choice([[], ["K"], ["K", "L"], ["M", ""], None])) for i in range(150)] + [(900, None, ["K"]), (901, "", []), (902, "o", [])]
+    cand = [(f"p{i % 90}", changed(rng.choice(base)), rng.choice(["", "K", "L", None])) for i in range(200)] + [("q", None, "K"), ("r", "O", ""), ("s", "o", "K"), ("t", "o", "K")]
+    r = spark.createDataFrame([(*x, "clash") for x in rec], "record_id int, title string, countries array<string>, score string")
+    c = spark.createDataFrame(cand, "project_no string, title string, country string")
+    clean = lambda cs: [x for x in cs or [] if x]
+    want = plain_links([(i, plain_title(t), clean(cs)) for i, t, cs in rec], [(p, plain_title(t), k or "") for p, t, k in cand])
+    assert told(titles.score_titles(r, c)) == want and len(want) > 40
+    want = plain_links([(i, plain_title(t), clean(cs)) for i, t, cs in rec], [(p, plain_title(t), k or "") for p, t, k in cand], 0.7)
+    assert told(titles.score_titles(r, c, least=0.7)) == want
+    assert titles.score_titles(r.limit(0), c).count() == 0 and titles.score_titles(r, c.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        titles.score_titles(r, c, least=0.5)
+
+
+def test_links_read_no_list_on_the_driver(spark, sf_dir):
+    """More candidates than any list held before: pairs are joined."""
+    from costquarry.operators import titles
+
+    cand = spark.range(60_000).select(F.col("id").cast("string").alias("project_no"), F.md5(F.col("id").cast("string")).alias("title"), F.lit("K").alias("country"))
+    rec = cand.where("project_no % 20000 = 7").select(F.col("project_no").cast("int").alias("record_id"), F.concat("title", F.lit("x")).alias("title"), F.array("country").alias("countries"))
+    got = told(titles.score_titles(rec, cand))
+    assert {i: (p, s) for i, (p, s, _) in got.items()} == {i: (str(i), 0.99) for i in (7, 20007, 40007)}
+
+
+def test_markers_equal_plain_search(spark):
+    import random
+
+    from costquarry.operators import titles
+
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("abAB 가é\n") for _ in range(n))
+    markers = [(rng.choice("xyz"), text(rng.randint(1, 6))) for _ in range(300)] + [("none", ""), ("none", None), ("n", "absent marker")]
+    rows = [(i % 40, text(rng.randint(0, 30))) for i in range(200)] + [(1, None), (2, ""), (2, "")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "k int, text string, label string")
+    got = titles.longest_marker(df, "text", spark.createDataFrame(markers, "label string, marker string"), "hit").collect()
+    want = []
+    for k, t in rows:
+        hit = sorted((-len(m), label) for label, m in markers if m and m.lower() in (t or "").lower())
+        want.append((k, t, "clash", hit[0][1] if hit else None))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    many = spark.range(200_000).select(F.concat(F.lit("L"), F.col("id")).alias("label"), F.md5(F.col("id").cast("string")).alias("marker"))
+    one = spark.createDataFrame([(1, "x" + __import__("hashlib").md5(b"123456").hexdigest())], "k int, text string")
+    assert [r.hit for r in titles.longest_marker(one, "text", many, "hit").collect()] == ["L123456"]
+
+
+def test_areas_are_found_in_linear_time_and_place(spark):
+    """What stands around each area is the text's, also across blocks and beyond the longest window; four times the areas take about four times as long."""
+    import re
+    import time
+
+    text = lambda n: " ".join(f"plot {i} 가나 gross floor area: {i + 20} m2;" + " " * (i % 7) + "x" * (i % 90) for i in range(n))
+    t = text(60) + " 77 " + " " * 1500 + "m2 end"
+    got = evidence.with_spans(spark.createDataFrame([(t,), ("",), (None,), ("no area",)], "t string"), "t", evidence.AREA_UNIT).select("t", F.inline("_m")).collect()
+    want = [(m[1], t[max(0, m.start() - 140) : m.start()], t[max(0, m.start() - 140) : m.end() + 70]) for m in re.finditer(evidence.AREA_UNIT, t)]
+    assert [(r.raw, r.before, r.local) for r in got] == want and len(want) == 61
+    took = []
+    for n in (800, 800, 3200):
+        df = spark.createDataFrame([("b", "f", "l", text(n), "")], "bid_no string, source_file string, source_locator string, evidence_text string, area_mentions string")
+        begin = time.time()
+        assert evidence.area_observations(df).count() == n
+        took.append(time.time() - begin)
+    assert took[2] < 5 * took[1] + 3
+
+
+def test_index_equals_scan(spark, tmp_path):
+    import random
+
+    from costquarry.operators import fulltext
+
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice(["ab", "Ba", " ", "가나", "\U0001f600", "c", "\n", "ß", "İ"]) for _ in range(rng.randint(0, 12)))) for i in range(300)] + [(900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    index = fulltext.Index(spark, fulltext.write_index(docs, str(tmp_path / "index"), buckets=16), 16)
+    for q in ("ab", "AB ba", '"b a"', "-ab", "ab -ba", "ab OR c", "c -ab OR 가나", "-ab -c", "가나", "\U0001f600", "ß", "c", "-c", '""', "OR ab", "zz", "zz OR ab", "-zz", "abba", '"가나 "', "-", None, " ", '"ab', "İ"):
+        want = {r.doc_id for r in docs.where(search.text_query(F.col("text"), q)).collect()}
+        got = [r.key for r in index.search(q).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, q
+    plan = index.search("abba")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(bucket") == plan.count("FileScan parquet") == 2
 
 
 def test_long_chains_are_no_cycles(spark):

@@ -5,7 +5,7 @@ import pytest
 
 from costquarry.plans import catalog as engine
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 
 
 @pytest.fixture(scope="module")

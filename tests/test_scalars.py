@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from costquarry.functions import rules, scalars
+from costquarry.operators import titles
 
 
 def one(spark, column):
@@ -67,4 +68,4 @@ def test_scope_roles(spark, contract, title, role):
 def test_longest_marker_wins(spark):
     markers = spark.createDataFrame([("Ghana", "가나"), ("Uzbekistan", "우즈베키스탄"), ("Ghana", "gana")], "label string, marker string")
     df = spark.createDataFrame([("우즈베키스탄 페르가나",), ("가나 관개지구",), ("none",), (None,)], "t string")
-    assert [r.country for r in rules.longest_marker(df, "t", markers).collect()] == ["Uzbekistan", "Ghana", None, None]
+    assert [r.country for r in titles.longest_marker(df, "t", markers).collect()] == ["Uzbekistan", "Ghana", None, None]
