@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costquarry.functions.rules import compact_grade, facility_family, family_aliases, relation
-from costquarry.functions.scalars import clean, join_notes, money, ratio, usd_ceiling
+from costquarry.functions.scalars import clean, money, ratio, usd_ceiling
 
 NOTICE, REFERENCE = "CONSTRUCTION_NOTICE", "DESIGN_SUPERVISION_REFERENCE"
 RAW_STAGE = "NOTICE_EXECUTION_CEILING_RAW"
@@ -57,6 +57,16 @@ def case_groups(rows: DataFrame, projects: DataFrame) -> DataFrame:
         "left_anti").withColumn("case_kind", F.lit(REFERENCE)))
 
 
+def _cleaned(df: DataFrame, *columns: str) -> list[Column]:
+    return [clean(df[x]).alias(x) for x in columns]
+
+
+def _notes(several: str, one: str) -> Column:
+    """Cleaned notes of an array, which may be null, and of a column: the distinct ones joined, as by join_notes."""
+    every = F.concat(F.coalesce(several, F.array().cast("array<string>")), F.array(one))
+    return F.nullif(F.array_join(F.array_distinct(F.array_compact(every)), " | "), F.lit(""))
+
+
 def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects: DataFrame, data_version: str) -> DataFrame:
     """One case per published group, its columns taken by precedence; see first_text, first_value and first_true."""
     kinds = case_groups(rows, projects)
@@ -67,35 +77,46 @@ def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects
     known = rows.select(F.col("bid_no").alias("_known")).distinct()
     wanted = wanted.join(known, F.col("_rep") == F.col("_known"), "left").select("bid_base_no",
         F.coalesce("_rep", "_latest").alias("_chosen"), F.coalesce("_known", "_latest").alias("_row"))
-    r = rows.alias("r")
-    j = wanted.join(r, F.col("_row") == F.col("r.bid_no")).drop(F.col("r.bid_base_no"))
-    j = j.join(notices.drop("bid_base_no").alias("n"), F.col("_chosen") == F.col("n.bid_no"), "left").join(groups.alias("g"), "bid_base_no",
-        "left").join(kinds, "bid_base_no").join(sizes, "bid_base_no")
-    j = j.withColumn("_project", first_text(F.col("n.project_no"), F.col("g.project_no"), F.col("r.project_no")))
-    j = j.join(projects.alias("p"), F.col("_project") == F.col("p.project_no"), "left")
+    # Texts are cleaned and amounts read once a row, before the joins: what is taken by precedence is then a plain column.
+    r = rows.select("bid_no", usd_ceiling(F.col("ceiling_usd_raw")).alias("raw"), *_cleaned(rows, "project_no", "bid_title_ko", "source_bid_title",
+        "project_name", "country_ko", "facility_type", "work_type", "notice_date", "detail_url")).alias("r")
+    n = notices.select("bid_no", "selected_area_m2", "selected_construction_cost_usd", "compact_grade",
+        F.array(*_cleaned(notices, "scope_role", "record_scope_status", "same_scope_status")).alias("scope"),
+        F.array(*_cleaned(notices, "grade_detail", "manual_note", "area_quote")).alias("note"), *_cleaned(notices, "project_no", "title", "country_ko",
+            "amount_stage", "notice_date", "verification_level", "unit_cost_allowed_use", "source_url", "audit_date")).alias("n")
+    g = groups.select("bid_base_no", "area_m2", "construction_cost_usd", "best_grade", "notice_count",
+        *_cleaned(groups, "project_no", "representative_title", "country_ko", "latest_notice_date")).alias("g")
+    p = projects.select(F.col("project_no").alias("_key"), "representative_area_m2", "representative_construction_cost_usd", "compact_grade",
+        *_cleaned(projects, "project_name", "country_ko", "representative_amount_stage", "verification_level", "unit_cost_allowed_use",
+            "duplicate_and_scope_warning", "grade_detail")).alias("p")
+    j = wanted.join(r, F.col("_row") == F.col("r.bid_no"))
+    j = j.join(n, F.col("_chosen") == F.col("n.bid_no"), "left").join(g, "bid_base_no", "left").join(kinds, "bid_base_no").join(sizes, "bid_base_no")
+    j = j.withColumn("_project", F.coalesce("n.project_no", "g.project_no", "r.project_no")).join(p, F.col("_project") == F.col("p._key"), "left")
     c = F.col
-    name = first_text(c("n.title"), c("g.representative_title"), c("r.bid_title_ko"), c("r.source_bid_title"), c("r.project_name"), c("bid_base_no"))
-    official = first_text(c("p.project_name"), c("r.project_name"))
-    country = first_text(c("n.country_ko"), c("g.country_ko"), c("p.country_ko"), c("r.country_ko"))
-    area = money(first_value(c("n.selected_area_m2"), c("g.area_m2"), c("p.representative_area_m2")))
-    curated = money(first_value(c("n.selected_construction_cost_usd"), c("g.construction_cost_usd"), c("p.representative_construction_cost_usd")))
-    raw = usd_ceiling(c("r.ceiling_usd_raw"))
-    stage = F.when(curated.isNull() & raw.isNotNull(), RAW_STAGE).otherwise(first_text(c("n.amount_stage"), c("p.representative_amount_stage")))
-    family = facility_family(c("r.facility_type"), name, official)
-    scope = join_notes(c("n.scope_role"), c("n.record_scope_status"), c("n.same_scope_status"), c("p.duplicate_and_scope_warning"))
-    note = join_notes(c("n.grade_detail"), c("n.manual_note"), c("n.area_quote"), c("p.grade_detail"))
-    out = j.select(
+    taken = j.select(
         c("bid_base_no").alias("case_id"), c("case_kind"), c("_project").alias("project_no"), c("_chosen").alias("representative_bid_no"),
-        name.alias("display_name"), official.alias("official_project_name"), country.alias("country_ko"),
-        clean(c("r.facility_type")).alias("facility_type"), family.alias("facility_family"), clean(c("r.work_type")).alias("work_type"),
-        first_text(c("n.notice_date"), c("g.latest_notice_date"), c("r.notice_date")).alias("notice_date"),
-        area.alias("gross_floor_area_m2"), F.coalesce(curated, raw).alias("construction_cost_usd"), stage.alias("amount_stage_code"),
-        compact_grade(F.coalesce(c("n.compact_grade"), c("g.best_grade"), c("p.compact_grade"))).alias("evidence_grade"),
-        first_text(c("n.verification_level"), c("p.verification_level")).alias("verification_level"),
-        scope.alias("scope_note"), note.alias("evidence_note"), first_text(c("n.unit_cost_allowed_use"), c("p.unit_cost_allowed_use")).alias("allowed_use"),
+        F.coalesce("n.title", "g.representative_title", "r.bid_title_ko", "r.source_bid_title", "r.project_name", "bid_base_no").alias("display_name"),
+        F.coalesce("p.project_name", "r.project_name").alias("official_project_name"),
+        F.coalesce("n.country_ko", "g.country_ko", "p.country_ko", "r.country_ko").alias("country_ko"), c("r.facility_type"), c("r.work_type"),
+        F.coalesce("n.notice_date", "g.latest_notice_date", "r.notice_date").alias("notice_date"),
+        money(first_value(c("n.selected_area_m2"), c("g.area_m2"), c("p.representative_area_m2"))).alias("gross_floor_area_m2"),
+        money(first_value(c("n.selected_construction_cost_usd"), c("g.construction_cost_usd"), c("p.representative_construction_cost_usd"))).alias("_curated"),
+        c("r.raw").alias("_raw"), F.coalesce("n.amount_stage", "p.representative_amount_stage").alias("_stage"),
+        F.coalesce("n.compact_grade", "g.best_grade", "p.compact_grade").alias("_grade"),
+        F.coalesce("n.verification_level", "p.verification_level").alias("verification_level"),
+        c("n.scope").alias("_scope"), c("p.duplicate_and_scope_warning").alias("_warning"), c("n.note").alias("_note"), c("p.grade_detail").alias("_detail"),
+        F.coalesce("n.unit_cost_allowed_use", "p.unit_cost_allowed_use").alias("allowed_use"),
         F.coalesce(F.nullif(c("g.notice_count"), F.lit(0)), c("_n")).cast("int").alias("notice_count"),
-        first_text(c("n.source_url"), c("r.detail_url")).alias("procurement_url"),
-        F.lit(data_version).alias("data_version"), clean(c("n.audit_date")).alias("audit_date"),
+        F.coalesce("n.source_url", "r.detail_url").alias("procurement_url"), c("n.audit_date"),
+    )
+    family = facility_family(c("facility_type"), c("display_name"), c("official_project_name"))
+    stage = F.when(c("_curated").isNull() & c("_raw").isNotNull(), RAW_STAGE).otherwise(c("_stage"))
+    out = taken.select(
+        "case_id", "case_kind", "project_no", "representative_bid_no", "display_name", "official_project_name", "country_ko", "facility_type",
+        family.alias("facility_family"), "work_type", "notice_date", "gross_floor_area_m2", F.coalesce("_curated", "_raw").alias("construction_cost_usd"),
+        stage.alias("amount_stage_code"), compact_grade(c("_grade")).alias("evidence_grade"), "verification_level",
+        _notes("_scope", "_warning").alias("scope_note"), _notes("_note", "_detail").alias("evidence_note"), "allowed_use", "notice_count",
+        "procurement_url", F.lit(data_version).alias("data_version"), "audit_date",
     )
     out = out.withColumn("nominal_unit_usd_m2", F.round(ratio(c("construction_cost_usd"), c("gross_floor_area_m2")), 2))
     words = ["display_name", "official_project_name", "country_ko", "facility_type", "facility_family"]
