@@ -323,26 +323,31 @@ def nearest(points: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec:
     rows, asked = (df.where(F.col("size") == dim).select("id", "v").distinct() for df in (rows, asked))
     # Equal vectors meet by their hash first, so that few are compared by their components.
     same = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
-    rows = runtime.stage(rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("id", "v"), "vectors")
-    n = rows.count()
-    h = fit(rows, n, dim, longest, k)
-    table = runtime.stage(index(rows, h, dim), "index")
-    runtime.drop_staged(rows)
+    rows = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("id", "v")
     # Probes take time by the row, of which there are few: they are dealt to all partitions.
-    dealt = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    visits = runtime.stage(probed(dealt, h, dim, target), "probes")
-    found = tiles(table.select("id", "v", F.inline("at")), visits.select("id", "v", F.inline("at")), dim, k)
-    hits = runtime.stage(_merged(found, k), "hits")
-    if h.slots:
-        counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-        short = visits.select("id", "v").join(counts.where(F.col("n") >= k), F.col("id") == F.col("query_id"), "left_anti")
-        short = runtime.stage(short, "short")
-        if short.limit(1).count():
-            zero = (F.lit(0).alias("table_no"), F.lit(0).cast("long").alias("cell"))
-            whole = tiles(table.select(*zero, F.lit(0).cast("long").alias("bucket"), "id", "v"),
-                short.select(*zero, F.array(F.lit(0).cast("long")).alias("buckets"), "id", "v"), dim, k)
-            hits = hits.join(short.select("id").distinct(), F.col("id") == F.col("query_id"), "left_anti").unionByName(_merged(whole, k))
-    return hits
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    with runtime.Scope() as scope:
+        return scope.keep(_found(runtime.stage(rows, "vectors"), asked, dim, longest, k, target))
+
+
+def _found(rows: DataFrame, asked: DataFrame, dim: int, longest: float, k: int, target: float) -> DataFrame:
+    """The k best rows of each query asked, staged."""
+    h = fit(rows, rows.count(), dim, longest, k)
+    table = runtime.stage(index(rows, h, dim), "index")
+    visits = runtime.stage(probed(asked, h, dim, target), "probes")
+    hits = runtime.stage(_merged(tiles(table.select("id", "v", F.inline("at")), visits.select("id", "v", F.inline("at")), dim, k), k), "hits")
+    if not h.slots:
+        return hits
+    counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    short = visits.select("id", "v").join(counts.where(F.col("n") >= k), F.col("id") == F.col("query_id"), "left_anti")
+    short = runtime.stage(short, "short")
+    if not short.limit(1).count():
+        return hits
+    zero = (F.lit(0).alias("table_no"), F.lit(0).cast("long").alias("cell"))
+    whole = tiles(table.select(*zero, F.lit(0).cast("long").alias("bucket"), "id", "v"),
+        short.select(*zero, F.array(F.lit(0).cast("long")).alias("buckets"), "id", "v"), dim, k)
+    rest = hits.join(short.select("id").distinct(), F.col("id") == F.col("query_id"), "left_anti")
+    return runtime.stage(rest.unionByName(_merged(whole, k)), "hits")
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:

@@ -48,9 +48,42 @@ def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     files.deleteOnExit(top)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    if _scopes:
+        _scopes[-1].tables.append(out)
     return out
 
 
+class Scope:
+    """Tables staged inside of it are deleted at its end, but for those that are kept: these belong to the scope around it.
+
+    What is read by a plan that runs later has to be kept or staged anew.
+    """
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+        self.kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df)
+        return df
+
+    def __enter__(self) -> Scope:
+        _scopes.append(self)
+        return self
+
+    def __exit__(self, *failed: object) -> None:
+        _scopes.pop()
+        kept = {df._staged_path for df in self.kept}
+        for df in self.tables:
+            if df._staged_path not in kept:
+                drop_staged(df)
+            elif _scopes:
+                _scopes[-1].tables.append(df)
+
+
+_scopes: list[Scope] = []
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete a table written by stage() that no later plan reads."""
     path, files = _path(df.sparkSession, df._staged_path)

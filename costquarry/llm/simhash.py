@@ -243,21 +243,31 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     an empty result.
     """
     cols = [f"f{i}" for i in range(lanes)]
-    docs = runtime.stage(fingerprints(df, text, words, lanes, tuple(dict.fromkeys([id_col, *keep]))), "prints")
+    with runtime.Scope() as scope:
+        docs = scope.keep(runtime.stage(fingerprints(df, text, words, lanes, tuple(dict.fromkeys([id_col, *keep]))), "prints"))
+        classes, rows = fingerprint_classes(docs, id_col, cols, distance, exact)
+        scope.keep(classes)
+    digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in reversed(cols)))
+    joined = runtime.join_counted(docs, classes, cols, "copies", rows)
+    return joined.select(id_col, *keep, digits.alias("fingerprint"), "component_id")
+
+
+def fingerprint_classes(docs: DataFrame, id_col: str, cols: list[str], distance: int, exact: bool) -> tuple[DataFrame, int]:
+    """Distinct fingerprints of docs (cols, copies, component_id), staged, and the number of rows."""
+    lanes = len(cols)
     nodes = docs.groupBy(*cols).agg(F.min(id_col).alias("least_id"), F.count(F.lit(1)).alias("copies"))
     nodes = runtime.stage(nodes.withColumn("node", F.col("f0") if lanes == 1 else F.xxhash64(*cols)), "nodes")
     n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     masks = masks_pigeonhole(distance, blocks_for(n, distance)) if exact else masks_sampled(lanes, n, distance / (64 * lanes))
-    found = link(nodes.select(*cols), distance, masks)
     one = lambda s: F.col(f"{s}0") if lanes == 1 else F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
-    roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
+    with runtime.Scope() as scope:
+        found = link(nodes.select(*cols), distance, masks)
+        roots = scope.keep(runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots"))
     linked = runtime.stage(nodes.join(roots, "node").select(*cols, "root", "least_id"), "linked")
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     linked = runtime.join_counted(linked, least, ["root"], "n", n).select(*cols, "component_id")
     classes = nodes.join(linked, cols, "left").select(*cols, "copies", F.coalesce("component_id", "least_id").alias("component_id"))
-    digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in reversed(cols)))
-    joined = runtime.join_counted(docs, runtime.stage(classes, "classes"), cols, "copies", rows)
-    return joined.select(id_col, *keep, digits.alias("fingerprint"), "component_id")
+    return runtime.stage(classes, "classes"), rows
 
 
 def smallest_shingles(distinct: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
@@ -320,10 +330,18 @@ def similar_edges(texts: DataFrame, words: int, similar: tuple[int, int]) -> Dat
     runtime.ship(texts.sparkSession)
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("mark")
-        marks = rows.column("mark").to_numpy()
-        sets = [np.unique(shingle_hashes(t or b"", words)) for t in rows.column("text").cast(pa.binary()).to_pylist()]
+        # Texts are read one at a time, in the order of their marks: no other copy of them is made.
+        marks, held = rows.column("mark").to_numpy(), rows.column("text")
+        large = rows.nbytes > 8 << 20
+        order = np.argsort(marks, kind="stable")
+        raw = lambda i: b"" if (t := held[i].as_buffer()) is None else t.to_pybytes()
+        sets = [np.unique(shingle_hashes(raw(int(i)), words)) for i in order]
+        marks = marks[order]
+        del rows, held
         e = np.array(similar_forest(sets, similar), np.int64).reshape(-1, 2)
+        del sets
+        if large:
+            runtime.tidy()
         return pa.table({"a": marks[e[:, 0]], "b": marks[e[:, 1]]})
 
     return texts.groupBy("group", "c1", "c2").applyInArrow(run, "a long, b long")
@@ -341,25 +359,37 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     or long texts is compared in pairs of chunks. Other columns are not read. An empty table gives no rows.
     """
     cols = [f"f{i}" for i in range(lanes)]
-    prints = runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints")
+    with runtime.Scope() as scope:
+        prints = scope.keep(runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints"))
+        classes, rows = set_classes(df, prints, id_col, text, words, cols, distance, likely, similar)
+        scope.keep(classes)
+    return runtime.join_counted(prints.select(id_col, "mark"), classes, ["mark"], "copies", rows).select(id_col, "component_id")
+
+
+def set_classes(df: DataFrame, prints: DataFrame, id_col: str, text: str, words: int, cols: list[str], distance: int, likely: int,
+        similar: tuple[int, int]) -> tuple[DataFrame, int]:
+    """Distinct sets of shingles (mark, copies, component_id), staged, and the number of rows. What is made on the way goes as soon as it is read."""
+    lanes = len(cols)
     nodes = prints.groupBy("mark", "size", "keys", *cols).agg(F.min(id_col).alias("least_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
     nodes = runtime.stage(nodes.withColumn("node", F.xxhash64(*cols)), "nodes")
     # A smaller set is similar to none but its equals.
     n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     likes = nodes.where(F.col("size") * (similar[1] - similar[0]) >= similar[0])
-    found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, n, likely / (64 * lanes)))
     one = lambda s: F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
-    roots = runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots")
-    held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
-    chunks = F.ceil(F.greatest(F.col("n") / CHUNK_TEXTS, F.col("total") / CHUNK_SHINGLES)).cast("int")
-    groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"), "n")
-    wanted = runtime.stage(runtime.join_counted(held, groups, ["group"], "n", n), "candidates")
-    texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
-    texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
-    roots = connected_components(edges).withColumnRenamed("node", "mark")
-    linked = runtime.stage(nodes.join(roots, "mark").select("mark", "root", "least_id"), "linked")
+    with runtime.Scope() as scope:
+        found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, n, likely / (64 * lanes)))
+        roots = scope.keep(runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots"))
+    with runtime.Scope() as scope:
+        held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
+        chunks = F.ceil(F.greatest(F.col("n") / CHUNK_TEXTS, F.col("total") / CHUNK_SHINGLES)).cast("int")
+        groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"), "n")
+        wanted = runtime.stage(runtime.join_counted(held, groups, ["group"], "n", n), "candidates")
+        texts = df.select(F.xxhash64(df[id_col], df[text]).alias("row"), df[text].alias("text")).join(wanted, "row").dropDuplicates(["mark"])
+        texts = texts.withColumn("own", F.pmod("mark", "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        edges = similar_edges(texts.select("group", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "mark", "text"), words, similar)
+        roots = connected_components(edges).withColumnRenamed("node", "mark")
+        linked = scope.keep(runtime.stage(nodes.join(roots, "mark").select("mark", "root", "least_id"), "linked"))
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     linked = runtime.join_counted(linked, least, ["root"], "n", n).select("mark", "component_id")
     classes = nodes.join(linked, "mark", "left").select("mark", "copies", F.coalesce("component_id", "least_id").alias("component_id"))
-    return runtime.join_counted(prints.select(id_col, "mark"), runtime.stage(classes, "classes"), ["mark"], "copies", rows).select(id_col, "component_id")
+    return runtime.stage(classes, "classes"), rows
