@@ -108,6 +108,10 @@ def match_violations(matches: DataFrame, reports: DataFrame, least: float = 0.85
     return j.select("match_id", F.explode(why).alias("violation"))
 
 
+#: Pages that are met by one key.
+PAGES_A_STRETCH = 8
+
+
 def finding_violations(findings: DataFrame, pages: DataFrame, units: list[str]) -> DataFrame:
     """Findings whose excerpt stands on none of their pages, whose value isn't in the excerpt, or whose unit is unknown.
 
@@ -116,9 +120,13 @@ def finding_violations(findings: DataFrame, pages: DataFrame, units: list[str])
     from costquarry.functions.scalars import clean_or_empty, number_in_text
 
     excerpt = clean_or_empty(F.col("evidence_excerpt"))
-    on_page = findings.join(pages,
-        "report_id").where("page between pdf_page_start and pdf_page_end").where(F.contains(clean_or_empty(F.col("text")),
-            excerpt)).select("finding_id").distinct()
+    # Ranges and pages meet by report and stretch of pages, so that a finding is held against the pages near its own alone.
+    stretch = lambda c: F.floor(F.col(c) / PAGES_A_STRETCH)
+    ranges = findings.where("pdf_page_start <= pdf_page_end").select("finding_id", "report_id", "pdf_page_start", "pdf_page_end",
+        excerpt.alias("_excerpt"), F.explode(F.sequence(stretch("pdf_page_start"), stretch("pdf_page_end"))).alias("_stretch"))
+    texts = pages.select("report_id", "page", stretch("page").alias("_stretch"), clean_or_empty(F.col("text")).alias("_text"))
+    on_page = ranges.join(texts, ["report_id", "_stretch"]).where("page between pdf_page_start and pdf_page_end").where(F.contains("_text",
+        "_excerpt")).select("finding_id").distinct()
     lost = findings.join(on_page, "finding_id", "left_anti").select("finding_id", F.lit("excerpt not on pages").alias("violation"))
     value = findings.where(F.col("value_numeric").isNotNull() & ~number_in_text(F.col("value_numeric"), excerpt)).select("finding_id",
         F.lit("value not in excerpt").alias("violation"))
