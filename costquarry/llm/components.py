@@ -70,6 +70,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         mark = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_staged(now)
         drop_staged(large)
+        runtime.clean(edges.sparkSession)
         now = after
         if mark == seen:
             break

@@ -326,7 +326,7 @@ def nearest(points: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec:
     rows = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("id", "v")
     # Probes take time by the row, of which there are few: they are dealt to all partitions.
     asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    with runtime.Scope() as scope:
+    with runtime.Scope(spark) as scope:
         return scope.keep(_found(runtime.stage(rows, "vectors"), asked, dim, longest, k, target))
 
 

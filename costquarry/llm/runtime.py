@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -49,22 +50,29 @@ def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     if _scopes:
-        _scopes[-1].tables.append(out)
+        _scopes[-1].tables.append(path)
     return out
 
 
+def clean(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and broadcasts of plans that are done: its cleaner acts when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scope:
     """Tables staged inside of it are deleted at its end, but for those that are kept: these belong to the scope around it.
 
-    What is read by a plan that runs later has to be kept or staged anew.
+    What is read by a plan that runs later has to be kept or staged anew. Only paths are held, no plans.
     """
 
-    def __init__(self) -> None:
-        self.tables: list[DataFrame] = []
-        self.kept: list[DataFrame] = []
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.tables: list[str] = []
+        self.kept: set[str] = set()
 
     def keep(self, df: DataFrame) -> DataFrame:
-        self.kept.append(df)
+        self.kept.add(df._staged_path)
         return df
 
     def __enter__(self) -> Scope:
@@ -73,12 +81,13 @@ class Scope:
 
     def __exit__(self, *failed: object) -> None:
         _scopes.pop()
-        kept = {df._staged_path for df in self.kept}
-        for df in self.tables:
-            if df._staged_path not in kept:
-                drop_staged(df)
+        for name in self.tables:
+            if name not in self.kept:
+                path, files = _path(self.spark, name)
+                files.delete(path, True)
             elif _scopes:
-                _scopes[-1].tables.append(df)
+                _scopes[-1].tables.append(name)
+        clean(self.spark)
 
 
 _scopes: list[Scope] = []

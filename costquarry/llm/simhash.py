@@ -243,7 +243,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     an empty result.
     """
     cols = [f"f{i}" for i in range(lanes)]
-    with runtime.Scope() as scope:
+    with runtime.Scope(df.sparkSession) as scope:
         docs = scope.keep(runtime.stage(fingerprints(df, text, words, lanes, tuple(dict.fromkeys([id_col, *keep]))), "prints"))
         classes, rows = fingerprint_classes(docs, id_col, cols, distance, exact)
         scope.keep(classes)
@@ -260,7 +260,7 @@ def fingerprint_classes(docs: DataFrame, id_col: str, cols: list[str], distance:
     n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     masks = masks_pigeonhole(distance, blocks_for(n, distance)) if exact else masks_sampled(lanes, n, distance / (64 * lanes))
     one = lambda s: F.col(f"{s}0") if lanes == 1 else F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
-    with runtime.Scope() as scope:
+    with runtime.Scope(docs.sparkSession) as scope:
         found = link(nodes.select(*cols), distance, masks)
         roots = scope.keep(runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots"))
     linked = runtime.stage(nodes.join(roots, "node").select(*cols, "root", "least_id"), "linked")
@@ -359,7 +359,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     or long texts is compared in pairs of chunks. Other columns are not read. An empty table gives no rows.
     """
     cols = [f"f{i}" for i in range(lanes)]
-    with runtime.Scope() as scope:
+    with runtime.Scope(df.sparkSession) as scope:
         prints = scope.keep(runtime.stage(set_fingerprints(df, id_col, text, words, lanes, similar), "prints"))
         classes, rows = set_classes(df, prints, id_col, text, words, cols, distance, likely, similar)
         scope.keep(classes)
@@ -376,10 +376,10 @@ def set_classes(df: DataFrame, prints: DataFrame, id_col: str, text: str, words:
     n, rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     likes = nodes.where(F.col("size") * (similar[1] - similar[0]) >= similar[0])
     one = lambda s: F.xxhash64(*(F.col(f"{s}{i}") for i in range(lanes)))
-    with runtime.Scope() as scope:
+    with runtime.Scope(df.sparkSession) as scope:
         found = link(likes.select(*cols, "keys").distinct(), distance, masks_sampled(lanes, n, likely / (64 * lanes)))
         roots = scope.keep(runtime.stage(connected_components(found.select(one("a").alias("a"), one("b").alias("b"))), "roots"))
-    with runtime.Scope() as scope:
+    with runtime.Scope(df.sparkSession) as scope:
         held = likes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("group"), "mark", "size", "row")
         chunks = F.ceil(F.greatest(F.col("n") / CHUNK_TEXTS, F.col("total") / CHUNK_SHINGLES)).cast("int")
         groups = held.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where("n > 1").select("group", chunks.alias("chunks"), "n")
