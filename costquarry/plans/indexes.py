@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costquarry import scratch
-from costquarry.operators import fulltext, linking, search, titles
+from costquarry.operators import fulltext, linking, partitioned, search, titles
 from costquarry.plans.queries import _STAR, findings, query, t
 
 _SEARCHES = {"all": "the and", "any": "eaux OR thnd", "without": "the -and", "phrase": '"on the it" OR "is and"', "neither": "-en -an", "either_not": "ring -the OR eau",
@@ -65,3 +65,58 @@ def longest_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents")
     markers = d.select(F.col("doc_id").cast("string").alias("label"), F.substring("text", 1, 30).alias("marker"))
     return titles.longest_marker(d.select("doc_id", "text"), "text", markers, "opening").select("doc_id", F.col("opening").cast("long").alias("opening"))
+
+
+def client_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Clients before and after the last hours of changes: the latest change of each gives segment and balance, or deletes it."""
+    c, ch = t(spark, sf_dir, "clients").where("client_id is not null"), t(spark, sf_dir, "client_changes")
+    order = ["updated_at", *(x for x in c.columns if x not in ("client_id", "updated_at"))]
+    before = c.groupBy("client_id").agg(F.max_by(F.struct("source", "segment", "balance"), F.struct(*order)).alias("c")).select("client_id", "c.*")
+    last = ch.where("valid_at >= timestamp '2024-04-29 18:00:00' and client_id is not null").groupBy("client_id").agg(
+        F.max(F.struct("valid_at", "seq", "change_id", "op", "segment", "balance")).alias("h"))
+    after = before.join(last, "client_id", "left").where("h is null or h.op is null or h.op <> 'D'")
+    return before, after.select("client_id", "source", F.coalesce("h.segment", "segment").alias("segment"), F.coalesce("h.balance", "balance").alias("balance"))
+
+
+def merged_twice(spark: SparkSession, sf_dir: str) -> tuple[partitioned.PartitionedTable, DataFrame]:
+    """A table after both states and the second once more, and the counts of each merge by part."""
+    table = partitioned.PartitionedTable(spark, scratch.folder(spark, "clients"), ["client_id"], parts=32)
+    before, after = client_states(spark, sf_dir)
+    runs = [("1 load", before, "2024-05-30"), ("2 changes", after, "2024-06-01"), ("3 again", after, "2024-06-02")]
+    counts = [table.merge(df, stamp).select(F.lit(name).alias("run"), "*") for name, df, stamp in runs]
+    return table, reduce(DataFrame.unionByName, counts)
+
+
+_STATES = """before AS (SELECT client_id, source, segment, balance FROM clients WHERE client_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY client_id
+ORDER BY updated_at DESC NULLS LAST, master_id DESC NULLS LAST, source DESC NULLS LAST, name DESC NULLS LAST, email DESC NULLS LAST, city DESC NULLS LAST,
+nation_id DESC NULLS LAST, segment DESC NULLS LAST, balance DESC NULLS LAST) = 1),
+last AS (SELECT client_id, op, segment AS s, balance AS b FROM client_changes WHERE valid_at >= TIMESTAMP '2024-04-29 18:00:00' AND client_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY valid_at DESC NULLS LAST, seq DESC NULLS LAST, change_id DESC NULLS LAST, op DESC NULLS LAST,
+segment DESC NULLS LAST, balance DESC NULLS LAST) = 1),
+both_states AS (SELECT b.*, coalesce(op, '') = 'D' AS gone, coalesce(s, segment) AS new_segment, coalesce(l.b, balance) AS new_balance,
+('0x' || substr(md5('{"client_id":' || client_id || '}'), 1, 8))::BIGINT % 32 AS part FROM before b LEFT JOIN last l USING (client_id)),
+acts AS (SELECT *, CASE WHEN gone THEN 'deleted' WHEN new_segment IS NOT DISTINCT FROM segment AND new_balance IS NOT DISTINCT FROM balance
+THEN 'kept' ELSE 'updated' END AS act FROM both_states)"""
+
+
+@query(
+    f"""WITH {_STATES} SELECT '1 load' AS run, count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS kept, CAST(0 AS BIGINT) AS deleted,
+count(DISTINCT part) AS parts_written FROM acts
+UNION ALL SELECT '2 changes', 0, count(*) FILTER (act = 'updated'), count(*) FILTER (act = 'kept'), count(*) FILTER (act = 'deleted'),
+count(DISTINCT part) FILTER (act <> 'kept') FROM acts
+UNION ALL SELECT '3 again', 0, 0, count(*) FILTER (act <> 'deleted'), 0, 0 FROM acts"""
+)
+def merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three merges of the clients did, and how many parts each wrote: of the third, which brings nothing new, none."""
+    _, counts = merged_twice(spark, sf_dir)
+    written = F.col("inserted") + F.col("updated") + F.col("deleted") > 0
+    return counts.groupBy("run").agg(*(F.sum(a).alias(a) for a in partitioned.ACTIONS), F.count_if(written).alias("parts_written"))
+
+
+@query(
+    f"""WITH {_STATES} SELECT client_id, source, new_segment AS segment, new_balance AS balance,
+CASE act WHEN 'kept' THEN TIMESTAMP '2024-05-30' ELSE TIMESTAMP '2024-06-01' END AS synced_at FROM acts WHERE NOT gone"""
+)
+def merged_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table behind the merges: rows that didn't change keep the time of the first."""
+    return merged_twice(spark, sf_dir)[0].read()

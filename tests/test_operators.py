@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from costquarry.operators import boq, evidence, grading, linking, merge, pricing, quality, search
+from costquarry.operators import boq, evidence, grading, linking, merge, partitioned, pricing, quality, search
 from costquarry.sources import archives, office, tables
 
 
@@ -431,3 +431,35 @@ def test_globs(spark, text, pattern, fits):
     from costquarry.functions import scalars
 
     assert spark.range(1).select(scalars.glob(F.lit(text), pattern).alias("x")).first().x is fits
+
+
+def test_partitioned_merge(spark, tmp_path):
+    table = partitioned.PartitionedTable(spark, f"file://{tmp_path}/t", ["id", "k"], parts=8)
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    frame = lambda rows: spark.createDataFrame(rows, "id long, k string, v string, w int")
+    base = [(i, None if i < 0 else str(i % 3), f"v{i}", i) for i in range(60)]
+    total = lambda d: tuple(d.agg(*(F.sum(a) for a in partitioned.ACTIONS)).first())
+    assert total(table.merge(frame(base), "2024-01-01")) == (60, 0, 0, 0)
+    names = lambda: {f for f in (tmp_path / "t" / "rows").rglob("*.parquet")}
+    before = names()
+    # The same rows again: no file is written. A changed row: the files of its part alone.
+    assert total(table.merge(frame(base), "2024-01-02")) == (0, 0, 60, 0) and names() == before
+    assert total(table.merge(frame([(0, "0", None, None), *base[1:]]), "2024-01-03")) == (0, 1, 59, 0)
+    assert len({f.parent for f in names() ^ before}) == 1
+    got = {r["id"]: r for r in table.read().collect()}
+    assert len(got) == 60 and got[0]["v"] is None and str(got[0]["synced_at"])[:10] == "2024-01-03" and str(got[1]["synced_at"])[:10] == "2024-01-01"
+    # Columns that are not there keep their values; columns that the table lacks are left out.
+    assert total(table.merge(frame(base).drop("w").withColumn("other", F.lit(1)), "2024-01-04")) == (0, 1, 59, 0)
+    assert {r["id"]: r["w"] for r in table.read().collect()} == {0: None, **{i: i for i in range(1, 60)}}
+    for bad in ([*base, base[0]], [*base, (None, "1", "v", 1)]):
+        with pytest.raises(quality.QualityError):
+            table.merge(frame(bad))
+        assert table.read().count() == 60
+    with pytest.raises(ValueError, match="_digest"):
+        table.merge(frame(base).withColumn("_digest", F.lit(1)))
+    # Parts whose keys all go are removed.
+    assert total(table.merge(frame(base[:2]), "2024-01-05")) == (0, 1, 1, 58)
+    assert sorted(r["id"] for r in table.read().collect()) == [0, 1] and len({f.parent for f in names()}) <= 2
+    assert total(table.merge(frame([]), "2024-01-06")) == (0, 0, 0, 2) and table.read().count() == 0
+    assert total(table.merge(frame(base[:3]), "2024-01-07")) == (3, 0, 0, 0) and table.read().count() == 3
