@@ -1,6 +1,8 @@
 import io
+import random
 import zipfile
 
+import plain_bills
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,19 +15,19 @@ def table_of(rows):
 
 
 def test_priced_table():
-    got = boq.table_signals(table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"],
+    got = plain_bills.table_signals(table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"],
         ["TOTAL", "", "17", "", "79"]]))
     assert [(g["quantity_rows"], g["priced_rows"], g["priced_ratio"]) for g in got] == [(3, 3, 1.0)]
 
 
 def test_unpriced_table():
-    got = boq.table_signals(table_of([["Wall", "m2", "10", "0", ""], ["Roof", "m2", "4", "", "0"], ["Door", "no", "3", None, None]]))
+    got = plain_bills.table_signals(table_of([["Wall", "m2", "10", "0", ""], ["Roof", "m2", "4", "", "0"], ["Door", "no", "3", None, None]]))
     assert [(g["quantity_rows"], g["priced_rows"]) for g in got] == [(3, 0)]
 
 
 @pytest.mark.parametrize("matrix", [[], [[]], [["x"]], table_of([["Wall", "m2", "10", "5", "50"]])])
 def test_no_table(matrix):
-    assert boq.table_signals(matrix) == []
+    assert plain_bills.table_signals(matrix) == []
 
 
 @pytest.mark.parametrize(("text", "expected"), [("cell $F$30 only", []), ("US$ 272,603 paid", ["US$ 272,603"]),
@@ -412,11 +414,11 @@ def test_merge_refuses_repeated_keys(spark):
 
 def test_second_table_begins_behind_the_first():
     rows = table_of([["Wall", "m2", "10", "5", "50"], ["Roof", "m2", "4", "2", "8"], ["Door", "no", "3", "7", "21"]])
-    got = boq.table_signals([*rows, *([[None] * 5] * 26), *rows])
+    got = plain_bills.table_signals([*rows, *([[None] * 5] * 26), *rows])
     assert [(g["header_row"], g["quantity_rows"], g["description_columns"], g["quantity_columns"]) for g in got] == [(1, 3, "A", "C"),
         (29, 3, "A", "C")]  # headers are joined over three rows
     # A header without items doesn't hide the next one.
-    assert [g["header_row"] for g in boq.table_signals([["Quantity", "Description"], ["", ""], ["", ""], *rows])] == [2]
+    assert [g["header_row"] for g in plain_bills.table_signals([["Quantity", "Description"], ["", ""], ["", ""], *rows])] == [2]
 
 
 def test_workbooks_are_written_and_read():
@@ -463,3 +465,35 @@ def test_partitioned_merge(spark, tmp_path):
     assert sorted(r["id"] for r in table.read().collect()) == [0, 1] and len({f.parent for f in names()}) <= 2
     assert total(table.merge(frame([]), "2024-01-06")) == (0, 0, 0, 2) and table.read().count() == 0
     assert total(table.merge(frame(base[:3]), "2024-01-07")) == (3, 0, 0, 0) and table.read().count() == 3
+
+
+def test_bills_equal_a_loop_over_rows(spark):
+    rng = random.Random(5)
+    words = ["Description", "Item description", "Qty", "수량", "Unit", "ед.", "Unit Rate", "Amount", "Wall", "TOTAL", "sub total 2", "Total", "", "", "  ", None,
+        "3", "1,200.5", "-4", "+7", "0", "12a", "\u00a0", "Кол", "количеств", "UNIT", "quantity\n(m2)", "totally"]
+    sheets = [[], [[]], [[None] * 3] * 4, [None, ["Quantity", "Description"], None]]
+    for _ in range(120):
+        width = rng.choice([2, 4, 6, 30])
+        head = ["Description", "Unit", "Quantity", "Rate", "Amount"] + [""] * (width - 5)
+        rows = []
+        for _ in range(rng.randrange(1, 90)):
+            kind = rng.random()
+            if kind < 0.05:
+                rows.append(rng.sample(head, len(head)))
+            elif kind < 0.12:
+                rows += [[rng.choice(["", None, " "])] * width] * rng.choice([3, 24, 25, 26, 40])
+            elif kind < 0.6:
+                rows.append(["Wall", "m2", rng.choice(["3", "4.5", "x", "0"]), rng.choice(["", "2"]), rng.choice(["9", None])])
+            else:
+                rows.append([rng.choice(words) for _ in range(rng.randrange(0, width + 2))])
+        sheets.append(rows)
+    long = [["Qty", "Description"], *[["1", "a"]] * 2100]
+    sheets += [long, [["x"]] * 249 + long, [["x"]] * 250 + long, [*[["1", "a"]] * 3, *long[:5]]]
+    df = spark.createDataFrame(list(enumerate(sheets)), "sheet_id int, cells array<array<string>>")
+    found = boq.find_tables(df)
+    got = sorted((r["sheet_id"], *(r[c] for c in found.columns[2:])) for r in found.collect())
+    plain = [{"sheet_id": i, **s} for i, m in enumerate(sheets) for s in plain_bills.table_signals([r or [] for r in m])]
+    assert got == sorted((s["sheet_id"], *(s[c] for c in found.columns[2:])) for s in plain) and len(got) > 60
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert boq.find_tables(df.limit(0)).count() == 0
