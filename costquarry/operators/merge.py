@@ -60,22 +60,16 @@ def validate_cases(cases: DataFrame, notices: DataFrame, identity: dict[str, str
             raise quality.QualityError({f"{table} {b}": 1 for b in bad})
     if missing := [k for k in IDENTITY if not identity.get(k)]:
         raise quality.QualityError({f"identity {k}": 1 for k in missing})
-    count = F.count(F.lit(1)).alias("n")
-    quality.gate(
-        {
-            "no cases": cases.agg(count).where("n = 0"),
-            "too many cases": cases.agg(count).where(F.col("n") > limits["cases"]),
-            "too many notices": notices.agg(count).where(F.col("n") > limits["related_notices"]),
-            "case id": quality.required(cases, "case_id"),
-            "repeated case": quality.unique(cases, "case_id"),
-            "repeated notice": quality.unique(notices, "case_id", "related_bid_base_no"),
-            "notice without case": quality.foreign(notices, cases, "case_id"),
-            "grade": quality.one_of(cases, "evidence_grade", ["A", "B", "C", "C?", "U", "X"]),
-            "case kind": quality.one_of(cases, "case_kind", ["CONSTRUCTION_NOTICE", "DESIGN_SUPERVISION_REFERENCE"]),
-            "area or cost not positive": quality.breaks(cases, (F.coalesce("gross_floor_area_m2",
-                F.lit(1)) > 0) & (F.coalesce("construction_cost_usd", F.lit(1)) > 0)),
-        }
-    )
+    positive = (F.coalesce("gross_floor_area_m2", F.lit(1)) > 0) & (F.coalesce("construction_cost_usd", F.lit(1)) > 0)
+    quality.gate_tables({"cases": cases, "related_notices": notices}, {
+        "cases": quality.Rules(
+            {"case id": F.trim(F.coalesce(F.col("case_id").cast("string"), F.lit(""))) != "",
+                "grade": F.col("evidence_grade").isin("A", "B", "C", "C?", "U", "X"),
+                "case kind": F.col("case_kind").isin("CONSTRUCTION_NOTICE", "DESIGN_SUPERVISION_REFERENCE"), "area or cost not positive": positive},
+            unique={"repeated case": ("case_id",)}, least=1, most=limits["cases"]),
+        "related_notices": quality.Rules(unique={"repeated notice": ("case_id", "related_bid_base_no")},
+            foreign={"notice without case": (("case_id",), "cases", ("case_id",))}, most=limits["related_notices"]),
+    })
 
 
 def validate_evaluations(projects: DataFrame, reports: DataFrame, matches: DataFrame, findings: DataFrame, identity: dict[str, str],
@@ -83,20 +77,22 @@ def validate_evaluations(projects: DataFrame, reports: DataFrame, matches: DataF
     """Raise QualityError unless the evaluation tables fit each other and belong to the current cases' snapshot."""
     if differ := [k for k in IDENTITY if identity.get(k) != current.get(k)]:
         raise quality.QualityError({f"identity {k}": 1 for k in differ})
-    quality.gate(
+    paged = findings.join(matches.select("match_id", "report_id"), "match_id")
+    quality.gate_tables(
+        {"projects": projects, "reports": reports, "matches": matches, "findings": findings},
         {
-            "no projects": projects.agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
-            "repeated project": quality.unique(projects, "project_no"), "repeated report": quality.unique(reports, "report_id"),
-            "repeated match": quality.unique(matches, "match_id"),
-            "repeated pair": quality.unique(matches, "report_id", "project_no"), "repeated finding": quality.unique(findings, "finding_id"),
-            "match without project": quality.foreign(matches, projects, "project_no"),
-            "match without report": quality.foreign(matches, reports, "report_id"), "finding without match": quality.foreign(findings, matches, "match_id"),
-            "pages": quality.outside(findings.join(matches.select("match_id", "report_id"), "match_id"), reports, "report_id",
-                "pdf_page_start", "pdf_page_end", "page_count"),
-            "number and unit": quality.both_or_none(findings, "value_numeric", "unit"),
-            "match score": quality.breaks(matches, F.col("match_score").between(0, 1)),
-        }
+            "projects": quality.Rules(unique={"repeated project": ("project_no",)}, least=1),
+            "reports": quality.Rules(unique={"repeated report": ("report_id",)}),
+            "matches": quality.Rules({"match score": F.col("match_score").between(0, 1)},
+                unique={"repeated match": ("match_id",), "repeated pair": ("report_id", "project_no")},
+                foreign={"match without project": (("project_no",), "projects", ("project_no",)),
+                    "match without report": (("report_id",), "reports", ("report_id",))}),
+            "findings": quality.Rules({"number and unit": F.col("value_numeric").isNull() == F.col("unit").isNull()},
+                unique={"repeated finding": ("finding_id",)}, foreign={"finding without match": (("match_id",), "matches", ("match_id",))}),
+        },
     )
+    # Pages are held against another table's bound, once keys are known to fit.
+    quality.gate({"pages": quality.outside(paged, reports, "report_id", "pdf_page_start", "pdf_page_end", "page_count")})
 
 
 class SnapshotStore:
@@ -119,12 +115,16 @@ class SnapshotStore:
             raise FileNotFoundError(f"no snapshot in {self.root}")
         return self.spark.read.parquet(f"{self.root}/{v}/{table}")
 
-    def publish(self, tables: dict[str, DataFrame], checks: dict[str, DataFrame] | None = None) -> str:
-        """Write all tables as a new version, check them, then move the pointer; on a violation the old version stays current."""
+    def publish(self, tables: dict[str, DataFrame], checks: dict[str, DataFrame] | None = None, rules: dict[str, quality.Rules] | None = None) -> str:
+        """Write all tables as a new version, check them, then move the pointer; on a violation the old version stays current.
+
+        Conditions on rows among the rules are checked as the rows are written.
+        """
         v = uuid.uuid4().hex
-        for name, df in tables.items():
-            df.write.parquet(f"{self.root}/{v}/{name}")
         try:
+            counts = quality.write_checked(tables, f"{self.root}/{v}", rules or {})
+            if bad := {k: n for k, n in counts.items() if n}:
+                raise quality.QualityError(bad)
             quality.gate(checks or {})
         except quality.QualityError:
             self._fs.delete(self._path(f"{self.root}/{v}"), True)

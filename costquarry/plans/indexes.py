@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costquarry import scratch
-from costquarry.operators import fulltext, linking, partitioned, search, titles
+from costquarry.operators import fulltext, linking, partitioned, quality, search, titles
 from costquarry.plans.queries import _STAR, findings, query, t
 
 _SEARCHES = {"all": "the and", "any": "eaux OR thnd", "without": "the -and", "phrase": '"on the it" OR "is and"', "neither": "-en -an", "either_not": "ring -the OR eau",
@@ -120,3 +120,51 @@ CASE act WHEN 'kept' THEN TIMESTAMP '2024-05-30' ELSE TIMESTAMP '2024-06-01' END
 def merged_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table behind the merges: rows that didn't change keep the time of the first."""
     return merged_twice(spark, sf_dir)[0].read()
+
+
+def sales_rules() -> dict[str, quality.Rules]:
+    """What should hold of sales and their lines."""
+    col = F.col
+    lines = quality.Rules(
+        {"quantity": col("quantity") > 0, "amount": col("amount") >= 0, "discount": col("discount").between(0, 1), "shipped": col("shipped_at").isNotNull()},
+        unique={"line": ("sale_id", "line_no"), "whole line": ("sale_id", "line_no", "item_id", "vendor_id")},
+        foreign={"sale": (("sale_id",), "sales", ("sale_id",)), "item": (("item_id",), "items", ("item_id",)), "vendor": (("vendor_id",), "vendors", ("vendor_id",))},
+        least=1)
+    sales = quality.Rules({"total": col("total") >= 0, "arrival": col("arrived_at") >= col("sold_at"), "client id": col("client_id").isNotNull()},
+        unique={"sale": ("sale_id",)}, foreign={"client": (("client_id",), "clients", ("client_id",))}, most=1)
+    return {"lines": lines, "sales": sales}
+
+
+def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    names = {"lines": "sale_lines", "sales": "sales", "items": "items", "vendors": "vendors", "clients": "clients"}
+    return {n: t(spark, sf_dir, table) for n, table in names.items()}
+
+
+_SALES_CHECKS = """SELECT 'lines' AS "table", 'quantity' AS name, count(*) FILTER (NOT quantity > 0) AS n FROM sale_lines
+UNION ALL SELECT 'lines', 'amount', count(*) FILTER (NOT amount >= 0) FROM sale_lines
+UNION ALL SELECT 'lines', 'discount', count(*) FILTER (NOT discount BETWEEN 0 AND 1) FROM sale_lines
+UNION ALL SELECT 'lines', 'shipped', count(*) FILTER (shipped_at IS NULL) FROM sale_lines
+UNION ALL SELECT 'lines', 'number of rows', CAST(count(*) < 1 AS BIGINT) FROM sale_lines
+UNION ALL SELECT 'lines', 'line', count(*) FROM (SELECT 1 FROM sale_lines GROUP BY sale_id, line_no HAVING count(*) > 1)
+UNION ALL SELECT 'lines', 'whole line', count(*) FROM (SELECT 1 FROM sale_lines GROUP BY sale_id, line_no, item_id, vendor_id HAVING count(*) > 1)
+UNION ALL SELECT 'lines', 'sale', count(*) FROM sale_lines l WHERE sale_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sales s WHERE s.sale_id = l.sale_id)
+UNION ALL SELECT 'lines', 'item', count(*) FROM sale_lines l WHERE item_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM items i WHERE i.item_id = l.item_id)
+UNION ALL SELECT 'lines', 'vendor', count(*) FROM sale_lines l WHERE vendor_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM vendors v WHERE v.vendor_id = l.vendor_id)
+UNION ALL SELECT 'sales', 'total', count(*) FILTER (NOT total >= 0) FROM sales UNION ALL SELECT 'sales', 'arrival', count(*) FILTER (NOT arrived_at >= sold_at) FROM sales
+UNION ALL SELECT 'sales', 'client id', count(*) FILTER (client_id IS NULL) FROM sales
+UNION ALL SELECT 'sales', 'number of rows', CAST(count(*) > 1 AS BIGINT) FROM sales
+UNION ALL SELECT 'sales', 'sale', count(*) FROM (SELECT 1 FROM sales GROUP BY sale_id HAVING count(*) > 1)
+UNION ALL SELECT 'sales', 'client', count(*) FROM sales s WHERE client_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM clients c WHERE c.client_id = s.client_id)"""
+
+
+@query(_SALES_CHECKS)
+def sales_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen checks of sales and their lines, each table read once for conditions and once for keys."""
+    return quality.check_tables(sales_tables(spark, sf_dir), sales_rules())
+
+
+@query(f"""SELECT "table" || ': ' || name AS name, n FROM ({_SALES_CHECKS})""")
+def sales_written_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks, conditions as metrics of the write, keys in the written files."""
+    counts = quality.write_checked(sales_tables(spark, sf_dir), f"{scratch.folder(spark, 'checked')}/tables", sales_rules())
+    return spark.createDataFrame(list(counts.items()), "name string, n long")

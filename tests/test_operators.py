@@ -497,3 +497,43 @@ def test_bills_equal_a_loop_over_rows(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
     assert boq.find_tables(df.limit(0)).count() == 0
+
+
+def _rules():
+    col = F.col
+    child = quality.Rules({"a": col("a") > 0, "b": col("b").isin("x", "y"), "c": col("a") < col("c"), "d": col("c").isNotNull()},
+        unique={"id": ("id",), "pair": ("a", "b")}, foreign={"parent": (("p",), "parent", ("id",)), "self": (("p",), "child", ("id",)),
+            "two": (("p", "b"), "parent", ("id", "kind"))}, least=2)
+    return {"child": child, "parent": quality.Rules(unique={"id": ("id",)}, most=3)}
+
+
+def test_gate_of_ten_checks_reads_a_table_twice(spark, tmp_path):
+    child = spark.createDataFrame([(1, 1, "x", 5, 1), (2, 0, "z", None, 9), (2, 3, "y", 1, 2), (None, None, None, None, None), (None, 1, "x", 2, None),
+        (3, 1, "x", 2, 2)], "id int, a int, b string, c int, p int")
+    parent = spark.createDataFrame([(1, "x"), (2, "q"), (2, "y"), (4, None)], "id long, kind string")
+    found = {(r["table"], r["name"]): r["n"] for r in quality.check_tables({"child": child, "parent": parent}, _rules()).collect()}
+    assert found == {("child", "a"): 1, ("child", "b"): 1, ("child", "c"): 1, ("child", "d"): 2, ("child", "number of rows"): 0, ("child", "id"): 2,
+        ("child", "pair"): 1, ("child", "parent"): 1, ("child", "self"): 1, ("child", "two"): 2, ("parent", "id"): 1, ("parent", "number of rows"): 1}
+    written = quality.write_checked({"child": child, "parent": parent}, f"file://{tmp_path}/w", _rules())
+    assert written == {f"{t}: {n}": c for (t, n), c in found.items()}
+    tables_ = {n: spark.read.parquet(f"file://{tmp_path}/w/{n}") for n in ("child", "parent")}
+    plan = quality.check_tables(tables_, _rules())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 4
+    # Empty tables have counts too.
+    empty = quality.check_tables({n: df.limit(0) for n, df in tables_.items()}, _rules())
+    assert {r["name"]: r["n"] for r in empty.where("n > 0").collect()} == {"number of rows": 1} and empty.count() == 12
+    with pytest.raises(quality.QualityError) as e:
+        quality.gate_tables(tables_, _rules())
+    assert e.value.counts["child: id"] == 2 and "child: number of rows" not in e.value.counts
+
+
+def test_publishing_checks_rules_as_it_writes(spark, tmp_path):
+    store = merge.SnapshotStore(spark, f"file://{tmp_path}/store")
+    rules = {"t": quality.Rules({"positive": F.col("a") > 0}, unique={"key": ("k",)})}
+    good = spark.createDataFrame([(1, 1), (2, 2)], "k int, a int")
+    version = store.publish({"t": good}, rules=rules)
+    for bad, name in (((3, -1), "t: positive"), ((1, 5), "t: key")):
+        with pytest.raises(quality.QualityError) as e:
+            store.publish({"t": good.union(spark.createDataFrame([bad], good.schema))}, rules=rules)
+        assert e.value.counts == {name: 1} and store.version() == version
+    assert store.read("t").count() == 2
