@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costquarry.functions import rules, scalars
+from costquarry.functions import documents, rules, scalars
 from costquarry.plans.queries import query, t, titles
 
 _TAILS = "CASE p_partkey % 8 WHEN 0 THEN ' 병원 신축공사' WHEN 1 THEN ' school renovation 감리' WHEN 2 THEN ' 농업 시설 설계' WHEN 3 THEN ' 연구소 기자재 PMC' WHEN 4 THEN ' 청사 증축' WHEN 5 THEN ' water treatment plant' WHEN 6 THEN ' 물품 구매' ELSE '' END"
@@ -210,3 +210,28 @@ def label_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules.compact_grade(grade).alias("compact"), rules.family_aliases(family).alias("aliases"),
         rules.category_rank(category).alias("category_rank"),
     )
+
+
+def _sorted_object(j: str, depth: str = "") -> str:
+    """DuckDB's text of an object with its fields in order; `device` and the objects of `items` are nested ones."""
+    k = f"k{depth}"
+    value = f"CAST({j} -> {k} AS VARCHAR)"
+    if not depth:
+        items = f"'[' || array_to_string(list_transform(CAST({j} -> 'items' AS JSON[]), lambda x: {_sorted_object('x', '2')}), ',') || ']'"
+        value = f"CASE {k} WHEN 'device' THEN {_sorted_object(f'({j} -> {k})', '1')} WHEN 'items' THEN {items} ELSE {value} END"
+    return f"('{{' || array_to_string(list_transform(list_sort(json_keys({j})), lambda {k}: '\"' || {k} || '\":' || {value}), ',') || '}}')"
+
+
+@query(
+    f"""WITH d AS (SELECT click_id, CASE WHEN json_valid(props) THEN props::JSON END AS p, to_json({{'client_id': client_id, 'k': kind}}) AS f FROM clicks),
+m AS (SELECT click_id, p, CASE WHEN json_type(p) = 'OBJECT' THEN ('{{' || array_to_string(list_concat(list_transform(list_filter(json_keys(p), lambda x: x NOT IN ('client_id', 'k')),
+lambda x: '"' || x || '":' || CAST(p -> x AS VARCHAR)), ['"client_id":' || CAST(f -> 'client_id' AS VARCHAR), '"k":' || CAST(f -> 'k' AS VARCHAR)]), ',') || '}}')::JSON END AS j FROM d),
+c AS (SELECT click_id, CASE WHEN json_type(p) = 'OBJECT' THEN {_sorted_object("p")} END AS own, CASE WHEN j IS NOT NULL THEN {_sorted_object("j")} END AS document FROM m)
+SELECT click_id, document, sha256(document) AS sha256, sha256(own) AS own_sha256 FROM c"""
+)
+def click_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of all clicks as VARIANT documents, with the client and, for their `k`, the kind; canonical texts and digests."""
+    c = t(spark, sf_dir, "clicks").select("click_id", "client_id", "kind", documents.document(F.col("props")).alias("doc"))
+    more = documents.with_fields(F.col("doc"), client_id=F.col("client_id"), k=F.col("kind"))
+    own = F.when(documents.fields(F.col("doc")).isNotNull(), documents.digest(F.col("doc")))
+    return c.select("click_id", documents.canonical(more).alias("document"), documents.digest(more).alias("sha256"), own.alias("own_sha256"))

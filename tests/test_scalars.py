@@ -1,7 +1,9 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from costquarry.functions import rules, scalars
+from costquarry.functions import documents, rules, scalars
 from costquarry.operators import titles
 
 
@@ -69,3 +71,18 @@ def test_longest_marker_wins(spark):
     markers = spark.createDataFrame([("Ghana", "가나"), ("Uzbekistan", "우즈베키스탄"), ("Ghana", "gana")], "label string, marker string")
     df = spark.createDataFrame([("우즈베키스탄 페르가나",), ("가나 관개지구",), ("none",), (None,)], "t string")
     assert [r.country for r in titles.longest_marker(df, "t", markers).collect()] == ["Uzbekistan", "Ghana", None, None]
+
+
+def test_variant_documents(spark):
+    rows = ['{"b": 1, "a": [{"z": 1.50, "y": "é\\u00e9"}], "k": null}', '{ "a":[{"y":"éé","z":1.5}],"k":null,"b":1 }', '{"k": 1, "k": 2}', "[2, 1]",
+        "{broken", '{"a": 1} x', "", None, "{}"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, x string").withColumn("d", documents.document(F.col("x")))
+    other = documents.document(F.lit('{"b": {"c": 2}, "A": "new"}'))
+    got = df.select("i", documents.canonical(F.col("d")).alias("c"), documents.digest(F.col("d")).alias("s"),
+        documents.canonical(documents.merged(F.col("d"), other)).alias("m"), documents.canonical(documents.with_fields(F.col("d"), n=F.lit(None).cast("int"))).alias("w"),
+        documents.canonical(documents.without_fields(F.col("d"), "a", "q")).alias("o")).orderBy("i").collect()
+    whole = '{"a":[{"y":"éé","z":1.5}],"b":1,"k":null}'
+    assert [r["c"] for r in got] == [whole, whole, None, "[2,1]", None, None, None, None, "{}"]
+    assert got[0]["s"] == got[1]["s"] == hashlib.sha256(whole.encode()).hexdigest()
+    assert [r["m"] for r in got] == ['{"A":"new","a":[{"y":"éé","z":1.5}],"b":{"c":2},"k":null}'] * 2 + [None] * 6 + ['{"A":"new","b":{"c":2}}']
+    assert got[8]["w"] == '{"n":null}' and got[0]["o"] == '{"b":1,"k":null}' and got[3]["w"] is None and got[7]["o"] is None
