@@ -893,10 +893,10 @@ def merge_keeps_old_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge(old, new, ["c_custkey"])
 
 
-@query("SELECT 'v2' AS data_version, 2 AS rows UNION ALL SELECT 'v1', 1")
+@query("SELECT 'v2' AS data_version, count(*) AS rows FROM sales UNION ALL SELECT 'v1', count(*) FROM clients")
 def metadata_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one metadata row after a new one, and after none."""
-    old, new = (spark.createDataFrame([r], "data_version string, rows int") for r in (("v1", 1), ("v2", 2)))
+    """The one metadata row, a version and the rows of its table, after a new one, and after none."""
+    old, new = (t(spark, sf_dir, name).agg(F.lit(v).alias("data_version"), F.count(F.lit(1)).alias("rows")) for v, name in (("v1", "clients"), ("v2", "sales")))
     return merge.upsert_singleton(old, new).union(merge.upsert_singleton(old, new.limit(0)))
 
 
