@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from costquarry import scratch
 from costquarry.operators import fulltext, linking, partitioned, quality, search, titles
 from costquarry.plans.queries import _STAR, findings, query, t
+from costquarry.streaming import markers
 
 _SEARCHES = {"all": "the and", "any": "eaux OR thnd", "without": "the -and", "phrase": '"on the it" OR "is and"', "neither": "-en -an", "either_not": "ring -the OR eau",
     "letter": "x", "blank": " "}
@@ -122,6 +123,29 @@ def merged_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged_twice(spark, sf_dir)[0].read()
 
 
+_LISTED = """SELECT {run} AS run, client_id, CAST(floor(balance) AS BIGINT) AS size, valid_at AS mtime FROM (SELECT * FROM client_changes
+WHERE client_id IS NOT NULL AND valid_at < TIMESTAMP '{until}' QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY valid_at DESC NULLS LAST, seq DESC NULLS LAST,
+change_id DESC NULLS LAST, op DESC NULLS LAST, floor(balance) DESC NULLS LAST) = 1) WHERE op IS NULL OR op <> 'D'"""
+_LISTINGS = (("2024-03-01", 1), ("2024-06-01", 2), ("2024-06-01", 3), ("2024-03-01", 4))
+
+
+@query(
+    f"""WITH l AS ({" UNION ALL ".join(_LISTED.format(run=run, until=until) for until, run in _LISTINGS)}),
+b AS (SELECT *, lag(size) OVER w AS old_size, lag(mtime) OVER w AS old_mtime, row_number() OVER w AS k FROM l WINDOW w AS (PARTITION BY client_id ORDER BY run))
+SELECT run, client_id, size, mtime, CASE WHEN k = 1 THEN 'new' ELSE 'changed' END AS action FROM b
+WHERE k = 1 OR old_size IS DISTINCT FROM size OR old_mtime IS DISTINCT FROM mtime"""
+)
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients as files that grow by their changes, listed as of March, of June, again, and as of March: what each listing hands out."""
+    ch = t(spark, sf_dir, "client_changes").where("client_id is not null")
+    last = F.max(F.struct("valid_at", "seq", "change_id", "op", F.floor("balance").alias("size"))).alias("h")
+    watched = markers.WatchedFiles(spark, scratch.folder(spark, "watched"))
+    for until, _ in _LISTINGS:
+        state = ch.where(F.col("valid_at") < F.lit(until).cast("timestamp")).groupBy("client_id").agg(last).where("h.op is null or h.op <> 'D'")
+        watched.update(state.select(F.col("client_id").cast("string").alias("path"), "h.size", F.col("h.valid_at").alias("mtime")))
+    return watched.changed().select("run", F.col("path").cast("long").alias("client_id"), "size", F.col("mtime").cast("timestamp_ntz").alias("mtime"), "action")
+
+
 def sales_rules() -> dict[str, quality.Rules]:
     """What should hold of sales and their lines."""
     col = F.col

@@ -159,6 +159,57 @@ def test_encodings(spark, tmp_path):
         tables.read_csv_any_encoding(spark, f"file://{tmp_path}/a.csv", ["x"]).collect()
 
 
+def test_changed_archives_are_read_again(spark, tmp_path):
+    import os
+    import zipfile
+
+    from costquarry.streaming.markers import WatchedFiles, list_files, members_of_changed
+
+    source = f"{tmp_path}/in"
+    os.makedirs(source)
+
+    def write(name, members, at):
+        with zipfile.ZipFile(f"{source}/{name}", "w") as z:
+            for member, text in members.items():
+                z.writestr(member, text)
+        os.utime(f"{source}/{name}", (at, at))
+
+    def update(watched):
+        watched.update(list_files(spark, source), members_of_changed(spark, source))
+
+    def members(watched):
+        return sorted((r.path.rsplit("/")[-1], r.member, bytes(r.content)) for r in watched.results().collect())
+
+    def handed(watched):
+        return sorted((r.run, r.path.rsplit("/")[-1], r.action) for r in watched.changed().collect())
+
+    write("a.zip", {"x": "1"}, 1000)
+    write("b.zip", {"y": "2"}, 1000)
+    watched = WatchedFiles(spark, f"file://{tmp_path}/state")
+    update(watched)
+    assert members(watched) == [("a.zip", "x", b"1"), ("b.zip", "y", b"2")]
+    write("b.zip", {"z": "3"}, 2000)  # as many bytes as before, at another time
+    write("c.zip", {}, 1000)
+    update(watched)
+    assert members(watched) == [("a.zip", "x", b"1"), ("b.zip", "z", b"3")]
+    update(watched)
+    expected = [(1, "a.zip", "new"), (1, "b.zip", "new"), (2, "b.zip", "changed"), (2, "c.zip", "new")]
+    assert handed(watched) == expected
+
+    def broken(changed):
+        raise RuntimeError("no")
+
+    write("a.zip", {"x": "back"}, 3000)
+    with pytest.raises(Exception, match="no"):
+        watched.update(list_files(spark, source), broken)
+    later = WatchedFiles(spark, watched.path, version="2")
+    update(watched)
+    assert handed(watched)[len(expected):] == [(4, "a.zip", "changed")]
+    assert members(watched) == [("a.zip", "x", b"back"), ("b.zip", "z", b"3")]
+    update(later)
+    assert [x for x in handed(watched) if x[2] == "version"] == [(6, f"{n}.zip", "version") for n in "abc"]
+
+
 def test_incremental_collection(spark, tmp_path):
     from costquarry.streaming.incremental import collect_incrementally
 
