@@ -128,9 +128,11 @@ def build_cases(rows: DataFrame, notices: DataFrame, groups: DataFrame, projects
 def related_notices(cases: DataFrame, rows: DataFrame, note: str = "동일 사업번호의 관련 공고") -> DataFrame:
     """Per case the other groups of its project, each by its latest notice: a self join on the project."""
     own = cases.where(F.col("project_no").isNotNull()).select("case_id", "project_no")
-    others = latest_rows(rows.where(clean(F.col("project_no")).isNotNull()).withColumn("_p", clean(F.col("project_no"))).withColumn("_k",
-        F.struct("_p", "bid_base_no")), "_k")
-    j = own.join(others.drop("project_no"), F.col("project_no") == F.col("_p")).where("bid_base_no <> case_id")
+    used = ("bid_base_no", "bid_no", "bid_title_ko", "source_bid_title", "project_name", "ceiling_usd_raw", "contract_type", "source_contract_type",
+        "notice_date", "detail_url")
+    found = rows.select(*used, clean(F.col("project_no")).alias("_p")).where("_p is not null")
+    others = latest_rows(found.withColumn("_k", F.struct("_p", "bid_base_no")), "_k")
+    j = own.join(others, F.col("project_no") == F.col("_p")).where("bid_base_no <> case_id")
     name = F.coalesce(title(), clean(F.col("project_name")), F.col("bid_base_no"))
     amount = usd_ceiling(F.col("ceiling_usd_raw"))
     return j.select(

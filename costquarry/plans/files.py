@@ -5,15 +5,14 @@ from __future__ import annotations
 import io
 import json
 import sqlite3
-import struct
 import zipfile
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costquarry import scratch
 from costquarry.operators import evidence, quality
+from costquarry.plans.made import archive_file, hwp_file, made_files, office_file, zipped
 from costquarry.plans.queries import query, t
 from costquarry.sources import archives, files, office, tables
 from costquarry.streaming import incremental
@@ -24,14 +23,6 @@ def nations(spark: SparkSession, sf_dir: str) -> list[tuple[int, str, int]]:
     return [tuple(r) for r in t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey").collect()]
 
 
-def zipped(members: dict[str, bytes | str]) -> bytes:
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        for name, content in members.items():
-            z.writestr(name, content)
-    return out.getvalue()
-
-
 # ---- text files ----
 
 
@@ -128,68 +119,54 @@ def portal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- archives and office files ----
 
 
-def office_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files (path, content) in each format, made of the nations, and a broken one."""
-    path, rows = scratch.folder(spark, "office"), nations(spark, sf_dir)
-    word = "".join(f"<w:p><w:r><w:t>{n}</w:t></w:r></w:p>" for _, n,
-        _ in rows[:3]) + "<w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>b</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
-    scratch.put(spark, f"{path}/w.docx", zipped({"word/document.xml": f'<w:document xmlns:w="w"><w:body>{word}</w:body></w:document>'}))
-    scratch.put(spark, f"{path}/p.pptx", zipped({f"ppt/slides/slide{k}.xml": f'<s xmlns:a="a"><a:t>{n}</a:t><a:t>x</a:t></s>' for k, n, _ in rows[2:11]}))
-    scratch.put(spark, f"{path}/x.xlsx", office.write_xlsx({"One": [["Name", "Key"], *[[n, k] for k, n, _ in rows[:4]]], "Two": [["=1+2", None, 'q"<']]}))
-    scratch.put(spark, f"{path}/t.html", "<p>가나 <b>text</b></p>".encode("cp949"))
-    scratch.put(spark, f"{path}/broken.xlsx", b"not a workbook")
-    scratch.put(spark, f"{path}/unknown.bin", b"x")
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
 
 
 @query(
-    """SELECT 'w.docx' AS path, '문단 ' || (n_nationkey + 1) AS locator, n_name AS text, false AS broken
-FROM nation WHERE n_nationkey < 3 UNION ALL SELECT 'w.docx', '표 1 행 1', 'a | b', false
-UNION ALL SELECT 'p.pptx', '슬라이드 ' || n_nationkey, n_name || ' x', false FROM nation WHERE n_nationkey BETWEEN 2 AND 10
-UNION ALL SELECT 'x.xlsx', 'One!1', 'A1=Name | B1=Key', false
-UNION ALL SELECT 'x.xlsx', 'One!' || (n_nationkey + 2), 'A' || (n_nationkey + 2) || '=' || n_name || ' | B' || (n_nationkey + 2) || '=' || n_nationkey, false FROM nation WHERE n_nationkey < 4
-UNION ALL SELECT 'x.xlsx', 'Two!1', 'A1==1+2 | C1=q"<', false UNION ALL SELECT 't.html', '본문', '가나 text', false UNION ALL SELECT 'broken.xlsx', NULL, NULL, true"""
+    """WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey % 6 AS kind, c_name AS n, c_mktsegment AS s FROM customer)
+SELECT k || '.docx' AS path, '문단 1' AS locator, n AS text, false AS broken FROM c WHERE kind = 0 UNION ALL SELECT k || '.docx', '표 1 행 1', s || ' | ' || k, false FROM c WHERE kind = 0
+UNION ALL SELECT k || '.pptx', '슬라이드 2', n || ' x', false FROM c WHERE kind = 1 UNION ALL SELECT k || '.pptx', '슬라이드 10', s || ' x', false FROM c WHERE kind = 1
+UNION ALL SELECT k || '.xlsx', 'One!1', 'A1=Name | B1=Key', false FROM c WHERE kind = 2 UNION ALL SELECT k || '.xlsx', 'One!2', 'A2=' || n || ' | B2=' || k, false FROM c WHERE kind = 2
+UNION ALL SELECT k || '.xlsx', 'Two!1', 'A1==1+2 | C1=q"<', false FROM c WHERE kind = 2 UNION ALL SELECT k || '.html', '본문', '가나 ' || n, false FROM c WHERE kind = 3
+UNION ALL SELECT k || '.xlsx', NULL, NULL, true FROM c WHERE kind = 4"""
 )
 def office_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return office.extract_chunks(office_files(spark, sf_dir)).select("path", "locator", "text", F.col("error").isNotNull().alias("broken"))
+    """A file of each customer, in one of the formats; broken ones are error rows, unknown ones give nothing."""
+    return office.extract_chunks(made_files(customers(spark, sf_dir), office_file)).select("path", "locator", "text", F.col("error").isNotNull().alias("broken"))
 
 
-@query("SELECT 'x.xlsx' AS path, 'One' AS sheet, 5 AS rows, false AS broken UNION ALL SELECT 'x.xlsx', 'Two', 1, false UNION ALL SELECT 'broken.xlsx', NULL, NULL, true")
+@query(
+    """SELECT c_custkey || '.xlsx' AS path, sheet, n AS rows, broken FROM customer JOIN (VALUES (2, 'One', 2, false), (2, 'Two', 1, false), (4, NULL, NULL, true)) v(kind, sheet, n, broken)
+ON c_custkey % 6 = kind"""
+)
 def office_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = office_files(spark, sf_dir).where("path like '%.xlsx'")
+    books = made_files(customers(spark, sf_dir), office_file).where("path like '%.xlsx'")
     return office.extract_sheets(books).select("path", "sheet", F.when(F.col("cells").isNotNull(), F.size("cells")).alias("rows"),
         F.col("error").isNotNull().alias("broken"))
 
 
-@query("SELECT n_nationkey, n_name || ' 본문' AS text FROM nation")
+@query(
+    """SELECT c_custkey || '/Section0' AS path, v.pos, CASE v.pos WHEN 0 THEN c_name ELSE c_mktsegment END || ' 본문' AS text, false AS broken
+FROM customer, (VALUES (0), (1)) v(pos) WHERE c_custkey % 7 <> 6 UNION ALL SELECT c_custkey || '/Section0', 0, NULL, true FROM customer WHERE c_custkey % 7 = 6"""
+)
 def hwp_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraph records of one body stream; other records are skipped."""
-    body = b""
-    for k, n, _ in nations(spark, sf_dir):
-        data = f"{n}\n 본문 ".encode("utf-16-le")
-        body += struct.pack("<I", 66 | 4 << 20) + b"skip" + (struct.pack("<I", 67 | len(data) << 20) if k % 2 else struct.pack("<II",
-            67 | 0xFFF << 20, len(data))) + data
-    packer = zlib.compressobj(wbits=-15)
-    got = list(office.hwp_section(packer.compress(body) + packer.flush()))
-    return spark.createDataFrame(list(enumerate(got)), "n_nationkey int, text string")
+    """Paragraph records of a body section of each customer; other records are skipped, broken sections are error rows."""
+    got = office.extract_sections(made_files(customers(spark, sf_dir), hwp_file))
+    return got.select("path", "pos", "text", F.col("error").isNotNull().alias("broken"))
 
 
 @query(
-    """SELECT 'a.zip' AS root, n_name || '.txt' AS path, 0 AS depth, CAST(length(n_name) AS BIGINT) AS bytes, false AS bad FROM nation WHERE n_nationkey < 5
-UNION ALL SELECT 'a.zip', 'in.zip!/' || n_name || '.txt', 1, length(n_name), false
-FROM nation WHERE n_nationkey >= 5 UNION ALL SELECT 'a.zip', '../up.txt', 0, 0, true UNION ALL SELECT 'plain.txt', 'plain.txt', 0, 5, false
-UNION ALL SELECT 'bad.zip', 'bad.zip', 0, 0, true"""
+    """WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey % 5 AS kind, CAST(length(c_name) AS BIGINT) AS n, CAST(length(c_mktsegment) AS BIGINT) AS s FROM customer)
+SELECT k || '.zip' AS root, 'n.txt' AS path, 0 AS depth, n AS bytes, false AS bad FROM c WHERE kind = 0 UNION ALL SELECT k || '.zip', 'in.zip!/s.txt', 1, s, false FROM c WHERE kind = 0
+UNION ALL SELECT k || '.txt', k || '.txt', 0, n, false FROM c WHERE kind = 1 UNION ALL SELECT k || '.zip', k || '.zip', 0, 0, true FROM c WHERE kind = 2
+UNION ALL SELECT k || '.zip', '../up.txt', 0, 0, true FROM c WHERE kind = 3 UNION ALL SELECT k || '.zip', 's.txt', 0, s, false FROM c WHERE kind = 3
+UNION ALL SELECT k || '.zip', 'a/n.txt', 0, n, false FROM c WHERE kind = 4 UNION ALL SELECT k || '.zip', 'a/s.txt', 0, s, false FROM c WHERE kind = 4"""
 )
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members of an archive within an archive; a climbing path and a broken archive are error rows."""
-    path, rows = scratch.folder(spark, "zip"), nations(spark, sf_dir)
-    inner = zipped({f"{n}.txt": n for _, n, _ in rows[5:]})
-    scratch.put(spark, f"{path}/a.zip", zipped({**{f"{n}.txt": n for _, n, _ in rows[:5]}, "in.zip": inner, "../up.txt": "no"}))
-    scratch.put(spark, f"{path}/plain.txt", b"plain")
-    scratch.put(spark, f"{path}/bad.zip", b"no archive")
-    found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
-    return archives.unpack_archives(found).where("path <> 'in.zip'").select("root", "path", "depth", "bytes",
-        (F.coalesce("error", F.lit("")) != "").alias("bad"))
+    """An archive of each customer, some with an archive within; climbing paths and broken archives are error rows."""
+    found = archives.unpack_archives(made_files(customers(spark, sf_dir), archive_file))
+    return found.where("path <> 'in.zip'").select("root", "path", "depth", "bytes", (F.coalesce("error", F.lit("")) != "").alias("bad"))
 
 
 @query("SELECT 'ISO' || n_nationkey AS iso3, y AS period, CAST(n_regionkey + CAST(y AS INTEGER) / 10.0 AS DOUBLE) AS value FROM nation, (VALUES ('2015'), ('2026')) p(y) WHERE y = '2015' OR n_nationkey % 2 = 0")
@@ -276,22 +253,27 @@ def scanned_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "sha256", "scanned").withColumn("contents", F.lit(seen[0]).cast("int"))
 
 
-@query("SELECT n_name || '.txt' AS path, CAST(length(n_name) AS BIGINT) AS bytes, sha256(n_name) AS sha256, true AS same FROM nation")
+@query(
+    """SELECT o_custkey AS package, o_orderkey || '.txt' AS path, CAST(length(o_orderpriority) AS BIGINT) AS bytes, sha256(o_orderpriority) AS sha256, true AS same
+FROM orders"""
+)
 def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest of a package of files, which is the same in whatever order its members are given."""
-    members = {f"{n}.txt": n.encode() for _, n, _ in nations(spark, sf_dir)}
-    first, manifest = files.package(members)
-    second, _ = files.package(dict(reversed(members.items())))
-    return spark.createDataFrame([(m["path"], m["bytes"], m["sha256"], first == second) for m in manifest],
-        "path string, bytes long, sha256 string, same boolean")
+    """The orders of each customer as a package of files: their manifests, and that a package is the same in whatever order its members come."""
+    o = t(spark, sf_dir, "orders")
+    members = o.select(F.col("o_custkey").alias("package"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".txt")).alias("path"),
+        F.encode("o_orderpriority", "UTF-8").alias("content"), "o_totalprice")
+    first, second = (files.pack(m, "package").withColumn("content", F.sha2("content", 256)) for m in (members, members.orderBy("o_totalprice")))
+    same = F.col("a.content") == F.col("b.content")
+    both = first.alias("a").join(second.alias("b"), "package").select("package", "a.manifest", same.alias("same"))
+    return both.select("package", F.inline("manifest"), "same")
 
 
 @query(
     """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '/found/' || doc_id
-ELSE '/old/' || doc_id END AS path FROM documents WHERE doc_id % 3 = 0 OR doc_id % 3 = 1"""
+ELSE '/old/' || doc_id END AS path FROM documents"""
 )
 def repaired_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = t(spark, sf_dir, "documents").where("doc_id % 3 < 2").select("doc_id", F.col("source").alias("bid_no"),
+    d = t(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("bid_no"),
         F.col("n_chars").alias("bytes"), F.sha2(F.concat_ws("/", "text", "doc_id"), 256).alias("sha256"))
     found = d.where("doc_id % 3 = 0").select("bid_no", "bytes", "sha256", F.concat(F.lit("/found/"), F.col("doc_id").cast("string")).alias("path"))
     later = found.withColumn("path", F.concat(F.lit("/zz"), "path"))

@@ -809,17 +809,17 @@ def precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ROWS = """r AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey % 100 AS VARCHAR) AS project_no,
+_ROWS = """r AS (SELECT CAST(o_orderkey AS VARCHAR) AS bid_no, CAST(o_custkey AS VARCHAR) AS base, CAST(o_custkey // 20 AS VARCHAR) AS project_no,
 strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority || ' school' AS title, o_orderstatus = 'F' AS works, o_totalprice FROM orders),
 last AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY base ORDER BY day DESC, bid_no DESC) = 1)"""
 
 
 def notice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as raw notice rows; a customer is a group, of a hundred projects."""
+    """Orders as raw notice rows; a customer is a group, twenty customers are a project."""
     o, lit = t(spark, sf_dir, "orders"), F.lit
     return o.select(
         F.col("o_orderkey").cast("string").alias("bid_no"), F.col("o_custkey").cast("string").alias("bid_base_no"),
-        (F.col("o_custkey") % 100).cast("string").alias("project_no"), F.concat("o_orderpriority", lit(" school")).alias("bid_title_ko"),
+        F.floor(F.col("o_custkey") / 20).cast("string").alias("project_no"), F.concat("o_orderpriority", lit(" school")).alias("bid_title_ko"),
         lit("").alias("source_bid_title"),
         F.when(F.col("o_orderstatus") == "F", "공사").otherwise("용역").alias("contract_type"), lit("").alias("source_contract_type"),
         lit("").alias("project_name"), lit("가나").alias("country_ko"), lit("").alias("facility_type"), lit("").alias("work_type"),
@@ -834,14 +834,14 @@ def latest_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_ROWS}, own AS (SELECT DISTINCT base AS case_id, project_no FROM r WHERE CAST(base AS INTEGER) % 10 = 3)
+    f"""WITH {_ROWS}, own AS (SELECT DISTINCT base AS case_id, project_no FROM r)
 SELECT case_id, base AS related_bid_base_no, bid_no AS representative_bid_no, CASE WHEN works THEN 'CONSTRUCTION_PACKAGE'
 ELSE 'SERVICE' END AS relation_type, title AS display_name, o_totalprice AS amount_usd, 'NOTICE_EXECUTION_CEILING_RAW' AS amount_stage_code, day AS notice_date
 FROM own JOIN last USING (project_no) WHERE base <> case_id"""
 )
 def notices_of_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = notice_rows(spark, sf_dir)
-    own = rows.where("bid_base_no % 10 = 3").select(F.col("bid_base_no").alias("case_id"), "project_no").distinct()
+    own = rows.select(F.col("bid_base_no").alias("case_id"), "project_no").distinct()
     return snapshot.related_notices(own, rows).select("case_id", "related_bid_base_no", "representative_bid_no", "relation_type",
         "display_name", "amount_usd", "amount_stage_code", "notice_date")
 

@@ -144,6 +144,23 @@ def package(members: dict[str, bytes]) -> tuple[bytes, list[dict]]:
     return out.getvalue(), manifest
 
 
+def pack(members: DataFrame, by: str) -> DataFrame:
+    """Packages of files: rows (`by`, path, content) to rows (`by`, content, manifest), the same for the same members.
+
+    A package is one stream, so one task makes it and holds its members; packages are spread over tasks. Of a path that
+    stands twice in a package the larger content is taken; a null content is an empty file, and rows without a path are left out.
+    """
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        ordered = sorted((path, bytes(raw)) for path, raw in zip(f["path"], f["content"]))
+        content, manifest = package(dict(ordered))
+        return pd.DataFrame({by: f[by].iloc[:1], "content": [content], "manifest": [manifest]})
+
+    rows = members.where("path is not null").select(by, "path", F.coalesce("content", F.lit(b"")).alias("content"))
+    kind = members.schema[by].dataType.simpleString()
+    return rows.groupBy(by).applyInPandas(run, f"{by} {kind}, content binary, manifest array<struct<path string, bytes bigint, sha256 string>>")
+
+
 def choose_source(previous: str | None, found: list[str]) -> str | None:
     """The path of the last run if it is still there, else the last by name, else none."""
     return previous if previous in found else max(found, default=None)

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 CHUNKS = "path string, pos int, locator string, text string, error string"
+SECTIONS = "path string, pos int, text string, error string"
 SHEETS = "path string, sheet string, sheet_state string, cells array<array<string>>, error string"
 MOST_ROWS, MOST_COLUMNS = 5000, 80
 
@@ -26,6 +27,15 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
 
 
+def column_name(at: int) -> str:
+    """A, B, ..., Z, AA, ... of a column's place from 0."""
+    name, k = "", at + 1
+    while k:
+        k, rest = divmod(k - 1, 26)
+        name = chr(65 + rest) + name
+    return name
+
+
 def _all_text(node: ET.Element, tag: str = "t") -> str:
     return " ".join("".join(e.text or "" for e in node.iter() if _local(e.tag) == tag).split())
 
@@ -98,13 +108,9 @@ def xlsx(raw: bytes) -> Iterator[tuple[str, str]]:
         for r, row in enumerate(matrix, 1):
             cells = []
             for c, value in enumerate(row):
-                letters, k = "", c + 1
-                while k:
-                    k, rest = divmod(k - 1, 26)
-                    letters = chr(65 + rest) + letters
-                shown = formulas.get(f"{letters}{r}") or " ".join(value.split())
-                if shown:
-                    cells.append(f"{letters}{r}={shown}")
+                ref = f"{column_name(c)}{r}"
+                if shown := formulas.get(ref) or " ".join(value.split()):
+                    cells.append(f"{ref}={shown}")
             if cells:
                 yield f"{name}!{r}", " | ".join(cells)
 
@@ -151,6 +157,22 @@ def extract_chunks(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, CHUNKS)
 
 
+def extract_sections(files: DataFrame) -> DataFrame:
+    """HWP body sections (path, content) to their paragraphs; a broken section is an error row, without those paragraphs that were read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for path, raw in zip(f["path"], f["content"]):
+                try:
+                    rows += [(path, i, text, None) for i, text in enumerate(list(hwp_section(bytes(raw))))]
+                except (zlib.error, struct.error) as x:
+                    rows.append((path, 0, None, f"{type(x).__name__}: {x}"))
+            yield pd.DataFrame(rows, columns=["path", "pos", "text", "error"])
+
+    return files.select("path", "content").mapInPandas(run, SECTIONS)
+
+
 def extract_sheets(files: DataFrame) -> DataFrame:
     """Workbooks (path, content) to bounded matrices, hidden sheets included; a broken workbook is an error row."""
 
@@ -170,10 +192,8 @@ def write_xlsx(tables: dict[str, list[list[object]]]) -> bytes:
     """A workbook with a sheet for each table; texts that begin with an equals sign are formulas, numbers stay numbers."""
     from xml.sax.saxutils import escape, quoteattr
 
-    from costquarry.operators.boq import letters
-
     def cell(r: int, c: int, v: object) -> str:
-        ref = f"{letters([c])}{r}"
+        ref = f"{column_name(c)}{r}"
         if v is None:
             return ""
         if isinstance(v, str) and v.startswith("="):
