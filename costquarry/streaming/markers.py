@@ -31,8 +31,8 @@ class Markers(StatefulProcessor):
         # Of listings that wait together the last counts; of a path that it names twice, the later time.
         r = max(rows, key=lambda x: (x.run, x.mtime is not None, x.mtime or 0, x.size is not None, x.size or 0))
         now = (self.version, r.size, r.mtime)
-        old = tuple(self.marker.get()) if self.marker.exists() else None
-        if old != now:
+        old = self.marker.get()
+        if old is None or tuple(old) != now:
             self.marker.update(now)
             yield Row(path=key[0], size=r.size, mtime=r.mtime, run=r.run, action="new" if old is None else "changed" if old[0] == self.version else "version")
 
