@@ -54,7 +54,7 @@ def change_counts(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def validate_cases(cases: DataFrame, notices: DataFrame, identity: dict[str, str], limits: dict[str, int] = LIMITS) -> None:
-    """Raise QualityError unless cases and notices are a whole, bounded and consistent snapshot."""
+    """Raise QualityError unless cases and notices are a whole and consistent snapshot, within the limits of the tables that have one."""
     for table, df in (("cases", cases), ("related_notices", notices)):
         if bad := quality.columns_are(df, ["case_id"], ("contact", "manager", "phone", "email")):
             raise quality.QualityError({f"{table} {b}": 1 for b in bad})
@@ -66,9 +66,9 @@ def validate_cases(cases: DataFrame, notices: DataFrame, identity: dict[str, str
             {"case id": F.trim(F.coalesce(F.col("case_id").cast("string"), F.lit(""))) != "",
                 "grade": F.col("evidence_grade").isin("A", "B", "C", "C?", "U", "X"),
                 "case kind": F.col("case_kind").isin("CONSTRUCTION_NOTICE", "DESIGN_SUPERVISION_REFERENCE"), "area or cost not positive": positive},
-            unique={"repeated case": ("case_id",)}, least=1, most=limits["cases"]),
+            unique={"repeated case": ("case_id",)}, least=1, most=limits.get("cases")),
         "related_notices": quality.Rules(unique={"repeated notice": ("case_id", "related_bid_base_no")},
-            foreign={"notice without case": (("case_id",), "cases", ("case_id",))}, most=limits["related_notices"]),
+            foreign={"notice without case": (("case_id",), "cases", ("case_id",))}, most=limits.get("related_notices")),
     })
 
 
@@ -151,12 +151,13 @@ def write_snapshot(tables: dict[str, DataFrame], identity: dict[str, str], path:
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
 
-def sync(store: SnapshotStore, tables: dict[str, DataFrame], identity: dict[str, str]) -> list[str]:
+def sync(store: SnapshotStore, tables: dict[str, DataFrame], identity: dict[str, str], limits: dict[str, int] = LIMITS) -> list[str]:
     """Publish a snapshot in two calls: cases and notices first, then the evaluations that belong to them; returns the versions.
 
-    Each call is checked before readers see it, so a failure of the second leaves the cases of the first.
+    Each call is checked before readers see it, so a failure of the second leaves the cases of the first. limits: the most
+    rows of a table, as a payload has them; a snapshot that goes from table to table needs none ({}).
     """
-    validate_cases(tables["cases"], tables["related_notices"], identity)
+    validate_cases(tables["cases"], tables["related_notices"], identity, limits)
     first = {n: tables[n] for n in SNAPSHOT[:2]}
     versions = [store.publish(first)]
     validate_evaluations(*(tables[n] for n in SNAPSHOT[2:]), identity, identity)

@@ -588,3 +588,16 @@ def test_publishing_checks_rules_as_it_writes(spark, tmp_path):
             store.publish({"t": good.union(spark.createDataFrame([bad], good.schema))}, rules=rules)
         assert e.value.counts == {name: 1} and store.version() == version
     assert store.read("t").count() == 2
+
+
+def test_snapshots_of_any_size_go_through_where_no_payload_bounds_them(spark, tmp_path):
+    cases = spark.range(10_001).select(F.col("id").cast("string").alias("case_id"), F.lit("A").alias("evidence_grade"), F.lit("CONSTRUCTION_NOTICE").alias("case_kind"),
+        F.lit(1.0).alias("gross_floor_area_m2"), F.lit(1.0).alias("construction_cost_usd"))
+    one = lambda **values: spark.range(1).select(*(F.lit(v).alias(k) for k, v in values.items()))
+    parts = {"cases": cases, "related_notices": cases.select("case_id", F.lit("n").alias("related_bid_base_no")), "evaluation_projects": one(project_no="p"),
+        "evaluation_reports": one(report_id="r", page_count=9), "evaluation_matches": one(match_id=1, project_no="p", report_id="r", match_score=0.9),
+        "evaluation_findings": one(finding_id=1, match_id=1, pdf_page_start=1, pdf_page_end=2, value_numeric=1.0, unit="USD")}
+    store, identity = merge.SnapshotStore(spark, str(tmp_path / "store")), {k: "1" for k in merge.IDENTITY}
+    with pytest.raises(quality.QualityError, match="cases: number of rows"):
+        merge.sync(store, parts, identity)
+    assert len(merge.sync(store, parts, identity, limits={})) == 2 and store.read("cases").count() == 10_001
