@@ -8,10 +8,13 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from costquarry.sources import office
+from costquarry.sources.batches import batched, dealt
 
 
 def zipped(members: dict[str, bytes | str]) -> bytes:
@@ -22,14 +25,17 @@ def zipped(members: dict[str, bytes | str]) -> bytes:
     return out.getvalue()
 
 
+FILES = "path string, content binary"
+
+
 def made_files(rows: DataFrame, make: Callable[..., Iterator[tuple[str, bytes]]]) -> DataFrame:
     """Files (path, content) that tasks make of rows: `make` is called with a row's values."""
+    schema = to_arrow_schema(StructType.fromDDL(FILES))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame([x for row in f.itertuples(index=False) for x in make(*row)], columns=["path", "content"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched((x for b in batches for row in zip(*(c.to_pylist() for c in b.columns)) for x in make(*row)), schema)
 
-    return rows.mapInPandas(run, "path string, content binary")
+    return dealt(rows).mapInArrow(run, FILES)
 
 
 def office_file(key: int, name: str, segment: str) -> Iterator[tuple[str, bytes]]:

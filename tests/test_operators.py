@@ -618,3 +618,19 @@ def test_scanned_files_counts_all_rows_of_long_sheets(spark, tmp_path):
     spark.range(1, 2102).select(F.col("id").alias("p_partkey"), F.lit("bolt").alias("p_name"), F.lit("Brand#1").alias("p_brand"), F.lit("PROMO").alias("p_type"),
         F.lit(3).alias("p_size"), F.lit(9.5).alias("p_retailprice")).write.parquet(f"{tmp_path}/part.parquet")
     assert [tuple(r) for r in QUERIES["scanned_files"](spark, str(tmp_path)).collect()] == [("PROMO", 1, 2101, 1891, True, 2101 * 1000 + 1891)]
+
+
+def test_rows_of_small_files_share_batches_of_bounded_size(spark):
+    import pyarrow as pa
+
+    from costquarry.plans.made import archive_file, made_files
+    from costquarry.sources.batches import MOST_BYTES, MOST_ROWS, batched
+
+    schema = pa.schema([("n", pa.int64()), ("content", pa.binary())])
+    small = list(batched(((i, b"x") for i in range(2 * MOST_ROWS + 1)), schema))
+    assert [b.num_rows for b in small] == [MOST_ROWS, MOST_ROWS, 1]
+    assert [b.num_rows for b in batched(((i, bytes(MOST_BYTES // 2)) for i in range(5)), schema)] == [2, 2, 1] and not list(batched(iter([]), schema))
+    rows = spark.range(500).coalesce(1).select("id", F.lit("name"), F.lit("segment"))
+    made = made_files(rows, archive_file)
+    assert made.rdd.getNumPartitions() > 1 and archives.unpack_archives(made).where("path <> 'in.zip'").count() == 800
+    assert "MapInPandas" not in archives.unpack_archives(made)._jdf.queryExecution().optimizedPlan().toString()
