@@ -634,3 +634,10 @@ def test_rows_of_small_files_share_batches_of_bounded_size(spark):
     made = made_files(rows, archive_file)
     assert made.rdd.getNumPartitions() > 1 and archives.unpack_archives(made).where("path <> 'in.zip'").count() == 800
     assert "MapInPandas" not in archives.unpack_archives(made)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chunks_of_office_files_share_batches(spark):
+    files = spark.createDataFrame([(f"{i}.html", b"<p>a</p>") for i in range(50)] + [("x.xlsx", b"broken"), ("y.bin", b"x")], "path string, content binary").coalesce(1)
+    got = office.extract_chunks(files)
+    assert got.where("text = 'a'").count() == 50 and got.where("error is not null").count() == 1 and got.count() == 51
+    assert "MapInPandas" not in got._jdf.queryExecution().optimizedPlan().toString()
