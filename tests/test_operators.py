@@ -641,3 +641,11 @@ def test_chunks_of_office_files_share_batches(spark):
     got = office.extract_chunks(files)
     assert got.where("text = 'a'").count() == 50 and got.where("error is not null").count() == 1 and got.count() == 51
     assert "MapInPandas" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sheets_of_office_files_share_batches(spark):
+    raw = office.write_xlsx({"One": [["a", 1], [None, "=1+2"]], "Two": []})
+    files = spark.createDataFrame([(f"{i}.xlsx", raw) for i in range(20)] + [("x.xlsx", b"broken")], "path string, content binary").coalesce(1)
+    got = office.extract_sheets(files)
+    assert got.where("sheet = 'One' and cells[0] = array('a', '1')").count() == 20 and got.where("error is not null").count() == 1 and got.count() == 41
+    assert "MapInPandas" not in got._jdf.queryExecution().optimizedPlan().toString()
