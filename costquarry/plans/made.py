@@ -14,7 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from costquarry.sources import office
-from costquarry.sources.batches import batched, dealt
+from costquarry.sources.batches import batched
+from costquarry.spread import dealt
 
 
 def zipped(members: dict[str, bytes | str]) -> bytes:

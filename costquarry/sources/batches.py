@@ -10,13 +10,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 MOST_ROWS, MOST_BYTES = 10_000, 16 << 20
-#: Tasks a core for rows whose work is far above their size, as a small file alone would be few tasks.
-TASKS_A_CORE = 4
-
-
-def dealt(rows: DataFrame) -> DataFrame:
-    """Rows dealt to several tasks a core, for work that is far above their size as stored."""
-    return rows.repartition(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -649,3 +649,9 @@ def test_sheets_of_office_files_share_batches(spark):
     got = office.extract_sheets(files)
     assert got.where("sheet = 'One' and cells[0] = array('a', '1')").count() == 20 and got.where("error is not null").count() == 1 and got.count() == 41
     assert "MapInPandas" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_evidence_of_a_small_file_is_many_tasks(spark):
+    chunks = spark.range(40).coalesce(1).select(F.col("id").alias("bid_no"), F.lit("f").alias("source_file"), F.lit("l").alias("locator"), F.lit("floor area 50 m2, VAT 10 %").alias("text"))
+    got = evidence.evidence(chunks)
+    assert got.rdd.getNumPartitions() > 1 and got.count() == 80
