@@ -661,3 +661,12 @@ def test_titles_of_a_small_file_are_many_tasks(spark, sf_dir):
     from costquarry.plans.queries import titles
 
     assert titles(spark, sf_dir).rdd.getNumPartitions() > 1
+
+
+def test_areas_of_a_text_are_looked_for_once_for_all_its_categories(spark):
+    one = ("b", "f", "l", "floor area 50 m2, site area 70 m2", "50 m2 | 70 m2")
+    rows = spark.createDataFrame([(*one, c) for c in "xyz"], "bid_no string, source_file string, source_locator string, evidence_text string, area_mentions string, category string")
+    got = evidence.area_observations(rows)
+    assert sorted((r.value, r.semantic) for r in got.collect()) == [(50.0, "GFA"), (70.0, "SITE_AREA")]
+    # An aggregation by text stands under the search for spans, besides that by value above it.
+    assert str(got._jdf.queryExecution().optimizedPlan()).split("Generate")[1].count("Aggregate") == 1
