@@ -1,4 +1,4 @@
-"""Titles compared by a prefix-filtered join, and markers met by a join on runs of characters: no list goes through the driver.
+"""Titles compared by a prefix-filtered join, and markers met by a join on windows of bytes: no list goes through the driver.
 
 Titles. Of two titles of together S characters whose matching blocks have M, b - 1 places part b blocks, and at each a
 character of one of them is unmatched, so there are at most S - 2M + 1 blocks and at least 3M - S - 1 runs of two
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from costquarry import ship
 from costquarry.functions.grams import with_grams
 from costquarry.functions.scalars import normalize_title
+from costquarry.operators.occurrences import occurrences
 from costquarry.scratch import stage
 
 LEAST = 0.82  #: scores that are told; what links needs is 0.86, with 0.04 to the second, and more
@@ -174,24 +175,11 @@ def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_i
 def longest_marker(df: DataFrame, text: str, markers: DataFrame, out: str = "country") -> DataFrame:
     """Adds the label of the longest marker (label, marker) in the text, whatever the case; ties by label; none: null.
 
-    A marker is met by its run of four characters (two or one, if it has no more) that fewest texts hold; texts that hold
-    this run are then looked through for the marker. Rows may repeat; each text is shuffled once for all its markers.
+    Markers and texts meet as in `occurrences`. Rows may repeat.
     """
-    known = markers.select("label", F.lower("marker").alias("marker")).where("marker <> ''").distinct()
+    known = markers.select("label", F.lower("marker").alias("marker")).where("marker <> ''").groupBy("marker").agg(F.min(F.struct("label")).alias("l"))
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    every = lambda d: F.array_distinct(F.concat("_g1", "_g2", "_g4"))
-    runs = with_grams(rows.select("_row", F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_t")), F.col("_t"))
-    runs = runs.select("_row", F.explode_outer(every(runs)).alias("run")).where("run is not null")
-    length = F.length("marker")
-    of = with_grams(known, F.col("marker"))
-    own = of.select("label", "marker", F.explode_outer(F.array_distinct(F.when(length >= 4, F.col("_g4")).when(length >= 2, F.col("_g2")).otherwise(F.col("_g1")))).alias("run"))
-    own = stage(own, "markers")
-    met = stage(runs.join(own.select("run").distinct(), "run", "left_semi"), "met")
-    often = met.groupBy("run").agg(F.count(F.lit(1)).alias("often"))
-    # A marker with a run that no text holds is in none.
-    one = own.join(often, "run", "left").groupBy("label", "marker").agg(F.min_by("run", F.struct(F.coalesce("often", F.lit(0)), "run")).alias("run"))
-    pairs = met.join(one, "run").select("_row", "label", "marker")
-    texts = rows.select("_row", F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
-    found = pairs.join(texts, "_row").where(F.contains("_t", "marker"))
-    best = found.groupBy("_row").agg(F.min_by("label", F.struct(-length, "label")).alias(out))
+    texts = rows.select(F.col("_row").alias("id"), F.lit("").alias("scope"), F.lower(F.col(text)).alias("text"))
+    found = occurrences(texts, known.select(F.lit("").alias("scope"), "marker")).join(known, "marker")
+    best = found.groupBy(F.col("id").alias("_row")).agg(F.min_by("l.label", F.struct(-F.length("marker"), "l.label")).alias(out))
     return rows.join(best, "_row", "left").drop("_row")

@@ -670,3 +670,17 @@ def test_areas_of_a_text_are_looked_for_once_for_all_its_categories(spark):
     assert sorted((r.value, r.semantic) for r in got.collect()) == [(50.0, "GFA"), (70.0, "SITE_AREA")]
     # An aggregation by text stands under the search for spans, besides that by value above it.
     assert str(got._jdf.queryExecution().optimizedPlan()).split("Generate")[1].count("Aggregate") == 1
+
+
+def test_occurrences_equal_plain_search_across_blocks(spark):
+    from costquarry.operators.occurrences import BLOCK, occurrences
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abé가 ") for _ in range(n))
+    texts = [(i, rng.choice("st"), word(rng.choice([0, 5, 40, 3 * BLOCK]))) for i in range(30)] + [(30, "s", None), (31, "s", "")]
+    cuts = [(s, t[k : k + rng.randint(1, 60)]) for _, s, t in texts if t for k in (0, len(t) // 2, *(b - 20 for b in (BLOCK, 2 * BLOCK) if b < len(t)))]
+    markers = [*cuts, *(("s" if s == "t" else "t", m) for s, m in cuts), ("s", "absent marker, of more bytes than a window"), ("s", ""), ("t", None), (None, "a")]
+    got = occurrences(spark.createDataFrame(texts, "id long, scope string, text string"), spark.createDataFrame(markers, "scope string, marker string"))
+    want = {(i, s, m) for i, s, t in texts if t for c, m in markers if c == s and m and m in t}
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 100
+    assert occurrences(spark.createDataFrame(texts, "id long, scope string, text string"), spark.createDataFrame([], "scope string, marker string")).count() == 0
