@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from costquarry.operators.occurrences import occurrences
 from costquarry.operators.titles import score_titles, title_score
 from costquarry.scratch import stage
 
@@ -124,9 +125,16 @@ def finding_violations(findings: DataFrame, pages: DataFrame, units: list[str])
     stretch = lambda c: F.floor(F.col(c) / PAGES_A_STRETCH)
     ranges = findings.where("pdf_page_start <= pdf_page_end").select("finding_id", "report_id", "pdf_page_start", "pdf_page_end",
         excerpt.alias("_excerpt"), F.explode(F.sequence(stretch("pdf_page_start"), stretch("pdf_page_end"))).alias("_stretch"))
-    texts = pages.select("report_id", "page", stretch("page").alias("_stretch"), clean_or_empty(F.col("text")).alias("_text"))
-    on_page = ranges.join(texts, ["report_id", "_stretch"]).where("page between pdf_page_start and pdf_page_end").where(F.contains("_text",
-        "_excerpt")).select("finding_id").distinct()
+    texts = pages.where("report_id is not null").select("report_id", "page", stretch("page").alias("_stretch"), clean_or_empty(F.col("text")).alias("_text"))
+    scope = F.concat_ws("/", F.col("report_id").cast("string"), F.col("_stretch").cast("string"))
+    found = occurrences(texts.select(F.struct("report_id", "page").alias("id"), scope.alias("scope"), F.col("_text").alias("text")),
+        ranges.where("report_id is not null").select(scope.alias("scope"), F.col("_excerpt").alias("marker")))
+    within = F.col("page").between(F.col("pdf_page_start"), F.col("pdf_page_end"))
+    held = found.select("id.report_id", "id.page", F.col("marker").alias("_excerpt")).distinct()
+    on_page = ranges.join(held, ["report_id", "_excerpt"]).where(within).select("finding_id")
+    # An empty excerpt stands on any page.
+    blank = ranges.where("_excerpt = ''").join(texts.select("report_id", "page", "_stretch"), ["report_id", "_stretch"]).where(within).select("finding_id")
+    on_page = on_page.union(blank).distinct()
     lost = findings.join(on_page, "finding_id", "left_anti").select("finding_id", F.lit("excerpt not on pages").alias("violation"))
     value = findings.where(F.col("value_numeric").isNotNull() & ~number_in_text(F.col("value_numeric"), excerpt)).select("finding_id",
         F.lit("value not in excerpt").alias("violation"))

@@ -684,3 +684,14 @@ def test_occurrences_equal_plain_search_across_blocks(spark):
     want = {(i, s, m) for i, s, t in texts if t for c, m in markers if c == s and m and m in t}
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 100
     assert occurrences(spark.createDataFrame(texts, "id long, scope string, text string"), spark.createDataFrame([], "scope string, marker string")).count() == 0
+
+
+def test_findings_are_held_against_their_pages_by_windows(spark):
+    finds = spark.createDataFrame([(1, 1, 2, 3, "the price  is 5", 5.0, "USD"), (2, 1, 2, 3, "", None, None), (3, 1, 8, 9, "", None, None), (4, 2, 2, 3, "the price is 5", 5.0, "USD"),
+        (5, 1, 4, 9, "the price is 5", 5.0, "USD"), (6, None, 2, 3, "the price is 5", 5.0, "USD"), (7, 1, 2, 3, None, None, None)],
+        "finding_id int, report_id int, pdf_page_start int, pdf_page_end int, evidence_excerpt string, value_numeric double, unit string")
+    pages = spark.createDataFrame([(1, 3, "here the price is\n 5 of all"), (1, 2, None), (2, 9, "the price is 5"), (None, 2, "the price is 5")], "report_id int, page int, text string")
+    got = linking.finding_violations(finds, pages, ["USD"])
+    assert sorted(map(tuple, got.collect())) == [(k, "excerpt not on pages") for k in (3, 4, 5, 6)]
+    # A page's text and an excerpt meet in blocks that hold a window of the excerpt, never as such.
+    assert "Contains(_text" not in str(got._jdf.queryExecution().optimizedPlan()) and "Contains(piece" in str(got._jdf.queryExecution().optimizedPlan())
