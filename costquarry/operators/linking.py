@@ -98,11 +98,18 @@ def match_violations(matches: DataFrame, reports: DataFrame, least: float = 0.85
     """
     ok = matches.where("review_status = 'accepted'")
     many = ok.groupBy("report_id").agg(F.count(F.lit(1)).alias("_n"))
-    j = ok.join(reports, "report_id").join(many, "report_id")
+    texts = stage(reports.withColumn("_r", F.monotonically_increasing_id()), "reports")
+    names, scope = F.lower("report_project_name"), F.col("report_id").cast("string")
+    found = occurrences(texts.select(F.col("_r").alias("id"), scope.alias("scope"), F.lower("text").alias("text")), ok.select(scope.alias("scope"), names.alias("marker")))
+    found = found.select(F.col("id").alias("_r"), F.col("marker").alias("_name"), F.lit(True).alias("_found"))
+    # The texts themselves stay behind: a match goes on with whether there is one.
+    j = ok.join(texts.select("report_id", "multi_project", "_r", F.col("text").isNotNull().alias("_read")), "report_id").join(many, "report_id")
+    j = j.withColumn("_name", names).join(found, ["_r", "_name"], "left")
+    lost = F.col("_read") & (F.col("_name") != "") & F.col("_found").isNull()
     why = F.array_compact(
         F.array(
             F.when(F.coalesce("match_score", F.lit(0.0)) < least, "score"),
-            F.when(~F.contains(F.lower("text"), F.lower("report_project_name")), "name not in report"),
+            F.when(lost, "name not in report"),
             F.when((F.col("_n") > 1) & ~F.coalesce("multi_project", F.lit(False)), "several projects"),
         )
     )

@@ -695,3 +695,13 @@ def test_findings_are_held_against_their_pages_by_windows(spark):
     assert sorted(map(tuple, got.collect())) == [(k, "excerpt not on pages") for k in (3, 4, 5, 6)]
     # A page's text and an excerpt meet in blocks that hold a window of the excerpt, never as such.
     assert "Contains(_text" not in str(got._jdf.queryExecution().optimizedPlan()) and "Contains(piece" in str(got._jdf.queryExecution().optimizedPlan())
+
+
+def test_matches_are_named_in_their_reports_texts(spark):
+    matches = spark.createDataFrame([(1, 1, "accepted", 0.9, "Big SCHOOL"), (2, 1, "accepted", 0.9, "other"), (3, 2, "accepted", 0.9, "big school"), (4, 3, "accepted", 0.9, "x"),
+        (5, 1, "accepted", 0.9, None), (6, 1, "accepted", 0.9, ""), (7, 1, "rejected", 0.1, "y")], "match_id int, report_id int, review_status string, match_score double, report_project_name string")
+    reports = spark.createDataFrame([(1, "a big school here", True), (2, "a school", True), (3, None, True), (2, "big  school", True)], "report_id int, text string, multi_project boolean")
+    got = linking.match_violations(matches, reports)
+    assert sorted(map(tuple, got.collect())) == [(2, "name not in report"), (3, "name not in report"), (3, "name not in report")]
+    # No match is held against a whole text.
+    assert "Contains(piece" in str(got._jdf.queryExecution().optimizedPlan())
