@@ -712,3 +712,18 @@ def test_scenario_lines_are_not_gathered_by_sheet(spark, sf_dir):
 
     plan = str(QUERIES["scenario_quantities"](spark, sf_dir)._jdf.queryExecution().executedPlan())
     assert "SortMergeJoin" not in plan and "hashpartitioning(sheet" not in plan
+
+
+def test_packages_follow_each_other_in_a_task(spark):
+    from costquarry.sources import files
+
+    rows = spark.createDataFrame([(k, f"{i}.txt", bytes([65 + i]) * n) for k in (1, 2, None) for i in range(3) for n in (1, 200)] + [(1, "z", None), (1, None, b"x")], "p int, path string, content binary")
+    got = files.pack(rows, "p")
+    plan = str(got._jdf.queryExecution().optimizedPlan())
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+    for r in got.collect():
+        z = zipfile.ZipFile(io.BytesIO(r["content"]))
+        want = {f"{i}.txt": bytes([65 + i]) * 200 for i in range(3)} | ({"z": b""} if r["p"] == 1 else {})
+        assert {n: z.read(n) for n in z.namelist()} == want == {m["path"]: z.read(m["path"]) for m in r["manifest"]}
+        assert all((e.compress_type == zipfile.ZIP_DEFLATED) == (e.file_size >= files.LEAST_DEFLATED) for e in z.infolist())
+    assert {r["p"] for r in got.collect()} == {1, 2, None} and got.count() == 3
