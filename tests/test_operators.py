@@ -727,3 +727,17 @@ def test_packages_follow_each_other_in_a_task(spark):
         assert {n: z.read(n) for n in z.namelist()} == want == {m["path"]: z.read(m["path"]) for m in r["manifest"]}
         assert all((e.compress_type == zipfile.ZIP_DEFLATED) == (e.file_size >= files.LEAST_DEFLATED) for e in z.infolist())
     assert {r["p"] for r in got.collect()} == {1, 2, None} and got.count() == 3
+
+
+def test_words_of_rules_are_found_as_their_patterns_find_them(spark):
+    from costquarry.functions import rules
+
+    rng = random.Random(3)
+    parts = sorted({a for _, p in rules.TRADES for a in rules._alternatives(p)})
+    bits = [p.replace("\\s*", " ").replace("\\b", "").replace("(?:ing)?", "ing").replace("[- ]", "-") for p in parts] + ["wc", "xwcx", "33kv", "", "doo", "ti le"]
+    df = spark.createDataFrame([(" ".join(rng.choice(bits) for _ in range(2)),) for _ in range(400)], "t string")
+    got = df.select(*(rules.holds(F.col("t"), p).alias(f"a{i}") for i, (_, p) in enumerate(rules.TRADES)), *(F.col("t").rlike(p).alias(f"b{i}") for i, (_, p) in enumerate(rules.TRADES)))
+    n = len(rules.TRADES)
+    rows = got.collect()
+    assert all(r[:n] == r[n:] for r in rows) and sum(map(sum, rows)) > 400
+    assert "contains" in str(rules.holds(F.col("t"), "door|window")) and "rlike" in str(rules.holds(F.col("t"), "(a|b)c")).lower()
