@@ -1,30 +1,18 @@
-"""Titles compared by a prefix-filtered join, and markers met by a join on windows of bytes: no list goes through the driver.
-
-Titles. Of two titles of together S characters whose matching blocks have M, b - 1 places part b blocks, and at each a
-character of one of them is unmatched, so there are at most S - 2M + 1 blocks and at least 3M - S - 1 runs of two
-characters that both hold. At a ratio 2M / S of t or more these are (1.5t - 1)S - 1 or more. So the rarest runs of a
-title, all but one less than this for the shortest partner that it may have, share a run with each of its partners; and
-a shared run of each a pair is left out if with all that stand before and behind it can't have enough. Of the pairs that
-remain all runs and letters are counted; what still may reach t is compared by the standard library's matcher, in Python, with Spark dealing the pairs.
-"""
+"""Titles compared in tiles of those that share a country, and markers met by a join on windows of bytes: no list goes through the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costquarry import ship
-from costquarry.functions.grams import with_grams
 from costquarry.functions.scalars import normalize_title
 from costquarry.operators.occurrences import occurrences
+from costquarry.operators.title_tiles import WITHIN, WITHIN_SCORE, alike
 from costquarry.scratch import stage
 
 LEAST = 0.82  #: scores that are told; what links needs is 0.86, with 0.04 to the second, and more
-WITHIN, WITHIN_SCORE = 12, 0.99
 
 
 def title_score(a: str, b: str, least: float = 0.0) -> float:
@@ -41,102 +29,6 @@ def title_score(a: str, b: str, least: float = 0.0) -> float:
     return m.ratio() if not least or (m.real_quick_ratio() >= least and m.quick_ratio() >= least) else 0.0
 
 
-def numbered_parts(titles: DataFrame, grams: str) -> DataFrame:
-    """(id, t, run, n): a title's runs of one or two characters (_g1, _g2), the k-th of a kind told from the others, and how many there are."""
-    each = with_grams(titles, F.col("t")).select("id", "t", F.size(grams).alias("n"), F.posexplode_outer(grams).alias("pos", "gram")).where("gram is not null")
-    k = F.row_number().over(Window.partitionBy("id", "gram").orderBy("pos"))
-    return each.select("id", "t", "n", F.concat("gram", F.lit("#"), k.cast("string")).alias("run"))
-
-
-def ranked_runs(titles: DataFrame) -> DataFrame:
-    """A title's runs of two characters with the place of each among them, the rarest of all titles first."""
-    runs = numbered_parts(titles, "_g2")
-    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("often"))
-    return runs.join(often, "run").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("often", "run")))
-
-
-def with_parts(titles: DataFrame) -> DataFrame:
-    """Titles (id, t) with their numbered letters and runs as arrays."""
-    held = lambda grams, name: numbered_parts(titles, grams).groupBy("id").agg(F.collect_list("run").alias(name))
-    return titles.join(held("_g1", "letters"), "id", "left").join(held("_g2", "runs"), "id", "left").select("id", "t",
-        *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("letters", "runs")))
-
-
-def least_shared(size: Column, least: float) -> Column:
-    """Runs that two titles of together `size` characters share at the score `least`, or more."""
-    return F.ceil((1.5 * least - 1) * size - 1 - 1e-9)
-
-
-def similar_pairs(left: DataFrame, right: DataFrame, least: float = LEAST) -> DataFrame:
-    """(a, b): ids of titles (id, t, keys) whose ratio may reach `least` and who share a key; each pair once.
-
-    least has to be over 2/3, where titles share a run. Titles of one character reach it only if they are equal.
-    """
-    if least <= 2 / 3:
-        raise ValueError("similar titles may share no run of two characters below 2/3")
-    both = left.select("id", "t").withColumn("side", F.lit("a")).unionByName(right.select("id", "t").withColumn("side", F.lit("b")))
-    named = both.select(F.struct("side", "id").alias("id"), "t")
-    length = F.length("t")
-    shortest = F.ceil(least / (2 - least) * length - 1e-9)
-    runs = ranked_runs(named)
-    # At least one run is shared, as a bound below one says nothing.
-    prefix = runs.where(F.col("place") <= F.col("n") - F.greatest(least_shared(length + shortest, least), F.lit(1)) + 1)
-    prefix = stage(prefix.select("id", "run", "place", "n", length.alias("length")), "runs")
-    keys = left.select(F.struct(F.lit("a").alias("side"), "id").alias("id"), "keys").unionByName(right.select(F.struct(F.lit("b").alias("side"), "id").alias("id"), "keys"))
-    rows = prefix.join(keys, "id").select("id.side", "id.id", "run", "place", "n", "length", F.explode("keys").alias("key"))
-    a, b = (rows.where(F.col("side") == s).drop("side").alias(s) for s in "ab")
-    near = F.least("a.length", "b.length") >= least / (2 - least) * F.greatest("a.length", "b.length") - 1e-9
-    # At a shared run no more are shared than stand up to it in either, and behind it in either.
-    able = F.least("a.place", "b.place") + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) >= least_shared(F.col("a.length") + F.col("b.length"), least)
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.run") == F.col("b.run")) & near & able)
-    # Runs behind the last shared place may be shared as well, as many as the shorter rest has.
-    rest = F.least(F.col("a.n") - F.max("a.place"), F.col("b.n") - F.max("b.place"))
-    found = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b"), "a.key", "a.n", "b.n", "a.length", "b.length").agg(F.count(F.lit(1)).alias("shared"), rest.alias("rest"))
-    enough = F.col("shared") + F.col("rest") >= least_shared(F.col("length_a") + F.col("length_b"), least)
-    found = found.toDF("a", "b", "key", "n_a", "n_b", "length_a", "length_b", "shared", "rest").where(enough).select("a", "b")
-    single = lambda df: df.where(F.length("t") == 1).select("id", "t", F.explode("keys").alias("key"))
-    short = single(left).alias("a").join(single(right).alias("b"), ["t", "key"]).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    return found.unionByName(short)
-
-
-def contained_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): ids of titles (id, t, keys) that share a key where the shorter has WITHIN characters and is in the longer, each way.
-
-    All of a contained title's runs are in the other, so its rarest one alone has to be looked for.
-    """
-    def one_way(short: DataFrame, long: DataFrame, names: tuple[str, str]) -> DataFrame:
-        grams = lambda df: with_grams(df.where(F.length("t") >= WITHIN), F.col("t")).select("id", "t", "keys", F.explode_outer(F.array_distinct("_g4")).alias("run")).where("run is not null")
-        inside = stage(grams(long), "long")
-        often = inside.groupBy("run").agg(F.count(F.lit(1)).alias("often"))
-        # A run that no longer title has can't be contained at all.
-        rarest = grams(short).join(often, "run", "left").groupBy("id", "t", "keys").agg(F.min_by("run", F.struct(F.coalesce("often", F.lit(0)), "run")).alias("run"))
-        s, g = (df.withColumn("key", F.explode("keys")).alias(x) for df, x in ((rarest, "s"), (inside, "g")))
-        met = s.join(g, (F.col("s.run") == F.col("g.run")) & (F.col("s.key") == F.col("g.key")) & F.contains(F.col("g.t"), F.col("s.t")))
-        return met.select(F.col("s.id").alias(names[0]), F.col("g.id").alias(names[1])).select("a", "b")
-
-    return one_way(left, right, ("a", "b")).union(one_way(right, left, ("b", "a")))
-
-
-def may_reach(least: float) -> Column:
-    """Whether pairs (ta, lettersa, runsa; tb, lettersb, runsb) hold so many letters and runs in common that the score may be `least`."""
-    short, size = F.least(F.length("ta"), F.length("tb")), F.length("ta") + F.length("tb")
-    both = lambda c: F.size(F.array_intersect(f"{c}a", f"{c}b"))
-    within = (short >= WITHIN) & (F.contains("ta", "tb") | F.contains("tb", "ta"))
-    return within | ((both("letters") >= F.lit(least / 2) * size - 1e-9) & (both("runs") >= least_shared(size, least)))
-
-
-def scored(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs with the texts ta and tb: their score, where it is `least` or more."""
-    ship(pairs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            score = [title_score(x, y, least) for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(score, pa.float64())], ["a", "b", "score"])
-
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, score double").where(F.col("score") >= least)
-
-
 def _numbered(df: DataFrame, name: str) -> DataFrame:
     """Distinct rows (t, keys) with a number each, staged so that it stays."""
     return stage(df.select("t", "keys").distinct().withColumn("id", F.monotonically_increasing_id()), name)
@@ -160,10 +52,8 @@ def score_titles(records: DataFrame, candidates: DataFrame, key: str = "record_i
     cand = cand.withColumn("r", F.row_number().over(Window.partitionBy("t", "keys").orderBy("project_no"))).where("r <= 2").drop("r")
     cand = stage(cand, "candidates")
     left, right = _numbered(rec, "titles"), _numbered(cand, "titles")
-    pairs = stage(similar_pairs(left, right, least).unionByName(contained_pairs(left, right)).distinct(), "pairs")
-    side = lambda df, x: with_parts(df.select("id", "t")).select(F.col("id").alias(x), *(F.col(c).alias(c + x) for c in ("t", "letters", "runs")))
-    texts = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b").where(may_reach(least))
-    found = scored(texts, least).join(right.join(cand, ["t", "keys"]).select(F.col("id").alias("b"), "project_no"), "b")
+    scores = stage(alike(left, right, least), "scores")
+    found = scores.join(right.join(cand, ["t", "keys"]).select(F.col("id").alias("b"), "project_no"), "b")
     each = found.groupBy("a", "project_no").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "project_no"))
     two = each.withColumn("r", rank).where("r <= 2").groupBy("a").agg(F.max(F.when(F.col("r") == 1, F.col("project_no"))).alias("project_no"),
