@@ -43,3 +43,20 @@ def test_no_alike_pair_is_left_out():
             want = {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if title_score(x, y) >= least}
             got = [p for i, j in may_be_alike(left, right, least) for p in zip(i.tolist(), j.tolist())]
             assert want and want <= set(got) and len(got) == len(set(got))
+
+
+def test_index_has_a_row_for_a_gram_and_segment(spark, tmp_path, monkeypatch):
+    """Not one for each place; texts over several segments, equal keys' order and long texts included."""
+    from costquarry.operators import fulltext, search
+
+    monkeypatch.setattr(fulltext, "SEGMENT", 5_000)
+    rng = random.Random(9)
+    rows = [(f"k{i}", "".join(rng.choice("abc \U0001f600é") for _ in range(rng.choice([0, 1, 2, 300])))) for i in range(200)] + [("long", "xy" * 20_000 + "zz"), ("none", None)]
+    docs = spark.createDataFrame(rows, "name string, body string")
+    path = fulltext.write_index(docs, str(tmp_path / "index"), "name", "body", 4)
+    index = fulltext.Index(spark, path, 4)
+    places = sum(max(0, len(t or "") - 1) for _, t in rows)
+    assert index.postings.agg(F.sum("n")).first()[0] > places and index.postings.count() < places / 10
+    for q in ("abca", "xyzz", "yx", "yxyxyxy", "-ab", '"é\U0001f600a"', "aab OR cbb", "-x -a", '"  a" -b'):
+        want = sorted(r.name for r in docs.where(search.text_query(F.col("body"), q)).collect())
+        assert sorted(r.key for r in index.search(q).collect()) == want, q
